@@ -1,0 +1,7 @@
+"""citypulse.streaming: intentionally empty.
+
+The reference workload is batch only: no stream sources, watermarks,
+stateful operators or streaming sinks appear in it, so there is nothing to
+rebuild here.  Batch plans in ``citypulse.plans`` take plain DataFrames and
+would accept a micro-batch DataFrame inside ``foreachBatch`` unchanged.
+"""
