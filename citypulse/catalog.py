@@ -32,3 +32,106 @@ def _top_months_df(spark, sf_dir):
 @register("top_months_sql")
 def _top_months_sql(spark, sf_dir):
     return W1.top_months_sql(spark, T.incident_parts(spark, sf_dir))
+
+
+# ------------------------------------------------------------- W2 day parts
+from .plans import day_parts as W2  # noqa: E402
+
+
+@register("day_parts_df")
+def _day_parts_df(spark, sf_dir):
+    return W2.day_parts_df(T.incident_parts(spark, sf_dir))
+
+
+@register("day_parts_sql")
+def _day_parts_sql(spark, sf_dir):
+    return W2.day_parts_sql(spark, T.incident_parts(spark, sf_dir))
+
+
+@register("day_parts_rows")
+def _day_parts_rows(spark, sf_dir):
+    return W2.day_parts_rows(T.incident_parts(spark, sf_dir))
+
+
+@register("sort_by_time_code")
+def _sort_by_time_code(spark, sf_dir):
+    return W2.street_rows_by_time(T.incident_parts(spark, sf_dir))
+
+
+# ------------------------------------------------------- W3 income extremes
+from .operators.joins import NO_AUTO_BROADCAST, scoped_conf  # noqa: E402
+from .plans import income_extremes as W3  # noqa: E402
+
+
+def _w3(spark, sf_dir, strategy):
+    return W3.income_extremes(T.incident_parts(spark, sf_dir), T.geocode(spark, sf_dir),
+                              T.income(spark, sf_dir), strategy,
+                              community_like=T.COMMUNITY_PATTERN)
+
+
+@register("income_extremes_sql")
+def _income_extremes_sql(spark, sf_dir):
+    return W3.income_extremes_sql(spark, T.incident_parts(spark, sf_dir), T.geocode(spark, sf_dir),
+                                  T.income(spark, sf_dir), community_like=T.COMMUNITY_PATTERN)
+
+
+def _w3_variant(strategy):
+    return lambda spark, sf_dir: _w3(spark, sf_dir, strategy)
+
+
+for _s, _key in (("auto", "auto"), ("broadcast", "broadcast"), ("merge", "merge"),
+                 ("merge_small", "merge_small"), ("shuffle_hash", "shuffle_hash"),
+                 ("shuffle_replicate_nl", "replicate_nl")):
+    QUERIES[f"income_extremes_{_key}"] = _w3_variant(_s)
+    if _s != "auto":
+        QUERIES[f"join_hint_{_key}"] = _w3_variant(_s)
+
+
+@register("join_scoped_threshold")
+def _join_scoped_threshold(spark, sf_dir):
+    """Unhinted plan built while size-based broadcast is off."""
+    with scoped_conf(spark, NO_AUTO_BROADCAST):
+        return _w3(spark, sf_dir, "auto")
+
+
+# ------------------------------------------------------ W4 station distance
+from .plans import station_distance as W4  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+
+def _own_rows(spark, sf_dir, strategy="auto"):
+    return W4.own_station_rows(T.incident_parts(spark, sf_dir), T.stations(spark, sf_dir), strategy)
+
+
+def _nearest_rows(spark, sf_dir):
+    return W4.nearest_station_rows(T.incident_parts(spark, sf_dir), T.stations(spark, sf_dir),
+                                   station_order=F.col("FID").try_cast("long"))
+
+
+@register("own_dist_by_year")
+def _own_by_year(spark, sf_dir):
+    return W4.report_sql(spark, _own_rows(spark, sf_dir), "year")
+
+
+@register("own_dist_by_division")
+def _own_by_division(spark, sf_dir):
+    return W4.report_sql(spark, _own_rows(spark, sf_dir), "division")
+
+
+def _own_variant(strategy):
+    return lambda spark, sf_dir: W4.by_division(_own_rows(spark, sf_dir, strategy))
+
+
+for _s, _key in (("broadcast", "broadcast"), ("merge", "merge"),
+                 ("shuffle_hash", "shuffle_hash"), ("shuffle_replicate_nl", "replicate_nl")):
+    QUERIES[f"own_dist_{_key}"] = _own_variant(_s)
+
+
+@register("nearest_by_year")
+def _nearest_by_year(spark, sf_dir):
+    return W4.by_year(_nearest_rows(spark, sf_dir))
+
+
+@register("nearest_by_division")
+def _nearest_by_division(spark, sf_dir):
+    return W4.by_division(_nearest_rows(spark, sf_dir))

@@ -94,7 +94,7 @@ def vincenty_ctes(source: str, lat1: str, lon1: str, lat2: str, lon2: str,
     for i, batch in enumerate(geodesy._batches(steps)):
         cur = f"{name}_{i}"
         cols = ", ".join(f"{expr} AS {col}" for col, expr in batch)
-        ctes.append(f"{cur} AS (SELECT *, {cols} FROM {prev})")
+        ctes.append(f"{cur} AS MATERIALIZED (SELECT *, {cols} FROM {prev})")
         prev = cur
     return ",\n".join(ctes), prev
 
@@ -123,3 +123,134 @@ WHERE r <= 3 AND "Year" IS NOT NULL""")
 SQL: dict[str, str] = {}
 SQL["top_months_df"] = _top_months("Total Crimes", "#")
 SQL["top_months_sql"] = _top_months("Total_Crimes", "Rank")
+
+
+# ---------------------------------------------------------------- W2 day parts
+def _labels_sql(c: str, labels, by: str) -> str:
+    from .functions import dayparts as D
+    m, a, e, n, u = labels
+    if by == "hour":
+        h = f"TRY_CAST(substring({c}, 1, 2) AS INTEGER)"
+        return (f"CASE WHEN {h} BETWEEN {D.MORNING_HOURS[0]} AND {D.MORNING_HOURS[1]} THEN '{m}' "
+                f"WHEN {h} BETWEEN {D.AFTERNOON_HOURS[0]} AND {D.AFTERNOON_HOURS[1]} THEN '{a}' "
+                f"WHEN {h} BETWEEN {D.EVENING_HOURS[0]} AND {D.EVENING_HOURS[1]} THEN '{e}' "
+                f"WHEN {h} >= {D.NIGHT_FROM} OR {h} <= {D.NIGHT_TO} THEN '{n}' ELSE '{u}' END")
+    return (f"CASE WHEN {c} >= '{D.MORNING_TEXT[0]}' AND {c} <= '{D.MORNING_TEXT[1]}' THEN '{m}' "
+            f"WHEN {c} >= '{D.AFTERNOON_TEXT[0]}' AND {c} <= '{D.AFTERNOON_TEXT[1]}' THEN '{a}' "
+            f"WHEN {c} >= '{D.EVENING_TEXT[0]}' AND {c} <= '{D.EVENING_TEXT[1]}' THEN '{e}' "
+            f"WHEN {c} >= '{D.NIGHT_TEXT_FROM}' OR {c} <= '{D.NIGHT_TEXT_TO}' THEN '{n}' ELSE '{u}' END")
+
+
+def _day_parts(label_col: str, count_col: str, labels, by: str) -> str:
+    return with_prelude(f"""
+w2_street AS (SELECT * FROM cp_inc WHERE "Premis Desc" = 'STREET')""", f"""
+SELECT {_labels_sql('"TIME OCC"', labels, by)} AS "{label_col}", count(*) AS "{count_col}"
+FROM w2_street GROUP BY 1""")
+
+
+def _register_w2():
+    from .functions import dayparts as D
+    SQL["day_parts_df"] = _day_parts("TIME_OF_THE_DAY", "count", D.GREEKLISH, "text")
+    SQL["day_parts_sql"] = _day_parts("time_periods", "countPeriods", D.GREEK, "hour")
+    SQL["day_parts_rows"] = _day_parts("time_period", "count", D.GREEK, "hour")
+    SQL["sort_by_time_code"] = with_prelude("", f"""
+SELECT *, {_labels_sql('"TIME OCC"', D.GREEK, 'hour')} AS time_period
+FROM cp_inc WHERE "Premis Desc" = 'STREET'""")
+
+
+_register_w2()
+
+
+# ------------------------------------------------------------ W3 income extremes
+def _income_extremes(community_like: str, k: int = 3) -> str:
+    from .functions.labels import DESCENT_LABELS
+    cases = " ".join(f"WHEN cz.descent = '{c}' THEN '{lab}'" for c, lab in DESCENT_LABELS)
+    tie = '"Zip Code", "Community", "Estimated Median Income"'
+    return with_prelude(f"""
+w3_cz AS (
+  SELECT substring(g."ZIPcode", 1, 5) AS zip_code, count(*) AS total, c."Vict Descent" AS descent
+  FROM cp_inc c JOIN cp_geo g ON g."LAT" = c."LAT" AND g."LON" = c."LON"
+  WHERE c."Vict Descent" IS NOT NULL AND g."ZIPcode" IS NOT NULL
+  GROUP BY substring(g."ZIPcode", 1, 5), c."Vict Descent"),
+w3_inc AS (
+  SELECT *, TRY_CAST(substring(regexp_replace("Estimated Median Income", ',', '', 'g'), 2) AS FLOAT) AS f
+  FROM cp_income WHERE "Community" LIKE '{community_like}'),
+w3_top AS (SELECT * FROM w3_inc ORDER BY f DESC NULLS LAST, {tie} LIMIT {k}),
+w3_low AS (SELECT * FROM w3_inc ORDER BY f ASC NULLS FIRST, {tie} LIMIT {k}),
+w3_t AS (SELECT * FROM w3_top UNION ALL SELECT * FROM w3_low)""", f"""
+SELECT t."Zip Code", cz.total AS "#", cz.descent AS "Vict Descent",
+       CASE {cases} ELSE cz.descent END AS victim_category
+FROM w3_t t JOIN w3_cz cz ON cz.zip_code = t."Zip Code\"""")
+
+
+def _register_w3():
+    q = _income_extremes(T.COMMUNITY_PATTERN)
+    for name in ("income_extremes_sql", "income_extremes_auto", "income_extremes_broadcast",
+                 "income_extremes_merge", "income_extremes_merge_small",
+                 "income_extremes_shuffle_hash", "income_extremes_replicate_nl",
+                 "join_hint_broadcast", "join_hint_merge", "join_hint_merge_small",
+                 "join_hint_shuffle_hash", "join_hint_replicate_nl", "join_scoped_threshold"):
+        SQL[name] = q
+
+
+_register_w3()
+
+
+# ------------------------------------------------------------ W4 station distance
+_W4_INC = """
+w4_inc AS (
+  SELECT DISTINCT * FROM cp_all
+  WHERE TRY_CAST("Weapon Used Cd" AS INTEGER) >= 100 AND TRY_CAST("Weapon Used Cd" AS INTEGER) < 200
+    AND "LAT" != '0' AND "LON" != '0')"""
+
+
+def _report(source: str, by: str) -> str:
+    if by == "year":
+        return (f"SELECT year, round(avg(distance), 4) AS average_distance, count(*) AS count "
+                f"FROM {source} GROUP BY year")
+    return (f"SELECT \"DIVISION\" AS division, round(avg(distance), 4) AS average_distance, "
+            f"count(*) AS count FROM {source} GROUP BY \"DIVISION\"")
+
+
+def _own_station(by: str) -> str:
+    chain, last = vincenty_ctes("w4_j", "lat1", "lon1", "lat2", "lon2", "distance", "w4_v")
+    return with_prelude(_W4_INC + f""",
+w4_j AS (
+  SELECT {_year('c."DATE OCC"')} AS year, s."DIVISION",
+         TRY_CAST(c."LAT" AS DOUBLE) AS lat1, TRY_CAST(c."LON" AS DOUBLE) AS lon1,
+         TRY_CAST(s."Y" AS DOUBLE) AS lat2, TRY_CAST(s."X" AS DOUBLE) AS lon2
+  FROM w4_inc c JOIN cp_stations s ON s."FID" = c."AREA"),
+{chain}""", _report(last, by))
+
+
+def _nearest_station(by: str) -> str:
+    chain, last = vincenty_ctes("w4_pairs", "lat1", "lon1", "lat2", "lon2", "d", "w4_v")
+    return with_prelude(_W4_INC + f""",
+w4_pts AS (
+  SELECT DISTINCT "LAT", "LON", TRY_CAST("LAT" AS DOUBLE) AS lat1, TRY_CAST("LON" AS DOUBLE) AS lon1
+  FROM w4_inc),
+w4_pairs AS (
+  SELECT p."LAT", p."LON", p.lat1, p.lon1, TRY_CAST(s."Y" AS DOUBLE) AS lat2,
+         TRY_CAST(s."X" AS DOUBLE) AS lon2, s."DIVISION", s.seq
+  FROM w4_pts p CROSS JOIN cp_stations s
+  WHERE p.lat1 IS NOT NULL AND p.lon1 IS NOT NULL),
+{chain},
+w4_best AS (
+  SELECT "LAT", "LON", d, "DIVISION" FROM (
+    SELECT *, row_number() OVER (PARTITION BY "LAT", "LON" ORDER BY d, seq) AS r FROM {last})
+  WHERE r = 1),
+w4_rows AS (
+  SELECT {_year('c."DATE OCC"')} AS year, b."DIVISION", b.d AS distance
+  FROM w4_inc c LEFT JOIN w4_best b ON b."LAT" = c."LAT" AND b."LON" = c."LON")""",
+        _report("w4_rows", by))
+
+
+def _register_w4():
+    for by in ("year", "division"):
+        SQL[f"own_dist_by_{by}"] = _own_station(by)
+        SQL[f"nearest_by_{by}"] = _nearest_station(by)
+    for s in ("broadcast", "merge", "shuffle_hash", "replicate_nl"):
+        SQL[f"own_dist_{s}"] = SQL["own_dist_by_division"]
+
+
+_register_w4()
