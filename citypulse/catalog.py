@@ -135,3 +135,230 @@ def _nearest_by_year(spark, sf_dir):
 @register("nearest_by_division")
 def _nearest_by_division(spark, sf_dir):
     return W4.by_division(_nearest_rows(spark, sf_dir))
+
+
+# ------------------------------------------- single operators of the inventory
+# Each key isolates one operator of the reference over the same derived
+# tables; the end-to-end reports above combine them.
+from .functions import lenient as L  # noqa: E402
+from .functions.geodesy import with_geodesic_km  # noqa: E402
+from .functions.labels import decode  # noqa: E402
+from .operators.nearest import nearest  # noqa: E402
+from .operators.rows import dedup_rows, ordered_limit, project, q, rename  # noqa: E402
+from .plans.incidents import combined, row_count, typed_ingest  # noqa: E402
+from .session import scratch_path  # noqa: E402
+from .sources import csv as CSV  # noqa: E402
+from pyspark.sql import types as TY  # noqa: E402
+
+TEXT_COLUMNS = [c.strip() for c in T.INCIDENT_COLUMNS]
+
+
+def _incidents(spark, sf_dir):
+    return combined(T.incident_parts(spark, sf_dir))
+
+
+def _first_part_csv(spark, sf_dir) -> str:
+    """Part 1 written as header CSV to the shared scratch folder."""
+    path = scratch_path(spark, "incidents-part1-csv")
+    return CSV.write_header_csv(T.incident_parts(spark, sf_dir)[0], path)
+
+
+@register("scan_csv_header")
+def _scan_csv_header(spark, sf_dir):
+    return CSV.read_header_csv(spark, _first_part_csv(spark, sf_dir))
+
+
+TYPED_SCHEMA = TY.StructType([
+    TY.StructField("DR_NO", TY.StringType()),
+    TY.StructField("Date Rptd", TY.TimestampNTZType()),
+    TY.StructField("DATE OCC", TY.TimestampNTZType()),
+    TY.StructField("TIME OCC", TY.StringType()),
+    TY.StructField("AREA", TY.StringType()),
+    TY.StructField("Premis Desc", TY.StringType()),
+    TY.StructField("Vict Age", TY.IntegerType()),
+    TY.StructField("Vict Descent", TY.StringType()),
+    TY.StructField("Weapon Used Cd", TY.IntegerType()),
+    TY.StructField("LAT", TY.DoubleType()),
+    TY.StructField("LON", TY.DoubleType()),
+])
+
+
+@register("scan_csv_typed")
+def _scan_csv_typed(spark, sf_dir):
+    return CSV.read_typed_csv(spark, _first_part_csv(spark, sf_dir), TYPED_SCHEMA)
+
+
+@register("union_parts")
+def _union_parts(spark, sf_dir):
+    return CSV.union_parts(T.incident_parts(spark, sf_dir))
+
+
+@register("union_distinct")
+def _union_distinct(spark, sf_dir):
+    return CSV.union_distinct(T.incident_parts(spark, sf_dir))
+
+
+@register("dedup_rows")
+def _dedup_rows(spark, sf_dir):
+    return dedup_rows(CSV.union_parts(T.incident_parts(spark, sf_dir)))
+
+
+@register("union_filtered_parts")
+def _union_filtered_parts(spark, sf_dir):
+    parts = [CSV.trim_names(p).filter(q("Premis Desc") == "STREET")
+             for p in T.incident_parts(spark, sf_dir)]
+    return CSV.union_distinct(parts)
+
+
+@register("typed_ingest")
+def _typed_ingest(spark, sf_dir):
+    return typed_ingest(T.incident_parts(spark, sf_dir))
+
+
+@register("row_count")
+def _row_count(spark, sf_dir):
+    return row_count(typed_ingest(T.incident_parts(spark, sf_dir)))
+
+
+@register("project_columns")
+def _project_columns(spark, sf_dir):
+    return project(_incidents(spark, sf_dir), ["DR_NO", "DATE OCC"])
+
+
+@register("rename_columns")
+def _rename_columns(spark, sf_dir):
+    inc = project(_incidents(spark, sf_dir), ["DR_NO", "AREA", "Premis Desc"])
+    return rename(inc, {"DR_NO": "#", "AREA": "Area Code", "Premis Desc": "Total Crimes"})
+
+
+@register("select_star")
+def _select_star(spark, sf_dir):
+    _incidents(spark, sf_dir).createOrReplaceTempView("cp_select_star")
+    return spark.sql("SELECT * FROM cp_select_star")
+
+
+@register("filter_equality")
+def _filter_equality(spark, sf_dir):
+    return _incidents(spark, sf_dir).filter(q("Premis Desc") == "STREET")
+
+
+@register("filter_code_range")
+def _filter_code_range(spark, sf_dir):
+    w = L.to_int(q("Weapon Used Cd"))
+    return _incidents(spark, sf_dir).filter((w >= 100) & (w < 200))
+
+
+@register("filter_nonzero_coords")
+def _filter_nonzero_coords(spark, sf_dir):
+    return _incidents(spark, sf_dir).filter((q("LAT") != "0") & (q("LON") != "0"))
+
+
+@register("filter_not_null")
+def _filter_not_null(spark, sf_dir):
+    return _incidents(spark, sf_dir).filter(L.parse_timestamp(q("DATE OCC")).isNotNull())
+
+
+@register("filter_like")
+def _filter_like(spark, sf_dir):
+    return T.income(spark, sf_dir).filter(q("Community").like(T.COMMUNITY_PATTERN))
+
+
+@register("join_single_key")
+def _join_single_key(spark, sf_dir):
+    inc = W4.firearm_incidents(T.incident_parts(spark, sf_dir))
+    st = T.stations(spark, sf_dir)
+    return inc.join(st, inc["AREA"] == st["FID"]).select(
+        "DR_NO", q("DATE OCC"), "LAT", "LON", "X", "Y", "DIVISION")
+
+
+@register("join_composite_key")
+def _join_composite_key(spark, sf_dir):
+    inc = _incidents(spark, sf_dir)
+    geo = T.geocode(spark, sf_dir).withColumnsRenamed({"LAT": "g_lat", "LON": "g_lon"})
+    j = inc.join(geo, (inc["LAT"] == geo["g_lat"]) & (inc["LON"] == geo["g_lon"]))
+    return (j.filter(q("Vict Descent").isNotNull() & q("ZIPcode").isNotNull())
+            .select("DR_NO", q("Vict Descent"), "ZIPcode"))
+
+
+@register("group_count")
+def _group_count(spark, sf_dir):
+    return (_incidents(spark, sf_dir).groupBy("AREA", q("Vict Descent"))
+            .agg(F.count(F.lit(1)).alias("count")))
+
+
+@register("group_by_alias")
+def _group_by_alias(spark, sf_dir):
+    T.geocode(spark, sf_dir).createOrReplaceTempView("cp_geocode")
+    return spark.sql("SELECT substring(ZIPcode, 1, 5) AS zip_code, count(*) AS n "
+                     "FROM cp_geocode GROUP BY zip_code")
+
+
+@register("limit_rows")
+def _limit_rows(spark, sf_dir):
+    return ordered_limit(typed_ingest(T.incident_parts(spark, sf_dir)), [q("DR_NO")], 50)
+
+
+@register("top_bottom_k")
+def _top_bottom_k(spark, sf_dir):
+    return W3.top_and_last(T.income(spark, sf_dir), T.COMMUNITY_PATTERN)
+
+
+@register("parse_timestamp")
+def _parse_timestamp(spark, sf_dir):
+    return _incidents(spark, sf_dir).select(
+        "DR_NO", L.parse_timestamp(q("DATE OCC")).alias("occurred"))
+
+
+@register("date_parts")
+def _date_parts(spark, sf_dir):
+    ts = L.parse_timestamp(q("DATE OCC"))
+    return _incidents(spark, sf_dir).select("DR_NO", L.year_of(ts).alias("Year"),
+                                            L.month_of(ts).alias("Month"))
+
+
+@register("cast_lenient")
+def _cast_lenient(spark, sf_dir):
+    return _incidents(spark, sf_dir).select(
+        "DR_NO", L.to_int(q("Vict Age")).alias("age"),
+        L.to_int(q("Weapon Used Cd")).alias("weapon"),
+        L.to_double(q("LAT")).alias("lat"), L.to_double(q("LON")).alias("lon"))
+
+
+@register("parse_money")
+def _parse_money(spark, sf_dir):
+    return T.income(spark, sf_dir).select(
+        q("Zip Code"), L.parse_money(q("Estimated Median Income")).alias("income"))
+
+
+@register("zip_prefix")
+def _zip_prefix(spark, sf_dir):
+    return T.geocode(spark, sf_dir).select("ZIPcode", L.zip_prefix("ZIPcode").alias("zip_code"))
+
+
+@register("decode_labels")
+def _decode_labels(spark, sf_dir):
+    return _incidents(spark, sf_dir).select(
+        "DR_NO", q("Vict Descent"), decode(q("Vict Descent")).alias("victim_category"))
+
+
+@register("geodesic_distance")
+def _geodesic_distance(spark, sf_dir):
+    inc = W4.firearm_incidents(T.incident_parts(spark, sf_dir))
+    st = T.stations(spark, sf_dir)
+    j = inc.join(st, inc["AREA"] == st["FID"]).select(
+        "DR_NO", L.to_double("LAT").alias("lat1"), L.to_double("LON").alias("lon1"),
+        L.to_double("Y").alias("lat2"), L.to_double("X").alias("lon2"))
+    j = with_geodesic_km(j, "lat1", "lon1", "lat2", "lon2", "distance")
+    return j.select("DR_NO", F.round("distance", 4).alias("distance"))
+
+
+@register("nearest_station")
+def _nearest_station(spark, sf_dir):
+    inc = W4.firearm_incidents(T.incident_parts(spark, sf_dir))
+    pts = inc.select("LAT", "LON").distinct().select(
+        "LAT", "LON", L.to_double("LAT").alias("plat"), L.to_double("LON").alias("plon"))
+    st = T.stations(spark, sf_dir).select(
+        L.to_double("Y").alias("slat"), L.to_double("X").alias("slon"),
+        F.col("FID").try_cast("long").alias("seq"), "DIVISION")
+    near = nearest(pts, st, ["LAT", "LON"], "plat", "plon", "slat", "slon", "seq", ["DIVISION"])
+    return near.select("LAT", "LON", F.round("distance", 4).alias("distance"), "DIVISION")

@@ -254,3 +254,80 @@ def _register_w4():
 
 
 _register_w4()
+
+
+# ------------------------------------------------------------ single operators
+_TEXT = ('"DR_NO", "Date Rptd", "DATE OCC", "TIME OCC", "AREA", "Premis Desc", "Vict Age", '
+         '"Vict Descent", "Weapon Used Cd", "LAT", "LON"')
+
+
+def _typed_cols(ts: str = "TIMESTAMP") -> str:
+    return (f'"DR_NO", {_TS.format(c=chr(34) + "Date Rptd" + chr(34))} AS "Date Rptd", '
+            f'{_TS.format(c=chr(34) + "DATE OCC" + chr(34))} AS "DATE OCC", "TIME OCC", "AREA", '
+            f'"Premis Desc", TRY_CAST("Vict Age" AS INTEGER) AS "Vict Age", "Vict Descent", '
+            '"Weapon Used Cd", TRY_CAST("LAT" AS DOUBLE) AS "LAT", TRY_CAST("LON" AS DOUBLE) AS "LON"')
+
+
+def _register_single():
+    from .functions.labels import DESCENT_LABELS
+    p = with_prelude
+    SQL["scan_csv_header"] = p("", f"SELECT {_TEXT} FROM cp_rows WHERE k % {T.N_PARTS} = 0")
+    SQL["scan_csv_typed"] = p("", f"SELECT {_typed_cols()} FROM cp_rows WHERE k % {T.N_PARTS} = 0"
+                              ).replace('"Weapon Used Cd", TRY_CAST("LAT"',
+                                        'TRY_CAST("Weapon Used Cd" AS INTEGER) AS "Weapon Used Cd", TRY_CAST("LAT"')
+    SQL["union_parts"] = p("", "SELECT * FROM cp_all")
+    SQL["union_distinct"] = p("", "SELECT * FROM cp_inc")
+    SQL["dedup_rows"] = p("", "SELECT * FROM cp_inc")
+    SQL["select_star"] = p("", "SELECT * FROM cp_inc")
+    SQL["union_filtered_parts"] = p("", "SELECT * FROM cp_inc WHERE \"Premis Desc\" = 'STREET'")
+    SQL["filter_equality"] = SQL["union_filtered_parts"]
+    SQL["typed_ingest"] = p("", f"SELECT {_typed_cols()} FROM cp_inc")
+    SQL["row_count"] = p("", "SELECT count(*) AS row_count FROM cp_inc")
+    SQL["project_columns"] = p("", 'SELECT "DR_NO", "DATE OCC" FROM cp_inc')
+    SQL["rename_columns"] = p("", 'SELECT "DR_NO" AS "#", "AREA" AS "Area Code", '
+                                  '"Premis Desc" AS "Total Crimes" FROM cp_inc')
+    w = 'TRY_CAST("Weapon Used Cd" AS INTEGER)'
+    SQL["filter_code_range"] = p("", f"SELECT * FROM cp_inc WHERE {w} >= 100 AND {w} < 200")
+    SQL["filter_nonzero_coords"] = p("", "SELECT * FROM cp_inc WHERE \"LAT\" != '0' AND \"LON\" != '0'")
+    SQL["filter_not_null"] = p("", f"SELECT * FROM cp_inc WHERE {_TS.format(c=chr(34) + 'DATE OCC' + chr(34))} IS NOT NULL")
+    SQL["filter_like"] = p("", f"SELECT * FROM cp_income WHERE \"Community\" LIKE '{T.COMMUNITY_PATTERN}'")
+    SQL["join_single_key"] = p(_W4_INC, 'SELECT c."DR_NO", c."DATE OCC", c."LAT", c."LON", s."X", s."Y", '
+                                        's."DIVISION" FROM w4_inc c JOIN cp_stations s ON s."FID" = c."AREA"')
+    SQL["join_composite_key"] = p("", 'SELECT c."DR_NO", c."Vict Descent", g."ZIPcode" FROM cp_inc c '
+                                      'JOIN cp_geo g ON g."LAT" = c."LAT" AND g."LON" = c."LON" '
+                                      'WHERE c."Vict Descent" IS NOT NULL AND g."ZIPcode" IS NOT NULL')
+    SQL["group_count"] = p("", 'SELECT "AREA", "Vict Descent", count(*) AS count FROM cp_inc '
+                               'GROUP BY "AREA", "Vict Descent"')
+    SQL["group_by_alias"] = p("", 'SELECT substring("ZIPcode", 1, 5) AS zip_code, count(*) AS n '
+                                  'FROM cp_geo GROUP BY zip_code')
+    SQL["limit_rows"] = p("", f'SELECT {_typed_cols()} FROM cp_inc ORDER BY "DR_NO" LIMIT 50')
+    occ = _TS.format(c='"DATE OCC"')
+    SQL["parse_timestamp"] = p("", f'SELECT "DR_NO", {occ} AS occurred FROM cp_inc')
+    SQL["date_parts"] = p("", f'SELECT "DR_NO", {_year(chr(34) + "DATE OCC" + chr(34))} AS "Year", '
+                              f'{_month(chr(34) + "DATE OCC" + chr(34))} AS "Month" FROM cp_inc')
+    SQL["cast_lenient"] = p("", f'SELECT "DR_NO", TRY_CAST("Vict Age" AS INTEGER) AS age, {w} AS weapon, '
+                                'TRY_CAST("LAT" AS DOUBLE) AS lat, TRY_CAST("LON" AS DOUBLE) AS lon FROM cp_inc')
+    SQL["parse_money"] = p("", 'SELECT "Zip Code", TRY_CAST(substring(regexp_replace('
+                               '"Estimated Median Income", \',\', \'\', \'g\'), 2) AS FLOAT) AS income '
+                               'FROM cp_income')
+    SQL["zip_prefix"] = p("", 'SELECT "ZIPcode", substring("ZIPcode", 1, 5) AS zip_code FROM cp_geo')
+    cases = " ".join(f"WHEN \"Vict Descent\" = '{c}' THEN '{lab}'" for c, lab in DESCENT_LABELS)
+    SQL["decode_labels"] = p("", f'SELECT "DR_NO", "Vict Descent", CASE {cases} ELSE "Vict Descent" END '
+                                 'AS victim_category FROM cp_inc')
+    chain, last = vincenty_ctes("w4_j", "lat1", "lon1", "lat2", "lon2", "distance", "w4_v")
+    SQL["geodesic_distance"] = p(_W4_INC + f""",
+w4_j AS (
+  SELECT c."DR_NO", TRY_CAST(c."LAT" AS DOUBLE) AS lat1, TRY_CAST(c."LON" AS DOUBLE) AS lon1,
+         TRY_CAST(s."Y" AS DOUBLE) AS lat2, TRY_CAST(s."X" AS DOUBLE) AS lon2
+  FROM w4_inc c JOIN cp_stations s ON s."FID" = c."AREA"),
+{chain}""", f'SELECT "DR_NO", round(distance, 4) AS distance FROM {last}')
+    near = _nearest_station("year")
+    head, _ = near.rsplit(",\nw4_rows AS", 1)
+    SQL["nearest_station"] = head + '\nSELECT "LAT", "LON", round(d, 4) AS distance, "DIVISION" FROM w4_best'
+    inc_t = _income_extremes(T.COMMUNITY_PATTERN)
+    head, _ = inc_t.rsplit("\nSELECT t.", 1)
+    SQL["top_bottom_k"] = (head + '\nSELECT "Zip Code", "Community", "Estimated Median Income", '
+                           'f AS estimated_median_income_float FROM w3_t')
+
+
+_register_single()

@@ -48,6 +48,7 @@ def read_typed_csv(spark: SparkSession, path: str | Sequence[str],
     return (spark.read.option("header", True)
             .option("mode", "PERMISSIVE")
             .option("timestampFormat", timestamp_format)
+            .option("timestampNTZFormat", timestamp_format)
             .schema(schema).csv(path))
 
 
