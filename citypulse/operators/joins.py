@@ -32,9 +32,11 @@ HINT_NAMES = {
     "shuffle_hash": "shuffle_hash",
     "shuffle_replicate_nl": "shuffle_replicate_nl",
 }
-# Row bound for sides that get replicated (broadcast / nested loop).
+# Row bounds for sides that get replicated.  A broadcast side is copied to
+# every executor once; a nested-loop side meets every row of the other side,
+# so only a lookup-sized side (e.g. a top/bottom-k set) qualifies.
 DEFAULT_REPLICATE_MAX_ROWS = 1_000_000
-NL_MAX_ROWS = 10_000
+NL_MAX_ROWS = 64
 
 
 def check_strategy(strategy: str) -> str:

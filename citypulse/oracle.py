@@ -81,9 +81,23 @@ cp_stations AS (
 )"""
 
 
-def with_prelude(body_ctes: str, select: str) -> str:
+class OracleSQL(str):
+    """Query text that also remembers its own CTEs and final SELECT, so the
+    same logic can run over other base tables (the hand-made test tables)."""
+
+    body: str
+    select: str
+
+    def over(self, base_ctes: str) -> str:
+        ctes = base_ctes + ("," + self.body if self.body.strip() else "")
+        return f"WITH {ctes}\n{self.select}"
+
+
+def with_prelude(body_ctes: str, select: str) -> OracleSQL:
     ctes = PRELUDE + ("," + body_ctes if body_ctes.strip() else "")
-    return f"WITH {ctes}\n{select}"
+    out = OracleSQL(f"WITH {ctes}\n{select}")
+    out.body, out.select = body_ctes, select
+    return out
 
 
 def vincenty_ctes(source: str, lat1: str, lon1: str, lat2: str, lon2: str,
