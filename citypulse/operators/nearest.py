@@ -10,13 +10,18 @@ best in-block station is closer than ``bound`` (minus a 1 m margin that
 covers rounding), it is the true nearest, and ties are settled among the
 block's stations by the station order (first wins, as in the reference).
 
-Points not settled at a level move to the next, with cells twice as large.
-Once a cell exceeds the earth's diameter the block holds every station, so
-the loop ends after at most ~log2(earth / cell) levels; in practice nearly
-every point settles at the first level.  Each level is one shuffle
-equi-join on the cell key (AQE splits a hot cell), a partial + final
-``min(struct)`` per point, and a checkpoint to the shared checkpoint folder
-so the next level does not replay the lineage.
+The base cell is near the typical station spacing, so nearly every point
+settles at level 0, where stations are replicated to their 27 neighbour
+cells and joined to the points' own cells (one shuffle equi-join; AQE
+splits a hot cell), then reduced by a partial + final ``min(struct)``.
+A point left over jumps to the cell size that must settle it: a cell
+larger than its best candidate's distance holds that candidate in the new
+block and bounds everything outside beyond it.  Points with no candidate
+grow 4x per round.  Beyond level 0 the few points left are the replicated
+side (broadcast when at most ``BROADCAST_POINTS``) and the stations are
+keyed once per level in play.  Once a cell exceeds the earth's diameter the
+block holds every station, so every point settles.  Every round is
+checkpointed to the shared checkpoint folder so no round replays lineage.
 
 Distances are Vincenty km (``citypulse.functions.geodesy``).
 """
@@ -32,10 +37,12 @@ from pyspark.sql import functions as F
 
 from ..functions.geodesy import ecef_km, with_geodesic_km
 from ..session import checkpoint_dir
+from .joins import rows_at_most
 
 EARTH_SPAN_KM = 12_800.0      # larger than the earth's extent on any axis
 MARGIN_KM = 1e-3              # 1 m: covers Vincenty and ECEF rounding
 MIN_CELL_KM = 0.05
+BROADCAST_POINTS = 100_000    # unsettled points replicated to every task beyond level 0
 _OFFSETS = list(itertools.product((-1, 0, 1), repeat=3))
 
 
@@ -96,37 +103,76 @@ def nearest(points: DataFrame, stations: DataFrame, key: Sequence[str],
 
     checkpoint_dir(spark)
     pts = pts.checkpoint()              # the input is computed once
-    remaining = pts.filter(usable)
     offsets = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c"))
                         for a, b, c in _OFFSETS])
-    settled = []
-    for level in range(max_levels):
-        size = cell * (2 ** level)
-        last = size >= EARTH_SPAN_KM
-        s_cells = (sts.select("*", F.explode(offsets).alias("__o"))
-            .select("*", *[(F.floor(F.col(f"__s{ax}") / size) + F.col(f"__o.{o}")).alias(f"__c{ax}")
-                           for ax, o in (("x", "a"), ("y", "b"), ("z", "c"))])
-            .drop("__o"))
-        p_cells = remaining.select(
-            "*", *[F.floor(F.col(f"__p{ax}") / size).alias(f"__c{ax}") for ax in "xyz"])
-        faces = [F.least(F.col(f"__p{ax}") - (F.col(f"__c{ax}") - 1) * size,
-                         (F.col(f"__c{ax}") + 2) * size - F.col(f"__p{ax}")) for ax in "xyz"]
-        p_cells = p_cells.withColumn("__bound", F.least(*faces))
-        cand = p_cells.join(s_cells, ["__cx", "__cy", "__cz"])
+    top = max(0, math.ceil(math.log2(EARTH_SPAN_KM / cell)))    # block holds every station
+    size_of = lambda lvl: F.lit(cell) * F.pow(F.lit(2.0), lvl)
+    pay = [f"__pl_{p}" for p in payload]
+
+    def settle(cand):
+        """Best station per point and whether it is provably the nearest."""
         cand = with_geodesic_km(cand, "__plat", "__plon", "__slat", "__slon", "__d")
-        best = (cand.groupBy(*key, "__bound")
-                .agg(F.min(F.struct("__d", "__sord", *[f"__pl_{p}" for p in payload])).alias("__b"))
-                .select(*key, "__bound", "__b.*"))
-        best = best.checkpoint()
-        ok = best if last else best.filter(F.col("__d") < F.col("__bound") - MARGIN_KM)
-        settled.append(ok.select(*[F.col(k) for k in key], F.col("__d").alias(distance),
-                                 F.col("__sord").alias(s_order),
-                                 *[F.col(f"__pl_{p}").alias(p) for p in payload]))
-        if last:
-            break
-        remaining = remaining.join(ok.select(*key), key, "left_anti").checkpoint()
-        if remaining.isEmpty():
-            break
+        best = (cand.groupBy(*key, "__bound", "__lvl")
+                .agg(F.min(F.struct("__d", "__sord", *pay)).alias("__b"))
+                .select(*key, "__bound", "__lvl", "__b.*"))
+        return best.withColumn(
+            "__ok", (F.col("__lvl") >= top) | (F.col("__d") < F.col("__bound") - MARGIN_KM)).checkpoint()
+
+    def bound_at(lvl_size):
+        faces = [F.least(F.col(f"__p{ax}") - (F.col(f"__c{ax}") - 1) * lvl_size,
+                         (F.col(f"__c{ax}") + 2) * lvl_size - F.col(f"__p{ax}")) for ax in "xyz"]
+        return F.least(*faces)
+
+    # level 0: many points, so the stations are replicated to their 27 neighbour cells
+    size0 = F.lit(cell)
+    s_cells = (sts.select("*", F.explode(offsets).alias("__o"))
+               .select("*", *[(F.floor(F.col(f"__s{ax}") / size0) + F.col(f"__o.{o}")).alias(f"__c{ax}")
+                              for ax, o in (("x", "a"), ("y", "b"), ("z", "c"))]).drop("__o"))
+    p_cells = (pts.filter(usable).withColumn("__lvl", F.lit(0))
+               .select("*", *[F.floor(F.col(f"__p{ax}") / size0).alias(f"__c{ax}") for ax in "xyz"]))
+    p_cells = p_cells.withColumn("__bound", bound_at(size0))
+    best = settle(p_cells.join(s_cells, ["__cx", "__cy", "__cz"]))
+    settled = [best.filter("__ok")]
+    # unsettled points: those with a candidate jump straight to a cell larger than
+    # that candidate's distance (which settles them); the others grow 4x
+    need = F.ceil(F.log2((F.col("__d") + 2 * MARGIN_KM) / F.lit(cell)))
+    remaining = (pts.filter(usable).join(best.select(*key), key, "left_anti")
+                 .withColumn("__lvl", F.lit(min(2, top)))
+                 .unionByName(best.filter(~F.col("__ok")).select(*key, "__d").join(pts, key)
+                              .withColumn("__lvl", F.least(F.lit(top), F.greatest(F.lit(1), need)))
+                              .drop("__d"),
+                              allowMissingColumns=True)).checkpoint()
+    while not remaining.isEmpty():
+        levels = [r[0] for r in remaining.select("__lvl").distinct().collect()]   # at most ~40 ints
+        # few points now: replicate the points to 27 cells, key stations once per level
+        lvl_size = size_of(F.col("__lvl"))
+        p_cells = remaining.select("*", *[F.floor(F.col(f"__p{ax}") / lvl_size).alias(f"__k{ax}")
+                                         for ax in "xyz"])
+        p_cells = p_cells.select(
+            "*", *[F.col(f"__k{ax}").alias(f"__c{ax}") for ax in "xyz"])
+        p_cells = p_cells.withColumn("__bound", bound_at(lvl_size))
+        p_cells = (p_cells.select("*", F.explode(offsets).alias("__o"))
+                   .select(*[c for c in p_cells.columns if not c.startswith("__c")],
+                           *[(F.col(f"__k{ax}") + F.col(f"__o.{o}")).alias(f"__c{ax}")
+                             for ax, o in (("x", "a"), ("y", "b"), ("z", "c"))]))
+        if rows_at_most(remaining, BROADCAST_POINTS):
+            p_cells = F.broadcast(p_cells)
+        s_lv = (sts.select("*", F.explode(F.array(*[F.lit(v) for v in levels])).alias("__lvl"))
+                .select("*", *[F.floor(F.col(f"__s{ax}") / size_of(F.col("__lvl"))).alias(f"__c{ax}")
+                               for ax in "xyz"]))
+        best = settle(p_cells.join(s_lv, ["__lvl", "__cx", "__cy", "__cz"]))
+        settled.append(best.filter("__ok"))
+        remaining = (remaining.join(best.select(*key), key, "left_anti")
+                     .withColumn("__lvl", F.least(F.lit(top), F.col("__lvl") + 2))
+                     .unionByName(best.filter(~F.col("__ok")).select(*key, "__d", "__lvl")
+                                  .join(remaining.drop("__lvl"), key)
+                                  .withColumn("__lvl", F.least(F.lit(top), F.greatest(F.col("__lvl") + 1, need)))
+                                  .drop("__d"),
+                                  allowMissingColumns=True)
+                     ).checkpoint()
+    settled = [b.select(*[F.col(k) for k in key], F.col("__d").alias(distance),
+                        F.col("__sord").alias(s_order),
+                        *[F.col(f"__pl_{p}").alias(p) for p in payload]) for b in settled]
     found = settled[0]
     for s in settled[1:]:
         found = found.unionByName(s)
