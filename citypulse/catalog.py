@@ -15,6 +15,27 @@ from .sources import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+_DERIVED: dict = {}
+
+
+def _memo(kind: str, build):
+    """Reuse the lazy definition of a derived table within one application.
+
+    Only the plan object is shared; every query still reads and computes
+    the whole tables.
+    """
+    def get(spark: SparkSession, sf_dir: str):
+        key = (spark.sparkContext.applicationId, kind, sf_dir)
+        if key not in _DERIVED:
+            _DERIVED[key] = build(spark, sf_dir)
+        return _DERIVED[key]
+    return get
+
+
+_parts = _memo("parts", lambda spark, d: T.incident_parts(spark, d))
+_geo = _memo("geocode", lambda spark, d: T.geocode(spark, d))
+_income = _memo("income", lambda spark, d: T.income(spark, d))
+_stations = _memo("stations", lambda spark, d: T.stations(spark, d))
 
 
 def register(name: str):
@@ -26,12 +47,12 @@ def register(name: str):
 
 @register("top_months_df")
 def _top_months_df(spark, sf_dir):
-    return W1.top_months_df(T.incident_parts(spark, sf_dir))
+    return W1.top_months_df(_parts(spark, sf_dir))
 
 
 @register("top_months_sql")
 def _top_months_sql(spark, sf_dir):
-    return W1.top_months_sql(spark, T.incident_parts(spark, sf_dir))
+    return W1.top_months_sql(spark, _parts(spark, sf_dir))
 
 
 # ------------------------------------------------------------- W2 day parts
@@ -40,22 +61,22 @@ from .plans import day_parts as W2  # noqa: E402
 
 @register("day_parts_df")
 def _day_parts_df(spark, sf_dir):
-    return W2.day_parts_df(T.incident_parts(spark, sf_dir))
+    return W2.day_parts_df(_parts(spark, sf_dir))
 
 
 @register("day_parts_sql")
 def _day_parts_sql(spark, sf_dir):
-    return W2.day_parts_sql(spark, T.incident_parts(spark, sf_dir))
+    return W2.day_parts_sql(spark, _parts(spark, sf_dir))
 
 
 @register("day_parts_rows")
 def _day_parts_rows(spark, sf_dir):
-    return W2.day_parts_rows(T.incident_parts(spark, sf_dir))
+    return W2.day_parts_rows(_parts(spark, sf_dir))
 
 
 @register("sort_by_time_code")
 def _sort_by_time_code(spark, sf_dir):
-    return W2.street_rows_by_time(T.incident_parts(spark, sf_dir))
+    return W2.street_rows_by_time(_parts(spark, sf_dir))
 
 
 # ------------------------------------------------------- W3 income extremes
@@ -64,15 +85,15 @@ from .plans import income_extremes as W3  # noqa: E402
 
 
 def _w3(spark, sf_dir, strategy):
-    return W3.income_extremes(T.incident_parts(spark, sf_dir), T.geocode(spark, sf_dir),
-                              T.income(spark, sf_dir), strategy,
+    return W3.income_extremes(_parts(spark, sf_dir), _geo(spark, sf_dir),
+                              _income(spark, sf_dir), strategy,
                               community_like=T.COMMUNITY_PATTERN)
 
 
 @register("income_extremes_sql")
 def _income_extremes_sql(spark, sf_dir):
-    return W3.income_extremes_sql(spark, T.incident_parts(spark, sf_dir), T.geocode(spark, sf_dir),
-                                  T.income(spark, sf_dir), community_like=T.COMMUNITY_PATTERN)
+    return W3.income_extremes_sql(spark, _parts(spark, sf_dir), _geo(spark, sf_dir),
+                                  _income(spark, sf_dir), community_like=T.COMMUNITY_PATTERN)
 
 
 def _w3_variant(strategy):
@@ -87,6 +108,17 @@ for _s, _key in (("auto", "auto"), ("broadcast", "broadcast"), ("merge", "merge"
         QUERIES[f"join_hint_{_key}"] = _w3_variant(_s)
 
 
+def _w3_sql_variant(strategy):
+    return lambda spark, sf_dir: W3.income_extremes_sql(
+        spark, _parts(spark, sf_dir), _geo(spark, sf_dir), _income(spark, sf_dir),
+        community_like=T.COMMUNITY_PATTERN, strategy=strategy)
+
+
+for _s, _key in (("broadcast", "broadcast"), ("merge", "merge"), ("merge_small", "merge_small"),
+                 ("shuffle_hash", "shuffle_hash"), ("shuffle_replicate_nl", "replicate_nl")):
+    QUERIES[f"income_extremes_sql_{_key}"] = _w3_sql_variant(_s)
+
+
 @register("join_scoped_threshold")
 def _join_scoped_threshold(spark, sf_dir):
     """Unhinted plan built while size-based broadcast is off."""
@@ -100,11 +132,11 @@ from pyspark.sql import functions as F  # noqa: E402
 
 
 def _own_rows(spark, sf_dir, strategy="auto"):
-    return W4.own_station_rows(T.incident_parts(spark, sf_dir), T.stations(spark, sf_dir), strategy)
+    return W4.own_station_rows(_parts(spark, sf_dir), _stations(spark, sf_dir), strategy)
 
 
 def _nearest_rows(spark, sf_dir):
-    return W4.nearest_station_rows(T.incident_parts(spark, sf_dir), T.stations(spark, sf_dir),
+    return W4.nearest_station_rows(_parts(spark, sf_dir), _stations(spark, sf_dir),
                                    station_order=F.col("FID").try_cast("long"))
 
 
@@ -154,13 +186,13 @@ TEXT_COLUMNS = [c.strip() for c in T.INCIDENT_COLUMNS]
 
 
 def _incidents(spark, sf_dir):
-    return combined(T.incident_parts(spark, sf_dir))
+    return combined(_parts(spark, sf_dir))
 
 
 def _first_part_csv(spark, sf_dir) -> str:
     """Part 1 written as header CSV to the shared scratch folder."""
     path = scratch_path(spark, "incidents-part1-csv")
-    return CSV.write_header_csv(T.incident_parts(spark, sf_dir)[0], path)
+    return CSV.write_header_csv(_parts(spark, sf_dir)[0], path)
 
 
 @register("scan_csv_header")
@@ -190,34 +222,34 @@ def _scan_csv_typed(spark, sf_dir):
 
 @register("union_parts")
 def _union_parts(spark, sf_dir):
-    return CSV.union_parts(T.incident_parts(spark, sf_dir))
+    return CSV.union_parts(_parts(spark, sf_dir))
 
 
 @register("union_distinct")
 def _union_distinct(spark, sf_dir):
-    return CSV.union_distinct(T.incident_parts(spark, sf_dir))
+    return CSV.union_distinct(_parts(spark, sf_dir))
 
 
 @register("dedup_rows")
 def _dedup_rows(spark, sf_dir):
-    return dedup_rows(CSV.union_parts(T.incident_parts(spark, sf_dir)))
+    return dedup_rows(CSV.union_parts(_parts(spark, sf_dir)))
 
 
 @register("union_filtered_parts")
 def _union_filtered_parts(spark, sf_dir):
     parts = [CSV.trim_names(p).filter(q("Premis Desc") == "STREET")
-             for p in T.incident_parts(spark, sf_dir)]
+             for p in _parts(spark, sf_dir)]
     return CSV.union_distinct(parts)
 
 
 @register("typed_ingest")
 def _typed_ingest(spark, sf_dir):
-    return typed_ingest(T.incident_parts(spark, sf_dir))
+    return typed_ingest(_parts(spark, sf_dir))
 
 
 @register("row_count")
 def _row_count(spark, sf_dir):
-    return row_count(typed_ingest(T.incident_parts(spark, sf_dir)))
+    return row_count(typed_ingest(_parts(spark, sf_dir)))
 
 
 @register("project_columns")
@@ -260,13 +292,13 @@ def _filter_not_null(spark, sf_dir):
 
 @register("filter_like")
 def _filter_like(spark, sf_dir):
-    return T.income(spark, sf_dir).filter(q("Community").like(T.COMMUNITY_PATTERN))
+    return _income(spark, sf_dir).filter(q("Community").like(T.COMMUNITY_PATTERN))
 
 
 @register("join_single_key")
 def _join_single_key(spark, sf_dir):
-    inc = W4.firearm_incidents(T.incident_parts(spark, sf_dir))
-    st = T.stations(spark, sf_dir)
+    inc = W4.firearm_incidents(_parts(spark, sf_dir))
+    st = _stations(spark, sf_dir)
     return inc.join(st, inc["AREA"] == st["FID"]).select(
         "DR_NO", q("DATE OCC"), "LAT", "LON", "X", "Y", "DIVISION")
 
@@ -274,7 +306,7 @@ def _join_single_key(spark, sf_dir):
 @register("join_composite_key")
 def _join_composite_key(spark, sf_dir):
     inc = _incidents(spark, sf_dir)
-    geo = T.geocode(spark, sf_dir).withColumnsRenamed({"LAT": "g_lat", "LON": "g_lon"})
+    geo = _geo(spark, sf_dir).withColumnsRenamed({"LAT": "g_lat", "LON": "g_lon"})
     j = inc.join(geo, (inc["LAT"] == geo["g_lat"]) & (inc["LON"] == geo["g_lon"]))
     return (j.filter(q("Vict Descent").isNotNull() & q("ZIPcode").isNotNull())
             .select("DR_NO", q("Vict Descent"), "ZIPcode"))
@@ -288,19 +320,19 @@ def _group_count(spark, sf_dir):
 
 @register("group_by_alias")
 def _group_by_alias(spark, sf_dir):
-    T.geocode(spark, sf_dir).createOrReplaceTempView("cp_geocode")
+    _geo(spark, sf_dir).createOrReplaceTempView("cp_geocode")
     return spark.sql("SELECT substring(ZIPcode, 1, 5) AS zip_code, count(*) AS n "
                      "FROM cp_geocode GROUP BY zip_code")
 
 
 @register("limit_rows")
 def _limit_rows(spark, sf_dir):
-    return ordered_limit(typed_ingest(T.incident_parts(spark, sf_dir)), [q("DR_NO")], 50)
+    return ordered_limit(typed_ingest(_parts(spark, sf_dir)), [q("DR_NO")], 50)
 
 
 @register("top_bottom_k")
 def _top_bottom_k(spark, sf_dir):
-    return W3.top_and_last(T.income(spark, sf_dir), T.COMMUNITY_PATTERN)
+    return W3.top_and_last(_income(spark, sf_dir), T.COMMUNITY_PATTERN)
 
 
 @register("parse_timestamp")
@@ -326,13 +358,13 @@ def _cast_lenient(spark, sf_dir):
 
 @register("parse_money")
 def _parse_money(spark, sf_dir):
-    return T.income(spark, sf_dir).select(
+    return _income(spark, sf_dir).select(
         q("Zip Code"), L.parse_money(q("Estimated Median Income")).alias("income"))
 
 
 @register("zip_prefix")
 def _zip_prefix(spark, sf_dir):
-    return T.geocode(spark, sf_dir).select("ZIPcode", L.zip_prefix("ZIPcode").alias("zip_code"))
+    return _geo(spark, sf_dir).select("ZIPcode", L.zip_prefix("ZIPcode").alias("zip_code"))
 
 
 @register("decode_labels")
@@ -343,8 +375,8 @@ def _decode_labels(spark, sf_dir):
 
 @register("geodesic_distance")
 def _geodesic_distance(spark, sf_dir):
-    inc = W4.firearm_incidents(T.incident_parts(spark, sf_dir))
-    st = T.stations(spark, sf_dir)
+    inc = W4.firearm_incidents(_parts(spark, sf_dir))
+    st = _stations(spark, sf_dir)
     j = inc.join(st, inc["AREA"] == st["FID"]).select(
         "DR_NO", L.to_double("LAT").alias("lat1"), L.to_double("LON").alias("lon1"),
         L.to_double("Y").alias("lat2"), L.to_double("X").alias("lon2"))
@@ -354,10 +386,10 @@ def _geodesic_distance(spark, sf_dir):
 
 @register("nearest_station")
 def _nearest_station(spark, sf_dir):
-    inc = W4.firearm_incidents(T.incident_parts(spark, sf_dir))
+    inc = W4.firearm_incidents(_parts(spark, sf_dir))
     pts = inc.select("LAT", "LON").distinct().select(
         "LAT", "LON", L.to_double("LAT").alias("plat"), L.to_double("LON").alias("plon"))
-    st = T.stations(spark, sf_dir).select(
+    st = _stations(spark, sf_dir).select(
         L.to_double("Y").alias("slat"), L.to_double("X").alias("slon"),
         F.col("FID").try_cast("long").alias("seq"), "DIVISION")
     near = nearest(pts, st, ["LAT", "LON"], "plat", "plon", "slat", "slon", "seq", ["DIVISION"])

@@ -94,44 +94,78 @@ def income_extremes(parts: Sequence[DataFrame], geocode: DataFrame, income: Data
         .orderBy(q("Zip Code"), F.col("#").desc(), q("Vict Descent")))
 
 
+# SQL hint text per strategy for the (geocode join, top/bottom join); the
+# names are the CTE aliases of the SQL form below.
+SQL_HINTS = {
+    "auto": ("", ""),
+    "broadcast": ("/*+ BROADCAST(g) */", "/*+ BROADCAST(t) */"),
+    "merge": ("/*+ MERGEJOIN(p) */", "/*+ MERGEJOIN(cz) */"),
+    "merge_small": ("/*+ MERGEJOIN(g) */", "/*+ MERGEJOIN(t) */"),
+    "shuffle_hash": ("/*+ SHUFFLE_HASH(g) */", "/*+ SHUFFLE_HASH(t) */"),
+    "shuffle_replicate_nl": ("/*+ SHUFFLE_REPLICATE_NL(g) */", "/*+ SHUFFLE_REPLICATE_NL(t) */"),
+}
+
+
+def _guarded_geo_hint(spark: SparkSession, strategy: str, geo_sql: str) -> str:
+    """The geocode-side hint, or SHUFFLE_HASH when the side is over the bound."""
+    from ..operators.joins import DEFAULT_REPLICATE_MAX_ROWS, NL_MAX_ROWS, rows_at_most
+    hint = SQL_HINTS[strategy][0]
+    bound = {"broadcast": DEFAULT_REPLICATE_MAX_ROWS, "shuffle_replicate_nl": NL_MAX_ROWS}.get(strategy)
+    if bound is not None and not rows_at_most(spark.sql(geo_sql), bound):
+        return "/*+ SHUFFLE_HASH(g) */"
+    return hint
+
+
 def income_extremes_sql(spark: SparkSession, parts: Sequence[DataFrame], geocode: DataFrame,
                         income: DataFrame, community_like: str = COMMUNITY_LIKE,
-                        k: int = K, labels=DESCENT_LABELS) -> DataFrame:
+                        k: int = K, labels=DESCENT_LABELS, strategy: str = "auto") -> DataFrame:
+    """W3 as one SQL text over temp views; ``strategy`` adds the reference's
+    SQL join hints (size-guarded like the DataFrame form; the top/bottom side
+    holds at most 2k rows)."""
     views = register_parts(parts, "cp_w3")
     trim_names(geocode).createOrReplaceTempView("cp_w3_geocode")
     trim_names(income).createOrReplaceTempView("cp_w3_income")
     union = "\n        UNION\n        ".join(f"SELECT * FROM {v}" for v in views)
     cases = "\n            ".join(f"WHEN cz.`Vict Descent` = '{c}' THEN '{lab}'" for c, lab in labels)
-    return spark.sql(f"""
-    WITH combined_crime_data AS (
-        {union}
-    ), by_position AS (
-        SELECT LAT, LON, `Vict Descent`, count(*) AS n
-        FROM combined_crime_data WHERE `Vict Descent` IS NOT NULL
-        GROUP BY LAT, LON, `Vict Descent`
-    ), la_income AS (
+    la_income = f"""
         SELECT *, try_cast(substring(regexp_replace(`Estimated Median Income`, ',', ''), 2) AS FLOAT)
                   AS estimated_median_income_float
-        FROM cp_w3_income WHERE Community LIKE '{community_like}'
-    ), top_and_last AS (
+        FROM cp_w3_income WHERE Community LIKE '{community_like}'"""
+    top_and_last = f"""
         SELECT * FROM (SELECT * FROM la_income
                        ORDER BY estimated_median_income_float DESC NULLS LAST,
                                 `Zip Code`, Community, `Estimated Median Income` LIMIT {int(k)})
         UNION ALL
         SELECT * FROM (SELECT * FROM la_income
                        ORDER BY estimated_median_income_float ASC NULLS FIRST,
-                                `Zip Code`, Community, `Estimated Median Income` LIMIT {int(k)})
-    ), geo AS (
+                                `Zip Code`, Community, `Estimated Median Income` LIMIT {int(k)})"""
+    geo = """
         SELECT LAT, LON, substring(ZIPcode, 1, 5) AS zip_code
         FROM cp_w3_geocode
         WHERE ZIPcode IS NOT NULL
-          AND substring(ZIPcode, 1, 5) IN (SELECT `Zip Code` FROM top_and_last)
+          AND substring(ZIPcode, 1, 5) IN (SELECT `Zip Code` FROM top_and_last)"""
+    hint1 = SQL_HINTS[strategy][0]
+    if strategy in ("broadcast", "shuffle_replicate_nl"):
+        hint1 = _guarded_geo_hint(
+            spark, strategy,
+            f"WITH la_income AS ({la_income}), top_and_last AS ({top_and_last}) {geo}")
+    hint2 = SQL_HINTS[strategy][1]
+    return spark.sql(f"""
+    WITH combined_crime_data AS (
+        {union}
+    ), by_position AS (
+        SELECT LAT, LON, `Vict Descent`, count(*) AS n
+        FROM combined_crime_data WHERE `Vict Descent` IS NOT NULL
+        GROUP BY LAT, LON, `Vict Descent`
+    ), la_income AS ({la_income}
+    ), top_and_last AS ({top_and_last}
+    ), geo AS ({geo}
     ), crime_data_per_zip AS (
-        SELECT g.zip_code, p.`Vict Descent`, sum(p.n) AS total_vict_descent_count
+        SELECT {hint1} g.zip_code, p.`Vict Descent`, sum(p.n) AS total_vict_descent_count
         FROM by_position p JOIN geo g ON g.LAT = p.LAT AND g.LON = p.LON
         GROUP BY g.zip_code, p.`Vict Descent`
     )
-    SELECT t.`Zip Code`, cz.total_vict_descent_count AS `#`, cz.`Vict Descent`,
+    SELECT {hint2} t.`Zip Code`, cz.total_vict_descent_count AS `#`, cz.`Vict Descent`,
         CASE
             {cases}
             ELSE cz.`Vict Descent`

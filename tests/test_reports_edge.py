@@ -205,3 +205,16 @@ def test_combined_union_is_positional(env):
     t, _, _ = env
     df = combined(t["parts"])
     assert "DATE OCC" in df.columns              # part 4 says 'Date OCC'
+
+
+@pytest.mark.parametrize("strategy", list(W3.SQL_HINTS))
+def test_income_extremes_sql_hints(env, strategy):
+    t, con, base = env
+    spark = t["parts"][0].sparkSession
+    df = W3.income_extremes_sql(spark, t["parts"], t["geocode"], t["income"], strategy=strategy)
+    check(df, con, base, oracle._income_extremes(W3.COMMUNITY_LIKE))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    expect = {"broadcast": "BroadcastHashJoin", "merge": "SortMergeJoin", "merge_small": "SortMergeJoin",
+              "shuffle_hash": "ShuffledHashJoin", "shuffle_replicate_nl": "CartesianProduct"}
+    if strategy in expect:
+        assert expect[strategy] in plan
