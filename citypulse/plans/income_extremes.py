@@ -7,7 +7,9 @@ their counts with the decoded descent label.
 
 Plan (same rows, less data moved):
 1. incidents are de-duplicated, then pre-aggregated to (LAT, LON, descent)
-   counts, so a hot position crosses the shuffle once per task;
+   counts, and geocode rows to (LAT, LON, ZIP5) counts, so a hot position
+   crosses the shuffle once per task and the join sums count products
+   instead of multiplying rows;
 2. the top/bottom set (at most 2k rows, bounded by its LIMITs) becomes a
    broadcast semi-join filter on the geocode, so only geocode rows of the
    chosen ZIPs reach the big join;
@@ -37,12 +39,12 @@ K = 3
 # Hint placement per variant: (side of the geocode join, side of the
 # top/bottom join) - "right" is the geocode / top-bottom table.
 HINT_SIDES = {
-    "auto": ("right", "left"),
-    "broadcast": ("right", "left"),
-    "merge": ("left", "right"),          # named the big sides
-    "merge_small": ("right", "left"),    # named the small sides
-    "shuffle_hash": ("right", "left"),
-    "shuffle_replicate_nl": ("right", "left"),
+    "auto": ("right", "right"),
+    "broadcast": ("right", "right"),
+    "merge": ("left", "left"),           # named the big sides
+    "merge_small": ("right", "right"),   # named the small sides
+    "shuffle_hash": ("right", "right"),
+    "shuffle_replicate_nl": ("right", "right"),
 }
 
 
@@ -69,11 +71,14 @@ def descent_counts(parts: Sequence[DataFrame], geocode: DataFrame,
     if zips is not None:
         geo = geo.join(F.broadcast(zips.select(F.col("zip_code").alias("__z")).distinct()),
                        F.col("zip_code") == F.col("__z"), "left_semi")
+    # geocode rows repeating a (position, ZIP5) multiply the join; count them
+    # instead, so a crowded position is one row on each side
+    geo = geo.groupBy("g_lat", "g_lon", "zip_code").agg(F.count(F.lit(1)).alias("g"))
     cond = (inc["LAT"] == geo["g_lat"]) & (inc["LON"] == geo["g_lon"])
     strat = "merge" if strategy == "merge_small" else strategy
     joined = strategy_join(inc, geo, cond, "inner", strat, hint_side)
     return (joined.groupBy("zip_code", q("Vict Descent"))
-            .agg(F.sum("n").alias("total_vict_descent_count")))
+            .agg(F.sum(F.col("n") * F.col("g")).alias("total_vict_descent_count")))
 
 
 def income_extremes(parts: Sequence[DataFrame], geocode: DataFrame, income: DataFrame,
@@ -140,10 +145,11 @@ def income_extremes_sql(spark: SparkSession, parts: Sequence[DataFrame], geocode
                        ORDER BY estimated_median_income_float ASC NULLS FIRST,
                                 `Zip Code`, Community, `Estimated Median Income` LIMIT {int(k)})"""
     geo = """
-        SELECT LAT, LON, substring(ZIPcode, 1, 5) AS zip_code
+        SELECT LAT, LON, substring(ZIPcode, 1, 5) AS zip_code, count(*) AS g
         FROM cp_w3_geocode
         WHERE ZIPcode IS NOT NULL
-          AND substring(ZIPcode, 1, 5) IN (SELECT `Zip Code` FROM top_and_last)"""
+          AND substring(ZIPcode, 1, 5) IN (SELECT `Zip Code` FROM top_and_last)
+        GROUP BY LAT, LON, substring(ZIPcode, 1, 5)"""
     hint1 = SQL_HINTS[strategy][0]
     if strategy in ("broadcast", "shuffle_replicate_nl"):
         hint1 = _guarded_geo_hint(
@@ -161,7 +167,7 @@ def income_extremes_sql(spark: SparkSession, parts: Sequence[DataFrame], geocode
     ), top_and_last AS ({top_and_last}
     ), geo AS ({geo}
     ), crime_data_per_zip AS (
-        SELECT {hint1} g.zip_code, p.`Vict Descent`, sum(p.n) AS total_vict_descent_count
+        SELECT {hint1} g.zip_code, p.`Vict Descent`, sum(p.n * g.g) AS total_vict_descent_count
         FROM by_position p JOIN geo g ON g.LAT = p.LAT AND g.LON = p.LON
         GROUP BY g.zip_code, p.`Vict Descent`
     )

@@ -218,3 +218,14 @@ def test_income_extremes_sql_hints(env, strategy):
               "shuffle_hash": "ShuffledHashJoin", "shuffle_replicate_nl": "CartesianProduct"}
     if strategy in expect:
         assert expect[strategy] in plan
+
+
+def test_replicate_nl_applies_to_the_top_bottom_join(env, spark):
+    t, _, _ = env
+    from citypulse.operators.joins import scoped_conf
+    with scoped_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        df = W3.income_extremes(t["parts"], t["geocode"], t["income"], "shuffle_replicate_nl")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    # both sides are small here, so both joins may replicate; at least the
+    # 6-row top/bottom join must
+    assert "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan
