@@ -48,8 +48,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: set it to a folder every executor can "
+                "reach (HDFS or object store) before running iterative plans")
+        # local mode only (tests, bench): one process, so a scratch folder is shared
         conf_dir = tempfile.mkdtemp(prefix="citypulse-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
