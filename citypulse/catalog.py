@@ -159,6 +159,17 @@ for _s, _key in (("broadcast", "broadcast"), ("merge", "merge"),
     QUERIES[f"own_dist_{_key}"] = _own_variant(_s)
 
 
+def _own_sql_variant(strategy):
+    return lambda spark, sf_dir: W4.report_sql(
+        spark, W4.own_station_rows_sql(spark, _parts(spark, sf_dir), _stations(spark, sf_dir), strategy),
+        "division")
+
+
+for _s, _key in (("broadcast", "broadcast"), ("merge", "merge"),
+                 ("shuffle_hash", "shuffle_hash"), ("shuffle_replicate_nl", "replicate_nl")):
+    QUERIES[f"own_dist_sql_{_key}"] = _own_sql_variant(_s)
+
+
 @register("nearest_by_year")
 def _nearest_by_year(spark, sf_dir):
     return W4.by_year(_nearest_rows(spark, sf_dir))

@@ -268,6 +268,7 @@ def _register_w4():
         SQL[f"nearest_by_{by}"] = _nearest_station(by)
     for s in ("broadcast", "merge", "shuffle_hash", "replicate_nl"):
         SQL[f"own_dist_{s}"] = SQL["own_dist_by_division"]
+        SQL[f"own_dist_sql_{s}"] = SQL["own_dist_by_division"]
 
 
 _register_w4()

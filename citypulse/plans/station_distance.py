@@ -117,3 +117,56 @@ def report_sql(spark: SparkSession, rows: DataFrame, by: str) -> DataFrame:
             SELECT DIVISION AS division, {avg} AS average_distance, CAST(sum(n) AS BIGINT) AS count
             FROM {view} GROUP BY DIVISION)
         SELECT * FROM queryB ORDER BY count DESC, division""")
+
+
+# SQL hint per strategy for the incidents-stations join, on the aliases of
+# the SQL form below (the reference names the stations side, or the
+# incidents side for the merge join).
+SQL_HINTS = {
+    "auto": "",
+    "broadcast": "/*+ BROADCAST(stations) */",
+    "merge": "/*+ MERGEJOIN(crimes) */",
+    "shuffle_hash": "/*+ SHUFFLE_HASH(stations) */",
+    "shuffle_replicate_nl": "/*+ SHUFFLE_REPLICATE_NL(stations) */",
+}
+
+
+def own_station_rows_sql(spark: SparkSession, parts: Sequence[DataFrame], stations: DataFrame,
+                         strategy: str = "auto", codes=FIREARM_CODES) -> DataFrame:
+    """W4a distance rows as one SQL text over temp views, with the
+    reference's SQL join hint (size-guarded: a broadcast or nested-loop
+    stations side over its bound becomes SHUFFLE_HASH)."""
+    from ..functions.geodesy import vincenty_steps, _batches
+    from ..operators.joins import DEFAULT_REPLICATE_MAX_ROWS, NL_MAX_ROWS, rows_at_most
+    from .top_months import register_parts
+
+    views = register_parts([trim_names(p) for p in parts], "cp_w4")
+    trim_names(stations).createOrReplaceTempView("cp_w4_stations")
+    hint = SQL_HINTS[strategy]
+    bound = {"broadcast": DEFAULT_REPLICATE_MAX_ROWS, "shuffle_replicate_nl": NL_MAX_ROWS}.get(strategy)
+    if bound is not None and not rows_at_most(spark.table("cp_w4_stations"), bound):
+        hint = SQL_HINTS["shuffle_hash"]
+    w = "try_cast(`Weapon Used Cd` AS INT)"
+    cond = f"{w} >= {codes[0]} AND {w} < {codes[1]} AND LAT != '{ZERO_TEXT}' AND LON != '{ZERO_TEXT}'"
+    union = "\n        UNION\n        ".join(f"SELECT * FROM {v} WHERE {cond}" for v in views)
+    chain, prev = [], "pairs"
+    for i, batch in enumerate(_batches(vincenty_steps("lat1", "lon1", "lat2", "lon2", "distance"))):
+        cols = ", ".join(f"{e} AS {c}" for c, e in batch)
+        chain.append(f"v{i} AS (SELECT *, {cols} FROM {prev})")
+        prev = f"v{i}"
+    return spark.sql(f"""
+    WITH combined_crime_data AS (
+        {union}
+    ), crimes AS (
+        SELECT AREA, year(try_to_timestamp(`DATE OCC`, '{L.INCIDENT_TS_FORMAT}')) AS year,
+               LAT, LON, count(*) AS n
+        FROM combined_crime_data
+        GROUP BY AREA, year, LAT, LON
+    ), pairs AS (
+        SELECT {hint} crimes.year, stations.DIVISION, crimes.n,
+               try_cast(crimes.LAT AS DOUBLE) AS lat1, try_cast(crimes.LON AS DOUBLE) AS lon1,
+               try_cast(stations.Y AS DOUBLE) AS lat2, try_cast(stations.X AS DOUBLE) AS lon2
+        FROM crimes JOIN cp_w4_stations AS stations ON stations.FID = crimes.AREA
+    ), {", ".join(chain)}
+    SELECT year, DIVISION, distance, n FROM {prev}
+    """)

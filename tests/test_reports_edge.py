@@ -229,3 +229,16 @@ def test_replicate_nl_applies_to_the_top_bottom_join(env, spark):
     # both sides are small here, so both joins may replicate; at least the
     # 6-row top/bottom join must
     assert "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan
+
+
+@pytest.mark.parametrize("strategy", list(W4.SQL_HINTS))
+def test_own_station_sql_hints(env, strategy):
+    t, con, base = env
+    spark = t["parts"][0].sparkSession
+    rows = W4.own_station_rows_sql(spark, t["parts"], t["stations"], strategy)
+    check(W4.report_sql(spark, rows, "division"), con, base, oracle.SQL["own_dist_by_division"])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    expect = {"broadcast": "BroadcastHashJoin", "merge": "SortMergeJoin",
+              "shuffle_hash": "ShuffledHashJoin", "shuffle_replicate_nl": "CartesianProduct"}
+    if strategy in expect:
+        assert expect[strategy] in plan
