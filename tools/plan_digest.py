@@ -44,8 +44,29 @@ def digest(plan: str) -> list[str]:
     return out
 
 
+def _show_checkpointed_plans():
+    """Iterative operators (the nearest-station search) do their work when a
+    level is checkpointed; print the plan of each checkpointed DataFrame."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    original = DataFrame.checkpoint
+
+    def checkpoint(self, eager=True):
+        out = original(self, eager)
+        print("### checkpointed step")
+        print("```")
+        print("\n".join(digest(self._jdf.queryExecution().executedPlan().toString())))
+        print("```")
+        return out
+
+    DataFrame.checkpoint = checkpoint
+
+
 def main():
     args = sys.argv[1:]
+    if "--steps" in args:
+        args.remove("--steps")
+        _show_checkpointed_plans()
     sf_dir = args[0] if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
     names = [a for a in args if not os.path.isdir(a)] or sorted(QUERIES)
     spark = local_session()
