@@ -25,10 +25,11 @@ def _memo(kind: str, build):
     the whole tables.
     """
     def get(spark: SparkSession, sf_dir: str):
-        key = (spark.sparkContext.applicationId, kind, sf_dir)
-        if key not in _DERIVED:
-            _DERIVED[key] = build(spark, sf_dir)
-        return _DERIVED[key]
+        key = (id(spark), spark.sparkContext.applicationId, kind, sf_dir)
+        hit = _DERIVED.get(key)
+        if hit is None or hit[0] is not spark:     # one entry per live session object
+            hit = _DERIVED[key] = (spark, build(spark, sf_dir))
+        return hit[1]
     return get
 
 
