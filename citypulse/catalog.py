@@ -9,8 +9,22 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+from pyspark.sql import types as TY
+
+from .functions import lenient as L
+from .functions.geodesy import with_geodesic_km
+from .functions.labels import decode
+from .operators.joins import NO_AUTO_BROADCAST, scoped_conf
+from .operators.nearest import nearest
+from .operators.rows import dedup_rows, ordered_limit, project, q, rename
+from .plans import day_parts as W2
+from .plans import income_extremes as W3
+from .plans import station_distance as W4
 from .plans import top_months as W1
+from .plans.incidents import combined, row_count, typed_ingest
+from .session import scratch_path
+from .sources import csv as CSV
 from .sources import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,7 +71,6 @@ def _top_months_sql(spark, sf_dir):
 
 
 # ------------------------------------------------------------- W2 day parts
-from .plans import day_parts as W2  # noqa: E402
 
 
 @register("day_parts_df")
@@ -81,8 +94,6 @@ def _sort_by_time_code(spark, sf_dir):
 
 
 # ------------------------------------------------------- W3 income extremes
-from .operators.joins import NO_AUTO_BROADCAST, scoped_conf  # noqa: E402
-from .plans import income_extremes as W3  # noqa: E402
 
 
 def _w3(spark, sf_dir, strategy):
@@ -128,8 +139,6 @@ def _join_scoped_threshold(spark, sf_dir):
 
 
 # ------------------------------------------------------ W4 station distance
-from .plans import station_distance as W4  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 
 def _own_rows(spark, sf_dir, strategy="auto"):
@@ -184,15 +193,6 @@ def _nearest_by_division(spark, sf_dir):
 # ------------------------------------------- single operators of the inventory
 # Each key isolates one operator of the reference over the same derived
 # tables; the end-to-end reports above combine them.
-from .functions import lenient as L  # noqa: E402
-from .functions.geodesy import with_geodesic_km  # noqa: E402
-from .functions.labels import decode  # noqa: E402
-from .operators.nearest import nearest  # noqa: E402
-from .operators.rows import dedup_rows, ordered_limit, project, q, rename  # noqa: E402
-from .plans.incidents import combined, row_count, typed_ingest  # noqa: E402
-from .session import scratch_path  # noqa: E402
-from .sources import csv as CSV  # noqa: E402
-from pyspark.sql import types as TY  # noqa: E402
 
 TEXT_COLUMNS = [c.strip() for c in T.INCIDENT_COLUMNS]
 
