@@ -30,8 +30,9 @@ STREET = "STREET"
 
 
 def day_parts_df(parts: Sequence[DataFrame], premise: str = STREET,
-                 labels=D.GREEKLISH, pad: bool = False) -> DataFrame:
-    street = combined(parts).filter(q("Premis Desc") == premise)
+                 labels=D.GREEKLISH, pad: bool = False,
+                 dedup_keys: Sequence[str] | None = None) -> DataFrame:
+    street = combined(parts, dedup_keys).filter(q("Premis Desc") == premise)
     labelled = street.select(D.by_text(q("TIME OCC"), labels, pad).alias("TIME_OF_THE_DAY"))
     counts = labelled.groupBy("TIME_OF_THE_DAY").agg(F.count(F.lit(1)).alias("count"))
     return counts.orderBy(F.col("count").desc(), F.col("TIME_OF_THE_DAY"))

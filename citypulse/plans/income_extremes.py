@@ -61,9 +61,9 @@ def top_and_last(income: DataFrame, community_like: str = COMMUNITY_LIKE, k: int
 
 def descent_counts(parts: Sequence[DataFrame], geocode: DataFrame,
                    zips: DataFrame | None = None, strategy: str = "auto",
-                   hint_side: str = "right") -> DataFrame:
+                   hint_side: str = "right", dedup_keys: Sequence[str] | None = None) -> DataFrame:
     """(zip_code, Vict Descent, total_vict_descent_count)."""
-    inc = (combined(parts).filter(q("Vict Descent").isNotNull())
+    inc = (combined(parts, dedup_keys).filter(q("Vict Descent").isNotNull())
            .groupBy(q("LAT"), q("LON"), q("Vict Descent")).agg(F.count(F.lit(1)).alias("n")))
     geo = (trim_names(geocode).filter(q("ZIPcode").isNotNull())
            .select(q("LAT").alias("g_lat"), q("LON").alias("g_lon"),
@@ -83,11 +83,12 @@ def descent_counts(parts: Sequence[DataFrame], geocode: DataFrame,
 
 def income_extremes(parts: Sequence[DataFrame], geocode: DataFrame, income: DataFrame,
                     strategy: str = "auto", community_like: str = COMMUNITY_LIKE,
-                    k: int = K, labels=DESCENT_LABELS) -> DataFrame:
+                    k: int = K, labels=DESCENT_LABELS,
+                    dedup_keys: Sequence[str] | None = None) -> DataFrame:
     side1, side2 = HINT_SIDES[strategy]
     t = top_and_last(income, community_like, k).select(q("Zip Code"))
     zips = t.select(q("Zip Code").alias("zip_code"))
-    cz = descent_counts(parts, geocode, zips, strategy, side1)
+    cz = descent_counts(parts, geocode, zips, strategy, side1, dedup_keys)
     strat = "merge" if strategy == "merge_small" else strategy
     # the top/bottom side is bounded by 2k rows: a replicated side is safe
     joined = strategy_join(cz, t, cz["zip_code"] == t["Zip Code"], "inner", strat, side2)

@@ -39,9 +39,12 @@ def firearm_filter(df: DataFrame, codes=FIREARM_CODES) -> DataFrame:
                      & (q("LAT") != ZERO_TEXT) & (q("LON") != ZERO_TEXT))
 
 
-def firearm_incidents(parts: Sequence[DataFrame], codes=FIREARM_CODES) -> DataFrame:
-    """Filter in every part, then UNION (distinct), as the reference does."""
-    return union_parts([firearm_filter(trim_names(p), codes) for p in parts]).distinct()
+def firearm_incidents(parts: Sequence[DataFrame], codes=FIREARM_CODES,
+                      dedup_keys: Sequence[str] | None = None) -> DataFrame:
+    """Filter in every part, then UNION (distinct), as the reference does;
+    ``dedup_keys`` dedupes on a record key instead of the full row."""
+    u = union_parts([firearm_filter(trim_names(p), codes) for p in parts])
+    return u.dropDuplicates(list(dedup_keys)) if dedup_keys else u.distinct()
 
 
 def _year() -> F.Column:
@@ -49,9 +52,10 @@ def _year() -> F.Column:
 
 
 def own_station_rows(parts: Sequence[DataFrame], stations: DataFrame,
-                     strategy: str = "auto", hint_side: str = "right") -> DataFrame:
+                     strategy: str = "auto", hint_side: str = "right",
+                     dedup_keys: Sequence[str] | None = None) -> DataFrame:
     """(year, DIVISION, distance_km, n) by the area's own station."""
-    inc = firearm_incidents(parts)
+    inc = firearm_incidents(parts, dedup_keys=dedup_keys)
     agg = inc.groupBy(q("AREA"), _year(), q("LAT"), q("LON")).agg(F.count(F.lit(1)).alias("n"))
     st = trim_names(stations).select(q("FID"), q("X"), q("Y"), q("DIVISION"))
     joined = strategy_join(agg, st, agg["AREA"] == st["FID"], "inner", strategy, hint_side)
@@ -64,13 +68,14 @@ def own_station_rows(parts: Sequence[DataFrame], stations: DataFrame,
 
 
 def nearest_station_rows(parts: Sequence[DataFrame], stations: DataFrame,
-                         station_order: F.Column | None = None) -> DataFrame:
+                         station_order: F.Column | None = None,
+                         dedup_keys: Sequence[str] | None = None) -> DataFrame:
     """(year, DIVISION, distance_km, n) by the nearest station.
 
     ``station_order`` decides ties (first wins); by default the reading
     order of the station table.
     """
-    inc = firearm_incidents(parts)
+    inc = firearm_incidents(parts, dedup_keys=dedup_keys)
     agg = (inc.groupBy(_year(), q("LAT"), q("LON")).agg(F.count(F.lit(1)).alias("n"))
            .checkpoint())
     points = agg.select(q("LAT"), q("LON")).distinct().select(
