@@ -10,18 +10,19 @@ best in-block station is closer than ``bound`` (minus a 1 m margin that
 covers rounding), it is the true nearest, and ties are settled among the
 block's stations by the station order (first wins, as in the reference).
 
-The base cell is near the typical station spacing, so nearly every point
-settles at level 0, where stations are replicated to their 27 neighbour
-cells and joined to the points' own cells (one shuffle equi-join; AQE
-splits a hot cell), then reduced by a partial + final ``min(struct)``.
-A point left over jumps to the cell size that must settle it: a cell
-larger than its best candidate's distance holds that candidate in the new
-block and bounds everything outside beyond it.  Points with no candidate
-grow 4x per round.  Beyond level 0 the few points left are the replicated
-side (broadcast when at most ``BROADCAST_POINTS``) and the stations are
-keyed once per level in play.  Once a cell exceeds the earth's diameter the
-block holds every station, so every point settles.  Every round is
-checkpointed to the shared checkpoint folder so no round replays lineage.
+The base cell is near the typical station spacing (1 m at least), so
+nearly every point settles in the first round.  A round replicates the
+smaller side to the 27 neighbour cells - the stations when points
+outnumber them, else the points (broadcast when at most
+``BROADCAST_POINTS``) - then equi-joins on the cell key (AQE splits a hot
+cell) and keeps ``min(struct(distance, order, payload))`` per point.  A
+point left over jumps to the cell size that must settle it: a cell larger
+than its best candidate's distance holds that candidate in the new block
+and bounds everything outside beyond it.  Points with no candidate grow 4x
+per round.  Once a cell exceeds the earth's diameter the block holds every
+station, so every point settles.  Every round is checkpointed to the shared
+checkpoint folder so no round replays lineage; only single numbers (counts,
+extents, the levels in play) reach the driver.
 
 Distances are Vincenty km (``citypulse.functions.geodesy``).
 """
@@ -41,7 +42,7 @@ from .joins import rows_at_most
 
 EARTH_SPAN_KM = 12_800.0      # larger than the earth's extent on any axis
 MARGIN_KM = 1e-3              # 1 m: covers Vincenty and ECEF rounding
-MIN_CELL_KM = 0.05
+MIN_CELL_KM = 0.001         # 1 m: dense station sets keep ~1 station per cell
 BROADCAST_POINTS = 100_000    # unsettled points replicated to every task beyond level 0
 _OFFSETS = list(itertools.product((-1, 0, 1), repeat=3))
 
@@ -118,33 +119,41 @@ def nearest(points: DataFrame, stations: DataFrame, key: Sequence[str],
         return best.withColumn(
             "__ok", (F.col("__lvl") >= top) | (F.col("__d") < F.col("__bound") - MARGIN_KM)).checkpoint()
 
+    need = F.ceil(F.log2((F.col("__d") + 2 * MARGIN_KM) / F.lit(cell)))
+
     def bound_at(lvl_size):
         faces = [F.least(F.col(f"__p{ax}") - (F.col(f"__c{ax}") - 1) * lvl_size,
                          (F.col(f"__c{ax}") + 2) * lvl_size - F.col(f"__p{ax}")) for ax in "xyz"]
         return F.least(*faces)
 
-    # level 0: many points, so the stations are replicated to their 27 neighbour cells
-    size0 = F.lit(cell)
-    s_cells = (sts.select("*", F.explode(offsets).alias("__o"))
-               .select("*", *[(F.floor(F.col(f"__s{ax}") / size0) + F.col(f"__o.{o}")).alias(f"__c{ax}")
-                              for ax, o in (("x", "a"), ("y", "b"), ("z", "c"))]).drop("__o"))
-    p_cells = (pts.filter(usable).withColumn("__lvl", F.lit(0))
-               .select("*", *[F.floor(F.col(f"__p{ax}") / size0).alias(f"__c{ax}") for ax in "xyz"]))
-    p_cells = p_cells.withColumn("__bound", bound_at(size0))
-    best = settle(p_cells.join(s_cells, ["__cx", "__cy", "__cz"]))
-    settled = [best.filter("__ok")]
-    # unsettled points: those with a candidate jump straight to a cell larger than
-    # that candidate's distance (which settles them); the others grow 4x
-    need = F.ceil(F.log2((F.col("__d") + 2 * MARGIN_KM) / F.lit(cell)))
-    remaining = (pts.filter(usable).join(best.select(*key), key, "left_anti")
-                 .withColumn("__lvl", F.lit(min(2, top)))
-                 .unionByName(best.filter(~F.col("__ok")).select(*key, "__d").join(pts, key)
-                              .withColumn("__lvl", F.least(F.lit(top), F.greatest(F.lit(1), need)))
-                              .drop("__d"),
-                              allowMissingColumns=True)).checkpoint()
+    n_points = pts.filter(usable).count()
+    settled = []
+    if n_points > n_stations:
+        # round 0 with more points than stations: replicate the stations to
+        # their 27 neighbour cells and join the points' own cells
+        size0 = F.lit(cell)
+        s_cells = (sts.select("*", F.explode(offsets).alias("__o"))
+                   .select("*", *[(F.floor(F.col(f"__s{ax}") / size0) + F.col(f"__o.{o}")).alias(f"__c{ax}")
+                                  for ax, o in (("x", "a"), ("y", "b"), ("z", "c"))]).drop("__o"))
+        p_cells = (pts.filter(usable).withColumn("__lvl", F.lit(0))
+                   .select("*", *[F.floor(F.col(f"__p{ax}") / size0).alias(f"__c{ax}") for ax in "xyz"]))
+        p_cells = p_cells.withColumn("__bound", bound_at(size0))
+        best = settle(p_cells.join(s_cells, ["__cx", "__cy", "__cz"]))
+        settled.append(best.filter("__ok"))
+        # unsettled points: those with a candidate jump straight to a cell larger
+        # than that candidate's distance (which settles them); the others grow 4x
+        remaining = (pts.filter(usable).join(best.select(*key), key, "left_anti")
+                     .withColumn("__lvl", F.lit(min(2, top)))
+                     .unionByName(best.filter(~F.col("__ok")).select(*key, "__d").join(pts, key)
+                                  .withColumn("__lvl", F.least(F.lit(top), F.greatest(F.lit(1), need)))
+                                  .drop("__d"),
+                                  allowMissingColumns=True)).checkpoint()
+    else:
+        # fewer points than stations: every round replicates the points instead
+        remaining = pts.filter(usable).withColumn("__lvl", F.lit(0))
     while not remaining.isEmpty():
         levels = [r[0] for r in remaining.select("__lvl").distinct().collect()]   # at most ~40 ints
-        # few points now: replicate the points to 27 cells, key stations once per level
+        # replicate the (fewer) points to 27 cells, key stations once per level in play
         lvl_size = size_of(F.col("__lvl"))
         p_cells = remaining.select("*", *[F.floor(F.col(f"__p{ax}") / lvl_size).alias(f"__k{ax}")
                                          for ax in "xyz"])
@@ -173,12 +182,13 @@ def nearest(points: DataFrame, stations: DataFrame, key: Sequence[str],
     settled = [b.select(*[F.col(k) for k in key], F.col("__d").alias(distance),
                         F.col("__sord").alias(s_order),
                         *[F.col(f"__pl_{p}").alias(p) for p in payload]) for b in settled]
-    found = settled[0]
-    for s in settled[1:]:
-        found = found.unionByName(s)
     # points without usable coordinates keep NULLs
+    types = {f.name: f.dataType for f in sts.schema.fields}
     missing = pts.filter(~usable).select(
         *[F.col(k) for k in key], F.lit(None).cast("double").alias(distance),
-        F.lit(None).cast(found.schema[s_order].dataType).alias(s_order),
-        *[F.lit(None).cast(found.schema[p].dataType).alias(p) for p in payload])
-    return found.unionByName(missing).select(*out_cols)
+        F.lit(None).cast(types["__sord"]).alias(s_order),
+        *[F.lit(None).cast(types[f"__pl_{p}"]).alias(p) for p in payload])
+    found = missing
+    for part in settled:
+        found = found.unionByName(part)
+    return found.select(*out_cols)

@@ -49,3 +49,15 @@ def test_null_points_and_no_stations(spark):
     assert got[1] == (None, None) and got[2][1] == 1
     none = _grid(spark, pts, [])
     assert none == {1: (None, None), 2: (None, None)}
+
+
+def test_more_stations_than_points_and_no_usable_points(spark):
+    rnd = random.Random(11)
+    sts = [(34 + rnd.random() * 0.2, -118.3 + rnd.random() * 0.2, i, f"s{i}") for i in range(200)]
+    pts = [(i, 34 + rnd.random() * 0.2, -118.3 + rnd.random() * 0.2) for i in range(15)]
+    pts.append((99, 10.0, 10.0))                 # far from every station
+    want = _brute(spark, pts, sts)
+    got = _grid(spark, pts, sts)
+    assert {k: v[1] for k, v in got.items()} == {k: v[1] for k, v in want.items()}
+    only_bad = _grid(spark, [(1, None, None)], sts)
+    assert only_bad == {1: (None, None)}
