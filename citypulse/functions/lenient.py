@@ -65,3 +65,11 @@ def parse_money(c: str | Column) -> Column:
     NULL instead of an error.
     """
     return to_float(F.substr(F.regexp_replace(_col(c), ",", ""), F.lit(2)))
+
+
+def number_key(c: str | Column, kind: str = "double") -> Column:
+    """Join key that makes equal numbers equal whatever their spelling
+    (``'34.10'`` = ``'34.1'``, ``'01'`` = ``'1'``); non-numeric text is kept
+    as is.  The reference joins on raw text; this is the opt-in alternative."""
+    x = _col(c)
+    return F.coalesce(x.try_cast(kind).cast("string"), x)

@@ -61,12 +61,18 @@ def top_and_last(income: DataFrame, community_like: str = COMMUNITY_LIKE, k: int
 
 def descent_counts(parts: Sequence[DataFrame], geocode: DataFrame,
                    zips: DataFrame | None = None, strategy: str = "auto",
-                   hint_side: str = "right", dedup_keys: Sequence[str] | None = None) -> DataFrame:
-    """(zip_code, Vict Descent, total_vict_descent_count)."""
+                   hint_side: str = "right", dedup_keys: Sequence[str] | None = None,
+                   normalize_keys: bool = False) -> DataFrame:
+    """(zip_code, Vict Descent, total_vict_descent_count).
+
+    ``normalize_keys`` joins positions as numbers (``34.10`` = ``34.1``)
+    instead of as text."""
+    key = (lambda c: L.number_key(q(c))) if normalize_keys else q
     inc = (combined(parts, dedup_keys).filter(q("Vict Descent").isNotNull())
-           .groupBy(q("LAT"), q("LON"), q("Vict Descent")).agg(F.count(F.lit(1)).alias("n")))
+           .groupBy(key("LAT").alias("LAT"), key("LON").alias("LON"), q("Vict Descent"))
+           .agg(F.count(F.lit(1)).alias("n")))
     geo = (trim_names(geocode).filter(q("ZIPcode").isNotNull())
-           .select(q("LAT").alias("g_lat"), q("LON").alias("g_lon"),
+           .select(key("LAT").alias("g_lat"), key("LON").alias("g_lon"),
                    L.zip_prefix(q("ZIPcode")).alias("zip_code")))
     if zips is not None:
         geo = geo.join(F.broadcast(zips.select(F.col("zip_code").alias("__z")).distinct()),
@@ -84,11 +90,12 @@ def descent_counts(parts: Sequence[DataFrame], geocode: DataFrame,
 def income_extremes(parts: Sequence[DataFrame], geocode: DataFrame, income: DataFrame,
                     strategy: str = "auto", community_like: str = COMMUNITY_LIKE,
                     k: int = K, labels=DESCENT_LABELS,
-                    dedup_keys: Sequence[str] | None = None) -> DataFrame:
+                    dedup_keys: Sequence[str] | None = None,
+                    normalize_keys: bool = False) -> DataFrame:
     side1, side2 = HINT_SIDES[strategy]
     t = top_and_last(income, community_like, k).select(q("Zip Code"))
     zips = t.select(q("Zip Code").alias("zip_code"))
-    cz = descent_counts(parts, geocode, zips, strategy, side1, dedup_keys)
+    cz = descent_counts(parts, geocode, zips, strategy, side1, dedup_keys, normalize_keys)
     strat = "merge" if strategy == "merge_small" else strategy
     # the top/bottom side is bounded by 2k rows: a replicated side is safe
     joined = strategy_join(cz, t, cz["zip_code"] == t["Zip Code"], "inner", strat, side2)

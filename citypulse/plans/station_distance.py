@@ -53,11 +53,16 @@ def _year() -> F.Column:
 
 def own_station_rows(parts: Sequence[DataFrame], stations: DataFrame,
                      strategy: str = "auto", hint_side: str = "right",
-                     dedup_keys: Sequence[str] | None = None) -> DataFrame:
-    """(year, DIVISION, distance_km, n) by the area's own station."""
+                     dedup_keys: Sequence[str] | None = None,
+                     normalize_keys: bool = False) -> DataFrame:
+    """(year, DIVISION, distance_km, n) by the area's own station.
+
+    ``normalize_keys`` matches area and station numbers as integers
+    (``'01'`` = ``'1'``) instead of as text."""
+    key = (lambda c: L.number_key(q(c), "bigint")) if normalize_keys else q
     inc = firearm_incidents(parts, dedup_keys=dedup_keys)
-    agg = inc.groupBy(q("AREA"), _year(), q("LAT"), q("LON")).agg(F.count(F.lit(1)).alias("n"))
-    st = trim_names(stations).select(q("FID"), q("X"), q("Y"), q("DIVISION"))
+    agg = inc.groupBy(key("AREA").alias("AREA"), _year(), q("LAT"), q("LON")).agg(F.count(F.lit(1)).alias("n"))
+    st = trim_names(stations).select(key("FID").alias("FID"), q("X"), q("Y"), q("DIVISION"))
     joined = strategy_join(agg, st, agg["AREA"] == st["FID"], "inner", strategy, hint_side)
     joined = joined.select(
         "year", "DIVISION", "n",

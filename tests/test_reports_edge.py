@@ -242,3 +242,16 @@ def test_own_station_sql_hints(env, strategy):
               "shuffle_hash": "ShuffledHashJoin", "shuffle_replicate_nl": "CartesianProduct"}
     if strategy in expect:
         assert expect[strategy] in plan
+
+
+def test_normalized_keys_match_differently_spelled_numbers(env):
+    t, _, _ = env
+    plain = W3.descent_counts(t["parts"], t["geocode"])
+    norm = W3.descent_counts(t["parts"], t["geocode"], normalize_keys=True)
+    total = lambda df: df.agg({"total_vict_descent_count": "sum"}).first()[0]
+    # incident 20 sits at '34.10','-118.30': as numbers it also meets the two
+    # geocode rows spelled '34.1','-118.3', and '34.1' incidents meet '34.10'
+    assert total(norm) > total(plain)
+    own_plain = W4.own_station_rows(t["parts"], t["stations"]).agg({"n": "sum"}).first()[0]
+    own_norm = W4.own_station_rows(t["parts"], t["stations"], normalize_keys=True).agg({"n": "sum"}).first()[0]
+    assert own_norm == own_plain + 1          # AREA '01' now finds FID '1'
