@@ -201,15 +201,16 @@ def _incidents(spark, sf_dir):
     return combined(_parts(spark, sf_dir))
 
 
-def _first_part_csv(spark, sf_dir) -> str:
-    """Part 1 written as header CSV to the shared scratch folder."""
-    path = scratch_path(spark, "incidents-part1-csv")
-    return CSV.write_header_csv(_parts(spark, sf_dir)[0], path)
+def _parts_as_csv(spark, sf_dir) -> list[str]:
+    """All four parts written as header CSV folders in the shared scratch
+    folder (the reference's input format); returns their paths."""
+    return [CSV.write_header_csv(p, scratch_path(spark, f"incidents-part{i}-csv"))
+            for i, p in enumerate(_parts(spark, sf_dir), 1)]
 
 
 @register("scan_csv_header")
 def _scan_csv_header(spark, sf_dir):
-    return CSV.read_header_csv(spark, _first_part_csv(spark, sf_dir))
+    return CSV.union_parts([CSV.read_header_csv(spark, p) for p in _parts_as_csv(spark, sf_dir)])
 
 
 TYPED_SCHEMA = TY.StructType([
@@ -229,7 +230,7 @@ TYPED_SCHEMA = TY.StructType([
 
 @register("scan_csv_typed")
 def _scan_csv_typed(spark, sf_dir):
-    return CSV.read_typed_csv(spark, _first_part_csv(spark, sf_dir), TYPED_SCHEMA)
+    return CSV.union_parts([CSV.read_typed_csv(spark, p, TYPED_SCHEMA) for p in _parts_as_csv(spark, sf_dir)])
 
 
 @register("union_parts")

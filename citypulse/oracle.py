@@ -289,8 +289,8 @@ def _typed_cols(ts: str = "TIMESTAMP") -> str:
 def _register_single():
     from .functions.labels import DESCENT_LABELS
     p = with_prelude
-    SQL["scan_csv_header"] = p("", f"SELECT {_TEXT} FROM cp_rows WHERE k % {T.N_PARTS} = 0")
-    SQL["scan_csv_typed"] = p("", f"SELECT {_typed_cols()} FROM cp_rows WHERE k % {T.N_PARTS} = 0"
+    SQL["scan_csv_header"] = p("", f"SELECT {_TEXT} FROM cp_all")
+    SQL["scan_csv_typed"] = p("", f"SELECT {_typed_cols()} FROM cp_all"
                               ).replace('"Weapon Used Cd", TRY_CAST("LAT"',
                                         'TRY_CAST("Weapon Used Cd" AS INTEGER) AS "Weapon Used Cd", TRY_CAST("LAT"')
     SQL["union_parts"] = p("", "SELECT * FROM cp_all")
