@@ -75,14 +75,18 @@ def nearest(points: DataFrame, stations: DataFrame, key: Sequence[str],
     ``points``: unique ``key`` columns plus double ``lat``/``lon`` degrees.
     ``stations``: double ``s_lat``/``s_lon``, a sortable ``s_order`` (first
     wins a tie) and ``payload`` columns.  Returns ``key + [distance, s_order,
-    *payload]``; points with no usable coordinates, or with no stations at
-    all, get NULLs.
+    *payload]``; points without finite coordinates, or with no stations at
+    all, get NULLs.  ``max_levels`` bounds the rounds (about
+    log2(earth / cell) are ever needed).
     """
     spark = points.sparkSession
     key = list(key)
     payload = list(payload)
     pts = points.select(*[F.col(k) for k in key], F.col(lat).alias("__plat"), F.col(lon).alias("__plon"))
-    usable = F.col("__plat").isNotNull() & F.col("__plon").isNotNull()
+    # finite degrees only: NaN/Infinity parse as doubles but have no cell
+    usable = (F.col("__plat").between(-90.0, 90.0) & F.col("__plon").between(-360.0, 360.0)
+              & ~F.isnan("__plat") & ~F.isnan("__plon"))
+    usable = F.coalesce(usable, F.lit(False))
     px, py, pz = ecef_km("__plat", "__plon")
     pts = pts.withColumns({"__px": px, "__py": py, "__pz": pz})
 
@@ -151,7 +155,9 @@ def nearest(points: DataFrame, stations: DataFrame, key: Sequence[str],
     else:
         # fewer points than stations: every round replicates the points instead
         remaining = pts.filter(usable).withColumn("__lvl", F.lit(0))
-    while not remaining.isEmpty():
+    rounds = 0
+    while rounds < max_levels and not remaining.isEmpty():
+        rounds += 1
         levels = [r[0] for r in remaining.select("__lvl").distinct().collect()]   # at most ~40 ints
         # replicate the (fewer) points to 27 cells, key stations once per level in play
         lvl_size = size_of(F.col("__lvl"))
@@ -188,6 +194,11 @@ def nearest(points: DataFrame, stations: DataFrame, key: Sequence[str],
         *[F.col(k) for k in key], F.lit(None).cast("double").alias(distance),
         F.lit(None).cast(types["__sord"]).alias(s_order),
         *[F.lit(None).cast(types[f"__pl_{p}"]).alias(p) for p in payload])
+    if rounds >= max_levels:      # cannot happen for finite points; never loop forever
+        missing = missing.unionByName(remaining.select(
+            *[F.col(k) for k in key], F.lit(None).cast("double").alias(distance),
+            F.lit(None).cast(types["__sord"]).alias(s_order),
+            *[F.lit(None).cast(types[f"__pl_{p}"]).alias(p) for p in payload]))
     found = missing
     for part in settled:
         found = found.unionByName(part)

@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from citypulse.functions import dayparts as D
 from citypulse.functions import lenient as L

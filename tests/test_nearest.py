@@ -61,3 +61,10 @@ def test_more_stations_than_points_and_no_usable_points(spark):
     assert {k: v[1] for k, v in got.items()} == {k: v[1] for k, v in want.items()}
     only_bad = _grid(spark, [(1, None, None)], sts)
     assert only_bad == {1: (None, None)}
+
+
+def test_non_finite_points_get_nulls(spark):
+    pts = [(1, float("nan"), -118.0), (2, float("inf"), -118.0), (3, 34.0, -118.0)]
+    sts = [(34.0, -118.01, 1, "a"), (34.5, -118.0, 2, "b")]
+    got = _grid(spark, pts, sts)
+    assert got[1] == (None, None) and got[2] == (None, None) and got[3][1] == 1
