@@ -10,8 +10,11 @@ best in-block station is closer than ``bound`` (minus a 1 m margin that
 covers rounding), it is the true nearest, and ties are settled among the
 block's stations by the station order (first wins, as in the reference).
 
-The base cell is near the typical station spacing (1 m at least), so
-nearly every point settles in the first round.  A round replicates the
+Stations at one exact position collapse to the first in order (they tie
+for every point).  The base cell starts near the average station spacing
+and shrinks until no cell holds more than ``MAX_PER_CELL`` stations (1 m at
+least), so nearly every point settles in the first round with few
+candidates.  A round replicates the
 smaller side to the 27 neighbour cells - the stations when points
 outnumber them, else the points (broadcast when at most
 ``BROADCAST_POINTS``) - then equi-joins on the cell key (AQE splits a hot
@@ -43,6 +46,7 @@ from .joins import rows_at_most
 EARTH_SPAN_KM = 12_800.0      # larger than the earth's extent on any axis
 MARGIN_KM = 1e-3              # 1 m: covers Vincenty and ECEF rounding
 MIN_CELL_KM = 0.001         # 1 m: dense station sets keep ~1 station per cell
+MAX_PER_CELL = 64            # distinct station positions per base cell
 BROADCAST_POINTS = 100_000    # unsettled points replicated to every task beyond level 0
 _OFFSETS = list(itertools.product((-1, 0, 1), repeat=3))
 
@@ -66,6 +70,19 @@ def _cell_size(stations: DataFrame) -> tuple[int, float]:
     return n, min(max(spacing, MIN_CELL_KM), EARTH_SPAN_KM)
 
 
+def _densest_cell(stations: DataFrame, cell: float, tries: int = 4) -> float:
+    """Shrink the cell until no cell holds more than ``MAX_PER_CELL`` stations
+    (one aggregate per try; one number reaches the driver).  Dense clusters
+    then keep few candidates per point; sparse regions only need more rounds."""
+    for _ in range(tries):
+        densest = (stations.groupBy(*[F.floor(F.col(f"__s{ax}") / cell) for ax in "xyz"])
+                   .count().agg(F.max("count")).first()[0]) or 0
+        if densest <= MAX_PER_CELL or cell <= MIN_CELL_KM:
+            break
+        cell = max(MIN_CELL_KM, cell / math.sqrt(densest / MAX_PER_CELL))   # stations lie on a surface
+    return cell
+
+
 def nearest(points: DataFrame, stations: DataFrame, key: Sequence[str],
             lat: str, lon: str, s_lat: str, s_lon: str, s_order: str,
             payload: Sequence[str], distance: str = "distance",
@@ -93,9 +110,17 @@ def nearest(points: DataFrame, stations: DataFrame, key: Sequence[str],
     sts = (stations.filter(F.col(s_lat).isNotNull() & F.col(s_lon).isNotNull())
            .select(F.col(s_lat).alias("__slat"), F.col(s_lon).alias("__slon"),
                    F.col(s_order).alias("__sord"), *[F.col(p).alias(f"__pl_{p}") for p in payload]))
+    # stations at one exact position are equally far from every point, so only
+    # the first in order can win: keep one row per position (a position holding
+    # a third of all stations becomes one row)
+    sts = (sts.groupBy("__slat", "__slon")
+           .agg(F.min(F.struct("__sord", *[f"__pl_{p}" for p in payload])).alias("__m"))
+           .select("__slat", "__slon", "__m.*"))
     sx, sy, sz = ecef_km("__slat", "__slon")
     sts = sts.withColumns({"__sx": sx, "__sy": sy, "__sz": sz})
 
+    checkpoint_dir(spark)
+    sts = sts.checkpoint()              # read by every round
     n_stations, cell = _cell_size(sts)
     out_cols = [*key, distance, s_order, *payload]
     if n_stations == 0:
@@ -105,8 +130,9 @@ def nearest(points: DataFrame, stations: DataFrame, key: Sequence[str],
                           *[F.lit(None).cast("string").alias(p) for p in payload])
     if base_cell_km:
         cell = float(base_cell_km)
+    else:
+        cell = _densest_cell(sts, cell)
 
-    checkpoint_dir(spark)
     pts = pts.checkpoint()              # the input is computed once
     offsets = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c"))
                         for a, b, c in _OFFSETS])

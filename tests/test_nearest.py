@@ -68,3 +68,23 @@ def test_non_finite_points_get_nulls(spark):
     sts = [(34.0, -118.01, 1, "a"), (34.5, -118.0, 2, "b")]
     got = _grid(spark, pts, sts)
     assert got[1] == (None, None) and got[2] == (None, None) and got[3][1] == 1
+
+
+def test_dense_cluster_shrinks_cell_and_stays_exact(spark):
+    from citypulse.operators import nearest as N
+    rnd = random.Random(5)
+    # 300 stations within ~100 m, 20 spread over ~50 km, 10 copies of one position
+    sts = [(34.0 + rnd.random() * 1e-3, -118.0 + rnd.random() * 1e-3, i, f"d{i}") for i in range(300)]
+    sts += [(33.8 + rnd.random() * 0.5, -118.3 + rnd.random() * 0.5, 300 + i, f"s{i}") for i in range(20)]
+    sts += [(33.9, -118.1, 400 + i, f"c{i}") for i in range(10)]
+    pts = [(i, 33.8 + rnd.random() * 0.5, -118.3 + rnd.random() * 0.5) for i in range(40)]
+    pts += [(100 + i, 34.0 + rnd.random() * 1e-3, -118.0 + rnd.random() * 1e-3) for i in range(10)]
+    pts.append((200, 33.9, -118.1))
+    want = _brute(spark, pts, sts)
+    got = _grid(spark, pts, sts)
+    assert {k: v[1] for k, v in got.items()} == {k: v[1] for k, v in want.items()}
+    assert got[200] == (0.0, 400)                          # first of the copies
+    s = spark.createDataFrame(sts, "a double, b double, seq long, name string")
+    x, y, z = N.ecef_km("a", "b")
+    s = s.select(x.alias("__sx"), y.alias("__sy"), z.alias("__sz"))
+    assert N._densest_cell(s, 5.0) < 0.5                  # the cluster forces small cells
