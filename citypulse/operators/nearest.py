@@ -41,7 +41,6 @@ from pyspark.sql import functions as F
 
 from ..functions.geodesy import ecef_km, with_geodesic_km
 from ..session import checkpoint_dir
-from .joins import rows_at_most
 
 EARTH_SPAN_KM = 12_800.0      # larger than the earth's extent on any axis
 MARGIN_KM = 1e-3              # 1 m: covers Vincenty and ECEF rounding
@@ -182,9 +181,15 @@ def nearest(points: DataFrame, stations: DataFrame, key: Sequence[str],
         # fewer points than stations: every round replicates the points instead
         remaining = pts.filter(usable).withColumn("__lvl", F.lit(0))
     rounds = 0
-    while rounds < max_levels and not remaining.isEmpty():
+    while rounds < max_levels:
+        # one small job per round: the levels in play (at most ~40) and how
+        # many points are left - which also decides whether to broadcast them
+        by_level = remaining.groupBy("__lvl").count().collect()
+        if not by_level:
+            break
         rounds += 1
-        levels = [r[0] for r in remaining.select("__lvl").distinct().collect()]   # at most ~40 ints
+        levels = [r[0] for r in by_level]
+        n_left = sum(r[1] for r in by_level)
         # replicate the (fewer) points to 27 cells, key stations once per level in play
         lvl_size = size_of(F.col("__lvl"))
         p_cells = remaining.select("*", *[F.floor(F.col(f"__p{ax}") / lvl_size).alias(f"__k{ax}")
@@ -196,7 +201,7 @@ def nearest(points: DataFrame, stations: DataFrame, key: Sequence[str],
                    .select(*[c for c in p_cells.columns if not c.startswith("__c")],
                            *[(F.col(f"__k{ax}") + F.col(f"__o.{o}")).alias(f"__c{ax}")
                              for ax, o in (("x", "a"), ("y", "b"), ("z", "c"))]))
-        if rows_at_most(remaining, BROADCAST_POINTS):
+        if n_left <= BROADCAST_POINTS:
             p_cells = F.broadcast(p_cells)
         s_lv = (sts.select("*", F.explode(F.array(*[F.lit(v) for v in levels])).alias("__lvl"))
                 .select("*", *[F.floor(F.col(f"__s{ax}") / size_of(F.col("__lvl"))).alias(f"__c{ax}")
