@@ -131,10 +131,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
 
         def windows():
             for batch in batches_in:
-                for part in common.by_bytes(batch, "text"):
-                    texts = [t or "" for t in part.column("text").to_pylist()]
-                    for doc_id, ids in zip(part.column("doc_id").to_pylist(), enc.encode(texts)):
-                        yield from packer.add(doc_id, ids + end)
+                for part in common.by_bytes(batch, "text", 8 << 20):
+                    each = enc.encode_each(part.column("text"))
+                    for doc_id, ids in zip(part.column("doc_id").to_pylist(), each):
+                        yield from packer.add(doc_id, ids.tobytes() + end)
             yield from packer.close()
 
         rows = []
@@ -146,5 +146,5 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
         if rows:
             yield common.batches(rows, PIECES)
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_of(text_col).alias("text"))
     return common.map_arrow(source, run, PIECES_DDL)

@@ -57,10 +57,10 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     def records(batches_in):
         enc = encoder(vocab)
         for batch in batches_in:
-            for part in common.by_bytes(batch, "text"):
+            for part in common.by_bytes(batch, "text", 8 << 20):
                 out = []
-                for key, ids in zip(part.column("key").to_pylist(), enc.encode(part.column("text").to_pylist())):
-                    ids = np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id))
+                for key, ids in zip(part.column("key").to_pylist(), enc.encode_each(part.column("text"))):
+                    ids = np.append(ids, np.uint32(end_id))
                     out.append(struct.pack(HEAD, key or 0, key is None, len(ids)) + ids.astype(kind).tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-TWO_BLANKS = re.compile(r"\s\s")
+#: two blank characters in a row (in RE2: Arrow's; then in Python's syntax, for the cut)
+TWO_BLANKS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]{2}"
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+#: a run of letters, a run of marks, or one line feed before a letter; all three end a token
+WORD_OR_MARKS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[!-&(-/:-@\[-`{-~]+|\n(?=[A-Za-zÀ-ÖØ-öø-ÿ])")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -17,39 +24,84 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _parts(piece: str) -> list[str]:
+    """The piece cut where the pre-tokeniser surely cuts, or whole."""
+    found = WORD_OR_MARKS.findall(piece)
+    return found if sum(map(len, found)) == len(piece) else [piece]
+
+
 class Encoder:
     """Encodes texts with the tokenizers library, remembering pieces.
 
     The vocabulary's pre-tokeniser always ends a token before a space that
     stands between two non-blank characters, so a text can be cut there and
-    each piece encoded by itself, with equal ids. Pieces repeat a lot, hence
-    the bounded memory of their ids (4 bytes an id, little-endian).
+    each piece encoded by itself, with equal ids. It also ends tokens where
+    letters meet other marks (apostrophes aside), so pieces with marks fall
+    into words and marks, which repeat more. The ids of up to ``most`` pieces
+    are remembered; each batch looks up its distinct pieces only.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        self.memory: dict[str, bytes] = {}  # ids as little-endian 32-bit integers
         self.most = most
 
-    def _learn(self, pieces: set[str], memory: dict[str, bytes], before: str) -> None:
-        new = list(pieces - memory.keys())
-        found = self.tokenizer.encode_batch([before + p for p in new], add_special_tokens=False)
-        for p, e in zip(new, found):
-            memory[p] = np.array(e.ids, dtype="<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.first) + len(self.later) > self.most:
-            self.first.clear()
-            self.later.clear()
-        cut = [t.split(" ") if not TWO_BLANKS.search(t) else LONE_SPACE.split(t) for t in texts]
-        self._learn({c[0] for c in cut}, self.first, "")
-        self._learn(set().union(*(c[1:] for c in cut)), self.later, " ")
-        later = self.later.__getitem__
-        return [b"".join((self.first[c[0]], *map(later, c[1:]))) for c in cut]
+    def _learn(self, strings: set[str]) -> None:
+        new = list(strings - self.memory.keys())
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.memory.update((p, array("I", e.ids).tobytes()) for p, e in zip(new, found))
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each of some distinct pieces."""
+        if len(self.memory) > self.most:
+            self.memory.clear()
+        new = [p for p in pieces if p not in self.memory]
+        broken = {p: b for p in new if not p[1:].isalpha() and len(b := _parts(p)) > 1}
+        self._learn({p for p in new if p not in broken}.union(*broken.values()))
+        known = self.memory.__getitem__
+        self.memory.update([(p, b"".join(map(known, b))) for p, b in broken.items()])
+        return [known(p) for p in pieces]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids one after another, number of ids of each text) of texts
+        without nulls."""
+        if not len(texts):
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        collecting = gc.isenabled()
+        gc.disable()  # the many short-lived strings hold no cycles
+        try:
+            odd = pc.match_substring_regex(texts, TWO_BLANKS)
+            if pc.any(odd).as_py():
+                cut = pa.array([LONE_SPACE.split(t) if o else t.split(" ")
+                                for t, o in zip(texts.to_pylist(), odd.to_pylist())])
+            else:
+                cut = pc.split_pattern(texts, " ")
+            at = cut.offsets.to_numpy().astype(np.int64)
+            later = cut.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
+            at = at - at[0]
+            first = cut.values.take(cut.offsets[:-1]).dictionary_encode()
+            places = later.indices.to_numpy().astype(np.int64)
+            places[at[:-1]] = first.indices.to_numpy().astype(np.int64) + len(later.dictionary)
+            ids = self._ids([f" {p}" for p in later.dictionary.to_pylist()] + first.dictionary.to_pylist())
+        finally:
+            if collecting:
+                gc.enable()
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begin = np.cumsum(size) - size
+        lengths = size[places]
+        ends = np.cumsum(lengths)
+        spread = np.arange(ends[-1]) + np.repeat(begin[places] - (ends - lengths), lengths)
+        per_text = np.add.reduceat(lengths, at[:-1])
+        return flat[spread], per_text
+
+    def encode_each(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text."""
+        ids, counts = self.encode(texts)
+        return np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else []
 
 
 def encoder(path: str) -> Encoder:
