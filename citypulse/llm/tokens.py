@@ -6,6 +6,7 @@ import gc
 import os
 import re
 from array import array
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,29 +42,40 @@ class Encoder:
     are remembered; each batch looks up its distinct pieces only.
     """
 
-    def __init__(self, path: str, most: int = 900_000):
+    def __init__(self, path: str, most: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.memory: dict[str, bytes] = {}  # ids as little-endian 32-bit integers
+        # ids as little-endian 32-bit integers: of pieces after a space, and of parts inside pieces
+        self.memory: dict[str, bytes] = {}
+        self.inner: dict[str, bytes] = {}
         self.most = most
 
-    def _learn(self, strings: set[str]) -> None:
-        new = list(strings - self.memory.keys())
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.memory.update((p, array("I", e.ids).tobytes()) for p, e in zip(new, found))
+    def _encode(self, strings: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each of some distinct pieces."""
-        if len(self.memory) > self.most:
-            self.memory.clear()
-        new = [p for p in pieces if p not in self.memory]
-        broken = {p: b for p in new if not p[1:].isalpha() and len(b := _parts(p)) > 1}
-        self._learn({p for p in new if p not in broken}.union(*broken.values()))
-        known = self.memory.__getitem__
-        self.memory.update([(p, b"".join(map(known, b))) for p, b in broken.items()])
-        return [known(p) for p in pieces]
+        """Ids of each of some distinct pieces, as they are after a space."""
+        if len(self.memory) > self.most:  # the first ones met are the frequent ones
+            self.memory = dict(islice(self.memory.items(), self.most // 2))
+        ids = list(map(self.memory.get, pieces))
+        new = [p for p, i in zip(pieces, ids) if i is None]
+        if new:
+            # a piece with marks falls into a word, which is a piece itself, and other parts
+            broken = {p: b for p in new if not p.isalpha() and len(b := _parts(" " + p)) > 1}
+            words = {p for p in new if p not in broken} | {b[0][1:] for b in broken.values()}
+            words = list(words - self.memory.keys())
+            self.memory.update(zip(words, self._encode([" " + w for w in words])))
+            rest = list({x for b in broken.values() for x in b[1:]} - self.inner.keys())
+            self.inner.update(zip(rest, self._encode(rest)))
+            for p, b in broken.items():
+                self.memory[p] = b"".join((self.memory[b[0][1:]], *map(self.inner.__getitem__, b[1:])))
+            if len(self.inner) > self.most // 4:
+                self.inner.clear()
+            ids = [self.memory[p] if i is None else i for p, i in zip(pieces, ids)]
+        return ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids one after another, number of ids of each text) of texts
@@ -85,7 +97,7 @@ class Encoder:
             first = cut.values.take(cut.offsets[:-1]).dictionary_encode()
             places = later.indices.to_numpy().astype(np.int64)
             places[at[:-1]] = first.indices.to_numpy().astype(np.int64) + len(later.dictionary)
-            ids = self._ids([f" {p}" for p in later.dictionary.to_pylist()] + first.dictionary.to_pylist())
+            ids = self._ids(later.dictionary.to_pylist()) + self._encode(first.dictionary.to_pylist())
         finally:
             if collecting:
                 gc.enable()
@@ -94,9 +106,9 @@ class Encoder:
         begin = np.cumsum(size) - size
         lengths = size[places]
         ends = np.cumsum(lengths)
-        spread = np.arange(ends[-1]) + np.repeat(begin[places] - (ends - lengths), lengths)
-        per_text = np.add.reduceat(lengths, at[:-1])
-        return flat[spread], per_text
+        spread = np.repeat((begin[places] - (ends - lengths)).astype(np.int32), lengths)
+        spread += np.arange(len(spread), dtype=np.int32)
+        return flat[spread], np.add.reduceat(lengths, at[:-1])
 
     def encode_each(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text."""
