@@ -5,11 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citypulse.llm import chat, packing, rules, token_files, warc
+from citypulse.llm import chat, decontaminate, packing, rules, token_files, warc
 from citypulse.llm.common import table, written
 from citypulse.session import scratch_path
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.matched(docs, table(spark, sf_dir, "benchmark"))
+    items = F.col("match.items")
+    return found.select(
+        "doc_id", "match.n_words", "match.n_hit", F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.encode(F.concat_ws(",", items), "UTF-8"), 256).alias("items_sha256"),
+        (F.col("match.n_hit") > 0).alias("contaminated"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
@@ -56,6 +66,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op3_warc": op3_warc,
     "op5_token_files": op5_token_files,
     "op7_chat": op7_chat,
