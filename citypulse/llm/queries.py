@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citypulse.llm import chat, decontaminate, packing, rules, token_files, warc
+from citypulse.llm import chat, decontaminate, ngram_join, packing, rules, token_files, warc
 from citypulse.llm.common import table, written
 from citypulse.session import scratch_path
 
@@ -27,6 +27,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = scratch_path(spark, "token-shards")
@@ -68,6 +72,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op3_warc": op3_warc,
+    "op4_ngram_join": op4_ngram_join,
     "op5_token_files": op5_token_files,
     "op7_chat": op7_chat,
     "op8_rules": op8_rules,
