@@ -3,6 +3,7 @@ written to the shared folder, and byte-level views of text columns."""
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterator
 
@@ -57,6 +58,13 @@ def dropped(df: DataFrame) -> None:
         jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now: it does so
+    when the driver's objects for them are collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def own_column(df: DataFrame, name: str) -> str:
     """A column name that does not clash with those of ``df`` (which Spark
     compares without regard to case)."""

@@ -10,13 +10,17 @@ and flip one bit of their group (a parity sketch: the Hamming distance of two
 sketches is at most D). As D <= d < m, at least m - d groups of two linked
 documents are equal, so documents that share no (band, group, bits) key cannot
 be linked (pigeonhole). A document writes keys for its own band and the next.
-Up to m - d - 1 groups with at most two bits set say little and are skipped,
-all or none; one equal group always remains.
-
-Keys that occur once are dropped in packed form. For each other key its
-members are compared with the most central member (the one whose keys are
-shared most); then, only where a key's members are not yet all in one
-component, with the members of the other components. Candidates pass a
+A document need not write all keys. Order group contents by weight (0, 1, 2 bits
+set), then all heavier ones by how many documents have the key, most first. If
+each document leaves out a first part, by this order, of at most m - d - 1
+groups, one equal group remains in both: the one that leaves out more leaves
+out less than the m - d equal ones. So empty groups and those that hold only a
+passage common to many documents cost nothing.
+
+Keys that occur once are dropped in packed form. Members of each remaining key
+are first compared with its most central member (the one whose keys are
+shared most); then, only where a key's members are not all in one component
+yet, across components, until nothing new is found. Candidates pass a
 2048-bit parity sketch and are verified on the texts' own n-grams.
 """
 
@@ -26,8 +30,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citypulse.llm import common
@@ -44,7 +49,7 @@ def schemes(percent: int, largest: int) -> list[tuple[int, int, int, int]]:
     while low <= largest or len(found) < 2 or found[-2][1] < largest:
         high = max(low, 100 * low // percent)
         d = 2 * (100 - percent) * high // (100 + percent)
-        found.append((low, high, d + 1 + (d + 7) // 8, d))
+        found.append((low, high, d + 1 + (2 * d + 4) // 5, d))
         low = high + 1
     return found
 
@@ -66,8 +71,9 @@ def ngram_sets(part: pa.Array, n: int) -> list[np.ndarray]:
     return found
 
 
-def group_keys(grams: np.ndarray, band: int, m: int, d: int) -> np.ndarray:
-    """The keys of a set's sketch in a band."""
+def group_keys(grams: np.ndarray, band: int, m: int, d: int) -> tuple[np.ndarray, int]:
+    """(the keys of a set's sketch in a band but for the lightest groups, how
+    many more may be left out)."""
     h = common.mixed(grams + U64(0x9E3779B97F4A7C15 * (band + 1) % (1 << 64)))
     group = (h >> U64(8)) % U64(m)
     flips, times = np.unique(group * U64(256) + (h & U64(255)), return_counts=True)
@@ -78,9 +84,13 @@ def group_keys(grams: np.ndarray, band: int, m: int, d: int) -> np.ndarray:
     if len(odd):
         held = np.flatnonzero(weight)
         sums[held] = np.add.reduceat(BITS[(odd & U64(255)).astype(np.int64)], np.cumsum(weight)[held] - weight[held])
-    keys = common.mixed(sums ^ common.mixed(U64(band) * U64(1 << 32) + np.arange(m, dtype=U64)))
-    light = weight <= 2
-    return keys[~light] if light.sum() <= m - d - 1 else keys
+    keys = common.mixed(sums ^ common.mixed(U64(band << 32) + np.arange(m, dtype=U64)))
+    spare = m - d - 1
+    for light in (2, 1, 0):
+        out = weight <= light
+        if out.sum() <= spare:
+            return keys[~out], int(spare - out.sum()) if light == 2 else 0
+    return keys, 0
 
 
 def filter_sketch(grams: np.ndarray) -> bytes:
@@ -89,48 +99,46 @@ def filter_sketch(grams: np.ndarray) -> bytes:
 
 
 def shared_keys(docs: DataFrame, n: int, percent: int, block_keys: int = 1 << 20) -> DataFrame:
-    """(key, doc) for every key that two or more documents have.
+    """(key, doc, code) for every key that two or more documents have; code is
+    the band times 2^16 plus the number of keys the document may leave out.
 
     A task packs its keys in blocks. Of a key met more than once in a block,
     one row goes to the key's part and all are known to be shared; so a part
     gets a key at most once per block, however hot it is. Parts are as many as
     shuffle partitions."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed_type = pa.schema([("part", pa.int32()), ("state", pa.int8()), ("keys", pa.binary()),
+                             ("docs", pa.binary()), ("codes", pa.binary())])
 
     def emit(batches_in):
         bands = schemes(percent, 1 << 20)
         tops = np.array([b[1] for b in bands])
-        task = TaskContext.get().partitionId()
-        keys, ids, held, salt = [], [], 0, task * 7919
+        keys, ids, codes, held = [], [], [], 0
+        salt = TaskContext.get().partitionId() * 7919
 
         def flush():
-            nonlocal keys, ids, held, salt
+            nonlocal keys, ids, codes, held, salt
             if not keys:
                 return
-            key, doc = np.concatenate(keys), np.concatenate(ids)
-            keys, ids, held = [], [], 0
+            key, doc, code = np.concatenate(keys), np.concatenate(ids), np.concatenate(codes)
+            keys, ids, codes, held = [], [], [], 0
             order = np.lexsort((doc, key))
-            key, doc = key[order], doc[order]
-            again = (key[1:] == key[:-1]) & (doc[1:] != doc[:-1])
-            first = np.concatenate(([True], key[1:] != key[:-1]))
-            local = np.concatenate((again, [False])) | np.concatenate(([False], again))
-            for at in range(0, int(local.sum()), 1 << 18):
-                chosen = np.flatnonzero(local)[at:at + (1 << 18)]
+            key, doc, code = key[order], doc[order], code[order]
+            fresh = np.concatenate(([True], key[1:] != key[:-1]))
+            number = np.cumsum(fresh) - 1
+            first = np.flatnonzero(fresh)
+            last = np.append(first[1:], len(key)) - 1
+            several = doc[first] != doc[last]  # keys of two documents of this block
+            packs = lambda own: (key[own].tobytes(), doc[own].tobytes(), code[own].tobytes())
+            local = np.flatnonzero(several[number])
+            for at in range(0, len(local), 1 << 18):
                 salt += 1
-                yield salt % parts, True, key[chosen].tobytes(), doc[chosen].tobytes()
-            key, doc = key[first], doc[first]
-            part = (key % U64(parts)).astype(np.int64)
+                yield salt % parts, 2, *packs(local[at:at + (1 << 18)])
+            part = (key[first] % U64(parts)).astype(np.int64) * 2 + several
             order = np.argsort(part, kind="stable")
-            edge = np.searchsorted(part[order], np.arange(parts + 1))
+            edge = np.searchsorted(part[order], np.arange(2 * parts + 1))
             for p in np.flatnonzero(np.diff(edge)).tolist():
-                own = order[edge[p]:edge[p + 1]]
-                yield p, False, key[own].tobytes(), doc[own].tobytes()
-
-        def packed(rows):
-            rows = list(rows)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.bool_(), pa.binary(), pa.binary()))],
-                names=["part", "shared", "keys", "docs"])
+                yield p // 2, p % 2, *packs(first[order[edge[p]:edge[p + 1]]])
 
         for batch in batches_in:
             for piece in common.by_bytes(batch, "text"):
@@ -142,31 +150,49 @@ def shared_keys(docs: DataFrame, n: int, percent: int, block_keys: int = 1 << 20
                         tops = np.array([b[1] for b in bands])
                     home = int(np.searchsorted(tops, len(grams)))
                     for j in (home, home + 1):
-                        keys.append(group_keys(grams, j, *bands[j][2:]))
-                        ids.append(np.full(len(keys[-1]), doc, np.int64))
-                        held += len(keys[-1])
+                        own, spare = group_keys(grams, j, *bands[j][2:])
+                        keys.append(own)
+                        ids.append(np.full(len(own), doc, np.int64))
+                        codes.append(np.full(len(own), (j << 16) + min(spare, 65535), np.int32))
+                        held += len(own)
                     if held >= block_keys:
-                        yield packed(flush())
-        yield packed(flush())
+                        yield common.batches(list(flush()), packed_type)
+        yield common.batches(list(flush()), packed_type)
 
     def shared(table: pa.Table) -> pa.Table:
-        keys, docs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for flag in (True, False):
-            own = table.filter(pa.compute.equal(table["shared"], flag))
-            k = np.frombuffer(b"".join(own["keys"].to_pylist()), np.int64)
-            d = np.frombuffer(b"".join(own["docs"].to_pylist()), np.int64)
-            if not flag:
-                order = np.argsort(k, kind="stable")
-                k, d = k[order], d[order]
-                same = np.concatenate(([False], k[1:] == k[:-1], [False]))
-                met = same[1:] | same[:-1]
-                k, d = k[met], d[met]
-            keys.append(k)
-            docs.append(d)
-        return pa.table({"key": np.concatenate(keys), "doc": np.concatenate(docs)})
-
-    rows = common.map_arrow(docs, emit, "part int, shared boolean, keys binary, docs binary")
-    return rows.groupBy("part").applyInArrow(shared, "key long, doc long")
+        def of(own: pa.Table, name: str, kind) -> np.ndarray:
+            return np.frombuffer(b"".join(own[name].to_pylist()), kind)
+
+        # state 0: a block's only document with the key; 1: one of several, all known; 2: those
+        known = table.filter(pc.equal(table["state"], 2))
+        alone = [table.filter(pc.equal(table["state"], s)) for s in (0, 1)]
+        key, doc, code = (np.concatenate([of(t, c, k) for t in alone]) for c, k in
+                          (("keys", np.int64), ("docs", np.int64), ("codes", np.int32)))
+        listed = np.arange(len(key)) >= len(of(alone[0], "keys", np.int64))
+        order = np.argsort(key, kind="stable")
+        same = np.concatenate(([False], key[order][1:] == key[order][:-1], [False]))
+        met = order[(same[1:] | same[:-1]) & ~listed[order]]
+        return pa.table({"key": np.concatenate((of(known, "keys", np.int64), key[met])),
+                         "doc": np.concatenate((of(known, "docs", np.int64), doc[met])),
+                         "code": np.concatenate((of(known, "codes", np.int32), code[met]))})
+
+    rows = common.map_arrow(docs, emit, "part int, state byte, keys binary, docs binary, codes binary")
+    return rows.groupBy("part").applyInArrow(shared, "key long, doc long, code int")
+
+
+def telling_keys(shared: DataFrame, top: int = 4) -> DataFrame:
+    """(key, doc, weight, top): the shared keys but for those that each
+    document may leave out, the most frequent ones. weight: how often the
+    document's keys of the band are shared; top: whether the key is among its
+    few most frequent ones that are left."""
+    sizes = shared.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    own = Window.partitionBy("doc", "code")
+    spare = F.col("code").bitwiseAND(65535)
+    return (shared.join(sizes, "key").where("members > 1")
+            .withColumn("place", F.row_number().over(own.orderBy(F.desc("members"), "key")))
+            .withColumn("weight", F.sum("members").over(own))
+            .where(F.col("place") > spare)
+            .select("key", "doc", "weight", (F.col("place") <= spare + top).alias("top")))
 
 
 def _whole_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -234,30 +260,36 @@ def near_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
     Rows with one id are one document, linked by any of its texts. Further
     columns are not read.
     """
+    spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc"), common.text_of(text_col).alias("text")).where("doc IS NOT NULL")
-    shared = common.written(shared_keys(source, n, percent).distinct(), "shared-keys")
-    sets = common.written(_whole_sets(source.join(shared.select("doc").distinct(), "doc", "left_semi"), n), "near-sets")
+    every = common.written(shared_keys(source, n, percent), "shared-keys")
+    common.release(spark)
+    keys = common.written(telling_keys(every), "telling-keys")
+    common.dropped(every)
+    sets = common.written(_whole_sets(source.join(keys.select("doc").distinct(), "doc", "left_semi"), n), "near-sets")
+    common.release(spark)
 
-    sizes = shared.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    central = shared.join(sizes, "key").groupBy("doc").agg(F.sum("members").alias("weight"))
-    hubs = common.written(shared.join(central, "doc").groupBy("key").agg(
-        F.max(F.struct("weight", (-F.col("doc")).alias("minus"))).alias("top")).select("key", (-F.col("top.minus")).alias("hub")), "hubs")
     ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    tried = common.written(shared.join(hubs, "key").where("doc <> hub").select(*ordered("doc", "hub")).distinct(), "tried")
+    hubs = keys.where("top").groupBy("key").agg(
+        F.max(F.struct("weight", (-F.col("doc")).alias("minus"))).alias("best")).select("key", (-F.col("best.minus")).alias("hub"))
+    tried = common.written(keys.where("top").join(hubs, "key").where("doc <> hub")
+                           .select(*ordered("doc", "hub")).distinct(), "tried")
     links = common.written(verified(tried, sets, n, percent), "links")
     while True:
         labels = components(links)
-        # keys whose members are in several components
-        mine = shared.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
+        mine = keys.select("key", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
             "key", "doc", F.coalesce("label", "doc").alias("label"))
-        split = mine.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-        open_keys = mine.join(split, "key")
-        of_hub = hubs.join(labels.withColumnRenamed("node", "hub"), "hub", "left").select("key", F.coalesce("label", "hub").alias("main"))
-        apart = open_keys.join(of_hub, "key").where("label <> main").select("key", F.col("doc").alias("x"), F.col("label").alias("lx"))
-        pairs = (apart.join(open_keys, "key").where("label <> lx").select(*ordered("x", "doc")).distinct()
+        split = (mine.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+                 .where("low <> high").select("key"))
+        apart = common.written(mine.join(split, "key"), "apart")
+        common.release(spark)
+        other = apart.select("key", F.col("doc").alias("other"), F.col("label").alias("label_2"))
+        pairs = (apart.join(other, "key").where("label < label_2").select(*ordered("doc", "other")).distinct()
                  .join(tried, ["a", "b"], "left_anti"))
         pairs = common.written(pairs, "tried")
         found = common.written(verified(pairs, sets, n, percent), "links")
+        common.dropped(apart)
+        common.release(spark)
         if not found.take(1):
             return labels.select(F.col("node").alias("doc"), "label")
         tried, links = tried.union(pairs), links.union(found)
