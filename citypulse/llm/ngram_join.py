@@ -5,17 +5,16 @@ when 100 * |A and B| >= percent * |A or B|, which bounds the symmetric
 difference D: with sizes a, b, D <= (100 - percent) * (a + b) / (100 + percent).
 
 Sizes fall into bands such that linked documents are in one band or in
-neighbours. For each band, n-grams are dealt by hash to m groups of 256 bits
-and flip one bit of their group (a parity sketch: the Hamming distance of two
+neighbours. For each band, n-grams are dealt by hash to m groups of 65,536 bits
+and flip one bit of their group (a parity sketch, kept as its few set bits: the Hamming distance of two
 sketches is at most D). As D <= d < m, at least m - d groups of two linked
 documents are equal, so documents that share no (band, group, bits) key cannot
 be linked (pigeonhole). A document writes keys for its own band and the next.
-A document need not write all keys. Order group contents by weight (0, 1, 2 bits
-set), then all heavier ones by how many documents have the key, most first. If
-each document leaves out a first part, by this order, of at most m - d - 1
-groups, one equal group remains in both: the one that leaves out more leaves
-out less than the m - d equal ones. So empty groups and those that hold only a
-passage common to many documents cost nothing.
+A document need not use all keys. Order group contents by how many documents
+have the key, most first. If each document leaves out a first part, by this
+order, of at most m - d - 1 groups, one equal group remains in both: the one
+that leaves out more leaves out less than the m - d equal ones. So empty groups
+and those that hold only a passage common to many documents cost nothing.
 
 Keys that occur once are dropped in packed form. Members of each remaining key
 are first compared with its most central member (the one whose keys are
@@ -39,7 +38,8 @@ from citypulse.llm import common
 from citypulse.llm.components import components
 
 U64 = np.uint64
-BITS = common.mixed(np.arange(1, 257, dtype=U64) * U64(0xA24BAED4963EE407))
+GROUP_BITS = 1 << 16
+BITS = common.mixed(np.arange(1, GROUP_BITS + 1, dtype=U64) * U64(0xA24BAED4963EE407))
 FILTER_BITS = 2048
 
 
@@ -49,7 +49,7 @@ def schemes(percent: int, largest: int) -> list[tuple[int, int, int, int]]:
     while low <= largest or len(found) < 2 or found[-2][1] < largest:
         high = max(low, 100 * low // percent)
         d = 2 * (100 - percent) * high // (100 + percent)
-        found.append((low, high, d + 1 + (2 * d + 4) // 5, d))
+        found.append((low, high, d + 2 + (3 * d + 9) // 10, d))
         low = high + 1
     return found
 
@@ -72,25 +72,21 @@ def ngram_sets(part: pa.Array, n: int) -> list[np.ndarray]:
 
 
 def group_keys(grams: np.ndarray, band: int, m: int, d: int) -> tuple[np.ndarray, int]:
-    """(the keys of a set's sketch in a band but for the lightest groups, how
-    many more may be left out)."""
+    """(the keys of a set's sketch in a band but for empty groups, how many
+    more may be left out)."""
     h = common.mixed(grams + U64(0x9E3779B97F4A7C15 * (band + 1) % (1 << 64)))
-    group = (h >> U64(8)) % U64(m)
-    flips, times = np.unique(group * U64(256) + (h & U64(255)), return_counts=True)
+    group = (h >> U64(32)) % U64(m)
+    flips, times = np.unique(group * U64(GROUP_BITS) + (h & U64(GROUP_BITS - 1)), return_counts=True)
     odd = flips[times & 1 == 1]
-    group = (odd >> U64(8)).astype(np.int64)
+    group = (odd // U64(GROUP_BITS)).astype(np.int64)
     sums = np.zeros(m, U64)
     weight = np.bincount(group, minlength=m)
+    held = np.flatnonzero(weight)
     if len(odd):
-        held = np.flatnonzero(weight)
-        sums[held] = np.add.reduceat(BITS[(odd & U64(255)).astype(np.int64)], np.cumsum(weight)[held] - weight[held])
+        sums[held] = np.add.reduceat(BITS[(odd % U64(GROUP_BITS)).astype(np.int64)], np.cumsum(weight)[held] - weight[held])
     keys = common.mixed(sums ^ common.mixed(U64(band << 32) + np.arange(m, dtype=U64)))
-    spare = m - d - 1
-    for light in (2, 1, 0):
-        out = weight <= light
-        if out.sum() <= spare:
-            return keys[~out], int(spare - out.sum()) if light == 2 else 0
-    return keys, 0
+    spare = m - d - 1 - (m - len(held))
+    return (keys[held], spare) if spare >= 0 else (keys, 0)
 
 
 def filter_sketch(grams: np.ndarray) -> bytes:
@@ -101,6 +97,7 @@ def filter_sketch(grams: np.ndarray) -> bytes:
 def shared_keys(docs: DataFrame, n: int, percent: int, block_keys: int = 1 << 20) -> DataFrame:
     """(key, doc, code) for every key that two or more documents have; code is
     the band times 2^16 plus the number of keys the document may leave out.
+    Besides a row per document with a null key, and its set's size as code.
 
     A task packs its keys in blocks. Of a key met more than once in a block,
     one row goes to the key's part and all are known to be shared; so a part
@@ -142,7 +139,11 @@ def shared_keys(docs: DataFrame, n: int, percent: int, block_keys: int = 1 << 20
 
         for batch in batches_in:
             for piece in common.by_bytes(batch, "text"):
-                for doc, grams in zip(piece.column("doc").to_pylist(), ngram_sets(piece.column("text"), n)):
+                sets = ngram_sets(piece.column("text"), n)
+                salt += 1
+                yield common.batches([(salt % parts, 3, b"", piece.column("doc").to_numpy().tobytes(),
+                                       np.array([len(g) for g in sets], np.int32).tobytes())], packed_type)
+                for doc, grams in zip(piece.column("doc").to_pylist(), sets):
                     if not len(grams):
                         continue
                     while bands[-2][1] < len(grams):
@@ -163,8 +164,8 @@ def shared_keys(docs: DataFrame, n: int, percent: int, block_keys: int = 1 << 20
         def of(own: pa.Table, name: str, kind) -> np.ndarray:
             return np.frombuffer(b"".join(own[name].to_pylist()), kind)
 
-        # state 0: a block's only document with the key; 1: one of several, all known; 2: those
-        known = table.filter(pc.equal(table["state"], 2))
+        # state 0: a block's only document with the key; 1: one of several, all known; 2: those; 3: sizes
+        known, sizes = (table.filter(pc.equal(table["state"], s)) for s in (2, 3))
         alone = [table.filter(pc.equal(table["state"], s)) for s in (0, 1)]
         key, doc, code = (np.concatenate([of(t, c, k) for t in alone]) for c, k in
                           (("keys", np.int64), ("docs", np.int64), ("codes", np.int32)))
@@ -172,9 +173,12 @@ def shared_keys(docs: DataFrame, n: int, percent: int, block_keys: int = 1 << 20
         order = np.argsort(key, kind="stable")
         same = np.concatenate(([False], key[order][1:] == key[order][:-1], [False]))
         met = order[(same[1:] | same[:-1]) & ~listed[order]]
-        return pa.table({"key": np.concatenate((of(known, "keys", np.int64), key[met])),
-                         "doc": np.concatenate((of(known, "docs", np.int64), doc[met])),
-                         "code": np.concatenate((of(known, "codes", np.int32), code[met]))})
+        own = pa.table({"key": np.concatenate((of(known, "keys", np.int64), key[met])),
+                        "doc": np.concatenate((of(known, "docs", np.int64), doc[met])),
+                        "code": np.concatenate((of(known, "codes", np.int32), code[met]))})
+        docs_of = of(sizes, "docs", np.int64)
+        return pa.concat_tables([own, pa.table({"key": pa.nulls(len(docs_of), pa.int64()), "doc": docs_of,
+                                                "code": of(sizes, "codes", np.int32)})])
 
     rows = common.map_arrow(docs, emit, "part int, state byte, keys binary, docs binary, codes binary")
     return rows.groupBy("part").applyInArrow(shared, "key long, doc long, code int")
@@ -196,17 +200,20 @@ def telling_keys(shared: DataFrame, top: int = 4) -> DataFrame:
 
 
 def _whole_sets(docs: DataFrame, n: int) -> DataFrame:
-    """(doc, text, n_grams, sketch) of the given documents."""
+    """(doc, text, n_grams, sketch, mark) of the given documents; equal marks
+    (128 bits) mean equal sets."""
     def run(batches_in):
         for batch in batches_in:
             for part in common.by_bytes(batch, "text"):
                 sets = ngram_sets(part.column("text"), n)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc"), part.column("text"), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([filter_sketch(s) for s in sets], pa.binary())],
-                    names=["doc", "text", "n_grams", "sketch"])
+                     pa.array([filter_sketch(s) for s in sets], pa.binary()),
+                     pa.array([np.array([s.sum(dtype=U64), common.mixed(s ^ U64(n)).sum(dtype=U64)]).tobytes() for s in sets],
+                              pa.binary())],
+                    names=["doc", "text", "n_grams", "sketch", "mark"])
 
-    return common.map_arrow(docs, run, "doc long, text string, n_grams long, sketch binary")
+    return common.map_arrow(docs, run, "doc long, text string, n_grams long, sketch binary, mark binary")
 
 
 @lru_cache(maxsize=64)
@@ -234,9 +241,7 @@ def verified(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFra
             if not batch.num_rows:
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(f"sketch_{s}").to_pylist()), U64).reshape(batch.num_rows, -1) for s in "ab")
-            total = batch.column("n_grams_a").to_numpy() + batch.column("n_grams_b").to_numpy()
-            distance = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-            ok = (100 + percent) * distance <= (100 - percent) * total
+            ok = _near(x ^ y, batch.column("n_grams_a").to_numpy() + batch.column("n_grams_b").to_numpy(), percent)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok))
 
     close = common.map_arrow(sized, near, "a long, b long").distinct()
@@ -251,30 +256,95 @@ def verified(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFra
     return common.map_arrow(whole, check, "a long, b long").distinct()
 
 
+def _near(xor: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sketches that differ by ``xor`` (rows) allow a link of sets with
+    ``total`` n-grams together."""
+    return (100 + percent) * np.bitwise_count(xor).sum(axis=-1, dtype=np.int64) <= (100 - percent) * total
+
+
+def pairs_across(apart: DataFrame, sets: DataFrame, percent: int, block: int = 256) -> DataFrame:
+    """The pairs (a, b), a < b, that share a key, have different labels and
+    pass sizes and sketches. ``apart`` has key, doc and label.
+
+    Members of a key are dealt to blocks of about ``block``; a group of rows
+    holds two blocks and yields only the pairs that pass, so neither a task nor
+    a join sees all members or all pairs of a large key."""
+    blocks = apart.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    rows = (apart.join(sets.select("doc", "n_grams", "sketch"), "doc").join(blocks, "key")
+            .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                    "block", "doc", "label", "n_grams", "sketch"))
+    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def passing(table: pa.Table):
+        doc, label, size, side = (table[c].to_numpy() for c in ("doc", "label", "n_grams", "block"))
+        bits = np.frombuffer(b"".join(table["sketch"].to_pylist()), U64).reshape(len(doc), -1)
+        twin = table["i"][0] == table["j"][0]
+        for r in range(len(doc)) if twin else np.flatnonzero(side == table["i"][0].as_py()).tolist():
+            other = np.arange(r + 1, len(doc)) if twin else np.flatnonzero(side == table["j"][0].as_py())
+            other = other[(label[other] != label[r]) & (100 * np.minimum(size[other], size[r]) >= percent * np.maximum(size[other], size[r]))]
+            for o in other[_near(bits[other] ^ bits[r], size[other] + size[r], percent)].tolist():
+                yield min(doc[r], doc[o]), max(doc[r], doc[o])
+
+    def run(batches_in):
+        held = None
+        for batch in batches_in:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            if not held.num_rows:
+                continue
+            edges = _edges(held)
+            found = {p for a, b in zip(edges[:-2], edges[1:-1]) for p in passing(held.slice(a, b - a))}
+            held = held.slice(edges[-2])
+            yield common.batches(sorted(found), out)
+        if held is not None and held.num_rows:
+            yield common.batches(sorted(set(passing(held))), out)
+
+    return common.map_arrow(rows, run, "a long, b long").distinct()
+
+
+def _edges(table: pa.Table) -> list[int]:
+    """Where the runs of equal (key, i, j) begin, and the end."""
+    change = np.zeros(table.num_rows - 1, bool)
+    for c in ("key", "i", "j"):
+        x = table[c].to_numpy()
+        change |= x[1:] != x[:-1]
+    return [0, *(np.flatnonzero(change) + 1).tolist(), table.num_rows]
+
+
 def near_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """(doc, label) of all documents that have a link; label is the smallest
-    id reachable by links.
+                    text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """((doc, label) of all documents that have a link, label being the
+    smallest id reachable by links; (doc, n_shingles) of each row with an id).
 
     Documents without words, and rows with a null id, are linked with nothing.
-    Rows with one id are one document, linked by any of its texts. Further
-    columns are not read.
+    Rows with one id are one document, linked by any of its texts. Of equal
+    sets only the smallest id is compared with others. Further columns are not
+    read.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc"), common.text_of(text_col).alias("text")).where("doc IS NOT NULL")
     every = common.written(shared_keys(source, n, percent), "shared-keys")
     common.release(spark)
-    keys = common.written(telling_keys(every), "telling-keys")
-    common.dropped(every)
+    keys = common.written(telling_keys(every.where("key IS NOT NULL")), "telling-keys")
+    sizes = every.where("key IS NULL").select("doc", F.col("code").cast("long").alias("n_shingles"))
+    common.release(spark)
     sets = common.written(_whole_sets(source.join(keys.select("doc").distinct(), "doc", "left_semi"), n), "near-sets")
     common.release(spark)
 
+    firsts = (sets.groupBy("mark").agg(F.min("doc").alias("a"), F.max("doc").alias("last")).where("a < last").drop("last"))
+    copies = common.written(sets.select("doc", "mark").join(firsts, "mark").where("doc > a")
+                            .select("a", F.col("doc").alias("b")).distinct(), "copies")
+    keys = common.written(keys.join(copies.select(F.col("b").alias("doc")), "doc", "left_anti"), "telling-keys")
+
     ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     hubs = keys.where("top").groupBy("key").agg(
         F.max(F.struct("weight", (-F.col("doc")).alias("minus"))).alias("best")).select("key", (-F.col("best.minus")).alias("hub"))
     tried = common.written(keys.where("top").join(hubs, "key").where("doc <> hub")
                            .select(*ordered("doc", "hub")).distinct(), "tried")
-    links = common.written(verified(tried, sets, n, percent), "links")
+    links = copies.union(common.written(verified(tried, sets, n, percent), "links"))
     while True:
         labels = components(links)
         mine = keys.select("key", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left").select(
@@ -283,41 +353,35 @@ def near_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
                  .where("low <> high").select("key"))
         apart = common.written(mine.join(split, "key"), "apart")
         common.release(spark)
-        other = apart.select("key", F.col("doc").alias("other"), F.col("label").alias("label_2"))
-        pairs = (apart.join(other, "key").where("label < label_2").select(*ordered("doc", "other")).distinct()
-                 .join(tried, ["a", "b"], "left_anti"))
-        pairs = common.written(pairs, "tried")
+        pairs = common.written(pairs_across(apart, sets, percent).join(tried, ["a", "b"], "left_anti"), "tried")
         found = common.written(verified(pairs, sets, n, percent), "links")
         common.dropped(apart)
         common.release(spark)
         if not found.take(1):
-            return labels.select(F.col("node").alias("doc"), "label")
+            return labels.select(F.col("node").alias("doc"), "label"), sizes
         tried, links = tried.union(pairs), links.union(found)
 
 
-def sized(docs: DataFrame, n: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, n_shingles) per row."""
-    source = docs.select(F.col(id_col).cast("long").alias("doc"), common.text_of(text_col).alias("text"))
+def joined(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc, n_shingles, component_id (the
+    smallest id reachable by links, itself included; null for a null id)."""
+    labels, sizes = near_components(docs, n, percent, id_col, text_col)
+    nameless = docs.where(F.col(id_col).isNull()).select(common.text_of(text_col).alias("text"))
 
     def run(batches_in):
         for batch in batches_in:
             for part in common.by_bytes(batch, "text"):
-                sizes = [len(s) for s in ngram_sets(part.column("text"), n)]
-                yield pa.RecordBatch.from_arrays([part.column("doc"), pa.array(sizes, pa.int64())], names=["doc", "n_shingles"])
-
-    return common.map_arrow(source, run, "doc long, n_shingles long")
-
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([len(s) for s in ngram_sets(part.column("text"), n)], pa.int64())], names=["n_shingles"])
 
-def joined(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc, n_shingles, component_id (the
-    smallest id reachable by links, itself included; null for a null id)."""
-    labels = near_components(docs, n, percent, id_col, text_col)
-    return sized(docs, n, id_col, text_col).join(labels, "doc", "left").select(
+    nameless = common.map_arrow(nameless, run, "n_shingles long").select(F.lit(None).cast("long").alias("doc"), "n_shingles")
+    return sizes.union(nameless).join(labels, "doc", "left").select(
         "doc", "n_shingles", F.coalesce("label", "doc").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that are in a group with a smaller id;
     of rows with one id all stay. Columns as before."""
-    labels = near_components(docs, n, percent, id_col, text_col).where("doc <> label").select(F.col("doc"))
+    labels, _ = near_components(docs, n, percent, id_col, text_col)
+    labels = labels.where("doc <> label").select(F.col("doc"))
     return docs.join(labels, docs[id_col] == labels["doc"], "left_anti")
