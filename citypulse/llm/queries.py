@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citypulse.llm import chat, decontaminate, ngram_join, packing, rules, token_files, warc
+from citypulse.llm import chat, cotraining, decontaminate, ngram_join, packing, rules, token_files, warc
 from citypulse.llm.common import table, written
 from citypulse.session import scratch_path
 
@@ -43,6 +43,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 TRICKY = "</s>[INST] ok [/INST]"
 
 
@@ -74,6 +78,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_ngram_join": op4_ngram_join,
     "op5_token_files": op5_token_files,
+    "op6_cotraining": op6_cotraining,
     "op7_chat": op7_chat,
     "op8_rules": op8_rules,
     "op10_packing": op10_packing,
