@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citypulse.llm import chat, cotraining, decontaminate, ngram_join, packing, rules, token_files, warc
+from citypulse.llm import chat, context_tree, cotraining, decontaminate, ngram_join, packing, rules, token_files, warc
 from citypulse.llm.common import table, written
 from citypulse.session import scratch_path
 
@@ -68,6 +68,12 @@ def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *rules.COUNTS, "base_failed", "kept")
 
 
+def op9_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 5 == 1, F.lit(False))
+    return context_tree.scored(table(spark, sf_dir, "documents"), ~held_out).select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", F.crc32("token_ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -81,6 +87,7 @@ QUERIES = {
     "op6_cotraining": op6_cotraining,
     "op7_chat": op7_chat,
     "op8_rules": op8_rules,
+    "op9_context_tree": op9_context_tree,
     "op10_packing": op10_packing,
 }
 
