@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citypulse.llm import chat, context_tree, cotraining, decontaminate, ngram_join, packing, rules, token_files, warc
+from citypulse.llm import chat, context_tree, cotraining, decontaminate, ngram_join, packing, rules, suffix_dedup, token_files, warc
 from citypulse.llm.common import table, written
 from citypulse.session import scratch_path
 
@@ -20,6 +20,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("match.n_hit") > 0).alias("contaminated"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.deduplicated(docs).select(
+        "doc_id", "dedup.n_bytes", "dedup.n_removed", "dedup.n_spans", F.sha2(F.col("dedup.kept"), 256).alias("kept_sha256"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
@@ -81,6 +87,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_warc": op3_warc,
     "op4_ngram_join": op4_ngram_join,
     "op5_token_files": op5_token_files,
