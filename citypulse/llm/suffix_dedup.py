@@ -1,7 +1,7 @@
 """Removal of long strings that documents with smaller ids have too, by
 threshold-bounded interval expansion on a Burrows-Wheeler transform.
 
-A string of ``size`` bytes belongs to the least hash of its 16-byte pieces; a
+A string of ``size`` bytes belongs to the least hash of its 24-byte pieces; a
 text falls into segments of successive strings with one such value. Equal
 strings have equal values, wherever they are, so segments can be compared part
 by part, by value:
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from citypulse.llm import common
 
 U64 = np.uint64
-PIECE = 16
+PIECE = 24
 NOBODY = np.iinfo(np.int64).max
 _BASE = 0x5851F42D4C957F2D
 _BACK = pow(_BASE, -1, 1 << 64)
@@ -94,7 +94,7 @@ def suffix_order(text: np.ndarray, size: int) -> np.ndarray:
         key[:n - k] |= text[k:].astype(U64) << U64(9 * (6 - k))
     reach = 7
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         if reach >= size:
             return order
         ranked = key[order]
@@ -111,21 +111,22 @@ def boundaries(text: np.ndarray, order: np.ndarray, size: int) -> np.ndarray:
     n = len(text)
     bwt = text[order - 1]
     by_symbol = np.argsort(bwt, kind="stable")
-    lf = np.empty(n, np.int64)
-    lf[by_symbol] = np.arange(n)
+    lf = np.empty(n, np.int32)
+    lf[by_symbol] = np.arange(n, dtype=np.int32)
     same = bwt[by_symbol][1:] == bwt[by_symbol][:-1]
-    later, earlier = np.full(n, n), np.full(n, -1)
+    later, earlier = np.full(n, n, np.int32), np.full(n, -1, np.int32)
     later[by_symbol[:-1][same]] = by_symbol[1:][same]
     earlier[by_symbol[1:][same]] = by_symbol[:-1][same]
     found = np.zeros(n + 1, bool)
     found[0] = True
-    left, right = np.array([0]), np.array([n])
+    left, right = np.array([0], np.int32), np.array([n], np.int32)
     for _ in range(size):
         width = right - left
         total = int(width.sum())
         if not total:
             break
-        place = np.arange(total) + np.repeat(left - (np.cumsum(width) - width), width)
+        place = np.repeat((left - (np.cumsum(width) - width)).astype(np.int32), width)
+        place += np.arange(total, dtype=np.int32)
         real = bwt[place] != 0
         ends = lf[place[(later[place] >= np.repeat(right, width)) & real]] + 1
         starts = lf[place[(earlier[place] < np.repeat(left, width)) & real]]
@@ -150,7 +151,7 @@ def least_documents(lengths: np.ndarray, data: np.ndarray, doc: np.ndarray, size
     strings = np.arange(many.sum()) + np.repeat(first - (np.cumsum(many) - many), many)
     order = suffix_order(text, size)
     run = np.cumsum(boundaries(text, order, size)) - 1
-    of_place = np.empty(len(text), np.int64)
+    of_place = np.empty(len(text), np.int32)
     of_place[order] = run
     of_string = of_place[strings]
     least = np.full(int(run[-1]) + 1, NOBODY)
@@ -173,6 +174,28 @@ def _block(table: pa.Table, size: int):
             yield part, data, offsets, found, doc[found[4]]
 
 
+def _firsts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(an order of the values, where each distinct one begins in it)."""
+    order = np.argsort(x)
+    x = x[order]
+    return order, np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else order
+
+
+def _one_each(name: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(an entry of each distinct name, the least doc of that name)."""
+    order, first = _firsts(name)
+    return order[first], np.minimum.reduceat(doc[order], first) if len(doc) else doc
+
+
+def _squeezed(data: np.ndarray) -> np.ndarray:
+    """Compressed bytes, led by their length (segments overlap a lot)."""
+    return np.concatenate((np.array([len(data)], np.int64).view(np.uint8), np.frombuffer(pa.compress(data, "zstd", asbytes=True), np.uint8)))
+
+
+def _restored(rows: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(pa.decompress(r[8:], int.from_bytes(r[:8], "little"), "zstd", asbytes=True) for r in rows), np.uint8)
+
+
 def _dealt(part: np.ndarray, parts: int):
     order = np.argsort(part, kind="stable")
     edge = np.searchsorted(part[order], np.arange(parts + 1))
@@ -206,7 +229,7 @@ def deduplicated(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text_c
     """
     spark = docs.sparkSession
     common.workers_see_package(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # smaller groups, same number of tasks
     total = docs.agg(F.sum(F.octet_length(common.text_of(text_col)))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     block = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(blocks)).alias("block")
@@ -215,17 +238,16 @@ def deduplicated(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text_c
     def values(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         found = [(s[0], d) for _, _, _, s, d in _block(table, size)]
         value, doc = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((doc, value))
-        value, doc = value[order], doc[order]
-        first = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1]))) if len(value) else np.empty(0, np.int64)
-        several = doc[first] != doc[np.append(first[1:], len(value))[:len(first)] - 1]
-        value = value[first]
+        order, first = _firsts(value)
+        doc = doc[order]
+        several = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first) if len(doc) else np.empty(0, bool)
+        value = value[order][first]
         return _binary([(p, key[0].as_py(), value[own], several[own]) for p, own in
                         _dealt((value % U64(parts)).astype(np.int64), parts)], ["part", "block", "values", "several"])
 
     def shared(table: pa.Table) -> pa.Table:
         value, several = _all(table, "values", U64), _all(table, "several", bool)
-        order = np.argsort(value, kind="stable")
+        order = np.argsort(value)
         same = value[order][1:] == value[order][:-1]
         hit = several.copy()
         hit[order[1:]] |= same
@@ -249,28 +271,26 @@ def deduplicated(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text_c
         for _, data, _, (value, start, many, name, _), doc in _block(left, size):
             at = np.minimum(np.searchsorted(known, value), len(known) - 1)
             hit = np.flatnonzero(known[at] == value)
-            # of equal segments of this slice the one in the least document
-            order = hit[np.lexsort((doc[hit], name[hit]))]
-            own = order[np.concatenate(([True], name[order][1:] != name[order][:-1]))] if len(order) else order
+            own, doc = _one_each(name[hit], doc[hit])
+            own = hit[own]
             length = many[own] + size - 1
-            found.append((value[own], name[own], doc[own], length, _gathered(data, start[own], length)))
+            found.append((value[own], name[own], doc, length, _gathered(data, start[own], length)))
         value, name, doc, length, data = (np.concatenate(x) for x in zip(*found))
         start = np.cumsum(length) - length
-        order = np.lexsort((doc, name))
-        own = order[np.concatenate(([True], name[order][1:] != name[order][:-1]))] if len(order) else order
+        own, doc = _one_each(name, doc)
+        value, name, length, start = value[own], name[own], length[own], start[own]
         b = left["block"][0].as_py()
-        return _binary([(p, b, value[x], name[x], doc[x], length[x], _gathered(data, start[x], length[x])) for p, x in
-                        ((p, own[i]) for p, i in _dealt((value[own] % U64(parts)).astype(np.int64), parts))],
+        return _binary([(p, b, value[x], name[x], doc[x], length[x], _squeezed(_gathered(data, start[x], length[x]))) for p, x in
+                        _dealt((value % U64(parts)).astype(np.int64), parts)],
                        ["part", "block", "values", "hashes", "docs", "lengths", "data"])
 
-    sent = common.written(source.groupBy("block").cogroup(common_values.groupBy("block")).applyInArrow(
-        distinct, "part long, block long, values binary, hashes binary, docs binary, lengths binary, data binary"), "dedup-segments")
-    common.dropped(common_values)
-    common.release(spark)
+    sent = source.groupBy("block").cogroup(common_values.groupBy("block")).applyInArrow(
+        distinct, "part long, block long, values binary, hashes binary, docs binary, lengths binary, data binary")
 
     def least(table: pa.Table) -> pa.Table:
-        value, name, doc, length, data = (_all(table, c, t) for c, t in (
-            ("values", U64), ("hashes", U64), ("docs", np.int64), ("lengths", np.int64), ("data", np.uint8)))
+        value, name, doc, length = (_all(table, c, t) for c, t in (
+            ("values", U64), ("hashes", U64), ("docs", np.int64), ("lengths", np.int64)))
+        data = _restored(table["data"].to_pylist())
         start = np.cumsum(length) - length
         order = np.lexsort((doc, name, value))
         fresh = np.concatenate(([True], name[order][1:] != name[order][:-1]))
@@ -297,7 +317,8 @@ def deduplicated(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text_c
 
     answers = sent.groupBy("part").applyInArrow(least, "block long, zero long, hashes binary, counts binary, lowest binary")
     answers = common.written(answers, "dedup-answers")
-    common.dropped(sent)
+    common.dropped(common_values)
+    del sent
     common.release(spark)
 
     names, own_name = docs.columns, common.own_column(docs, "dedup")
