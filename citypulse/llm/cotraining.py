@@ -50,7 +50,7 @@ def text_features(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 
 
 def features(docs: DataFrame, id_col: str, text_col: str, meta_cols: list[str]) -> DataFrame:
-    """(doc_id, text_f, meta_f): feature numbers as packed 32-bit integers."""
+    """(doc_id, text_f, meta_f): feature numbers as packed 16-bit integers."""
     parts = [F.concat(F.lit(f"{c}="), F.coalesce(
         (F.floor(F.log2(F.col(c).cast("double") + 1) * 2) if docs.schema[c].dataType.typeName() in ("long", "integer", "double")
          else F.col(c)).cast("string"), F.lit(""))) for c in meta_cols]
@@ -64,16 +64,16 @@ def features(docs: DataFrame, id_col: str, text_col: str, meta_cols: list[str])
                 found = text_features(*common.text_bytes(part.column("text")))
                 meta = part.column("meta")
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([f.tobytes() for f in found], pa.binary()),
-                     pa.array([np.array(m, np.int32).tobytes() for m in meta.to_pylist()], pa.binary())],
+                    [part.column("doc_id"), pa.array([f.astype("<u2").tobytes() for f in found], pa.binary()),
+                     pa.array([np.array(m, "<u2").tobytes() for m in meta.to_pylist()], pa.binary())],
                     names=["doc_id", "text_f", "meta_f"])
 
     return common.map_arrow(source, run, "doc_id long, text_f binary, meta_f binary")
 
 
 def _ragged(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    size = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
-    return np.frombuffer(b"".join(packed), np.int32), np.concatenate(([0], np.cumsum(size)))
+    size = np.fromiter(map(len, packed), np.int64, len(packed)) // 2
+    return np.frombuffer(b"".join(packed), "<u2").astype(np.int64), np.concatenate(([0], np.cumsum(size)))
 
 
 def _sums(values: np.ndarray, edge: np.ndarray) -> np.ndarray:
@@ -151,12 +151,15 @@ def classify(docs: DataFrame, labels: DataFrame, rounds: int = 2, most_labelled:
     itself.
     """
     metas = [c for c in meta_cols if c in docs.columns]
-    table = common.written(features(docs, id_col, text_col, metas), "views")
     known = (labels.groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.min(((F.coalesce(F.col("quality"), F.lit(0)) == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).cast("int")).alias("good")))
-    labelled = table.join(known, "doc_id")
-    found = known.where("doc_id IS NOT NULL").count()
-    rows = labelled.where(_share("labelled", most_labelled / max(1, found))).select("text_f", "meta_f", "good", _share("apart", 0.2).alias("apart")).collect()
+    views_only = common.written(features(docs, id_col, text_col, metas), "views")
+    table = common.written(views_only.join(known, "doc_id", "left"), "views")  # good: null if unlabelled
+    common.dropped(views_only)
+    common.release(docs.sparkSession)
+    found = table.where("good IS NOT NULL").count()
+    rows = (table.where(F.col("good").isNotNull() & _share("labelled", most_labelled / max(1, found)))
+            .select("text_f", "meta_f", "good", _share("apart", 0.2).alias("apart")).collect())
     views = {"text_f": TEXT_SIZE, "meta_f": META_SIZE}
     train, apart = [r for r in rows if not r["apart"]], [r for r in rows if r["apart"]]
     given = {v: ([bytes(r[v]) for r in train], [r["good"] for r in train], [1.0] * len(train)) for v in views}
@@ -168,7 +171,7 @@ def classify(docs: DataFrame, labels: DataFrame, rounds: int = 2, most_labelled:
 
     models = {v: learn(v) for v in views}
     scales = {v: calibrated(v, w) for v, w in models.items()}
-    unlabelled = table.join(known.select("doc_id"), "doc_id", "left_anti")
+    unlabelled = table.where("good IS NULL")
     for turn in range(rounds if train else 0):
         scored = with_odds(unlabelled, models, scales)
         sure = float(np.log(confidence / (1 - confidence)))
