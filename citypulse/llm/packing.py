@@ -131,7 +131,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
 
         def windows():
             for batch in batches_in:
-                for part in common.by_bytes(batch, "text", 6 << 20):
+                for part in common.by_bytes(batch, "text", 10 << 20):
                     each = enc.encode_each(part.column("text"))
                     for doc_id, ids in zip(part.column("doc_id").to_pylist(), each):
                         yield from packer.add(doc_id, ids.tobytes() + end)

@@ -55,9 +55,9 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     shards = max(1, -(-total // shard_bytes))
 
     def records(batches_in):
-        enc = encoder(vocab)
+        enc = encoder(vocab, 500_000)  # beside the sorted text, which takes memory too
         for batch in batches_in:
-            for part in common.by_bytes(batch, "text", 6 << 20):
+            for part in common.by_bytes(batch, "text", 4 << 20):
                 out = []
                 for key, ids in zip(part.column("key").to_pylist(), enc.encode_each(part.column("text"))):
                     ids = np.append(ids, np.uint32(end_id))

@@ -42,7 +42,7 @@ class Encoder:
     are remembered; each batch looks up its distinct pieces only.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -116,8 +116,9 @@ class Encoder:
         return np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else []
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, most: int = 900_000) -> Encoder:
     """This process's encoder for a vocabulary file."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, most)
+    _ENCODERS[path].most = most
     return _ENCODERS[path]
