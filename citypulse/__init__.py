@@ -12,7 +12,6 @@ Sub-packages:
                nearest-station search
     plans      the end-to-end reports (ingest, top months, day parts,
                income extremes, station distances)
-    streaming  intentionally empty: the reference has no streaming work
 """
 
 __version__ = "0.1.0"

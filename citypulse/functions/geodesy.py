@@ -5,8 +5,9 @@ iterations, written as a sequence of named steps.  Each step is one SQL
 expression over earlier steps; Spark applies them as chained projections
 (``withColumns``), which keeps the expression tree linear instead of
 nesting it (a nested form grows exponentially), and every step stays in
-whole-stage codegen.  Coincident points give 0; the formula is not meant
-for near-antipodal pairs.
+whole-stage codegen.  Coincident points give 0.  Where the iteration has not
+settled (near-antipodal pairs) or a position is not valid
+(``valid_position``), the distance is NULL.
 
 ``ecef_km`` gives earth-centred coordinates used by the nearest-station
 grid: the straight chord between two points never exceeds their geodesic
@@ -27,6 +28,7 @@ WGS84_B = WGS84_A * (1 - WGS84_F)        # semi-minor axis, metres
 WGS84_E2 = WGS84_F * (2 - WGS84_F)       # first eccentricity squared
 
 DEFAULT_ITERATIONS = 6
+SETTLED = 1e-10                          # radians: under 1 mm on the ground
 PREFIX = "__vin_"
 
 
@@ -86,7 +88,8 @@ def vincenty_steps(lat1: str, lon1: str, lat2: str, lon2: str,
         (f"{p}kb", f"{p}usq / 1024e0 * (256e0 + {p}usq * (-128e0 + {p}usq * (74e0 - 47e0 * {p}usq)))"),
         (f"{p}ds", f"{p}kb * {ss} * ({c2m} + {p}kb / 4e0 * ({cs} * (-1e0 + 2e0 * {c2m} * {c2m}) - "
                    f"{p}kb / 6e0 * {c2m} * (-3e0 + 4e0 * {ss} * {ss}) * (-3e0 + 4e0 * {c2m} * {c2m})))"),
-        (out, f"CASE WHEN {ss} = 0 THEN 0e0 ELSE {b} * {p}ka * ({sig} - {p}ds) / 1000e0 END"),
+        (out, f"CASE WHEN abs({p}lam{iterations} - {p}lam{iterations - 1}) > {_lit(SETTLED)} THEN NULL "
+              f"WHEN {ss} = 0 THEN 0e0 ELSE {b} * {p}ka * ({sig} - {p}ds) / 1000e0 END"),
     ]
     return steps
 
@@ -103,7 +106,15 @@ def with_geodesic_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str,
     for batch in _batches(steps):
         df = df.withColumns({name.strip("`"): F.expr(expr) for name, expr in batch})
     temps = [n for n, _ in steps if n.startswith(PREFIX)]
-    return df.drop(*temps)
+    valid = valid_position(q(lat1), q(lon1)) & valid_position(q(lat2), q(lon2))
+    return df.withColumn(out, F.when(valid, F.col(q(out)))).drop(*temps)
+
+
+def valid_position(lat: str, lon: str) -> Column:
+    """Finite degrees with |lat| <= 90 and |lon| <= 360; never NULL."""
+    la, lo = F.col(lat), F.col(lon)
+    ok = la.between(-90.0, 90.0) & lo.between(-360.0, 360.0) & ~F.isnan(la) & ~F.isnan(lo)
+    return F.coalesce(ok, F.lit(False))
 
 
 def _batches(steps):

@@ -39,13 +39,14 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geodesy import ecef_km, with_geodesic_km
+from ..functions.geodesy import ecef_km, valid_position, with_geodesic_km
 from ..session import checkpoint_dir
 
 EARTH_SPAN_KM = 12_800.0      # larger than the earth's extent on any axis
 MARGIN_KM = 1e-3              # 1 m: covers Vincenty and ECEF rounding
 MIN_CELL_KM = 0.001         # 1 m: dense station sets keep ~1 station per cell
 MAX_PER_CELL = 64            # distinct station positions per base cell
+NO_DISTANCE_KM = 1e9        # stands for a NULL distance while minima are taken
 BROADCAST_POINTS = 100_000    # unsettled points replicated to every task beyond level 0
 _OFFSETS = list(itertools.product((-1, 0, 1), repeat=3))
 
@@ -85,28 +86,28 @@ def _densest_cell(stations: DataFrame, cell: float, tries: int = 4) -> float:
 def nearest(points: DataFrame, stations: DataFrame, key: Sequence[str],
             lat: str, lon: str, s_lat: str, s_lon: str, s_order: str,
             payload: Sequence[str], distance: str = "distance",
-            base_cell_km: float | None = None, max_levels: int = 40) -> DataFrame:
+            base_cell_km: float | None = None) -> DataFrame:
     """For each point the nearest station (geodesic km) and its payload.
 
     ``points``: unique ``key`` columns plus double ``lat``/``lon`` degrees.
     ``stations``: double ``s_lat``/``s_lon``, a sortable ``s_order`` (first
     wins a tie) and ``payload`` columns.  Returns ``key + [distance, s_order,
-    *payload]``; points without finite coordinates, or with no stations at
-    all, get NULLs.  ``max_levels`` bounds the rounds (about
-    log2(earth / cell) are ever needed).
+    *payload]``; points without a valid position, or with no station that has
+    one, get NULLs.  NULL keys are keys like others.  A station so far that its
+    distance is NULL loses to all others.  Rounds end by themselves: the level
+    of a point rises each round up to the one whose cells hold every station.
     """
     spark = points.sparkSession
     key = list(key)
     payload = list(payload)
-    pts = points.select(*[F.col(k) for k in key], F.col(lat).alias("__plat"), F.col(lon).alias("__plon"))
-    # finite degrees only: NaN/Infinity parse as doubles but have no cell
-    usable = (F.col("__plat").between(-90.0, 90.0) & F.col("__plon").between(-360.0, 360.0)
-              & ~F.isnan("__plat") & ~F.isnan("__plon"))
-    usable = F.coalesce(usable, F.lit(False))
+    # one struct of the key columns: unlike bare columns, its NULL fields are equal
+    outer, key = key, ["__key"]
+    pts = points.select(F.struct(*[F.col(k) for k in outer]).alias("__key"), F.col(lat).alias("__plat"), F.col(lon).alias("__plon"))
+    usable = valid_position("__plat", "__plon")
     px, py, pz = ecef_km("__plat", "__plon")
     pts = pts.withColumns({"__px": px, "__py": py, "__pz": pz})
 
-    sts = (stations.filter(F.col(s_lat).isNotNull() & F.col(s_lon).isNotNull())
+    sts = (stations.filter(valid_position(s_lat, s_lon))
            .select(F.col(s_lat).alias("__slat"), F.col(s_lon).alias("__slon"),
                    F.col(s_order).alias("__sord"), *[F.col(p).alias(f"__pl_{p}") for p in payload]))
     # stations at one exact position are equally far from every point, so only
@@ -121,12 +122,12 @@ def nearest(points: DataFrame, stations: DataFrame, key: Sequence[str],
     checkpoint_dir(spark)
     sts = sts.checkpoint()              # read by every round
     n_stations, cell = _cell_size(sts)
-    out_cols = [*key, distance, s_order, *payload]
+    types = {f.name: f.dataType for f in sts.schema.fields}
+    unfold = [F.col(f"__key.`{k}`").alias(k) for k in outer]
+    nothing = [F.lit(None).cast("double").alias(distance), F.lit(None).cast(types["__sord"]).alias(s_order),
+               *[F.lit(None).cast(types[f"__pl_{p}"]).alias(p) for p in payload]]
     if n_stations == 0:
-        return points.select(*[F.col(k) for k in key],
-                          F.lit(None).cast("double").alias(distance),
-                          F.lit(None).alias(s_order),
-                          *[F.lit(None).cast("string").alias(p) for p in payload])
+        return pts.select(*unfold, *nothing)
     if base_cell_km:
         cell = float(base_cell_km)
     else:
@@ -142,6 +143,7 @@ def nearest(points: DataFrame, stations: DataFrame, key: Sequence[str],
     def settle(cand):
         """Best station per point and whether it is provably the nearest."""
         cand = with_geodesic_km(cand, "__plat", "__plon", "__slat", "__slon", "__d")
+        cand = cand.withColumn("__d", F.coalesce("__d", F.lit(NO_DISTANCE_KM)))
         best = (cand.groupBy(*key, "__bound", "__lvl")
                 .agg(F.min(F.struct("__d", "__sord", *pay)).alias("__b"))
                 .select(*key, "__bound", "__lvl", "__b.*"))
@@ -180,14 +182,12 @@ def nearest(points: DataFrame, stations: DataFrame, key: Sequence[str],
     else:
         # fewer points than stations: every round replicates the points instead
         remaining = pts.filter(usable).withColumn("__lvl", F.lit(0))
-    rounds = 0
-    while rounds < max_levels:
+    while True:
         # one small job per round: the levels in play (at most ~40) and how
         # many points are left - which also decides whether to broadcast them
         by_level = remaining.groupBy("__lvl").count().collect()
         if not by_level:
             break
-        rounds += 1
         levels = [r[0] for r in by_level]
         n_left = sum(r[1] for r in by_level)
         # replicate the (fewer) points to 27 cells, key stations once per level in play
@@ -216,21 +216,10 @@ def nearest(points: DataFrame, stations: DataFrame, key: Sequence[str],
                                   .drop("__d"),
                                   allowMissingColumns=True)
                      ).checkpoint()
-    settled = [b.select(*[F.col(k) for k in key], F.col("__d").alias(distance),
-                        F.col("__sord").alias(s_order),
-                        *[F.col(f"__pl_{p}").alias(p) for p in payload]) for b in settled]
-    # points without usable coordinates keep NULLs
-    types = {f.name: f.dataType for f in sts.schema.fields}
-    missing = pts.filter(~usable).select(
-        *[F.col(k) for k in key], F.lit(None).cast("double").alias(distance),
-        F.lit(None).cast(types["__sord"]).alias(s_order),
-        *[F.lit(None).cast(types[f"__pl_{p}"]).alias(p) for p in payload])
-    if rounds >= max_levels:      # cannot happen for finite points; never loop forever
-        missing = missing.unionByName(remaining.select(
-            *[F.col(k) for k in key], F.lit(None).cast("double").alias(distance),
-            F.lit(None).cast(types["__sord"]).alias(s_order),
-            *[F.lit(None).cast(types[f"__pl_{p}"]).alias(p) for p in payload]))
-    found = missing
-    for part in settled:
-        found = found.unionByName(part)
-    return found.select(*out_cols)
+    # points without a valid position keep NULLs
+    found = pts.filter(~usable).select(*unfold, *nothing)
+    for best in settled:
+        found = found.unionByName(best.select(
+            *unfold, F.when(F.col("__d") < NO_DISTANCE_KM, F.col("__d")).alias(distance), F.col("__sord").alias(s_order),
+            *[F.col(f"__pl_{p}").alias(p) for p in payload]))
+    return found

@@ -42,26 +42,26 @@ def day_parts_sql(spark: SparkSession, parts: Sequence[DataFrame], premise: str
                   labels=D.GREEK) -> DataFrame:
     views = register_parts(parts, "cp_w2")
     union = "\n        UNION\n        ".join(
-        f"SELECT * FROM {v} WHERE `Premis Desc` = '{premise}'" for v in views)
-    m, a, e, n, u = labels
+        f"SELECT * FROM {v} WHERE `Premis Desc` = :premise" for v in views)
+    texts = dict(zip(("morning", "afternoon", "evening", "night", "unknown"), labels), premise=premise)
     hour = "try_cast(substring(`TIME OCC`, 1, 2) AS INT)"
     return spark.sql(f"""
     WITH combined AS (
         {union}
     ), street AS (
         SELECT CASE
-            WHEN {hour} >= {D.MORNING_HOURS[0]} AND {hour} <= {D.MORNING_HOURS[1]} THEN '{m}'
-            WHEN {hour} >= {D.AFTERNOON_HOURS[0]} AND {hour} <= {D.AFTERNOON_HOURS[1]} THEN '{a}'
-            WHEN {hour} >= {D.EVENING_HOURS[0]} AND {hour} <= {D.EVENING_HOURS[1]} THEN '{e}'
-            WHEN {hour} >= {D.NIGHT_FROM} OR {hour} <= {D.NIGHT_TO} THEN '{n}'
-            ELSE '{u}'
+            WHEN {hour} >= {D.MORNING_HOURS[0]} AND {hour} <= {D.MORNING_HOURS[1]} THEN :morning
+            WHEN {hour} >= {D.AFTERNOON_HOURS[0]} AND {hour} <= {D.AFTERNOON_HOURS[1]} THEN :afternoon
+            WHEN {hour} >= {D.EVENING_HOURS[0]} AND {hour} <= {D.EVENING_HOURS[1]} THEN :evening
+            WHEN {hour} >= {D.NIGHT_FROM} OR {hour} <= {D.NIGHT_TO} THEN :night
+            ELSE :unknown
         END AS time_periods
         FROM combined
     ), counted AS (
         SELECT time_periods, count(*) AS countPeriods FROM street GROUP BY time_periods
     )
     SELECT * FROM counted ORDER BY countPeriods DESC, time_periods
-    """)
+    """, args=texts)
 
 
 def day_parts_rows(parts: Sequence[DataFrame], premise: str = STREET,

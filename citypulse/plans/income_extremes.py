@@ -119,12 +119,12 @@ SQL_HINTS = {
 }
 
 
-def _guarded_geo_hint(spark: SparkSession, strategy: str, geo_sql: str) -> str:
+def _guarded_geo_hint(spark: SparkSession, strategy: str, geo_sql: str, texts: dict) -> str:
     """The geocode-side hint, or SHUFFLE_HASH when the side is over the bound."""
     from ..operators.joins import DEFAULT_REPLICATE_MAX_ROWS, NL_MAX_ROWS, rows_at_most
     hint = SQL_HINTS[strategy][0]
     bound = {"broadcast": DEFAULT_REPLICATE_MAX_ROWS, "shuffle_replicate_nl": NL_MAX_ROWS}.get(strategy)
-    if bound is not None and not rows_at_most(spark.sql(geo_sql), bound):
+    if bound is not None and not rows_at_most(spark.sql(geo_sql, args=texts), bound):
         return "/*+ SHUFFLE_HASH(g) */"
     return hint
 
@@ -139,11 +139,13 @@ def income_extremes_sql(spark: SparkSession, parts: Sequence[DataFrame], geocode
     trim_names(geocode).createOrReplaceTempView("cp_w3_geocode")
     trim_names(income).createOrReplaceTempView("cp_w3_income")
     union = "\n        UNION\n        ".join(f"SELECT * FROM {v}" for v in views)
-    cases = "\n            ".join(f"WHEN cz.`Vict Descent` = '{c}' THEN '{lab}'" for c, lab in labels)
+    cases = "\n            ".join(f"WHEN cz.`Vict Descent` = :code{i} THEN :label{i}" for i in range(len(labels)))
+    texts = {f"code{i}": c for i, (c, _) in enumerate(labels)} | {f"label{i}": t for i, (_, t) in enumerate(labels)}
+    texts["community"] = community_like
     la_income = f"""
         SELECT *, try_cast(substring(regexp_replace(`Estimated Median Income`, ',', ''), 2) AS FLOAT)
                   AS estimated_median_income_float
-        FROM cp_w3_income WHERE Community LIKE '{community_like}'"""
+        FROM cp_w3_income WHERE Community LIKE :community"""
     top_and_last = f"""
         SELECT * FROM (SELECT * FROM la_income
                        ORDER BY estimated_median_income_float DESC NULLS LAST,
@@ -162,7 +164,7 @@ def income_extremes_sql(spark: SparkSession, parts: Sequence[DataFrame], geocode
     if strategy in ("broadcast", "shuffle_replicate_nl"):
         hint1 = _guarded_geo_hint(
             spark, strategy,
-            f"WITH la_income AS ({la_income}), top_and_last AS ({top_and_last}) {geo}")
+            f"WITH la_income AS ({la_income}), top_and_last AS ({top_and_last}) {geo}", {"community": community_like})
     hint2 = SQL_HINTS[strategy][1]
     return spark.sql(f"""
     WITH combined_crime_data AS (
@@ -186,4 +188,4 @@ def income_extremes_sql(spark: SparkSession, parts: Sequence[DataFrame], geocode
         END AS victim_category
     FROM top_and_last t JOIN crime_data_per_zip cz ON cz.zip_code = t.`Zip Code`
     ORDER BY t.`Zip Code`, cz.total_vict_descent_count DESC, cz.`Vict Descent`
-    """)
+    """, args=texts)

@@ -78,12 +78,3 @@ def write_header_csv(df: DataFrame, path: str) -> str:
     """Write a DataFrame as header CSV (one file per task) and return the path."""
     df.write.mode("error").option("header", True).csv(path)
     return path
-
-
-def all_string_schema(names: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
-
-
-def string_columns(df: DataFrame) -> DataFrame:
-    """Cast every column to string (what a header CSV scan yields)."""
-    return df.select([F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])

@@ -99,7 +99,7 @@ def incident_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     k = F.col("__k")
     parts = []
     for i in range(N_PARTS):
-        cond = (k % N_PARTS) == i
+        cond = F.coalesce(F.pmod(k, F.lit(N_PARTS)), F.lit(0)) == i  # every row is in a part
         if i == N_PARTS - 1:
             cond = cond | ((k % EXTRA_DUP_MOD) == 0)
         names = LAST_PART_COLUMNS if i == N_PARTS - 1 else INCIDENT_COLUMNS
