@@ -41,10 +41,12 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                  vocabulary: str | None = None) -> None:
     """Encode every text, append ``end_id`` and write shards in key order.
 
-    Texts are range-partitioned by key (one shuffle) into shards of about
-    ``shard_bytes`` of text. A null or empty text is its end id alone; null
-    keys come first; rows with equal keys follow one another (ordered by a
-    hash of the text) and stay in one shard. ``id_bytes`` is 2 for
+    Texts are encoded where they are read; the records, half as large, are
+    then dealt to shards of about ``shard_bytes`` of text by ranges of keys (one
+    shuffle). The range bounds come from a sketch of the keys, whose error makes
+    shards larger or smaller and nothing else. A null or empty text is its end
+    id alone; null keys come first; rows with equal keys follow one another
+    (ordered by a hash of the text) and stay in one shard. ``id_bytes`` is 2 for
     vocabularies under 65,536 ids, else 4. An empty table gives empty files.
     Further columns are not read.
     """
@@ -53,20 +55,28 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     source = docs.select(F.col(id_col).cast("long").alias("key"), common.text_of(text_col).alias("text"))
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
+    cuts = [i / shards for i in range(1, shards)]
+    last = (source.agg(F.percentile_approx("key", cuts, min(1_000_000, max(10_000, 100 * shards)))).first()[0]
+            if cuts else None)
+    bounds = docs.sparkSession.sparkContext.broadcast(np.array(last or [], np.int64))  # 8 bytes a shard
 
     def records(batches_in):
-        enc = encoder(vocab, 500_000)  # beside the sorted text, which takes memory too
+        enc = encoder(vocab, 300_000)  # a worker serves the sort of the records too, which takes memory
         for batch in batches_in:
-            for part in common.by_bytes(batch, "text", 4 << 20):
-                out = []
-                for key, ids in zip(part.column("key").to_pylist(), enc.encode_each(part.column("text"))):
+            for part in common.by_bytes(batch, "text", 6 << 20):
+                keys, out = part.column("key").to_pylist(), []
+                for key, ids in zip(keys, enc.encode_each(part.column("text"))):
                     ids = np.append(ids, np.uint32(end_id))
                     out.append(struct.pack(HEAD, key or 0, key is None, len(ids)) + ids.astype(kind).tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
-
-    ordered = (source.repartitionByRange(shards, "key")
-               .sortWithinPartitions(F.col("key").asc_nulls_first(), F.xxhash64("text")))
-    (common.map_arrow(ordered, records, "record binary")
+                shard = [0 if k is None else int(np.searchsorted(bounds.value, k)) for k in keys]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard, pa.int32()), part.column("key"), part.column("tie"), pa.array(out, pa.binary())],
+                    names=["shard", "key", "tie", "record"])
+
+    (common.map_arrow(source.withColumn("tie", F.xxhash64("text")), records,
+                      "shard int, key long, tie long, record binary")
+     .repartitionById(shards, F.col("shard"))
+     .sortWithinPartitions(F.col("key").asc_nulls_first(), "tie")
      .select(F.col("record").cast("string").alias("value"))
      .write.option("lineSep", "\n").text(path))
 
