@@ -4,19 +4,25 @@ from __future__ import annotations
 
 import gc
 import os
-import re
 from array import array
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
-#: two blank characters in a row (in RE2: Arrow's; then in Python's syntax, for the cut)
-TWO_BLANKS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]{2}"
-LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-#: a run of letters, a run of marks, or one line feed before a letter; all three end a token
-WORD_OR_MARKS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[!-&(-/:-@\[-`{-~]+|\n(?=[A-Za-zÀ-ÖØ-öø-ÿ])")
+from citypulse.llm import common
+
+# Kinds of bytes. Where two of the first three meet, a token surely ends.
+LETTER, DIGIT, MARK, APOSTROPHE, OTHER, UNSURE, SPACE, LINE_FEED = range(8)
+_KIND = np.full(256, UNSURE, np.uint8)
+_KIND[0x21:0x7F] = MARK
+_KIND[0x30:0x3A] = DIGIT
+_KIND[0x41:0x5B] = _KIND[0x61:0x7B] = LETTER
+_KIND[0x27], _KIND[0x20], _KIND[0x0A] = APOSTROPHE, SPACE, LINE_FEED
+#: leads of two-byte characters; À to ÿ but for × and ÷ are letters, from Ā on none is blank
+_LATIN, _TWO_BYTES, _NO_LETTERS = 0xC3, (0xC4, 0xDF), (0x97, 0xB7)
+#: longer pieces (in characters) are not worth remembering
+LONG = 32
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -25,21 +31,37 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _parts(piece: str) -> list[str]:
-    """The piece cut where the pre-tokeniser surely cuts, or whole."""
-    found = WORD_OR_MARKS.findall(piece)
-    return found if sum(map(len, found)) == len(piece) else [piece]
+def cuts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Byte positions where pieces begin, and the end of the texts.
+
+    A piece begins with each text; where letters, digits and ASCII marks meet;
+    and before a lone space and before and after a lone line feed between
+    characters that are surely not blank. Apostrophes are left where they are."""
+    size = len(raw)
+    kind = _KIND[raw]
+    latin = np.flatnonzero(raw == _LATIN)
+    latin = latin[~np.isin(raw[latin + 1], _NO_LETTERS)]
+    kind[latin] = kind[latin + 1] = LETTER
+    other = np.flatnonzero((raw >= _TWO_BYTES[0]) & (raw <= _TWO_BYTES[1]))
+    kind[other] = kind[other + 1] = OTHER
+    begin = np.zeros(size + 1, bool)
+    begin[1:-1] = (kind[1:] != kind[:-1]) & (np.maximum(kind[1:], kind[:-1]) <= MARK)
+    blank = np.flatnonzero(kind >= SPACE)
+    blank = blank[(blank > 0) & (blank < size - 1)]
+    blank = blank[(kind[blank - 1] <= OTHER) & (kind[blank + 1] <= OTHER)]
+    begin[blank] = True
+    begin[blank[kind[blank] == LINE_FEED] + 1] = True
+    begin[offsets] = True
+    return np.flatnonzero(begin)
 
 
 class Encoder:
     """Encodes texts with the tokenizers library, remembering pieces.
 
-    The vocabulary's pre-tokeniser always ends a token before a space that
-    stands between two non-blank characters, so a text can be cut there and
-    each piece encoded by itself, with equal ids. It also ends tokens where
-    letters meet other marks (apostrophes aside), so pieces with marks fall
-    into words and marks, which repeat more. The ids of up to ``most`` pieces
-    are remembered; each batch looks up its distinct pieces only.
+    Texts are cut where the vocabulary's pre-tokeniser surely ends a token
+    (see ``cuts``), so each piece can be encoded by itself, with equal ids. The
+    ids of up to ``most`` pieces are remembered; each batch looks up its
+    distinct pieces only.
     """
 
     def __init__(self, path: str, most: int = 900_000):
@@ -47,60 +69,39 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        # ids as little-endian 32-bit integers: of pieces after a space, and of parts inside pieces
-        self.memory: dict[str, bytes] = {}
-        self.inner: dict[str, bytes] = {}
+        self.memory: dict[str, bytes] = {}  # ids as little-endian 32-bit integers
         self.most = most
 
-    def _encode(self, strings: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each of some distinct pieces, as they are after a space."""
-        if len(self.memory) > self.most:  # the first ones met are the frequent ones
-            self.memory = dict(islice(self.memory.items(), self.most // 2))
+        """Ids of each of some distinct pieces."""
         ids = list(map(self.memory.get, pieces))
-        new = [p for p, i in zip(pieces, ids) if i is None]
+        new = [at for at, i in enumerate(ids) if i is None]
         if new:
-            # a piece with marks falls into a word, which is a piece itself, and other parts
-            broken = {p: b for p in new if not p.isalpha() and len(b := _parts(" " + p)) > 1}
-            words = {p for p in new if p not in broken} | {b[0][1:] for b in broken.values()}
-            words = list(words - self.memory.keys())
-            self.memory.update(zip(words, self._encode([" " + w for w in words])))
-            rest = list({x for b in broken.values() for x in b[1:]} - self.inner.keys())
-            self.inner.update(zip(rest, self._encode(rest)))
-            for p, b in broken.items():
-                self.memory[p] = b"".join((self.memory[b[0][1:]], *map(self.inner.__getitem__, b[1:])))
-            if len(self.inner) > self.most // 4:
-                self.inner.clear()
-            ids = [self.memory[p] if i is None else i for p, i in zip(pieces, ids)]
+            found = self.tokenizer.encode_batch_fast([pieces[at] for at in new], add_special_tokens=False)
+            for at, e in zip(new, found):
+                ids[at] = array("I", e.ids).tobytes()
+            self.memory.update((pieces[at], ids[at]) for at in new if len(pieces[at]) <= LONG)
+            if len(self.memory) > self.most:  # the first ones met are the frequent ones
+                self.memory = dict(islice(self.memory.items(), self.most // 2))
         return ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids one after another, number of ids of each text) of texts
         without nulls."""
-        if not len(texts):
-            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        raw, offsets = common.text_bytes(texts)
+        if not len(raw):
+            return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
+        edges = cuts(raw, offsets)
+        cut = pa.StringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(raw))
         collecting = gc.isenabled()
         gc.disable()  # the many short-lived strings hold no cycles
         try:
-            odd = pc.match_substring_regex(texts, TWO_BLANKS)
-            if pc.any(odd).as_py():
-                cut = pa.array([LONE_SPACE.split(t) if o else t.split(" ")
-                                for t, o in zip(texts.to_pylist(), odd.to_pylist())])
-            else:
-                cut = pc.split_pattern(texts, " ")
-            at = cut.offsets.to_numpy().astype(np.int64)
-            later = cut.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
-            at = at - at[0]
-            first = cut.values.take(cut.offsets[:-1]).dictionary_encode()
-            places = later.indices.to_numpy().astype(np.int64)
-            places[at[:-1]] = first.indices.to_numpy().astype(np.int64) + len(later.dictionary)
-            ids = self._ids(later.dictionary.to_pylist()) + self._encode(first.dictionary.to_pylist())
+            distinct = cut.dictionary_encode()
+            ids = self._ids(distinct.dictionary.to_pylist())
         finally:
             if collecting:
                 gc.enable()
+        places = distinct.indices.to_numpy()
         flat = np.frombuffer(b"".join(ids), "<u4")
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         begin = np.cumsum(size) - size
@@ -108,7 +109,8 @@ class Encoder:
         ends = np.cumsum(lengths)
         spread = np.repeat((begin[places] - (ends - lengths)).astype(np.int32), lengths)
         spread += np.arange(len(spread), dtype=np.int32)
-        return flat[spread], np.add.reduceat(lengths, at[:-1])
+        before = np.concatenate(([0], ends))[np.searchsorted(edges, offsets)]
+        return flat[spread], np.diff(before)
 
     def encode_each(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text."""

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -190,6 +191,9 @@ def test_pieces_encode_like_whole_texts(texts):
     whole = Tokenizer.from_file(tokens.default_vocabulary())
     whole.encode_special_tokens = True
     odd = ["", " ", "  a", "a  b", "x\n y", "x \ny", "it's I'LL", "a  b", "²³ ½", "\na b\n", "foo.\nBar", "a_b __ c", "'s 't"]
+    rnd = random.Random(5)
+    signs = [*"abZ'  \n\n19.,-!’“ \téàß×÷ŐЖя中。 \u0301\u0085\xa0½²ªº😀\x0b\x1c\r_$", "'s", "'ll", "<|endoftext|>"]
+    odd += ["".join(rnd.choices(signs, k=rnd.randint(0, 25))) for _ in range(3000)]
     given = [t for t in texts if t is not None] + odd
     for enc in (tokens.Encoder(tokens.default_vocabulary()), tokens.Encoder(tokens.default_vocabulary(), 20)):
         for at in range(0, len(given), 9):
