@@ -141,6 +141,11 @@ def _join_scoped_threshold(spark, sf_dir):
 # ------------------------------------------------------ W4 station distance
 
 
+def _rounded(report):
+    """Means to 4 decimals, for the comparison with the oracle."""
+    return report.withColumn("average_distance", F.round("average_distance", 4))
+
+
 def _own_rows(spark, sf_dir, strategy="auto"):
     return W4.own_station_rows(_parts(spark, sf_dir), _stations(spark, sf_dir), strategy)
 
@@ -152,16 +157,16 @@ def _nearest_rows(spark, sf_dir):
 
 @register("own_dist_by_year")
 def _own_by_year(spark, sf_dir):
-    return W4.report_sql(spark, _own_rows(spark, sf_dir), "year")
+    return _rounded(W4.report_sql(spark, _own_rows(spark, sf_dir), "year"))
 
 
 @register("own_dist_by_division")
 def _own_by_division(spark, sf_dir):
-    return W4.report_sql(spark, _own_rows(spark, sf_dir), "division")
+    return _rounded(W4.report_sql(spark, _own_rows(spark, sf_dir), "division"))
 
 
 def _own_variant(strategy):
-    return lambda spark, sf_dir: W4.by_division(_own_rows(spark, sf_dir, strategy))
+    return lambda spark, sf_dir: _rounded(W4.by_division(_own_rows(spark, sf_dir, strategy)))
 
 
 for _s, _key in (("broadcast", "broadcast"), ("merge", "merge"),
@@ -170,9 +175,9 @@ for _s, _key in (("broadcast", "broadcast"), ("merge", "merge"),
 
 
 def _own_sql_variant(strategy):
-    return lambda spark, sf_dir: W4.report_sql(
+    return lambda spark, sf_dir: _rounded(W4.report_sql(
         spark, W4.own_station_rows_sql(spark, _parts(spark, sf_dir), _stations(spark, sf_dir), strategy),
-        "division")
+        "division"))
 
 
 for _s, _key in (("broadcast", "broadcast"), ("merge", "merge"),
@@ -182,12 +187,12 @@ for _s, _key in (("broadcast", "broadcast"), ("merge", "merge"),
 
 @register("nearest_by_year")
 def _nearest_by_year(spark, sf_dir):
-    return W4.by_year(_nearest_rows(spark, sf_dir))
+    return _rounded(W4.by_year(_nearest_rows(spark, sf_dir)))
 
 
 @register("nearest_by_division")
 def _nearest_by_division(spark, sf_dir):
-    return W4.by_division(_nearest_rows(spark, sf_dir))
+    return _rounded(W4.by_division(_nearest_rows(spark, sf_dir)))
 
 
 # ------------------------------------------- single operators of the inventory

@@ -2,13 +2,12 @@
 
 The reference compares Catalyst's own choice with four join hints:
 BROADCAST, MERGE (sort-merge), SHUFFLE_HASH and SHUFFLE_REPLICATE_NL.  Here
-the strategy is an argument.  Two of them replicate one side to every task
-(broadcast: to each executor; replicate-NL: the cartesian product with the
-condition applied afterwards), so they are only applied after a row-count
-check of that side: beyond the bound the join falls back to a shuffle
-hash join on the same keys, which is exact and scales, and a warning is
-logged.  ``auto`` leaves the choice to Catalyst and AQE (size statistics,
-runtime re-planning, skew splitting).
+the strategy is an argument.  Two of them replicate one side and are only
+granted where the plan bounds that side, without running a job: broadcast by
+the optimizer's size in bytes, the nested loop by the most rows the plan can
+give (a LIMIT).  Beyond that the hint is left out, with a warning, and Catalyst
+and AQE choose the join as for ``auto`` (size statistics, runtime re-planning,
+skew splitting; sort-merge spills where a side does not fit).
 
 ``scoped_conf`` sets session options for the span of a block and restores
 them, the scoped form of the reference's session-wide threshold setting.
@@ -32,10 +31,10 @@ HINT_NAMES = {
     "shuffle_hash": "shuffle_hash",
     "shuffle_replicate_nl": "shuffle_replicate_nl",
 }
-# Row bounds for sides that get replicated.  A broadcast side is copied to
-# every executor once; a nested-loop side meets every row of the other side,
-# so only a lookup-sized side (e.g. a top/bottom-k set) qualifies.
-DEFAULT_REPLICATE_MAX_ROWS = 1_000_000
+# A broadcast side is copied to every executor once; a nested-loop side meets
+# every row of the other side, so only a lookup-sized one (a top/bottom-k set)
+# qualifies.
+BROADCAST_MAX_BYTES = 64 << 20
 NL_MAX_ROWS = 64
 
 
@@ -48,13 +47,25 @@ def check_strategy(strategy: str) -> str:
     return s
 
 
-def rows_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Reads at most ``max_rows + 1`` rows, so the check stays cheap on a large
-    side and only one number reaches the driver.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+def granted(side: DataFrame, strategy: str, max_bytes: int = BROADCAST_MAX_BYTES,
+            max_rows: int = NL_MAX_ROWS) -> str:
+    """The strategy itself, or ``auto`` where it would replicate ``side`` and
+    the plan does not bound it.  Reads the optimized plan's statistics only."""
+    s = check_strategy(strategy)
+    if s not in ("broadcast", "shuffle_replicate_nl"):
+        return s
+    plan = side._jdf.queryExecution().optimizedPlan()
+    if s == "broadcast":
+        size = int(str(plan.stats().sizeInBytes()))
+        if size <= max_bytes:
+            return s
+        log.warning("broadcast left out: the side has %d bytes by the optimizer, over %d", size, max_bytes)
+    else:
+        most = plan.maxRows()
+        if most.isDefined() and most.get() <= max_rows:
+            return s
+        log.warning("nested loop left out: the plan does not hold the side to %d rows", max_rows)
+    return "auto"
 
 
 def hinted(df: DataFrame, strategy: str) -> DataFrame:
@@ -64,21 +75,15 @@ def hinted(df: DataFrame, strategy: str) -> DataFrame:
 
 def strategy_join(left: DataFrame, right: DataFrame, on: Sequence[str] | Column,
                   how: str = "inner", strategy: str = "auto", hint_side: str = "right",
-                  max_rows: int | None = None) -> DataFrame:
+                  max_bytes: int = BROADCAST_MAX_BYTES, max_rows: int = NL_MAX_ROWS) -> DataFrame:
     """Join ``left`` and ``right`` with the named physical strategy.
 
     ``hint_side`` is the side the hint names (the build / replicated side
-    for broadcast, hash and nested-loop joins).  For ``broadcast`` and
-    ``shuffle_replicate_nl`` that side is size-checked first.
+    for broadcast, hash and nested-loop joins); see ``granted`` for the bounds
+    on a replicated side.
     """
-    s = check_strategy(strategy)
     side = right if hint_side == "right" else left
-    if s in ("broadcast", "shuffle_replicate_nl"):
-        bound = max_rows or (DEFAULT_REPLICATE_MAX_ROWS if s == "broadcast" else NL_MAX_ROWS)
-        if not rows_at_most(side, bound):
-            log.warning("join strategy %s refused: %s side has more than %d rows; "
-                        "using shuffle_hash", s, hint_side, bound)
-            s = "shuffle_hash"
+    s = granted(side, strategy, max_bytes, max_rows)
     side = hinted(side, s)
     if hint_side == "right":
         right = side

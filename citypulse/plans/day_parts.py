@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import dayparts as D
 from ..operators.rows import q
 from ..sources.csv import union_parts
-from .incidents import combined
+from .incidents import distinct_incidents
 from .top_months import register_parts
 
 STREET = "STREET"
@@ -32,7 +32,7 @@ STREET = "STREET"
 def day_parts_df(parts: Sequence[DataFrame], premise: str = STREET,
                  labels=D.GREEKLISH, pad: bool = False,
                  dedup_keys: Sequence[str] | None = None) -> DataFrame:
-    street = combined(parts, dedup_keys).filter(q("Premis Desc") == premise)
+    street = distinct_incidents(parts, ["TIME OCC"], q("Premis Desc") == premise, dedup_keys)
     labelled = street.select(D.by_text(q("TIME OCC"), labels, pad).alias("TIME_OF_THE_DAY"))
     counts = labelled.groupBy("TIME_OF_THE_DAY").agg(F.count(F.lit(1)).alias("count"))
     return counts.orderBy(F.col("count").desc(), F.col("TIME_OF_THE_DAY"))
@@ -65,8 +65,8 @@ def day_parts_sql(spark: SparkSession, parts: Sequence[DataFrame], premise: str
 
 
 def day_parts_rows(parts: Sequence[DataFrame], premise: str = STREET,
-                   labels=D.GREEK) -> DataFrame:
-    street = union_parts(parts).filter(q("Premis Desc") == premise).distinct()
+                   labels=D.GREEK, dedup_keys: Sequence[str] | None = None) -> DataFrame:
+    street = distinct_incidents(parts, ["TIME OCC"], q("Premis Desc") == premise, dedup_keys)
     labelled = street.select(D.by_hour(q("TIME OCC"), labels).alias("time_period"))
     counts = labelled.groupBy("time_period").agg(F.count(F.lit(1)).alias("count"))
     return counts.orderBy(F.col("count").desc(), F.col("time_period"))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lenient as L
-from ..operators.rows import dedup_rows, q
+from ..operators.rows import dedup_rows, project, q
 from ..sources.csv import union_parts
 
 DATE_COLUMNS = ("Date Rptd", "DATE OCC")
@@ -21,6 +21,23 @@ def combined(parts: Sequence[DataFrame], dedup_keys: Sequence[str] | None = None
     return dedup_rows(union_parts(parts), dedup_keys)
 
 
+def distinct_incidents(parts: Sequence[DataFrame], used: Sequence[str], where: Column | None = None,
+                       dedup_keys: Sequence[str] | None = None) -> DataFrame:
+    """The distinct incidents of a report: filter, then dedupe.
+
+    Rows are compared whole, or with ``dedup_keys`` (e.g. ``["DR_NO"]``) by
+    those keys and the ``used`` columns. The latter is the same where rows with
+    one key are copies; scan and shuffle then carry only those columns. Copies
+    that differ in a used column count separately, so no arbitrary one is kept.
+    """
+    rows = union_parts(parts)
+    if where is not None:
+        rows = rows.filter(where)
+    if dedup_keys:
+        rows = project(rows, list(dict.fromkeys([*dedup_keys, *used])))
+    return rows.distinct()
+
+
 def typed(df: DataFrame) -> DataFrame:
     """Lenient types: dates -> timestamp, age -> int, coordinates -> double.
 

@@ -10,8 +10,8 @@ Plan (same rows, less data moved):
    counts, and geocode rows to (LAT, LON, ZIP5) counts, so a hot position
    crosses the shuffle once per task and the join sums count products
    instead of multiplying rows;
-2. the top/bottom set (at most 2k rows, bounded by its LIMITs) becomes a
-   broadcast semi-join filter on the geocode, so only geocode rows of the
+2. the top/bottom set (at most 2k rows by its LIMITs) becomes a semi-join
+   filter, broadcast where granted, on the geocode, so only geocode rows of the
    chosen ZIPs reach the big join;
 3. the two joins take the selected strategy (Catalyst's choice by default);
 4. the descent label is a literal-map lookup, not a join.
@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 
 from ..functions import lenient as L
 from ..functions.labels import DESCENT_LABELS, decode
-from ..operators.joins import strategy_join
+from ..operators.joins import granted, strategy_join
 from ..operators.rows import q, top_bottom_k
 from ..sources.csv import trim_names
-from .incidents import combined
+from .incidents import distinct_incidents
 from .top_months import register_parts
 
 # Fixed value: the reference's community filter.
@@ -68,15 +68,15 @@ def descent_counts(parts: Sequence[DataFrame], geocode: DataFrame,
     ``normalize_keys`` joins positions as numbers (``34.10`` = ``34.1``)
     instead of as text."""
     key = (lambda c: L.number_key(q(c))) if normalize_keys else q
-    inc = (combined(parts, dedup_keys).filter(q("Vict Descent").isNotNull())
+    inc = (distinct_incidents(parts, ["LAT", "LON", "Vict Descent"], q("Vict Descent").isNotNull(), dedup_keys)
            .groupBy(key("LAT").alias("LAT"), key("LON").alias("LON"), q("Vict Descent"))
            .agg(F.count(F.lit(1)).alias("n")))
     geo = (trim_names(geocode).filter(q("ZIPcode").isNotNull())
            .select(key("LAT").alias("g_lat"), key("LON").alias("g_lon"),
                    L.zip_prefix(q("ZIPcode")).alias("zip_code")))
     if zips is not None:
-        geo = geo.join(F.broadcast(zips.select(F.col("zip_code").alias("__z")).distinct()),
-                       F.col("zip_code") == F.col("__z"), "left_semi")
+        chosen = zips.select(F.col("zip_code").alias("__z")).distinct()
+        geo = strategy_join(geo, chosen, F.col("zip_code") == F.col("__z"), "left_semi", "broadcast")
     # geocode rows repeating a (position, ZIP5) multiply the join; count them
     # instead, so a crowded position is one row on each side
     geo = geo.groupBy("g_lat", "g_lon", "zip_code").agg(F.count(F.lit(1)).alias("g"))
@@ -97,7 +97,6 @@ def income_extremes(parts: Sequence[DataFrame], geocode: DataFrame, income: Data
     zips = t.select(q("Zip Code").alias("zip_code"))
     cz = descent_counts(parts, geocode, zips, strategy, side1, dedup_keys, normalize_keys)
     strat = "merge" if strategy == "merge_small" else strategy
-    # the top/bottom side is bounded by 2k rows: a replicated side is safe
     joined = strategy_join(cz, t, cz["zip_code"] == t["Zip Code"], "inner", strat, side2)
     return (joined.select(
         q("Zip Code"),
@@ -119,22 +118,11 @@ SQL_HINTS = {
 }
 
 
-def _guarded_geo_hint(spark: SparkSession, strategy: str, geo_sql: str, texts: dict) -> str:
-    """The geocode-side hint, or SHUFFLE_HASH when the side is over the bound."""
-    from ..operators.joins import DEFAULT_REPLICATE_MAX_ROWS, NL_MAX_ROWS, rows_at_most
-    hint = SQL_HINTS[strategy][0]
-    bound = {"broadcast": DEFAULT_REPLICATE_MAX_ROWS, "shuffle_replicate_nl": NL_MAX_ROWS}.get(strategy)
-    if bound is not None and not rows_at_most(spark.sql(geo_sql, args=texts), bound):
-        return "/*+ SHUFFLE_HASH(g) */"
-    return hint
-
-
 def income_extremes_sql(spark: SparkSession, parts: Sequence[DataFrame], geocode: DataFrame,
                         income: DataFrame, community_like: str = COMMUNITY_LIKE,
                         k: int = K, labels=DESCENT_LABELS, strategy: str = "auto") -> DataFrame:
     """W3 as one SQL text over temp views; ``strategy`` adds the reference's
-    SQL join hints (size-guarded like the DataFrame form; the top/bottom side
-    holds at most 2k rows)."""
+    SQL join hints (granted as in the DataFrame form)."""
     views = register_parts(parts, "cp_w3")
     trim_names(geocode).createOrReplaceTempView("cp_w3_geocode")
     trim_names(income).createOrReplaceTempView("cp_w3_income")
@@ -160,12 +148,11 @@ def income_extremes_sql(spark: SparkSession, parts: Sequence[DataFrame], geocode
         WHERE ZIPcode IS NOT NULL
           AND substring(ZIPcode, 1, 5) IN (SELECT `Zip Code` FROM top_and_last)
         GROUP BY LAT, LON, substring(ZIPcode, 1, 5)"""
-    hint1 = SQL_HINTS[strategy][0]
-    if strategy in ("broadcast", "shuffle_replicate_nl"):
-        hint1 = _guarded_geo_hint(
-            spark, strategy,
-            f"WITH la_income AS ({la_income}), top_and_last AS ({top_and_last}) {geo}", {"community": community_like})
-    hint2 = SQL_HINTS[strategy][1]
+    picks = f"WITH la_income AS ({la_income}), top_and_last AS ({top_and_last})"
+    strat = "merge" if strategy == "merge_small" else strategy
+    allowed = [granted(spark.sql(f"{picks} {text}", args={"community": community_like}), strat) == strat
+               for text in (geo, "SELECT * FROM top_and_last")]
+    hint1, hint2 = (h if ok else "" for h, ok in zip(SQL_HINTS[strategy], allowed))
     return spark.sql(f"""
     WITH combined_crime_data AS (
         {union}

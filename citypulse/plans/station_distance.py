@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 
 from ..functions import lenient as L
 from ..functions.geodesy import with_geodesic_km
-from ..operators.joins import strategy_join
+from ..operators.joins import granted, strategy_join
 from ..operators.nearest import nearest
 from ..operators.rows import q
-from ..sources.csv import trim_names, union_parts
+from ..sources.csv import trim_names
+from .incidents import distinct_incidents
 
 # The firearm code range [100, 200) and the "no position" text.
 FIREARM_CODES = (100, 200)
@@ -42,9 +43,9 @@ def firearm_filter(df: DataFrame, codes=FIREARM_CODES) -> DataFrame:
 def firearm_incidents(parts: Sequence[DataFrame], codes=FIREARM_CODES,
                       dedup_keys: Sequence[str] | None = None) -> DataFrame:
     """Filter in every part, then UNION (distinct), as the reference does;
-    ``dedup_keys`` dedupes on a record key instead of the full row."""
-    u = union_parts([firearm_filter(trim_names(p), codes) for p in parts])
-    return u.dropDuplicates(list(dedup_keys)) if dedup_keys else u.distinct()
+    ``dedup_keys``: see ``distinct_incidents`` (its columns only)."""
+    filtered = [firearm_filter(trim_names(p), codes) for p in parts]
+    return distinct_incidents(filtered, ["AREA", "DATE OCC", "LAT", "LON"], dedup_keys=dedup_keys)
 
 
 def _year() -> F.Column:
@@ -99,7 +100,7 @@ def nearest_station_rows(parts: Sequence[DataFrame], stations: DataFrame,
 def _weighted(rows: DataFrame, key: F.Column, key_name: str) -> DataFrame:
     d, n = F.col("distance"), F.col("n")
     return rows.groupBy(key.alias(key_name)).agg(
-        F.round(F.sum(d * n) / F.sum(F.when(d.isNotNull(), n)), 4).alias("average_distance"),
+        (F.sum(d * n) / F.sum(F.when(d.isNotNull(), n))).alias("average_distance"),
         F.sum(n).cast("bigint").alias("count"))
 
 
@@ -115,7 +116,7 @@ def report_sql(spark: SparkSession, rows: DataFrame, by: str) -> DataFrame:
     """The two reports as SQL over a temp view of the distance rows."""
     view = "cp_w4_distances"
     rows.createOrReplaceTempView(view)
-    avg = "round(sum(distance * n) / sum(CASE WHEN distance IS NOT NULL THEN n END), 4)"
+    avg = "sum(distance * n) / sum(CASE WHEN distance IS NOT NULL THEN n END)"
     if by == "year":
         return spark.sql(f"""
         WITH queryA AS (
@@ -144,18 +145,13 @@ SQL_HINTS = {
 def own_station_rows_sql(spark: SparkSession, parts: Sequence[DataFrame], stations: DataFrame,
                          strategy: str = "auto", codes=FIREARM_CODES) -> DataFrame:
     """W4a distance rows as one SQL text over temp views, with the
-    reference's SQL join hint (size-guarded: a broadcast or nested-loop
-    stations side over its bound becomes SHUFFLE_HASH)."""
+    reference's SQL join hint (granted as in the DataFrame form)."""
     from ..functions.geodesy import vincenty_steps, _batches
-    from ..operators.joins import DEFAULT_REPLICATE_MAX_ROWS, NL_MAX_ROWS, rows_at_most
     from .top_months import register_parts
 
     views = register_parts([trim_names(p) for p in parts], "cp_w4")
     trim_names(stations).createOrReplaceTempView("cp_w4_stations")
-    hint = SQL_HINTS[strategy]
-    bound = {"broadcast": DEFAULT_REPLICATE_MAX_ROWS, "shuffle_replicate_nl": NL_MAX_ROWS}.get(strategy)
-    if bound is not None and not rows_at_most(spark.table("cp_w4_stations"), bound):
-        hint = SQL_HINTS["shuffle_hash"]
+    hint = SQL_HINTS[granted(spark.table("cp_w4_stations"), strategy)]
     w = "try_cast(`Weapon Used Cd` AS INT)"
     cond = f"{w} >= {codes[0]} AND {w} < {codes[1]} AND LAT != '{ZERO_TEXT}' AND LON != '{ZERO_TEXT}'"
     union = "\n        UNION\n        ".join(f"SELECT * FROM {v} WHERE {cond}" for v in views)

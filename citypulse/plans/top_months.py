@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 
 from ..functions import lenient as L
 from ..operators.rows import q, top_n_per_group
-from .incidents import typed_ingest
+from .incidents import distinct_incidents, typed
 
 
 def top_months_df(parts: Sequence[DataFrame], n: int = 3,
                   dedup_keys: Sequence[str] | None = None) -> DataFrame:
-    """``dedup_keys`` (e.g. ``["DR_NO"]``) dedupes on a record key instead of
-    the full row: only the key and the date then cross the shuffle."""
-    inc = typed_ingest(parts, dedup_keys)
+    """``dedup_keys`` (e.g. ``["DR_NO"]``) compares the record key and the
+    date instead of full rows: only these then cross the shuffle."""
+    inc = typed(distinct_incidents(parts, ["DATE OCC"], dedup_keys=dedup_keys))
     ym = inc.select(L.year_of(q("DATE OCC")).alias("Year"), L.month_of(q("DATE OCC")).alias("Month"))
     counts = ym.groupBy("Year", "Month").agg(F.count(F.lit(1)).alias("count"))
     ranked = top_n_per_group(counts.filter(F.col("Year").isNotNull()), ["Year"],

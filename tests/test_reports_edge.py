@@ -11,6 +11,7 @@ import pandas as pd
 import pytest
 
 from citypulse import oracle
+from citypulse.catalog import _rounded
 from citypulse.plans import day_parts as W2
 from citypulse.plans import income_extremes as W3
 from citypulse.plans import station_distance as W4
@@ -168,8 +169,8 @@ def test_top_and_last_overlap_when_few_rows(env):
 def test_own_station_every_strategy(env, strategy):
     t, con, base = env
     rows = W4.own_station_rows(t["parts"], t["stations"], strategy)
-    check(W4.by_year(rows), con, base, oracle.SQL["own_dist_by_year"])
-    check(W4.by_division(rows), con, base, oracle.SQL["own_dist_by_division"])
+    check(_rounded(W4.by_year(rows)), con, base, oracle.SQL["own_dist_by_year"])
+    check(_rounded(W4.by_division(rows)), con, base, oracle.SQL["own_dist_by_division"])
 
 
 def test_own_station_text_join_and_filters(env):
@@ -187,8 +188,8 @@ def test_own_station_text_join_and_filters(env):
 def test_nearest_station_reports(env):
     t, con, base = env
     rows = W4.nearest_station_rows(t["parts"], t["stations"])
-    check(W4.by_year(rows), con, base, oracle.SQL["nearest_by_year"])
-    got = check(W4.by_division(rows), con, base, oracle.SQL["nearest_by_division"])
+    check(_rounded(W4.by_year(rows)), con, base, oracle.SQL["nearest_by_year"])
+    got = check(_rounded(W4.by_division(rows)), con, base, oracle.SQL["nearest_by_division"])
     assert "Twin" not in {g[2] for g in got}     # tie with Central: first station wins
 
 
@@ -215,9 +216,13 @@ def test_income_extremes_sql_hints(env, strategy):
     check(df, con, base, oracle._income_extremes(W3.COMMUNITY_LIKE))
     plan = df._jdf.queryExecution().executedPlan().toString()
     expect = {"broadcast": "BroadcastHashJoin", "merge": "SortMergeJoin", "merge_small": "SortMergeJoin",
-              "shuffle_hash": "ShuffledHashJoin", "shuffle_replicate_nl": "CartesianProduct"}
+              "shuffle_hash": "ShuffledHashJoin"}
     if strategy in expect:
         assert expect[strategy] in plan
+    if strategy == "shuffle_replicate_nl":  # only where the plan bounds the stations
+        assert "CartesianProduct" not in plan
+        few = W4.own_station_rows_sql(spark, t["parts"], t["stations"].limit(50), strategy)
+        assert "CartesianProduct" in few._jdf.queryExecution().executedPlan().toString()
 
 
 def test_replicate_nl_applies_to_the_top_bottom_join(env, spark):
@@ -226,8 +231,7 @@ def test_replicate_nl_applies_to_the_top_bottom_join(env, spark):
     with scoped_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
         df = W3.income_extremes(t["parts"], t["geocode"], t["income"], "shuffle_replicate_nl")
         plan = df._jdf.queryExecution().executedPlan().toString()
-    # both sides are small here, so both joins may replicate; at least the
-    # 6-row top/bottom join must
+    # only the 6-row top/bottom side is bounded by its plan
     assert "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan
 
 
@@ -236,12 +240,16 @@ def test_own_station_sql_hints(env, strategy):
     t, con, base = env
     spark = t["parts"][0].sparkSession
     rows = W4.own_station_rows_sql(spark, t["parts"], t["stations"], strategy)
-    check(W4.report_sql(spark, rows, "division"), con, base, oracle.SQL["own_dist_by_division"])
+    check(_rounded(W4.report_sql(spark, rows, "division")), con, base, oracle.SQL["own_dist_by_division"])
     plan = rows._jdf.queryExecution().executedPlan().toString()
     expect = {"broadcast": "BroadcastHashJoin", "merge": "SortMergeJoin",
-              "shuffle_hash": "ShuffledHashJoin", "shuffle_replicate_nl": "CartesianProduct"}
+              "shuffle_hash": "ShuffledHashJoin"}
     if strategy in expect:
         assert expect[strategy] in plan
+    if strategy == "shuffle_replicate_nl":  # only where the plan bounds the stations
+        assert "CartesianProduct" not in plan
+        few = W4.own_station_rows_sql(spark, t["parts"], t["stations"].limit(50), strategy)
+        assert "CartesianProduct" in few._jdf.queryExecution().executedPlan().toString()
 
 
 def test_normalized_keys_match_differently_spelled_numbers(env):
