@@ -29,6 +29,25 @@ def test_stages(spark):
     assert sum(p["length"] for p in packed) == sum({p["doc_id"]: p["doc_tokens"] for p in packed}.values())
 
 
+def test_near_copies_from_four_fifths_go(spark):
+    def changed(words, times):  # each change costs five of the 996 shingles on both sides
+        return [f"other{i}" if i % 10 == 5 and i < 10 * times else w for i, w in enumerate(words)]
+
+    texts = {}
+    for at, times in enumerate((0, 21, 23)):
+        words = [f"w{at}x{i}" for i in range(1000)]
+        texts[2 * at] = words
+        texts[2 * at + 1] = changed(words, times) if times else words + [f"more{i}" for i in range(200)]
+    shared = []
+    for at in (0, 2, 4):
+        a, b = ({tuple(texts[i][k:k + 5]) for k in range(len(texts[i]) - 4)} for i in (at, at + 1))
+        shared.append(len(a & b) / len(a | b))
+    assert 0.8 <= shared[1] < shared[0] < 0.85 and 0.79 < shared[2] < 0.8
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    kept = corpus_pipeline.ngram_jaccard_join(spark, docs, SF)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 4, 5]
+
+
 def test_every_operator_is_registered():
     assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 11))
     assert set(queries.SQL) <= set(queries.QUERIES)
