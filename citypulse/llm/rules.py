@@ -1,14 +1,20 @@
 """Quality rules with risk-controlled thresholds.
 
-Every rule is a statistic of a text that is high for bad texts. Per stratum
-and rule, the labelled good documents show, for each cutoff of a grid, how
-many of them the rule would reject. A cutoff is admitted if the exact
-(Clopper-Pearson) upper bound on its rate of false rejection, at a
-confidence corrected for all cutoffs, rules and strata tested (Bonferroni), is at
-most the rule's share of the risk; the strictest admitted cutoff is used.
-So with probability at least 1 - delta, no stratum loses more than ``risk`` of
-its good documents to the rules. A stratum without enough evidence gets no
-cutoff and loses nothing.
+Every rule is a statistic of a text that is high for bad texts. Per stratum,
+the labelled good documents bound the cutoffs of all rules together, by
+statistically equivalent blocks (Wald, Tukey, Fraser): the rules in turn cut
+away the good documents that are highest by them among those still left, and
+each takes the value of the last one it cut away as its cutoff. However the rules
+depend on each other, the share of good documents beyond any cutoff is then
+at most Beta(a, n + 1 - a) for a of n documents cut away, ties making it less; so it
+exceeds ``risk`` with the probability that a binomial (n, risk) is under a. The
+largest a is taken for which this is at most the stratum's part of ``delta``.
+It depends on n alone, so neither the grid nor the number of rules costs
+confidence, and strata with too few documents to cut one away take no part of
+``delta``. So with probability at least 1 - delta, no stratum loses more than
+``risk`` of its good documents to the rules. With 1 % and 5 % a single stratum
+needs 299 good documents for its first rule, one of four 437. Smaller ones
+get no cutoff and lose nothing.
 """
 
 from __future__ import annotations
@@ -143,8 +149,10 @@ def upper_bound(k: int, n: int, alpha: float) -> float:
 
 
 def cutoffs(good: DataFrame, stratum: str = "stratum", risk: float = 0.01, delta: float = 0.05) -> DataFrame:
-    """Per stratum and rule the strictest admitted cutoff: columns stratum,
-    rule, cutoff, n_good, n_rejected, bound. ``good`` has the rule columns
+    """Per stratum and rule, each rule by itself with an equal share of the
+    risk, the strictest cutoff of the grid that an exact (Clopper-Pearson) bound
+    admits, corrected for all cutoffs, rules and strata (Bonferroni). It takes
+    thousands of documents; ``joint_cutoffs`` is what ``judged`` uses. Columns stratum, rule, cutoff, n_good, n_rejected, bound. ``good`` has the rule columns
     of the labelled good documents. Counts by (stratum, rule, grid cell) are
     made by Spark; the bounds are computed on those few rows per stratum."""
     cells = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("value")) for r in RULES])
@@ -170,6 +178,61 @@ def cutoffs(good: DataFrame, stratum: str = "stratum", risk: float = 0.01, delta
         choose, "stratum string, rule string, cutoff long, n_good long, n_rejected long, bound double")
 
 
+def blocks_for(n: int, risk: float, alpha: float) -> int:
+    """The most of ``n`` documents that may be cut away: the largest a with
+    P(X < a | n, risk) <= alpha."""
+    low, high = 0, n
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if binomial_tail(mid - 1, n, risk) <= alpha else (low, mid - 1)
+    return low
+
+
+def joint_cutoffs(good: DataFrame, stratum: str = "stratum", risk: float = 0.01, delta: float = 0.05) -> DataFrame:
+    """Per stratum and rule the cutoff, where there is one: columns stratum, rule,
+    cutoff, n_good, n_rejected (by any rule), bound (on the share that all
+    rules together reject). ``good`` has the rule columns of the labelled good
+    documents. The documents a stratum may lose are dealt evenly to the rules,
+    the first ones in order first. Spark counts by stratum and grid cells; the
+    driver sees how many strata have how many documents, up to a number that
+    suffices for any."""
+    grid = F.array(*[F.lit(g) for g in GRID])
+    cell = lambda r: F.size(F.filter(grid, lambda g: g < F.col(r)))
+    cells = common.written(
+        good.select(F.col(stratum).alias("stratum"), *[cell(r).alias(r) for r in RULES])
+        .groupBy("stratum", *RULES).agg(F.count(F.lit(1)).alias("n")), "rule-cells")
+    needed = lambda parts: math.ceil(math.log(delta / parts) / math.log1p(-risk))
+    sizes = (cells.groupBy("stratum").agg(F.sum("n").alias("n"))
+             .groupBy(F.least("n", F.lit(needed(10 ** 9)).cast("long")).alias("n")).agg(F.count(F.lit(1)).alias("strata")).collect())
+    parts = 1  # no more strata than parts get cutoffs
+    while sum(r["strata"] for r in sizes if r["n"] >= needed(parts)) > parts:
+        parts += 1
+    alpha = delta / parts
+    columns = ["stratum", "rule", "cutoff", "n_good", "n_rejected", "bound"]
+
+    def choose(group: pd.DataFrame) -> pd.DataFrame:
+        at, left = group[list(RULES)].to_numpy(), group["n"].to_numpy().copy()
+        n = int(left.sum())
+        blocks = blocks_for(n, risk, alpha)
+        found, rejected = [], np.zeros(len(group), bool)
+        for i, rule in enumerate(RULES):
+            own = blocks // len(RULES) + (i < blocks % len(RULES))
+            if not own:
+                break
+            order = np.lexsort((*at.T, at[:, i]))[::-1]  # equal cells of the rule: by all cells
+            taken = np.minimum(left[order], np.maximum(0, own - (np.cumsum(left[order]) - left[order])))
+            last = int(at[order[np.flatnonzero(taken)[-1]], i])
+            left[order] -= taken
+            if last < len(GRID):
+                rejected |= at[:, i] > last
+                found.append((rule, GRID[last]))
+        lost, bound = int(group["n"].to_numpy()[rejected].sum()), upper_bound(blocks - 1, n, alpha) if blocks else 1.0
+        return pd.DataFrame([(group["stratum"].iloc[0], r, c, n, lost, bound) for r, c in found], columns=columns)
+
+    return cells.groupBy("stratum").applyInPandas(
+        choose, "stratum string, rule string, cutoff long, n_good long, n_rejected long, bound double")
+
+
 def judged(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", risk: float = 0.01,
            delta: float = 0.05, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, the counts, base_failed, failed_rules
@@ -194,7 +257,7 @@ def judged(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", risk:
                         & F.coalesce(F.col("toxic") == 0, F.lit(True))).alias("good"))
              .where("good").select("doc_id"))
     good = stats.join(clean, "doc_id", "left_semi").where(~F.col("base_failed"))
-    limits = (cutoffs(good, "stratum", risk, delta).groupBy("stratum")
+    limits = (joint_cutoffs(good, "stratum", risk, delta).groupBy("stratum")
               .pivot("rule", list(RULES)).agg(F.max("cutoff")))
     limits = limits.select("stratum", *[F.col(r).alias(f"limit_{r}") for r in RULES])
     broken = F.array_compact(F.array(*[F.when(F.col(r) > F.col(f"limit_{r}"), F.lit(r)) for r in RULES]))

@@ -332,6 +332,41 @@ def test_cutoffs_respect_the_bound(spark):
     assert all(r["bound"] <= 0.6 / len(rules.RULES) and r["cutoff"] == 100 for r in found)
 
 
+def test_joint_cutoffs(spark):
+    for n, risk, alpha in ((298, 0.01, 0.05), (299, 0.01, 0.05), (436, 0.01, 0.0125), (437, 0.01, 0.0125), (3000, 0.01, 0.02)):
+        a = rules.blocks_for(n, risk, alpha)
+        tail = lambda k: sum(math.comb(n, i) * risk ** i * (1 - risk) ** (n - i) for i in range(k))
+        assert tail(a) <= alpha < tail(a + 1)
+    names = list(rules.RULES)
+    rnd = random.Random(8)
+    rows = [("large", *(rnd.random() * 900 for _ in names)) for _ in range(2000)] + [("few", *[1.0] * len(names))] * 200
+    rows += [("some", *[1.0] * len(names))] * 500
+    schema = "stratum string, " + ", ".join(f"{r} double" for r in names)
+    found = {(r["stratum"], r["rule"]): r for r in rules.joint_cutoffs(spark.createDataFrame(rows, schema)).collect()}
+    assert {s for s, _ in found} == {"large", "some"} and found["some", names[0]]["cutoff"] == 5
+    assert [r for s, r in found if s == "large"] and all(r["bound"] <= 0.01 for r in found.values())
+    limit = {r: found["large", r]["cutoff"] if ("large", r) in found else math.inf for r in names}
+    lost = sum(any(v > limit[r] for r, v in zip(names, row[1:])) for row in rows[:2000])
+    assert lost <= rules.blocks_for(2000, 0.01, 0.025) and all(r["n_rejected"] == lost for (s, _), r in found.items() if s == "large")
+
+
+def test_rules_reject_planted_junk(spark):
+    rnd = random.Random(9)
+    words = "house river stone garden winter letter paper morning street window".split()
+    prose = lambda: " ".join(rnd.choice(words) for _ in range(60))
+    junk = {"symbols": lambda: prose().replace(" ", " ## "), "dup_lines": lambda: (prose()[:40] + "\n") * 2 + prose(),
+            "upper": lambda: prose().upper(), "marks": lambda: prose().replace(" ", "! ")}
+    rows = [(i, prose(), "en") for i in range(1500)]
+    rows += [(2000 + 10 * k + i, junk[rule](), "en") for k, rule in enumerate(junk) for i in range(10)]
+    docs = spark.createDataFrame(rows + [(3000, junk["marks"](), "xx")], "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(i, 1, 0) for i in range(1400)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in rules.judged(docs, marks).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    for k, rule in enumerate(junk):
+        assert all(rule in got[2000 + 10 * k + i]["failed_rules"] and not got[2000 + 10 * k + i]["kept"] for i in range(10))
+    assert got[3000]["kept"] and sum(not got[i]["kept"] for i in range(1500)) <= 15
+
+
 # ------------------------------------------------------------ 9
 def brute_tree(train, text, depth):
     """Plain recursion over all contexts, from the definition."""
