@@ -108,7 +108,8 @@ def _rows(windows: Iterator[list[tuple]], size: int, base: int) -> Iterator[tupl
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 2048,
-         end_id: int = 1, vocabulary: str | None = None, remembered: int = 900_000) -> DataFrame:
+         end_id: int = 1, vocabulary: str | None = None, remembered: int = 900_000,
+         added: bool = False) -> DataFrame:
     """Pieces of all documents, packed into windows of ``size`` tokens.
 
     Columns: doc_id, start (the document's ids before the piece), length,
@@ -120,7 +121,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     A null or empty text is its end id alone. A null id stays null and
     repeated rows are packed each for itself. An empty table gives no rows.
     Further columns are not read. ``remembered``: pieces whose ids a worker
-    keeps (about 250 bytes each, also between tasks). Window ids are unique, not consecutive
+    keeps (about 250 bytes each, also between tasks). ``added``: strings of the
+    vocabulary's added tokens in a text are those tokens (see ``Encoder``). Window ids are unique, not consecutive
     (partition number times 2^33, plus a count). Memory per task: the open
     windows, whose number grows as the square root of the partition's rows.
     """
@@ -128,7 +130,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches_in):
-        packer, enc = Packer(size), encoder(path, remembered)
+        packer, enc = Packer(size), encoder(path, remembered, added)
 
         def windows():
             for batch in batches_in:

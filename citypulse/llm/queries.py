@@ -40,7 +40,7 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = scratch_path(spark, "token-shards")
-    token_files.write_shards(docs, path)
+    token_files.write_shards(docs, path, added=True)
     shards = token_files.read_shards(spark, path)
     records = written(shards.withColumn("ids_crc32", F.crc32("token_ids")).drop("token_ids"), "token-records")
     index = written(token_files.build_index(records), "token-index")
@@ -81,7 +81,7 @@ def op9_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents")).select(
+    return packing.pack(table(spark, sf_dir, "documents"), added=True).select(
         "doc_id", "start", "length", F.crc32("token_ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

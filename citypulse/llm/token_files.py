@@ -38,7 +38,7 @@ U64 = np.uint64
 
 def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
                  end_id: int = 2, id_bytes: int = 2, shard_bytes: int = 16 << 20,
-                 vocabulary: str | None = None) -> None:
+                 vocabulary: str | None = None, added: bool = False) -> None:
     """Encode every text, append ``end_id`` and write shards in key order.
 
     Texts are encoded where they are read; the records, half as large, are
@@ -47,7 +47,8 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     shards larger or smaller and nothing else. A null or empty text is its end
     id alone; null keys come first; rows with equal keys follow one another
     (ordered by a hash of the text) and stay in one shard. ``id_bytes`` is 2 for
-    vocabularies under 65,536 ids, else 4. An empty table gives empty files.
+    vocabularies under 65,536 ids, else 4. ``added``: strings of the vocabulary's
+    added tokens in a text are those tokens (see ``Encoder``). An empty table gives empty files.
     Further columns are not read.
     """
     vocab = vocabulary or default_vocabulary()
@@ -61,7 +62,7 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     bounds = docs.sparkSession.sparkContext.broadcast(np.array(last or [], np.int64))  # 8 bytes a shard
 
     def records(batches_in):
-        enc = encoder(vocab, 300_000)  # a worker serves the sort of the records too, which takes memory
+        enc = encoder(vocab, 300_000, added)  # a worker serves the sort of the records too, which takes memory
         for batch in batches_in:
             for part in common.by_bytes(batch, "text", 6 << 20):
                 keys, out = part.column("key").to_pylist(), []

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 from array import array
 from itertools import islice
 
@@ -23,7 +24,7 @@ _KIND[0x27], _KIND[0x20], _KIND[0x0A] = APOSTROPHE, SPACE, LINE_FEED
 _LATIN, _TWO_BYTES, _NO_LETTERS = 0xC3, (0xC4, 0xDF), (0x97, 0xB7)
 #: longer pieces (in characters) are not worth remembering
 LONG = 32
-_ENCODERS: dict[str, "Encoder"] = {}
+_ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
 
 
 def default_vocabulary() -> str:
@@ -62,13 +63,24 @@ class Encoder:
     (see ``cuts``), so each piece can be encoded by itself, with equal ids. The
     ids of up to ``most`` pieces are remembered; each batch looks up its
     distinct pieces only.
+
+    ``added``: the strings of the vocabulary's added tokens stand for those tokens,
+    as they do in the library unless told otherwise; otherwise they are
+    ordinary text. Each is then a piece of its own, and texts are cut on both
+    sides of it first. If the vocabulary has added tokens that depend on what
+    is around them, texts with any of them stay whole.
     """
 
-    def __init__(self, path: str, most: int = 900_000):
+    def __init__(self, path: str, most: int = 900_000, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added
+        tokens = self.tokenizer.get_added_tokens_decoder().values()
+        tokens = [t for t in tokens if t.content and (added or not t.special)]
+        self.added = sorted({t.content.encode() for t in tokens}, key=len, reverse=True)
+        self.any_added = re.compile(b"|".join(map(re.escape, self.added)))
+        self.alone = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in tokens)
         self.memory: dict[str, bytes] = {}  # ids as little-endian 32-bit integers
         self.most = most
 
@@ -85,13 +97,27 @@ class Encoder:
                 self.memory = dict(islice(self.memory.items(), self.most // 2))
         return ids
 
+    def _around_added(self, raw: np.ndarray, offsets: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """``edges``, with added tokens cut out whole."""
+        data = raw.tobytes()
+        if not any(a in data for a in self.added):
+            return edges
+        spans = []
+        for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            found = [m.span() for m in self.any_added.finditer(data, start, end)]
+            spans += found if self.alone or not found else [(start, end)]
+        first, last = np.array(spans, np.int64).reshape(-1, 2).T
+        at = np.searchsorted(first, edges) - 1  # the last span that begins before the edge
+        inside = (at >= 0) & (edges < last[np.maximum(at, 0)]) if len(first) else np.zeros(len(edges), bool)
+        return np.unique(np.concatenate((edges[~inside], first, last)))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids one after another, number of ids of each text) of texts
         without nulls."""
         raw, offsets = common.text_bytes(texts)
         if not len(raw):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
-        edges = cuts(raw, offsets)
+        edges = self._around_added(raw, offsets, cuts(raw, offsets))
         cut = pa.StringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(raw))
         collecting = gc.isenabled()
         gc.disable()  # the many short-lived strings hold no cycles
@@ -118,9 +144,10 @@ class Encoder:
         return np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else []
 
 
-def encoder(path: str, most: int = 900_000) -> Encoder:
+def encoder(path: str, most: int = 900_000, added: bool = False) -> Encoder:
     """This process's encoder for a vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path, most)
-    _ENCODERS[path].most = most
-    return _ENCODERS[path]
+    key = path, added
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(path, most, added)
+    _ENCODERS[key].most = most
+    return _ENCODERS[key]

@@ -43,7 +43,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 2048 tokens. Workers outlive a stage, so
     they remember less here than where packing is all they do."""
-    return packing.pack(docs, remembered=150_000).select(
+    return packing.pack(docs, remembered=150_000, added=True).select(
         "doc_id", "start", "length", F.crc32("token_ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

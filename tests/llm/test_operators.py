@@ -15,7 +15,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from citypulse.llm import (chat, context_tree, cotraining, decontaminate, ngram_join, packing, rules, suffix_dedup,
+import corpus_pipeline
+from citypulse.llm import (chat, context_tree, cotraining, decontaminate, ngram_join, packing, queries, rules, suffix_dedup,
                            token_files, tokens, warc)
 from citypulse.session import scratch_path
 
@@ -220,6 +221,38 @@ def test_token_files_and_index(spark, docs):
     assert token_files.lookup(index, absent).count() == 0
 
 
+def test_added_tokens_as_in_the_library(spark, texts):
+    path = tokens.default_vocabulary()
+    whole = Tokenizer.from_file(path)
+    sign = "<|endoftext|>"
+    rnd = random.Random(6)
+    signs = [*"abZ'  \n\n19.-!’\té中\u0301_", "'s", sign, sign, sign[:6], sign[6:]]
+    given = ["a" + sign + "b", sign, sign * 3, "it" + sign + "'s", sign[:5], sign[5:], "a \n" + sign + "\n b", *[t for t in texts if t]]
+    given += ["".join(rnd.choices(signs, k=rnd.randint(0, 20))) for _ in range(2000)]
+    want = [e.ids for e in whole.encode_batch(given, add_special_tokens=False)]
+    assert want[0] == [64, 50256, 65]
+    for enc in (tokens.Encoder(path, added=True), tokens.Encoder(path, 20, added=True)):
+        for at in range(0, len(given), 9):
+            assert [g.tolist() for g in enc.encode_each(pa.array(given[at:at + 9]))] == want[at:at + 9]
+    enc = tokens.Encoder(path, added=True)
+    enc.alone = False  # texts with added tokens whole
+    assert [g.tolist() for g in enc.encode_each(pa.array(given))] == want
+
+
+def test_queries_encode_added_tokens(spark, tmp_dir):
+    whole = Tokenizer.from_file(tokens.default_vocabulary())
+    given = ["a<|endoftext|>b", "some <|endoftext|> words", "", None]
+    docs = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    ids = [whole.encode(t or "", add_special_tokens=False).ids for t in given]
+    crc = lambda own, end: zlib.crc32(np.array([*own, end], "<u4").tobytes())
+    for packed in (queries.op10_packing(spark, tmp_dir), corpus_pipeline.sequence_packing(spark, docs, tmp_dir)):
+        assert {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in packed.collect()} == {
+            i: (len(own) + 1, crc(own, 1)) for i, own in enumerate(ids)}
+    filed = {r["doc_id"]: (r["n_tokens"], r["start"]) for r in queries.op5_token_files(spark, tmp_dir).collect()}
+    assert filed == {i: (len(own) + 1, sum(len(x) + 1 for x in ids[:i])) for i, own in enumerate(ids)}
+
+
 def test_perfect_hash_is_minimal():
     for n in (1, 2, 3, 10, 1000):
         h = np.random.default_rng(n).integers(-2**62, 2**62, n)
