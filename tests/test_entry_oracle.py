@@ -2,6 +2,9 @@
 
 import math
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -44,6 +47,22 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
+def test_the_rest_imports_without_the_training_data_part(tmp_path):
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    copy = tmp_path / "copy"
+    shutil.copytree(os.path.join(root, "citypulse"), copy / "citypulse", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if os.path.exists(os.path.join(root, name)):
+            shutil.copy(os.path.join(root, name), copy)
+    code = "import __spark_entry__ as e; print(*sorted(e.queries())); assert set(e.oracle_sql()) == set(e.queries())"
+    for left_behind in (False, True):       # also where the empty folder stays
+        if left_behind:
+            (copy / "citypulse" / "llm").mkdir()
+        out = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True)
+        assert out.returncode == 0, out.stderr
+        assert out.stdout.split() == sorted(QUERIES)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
