@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citypulse.llm import chat, context_tree, cotraining, decontaminate, ngram_join, packing, rules, suffix_dedup, token_files, warc
+from citypulse.llm import (
+    chat, context_tree, cotraining, decontaminate, exact_search, merkle, ngram_join, packing, periodic_runs, rules,
+    suffix_dedup, token_files, warc)
 from citypulse.llm.common import table, written
+from citypulse.llm.sql import SQL
 from citypulse.session import scratch_path
 
 
@@ -85,6 +88,38 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("token_ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def checksum(name: str):
+    """The unsigned checksum of an integer in decimals; null for null."""
+    return F.crc32(F.col(name).cast("string").cast("binary"))
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.when(F.coalesce(checksum("doc_id") % 2 == 0, F.lit(False)), F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    proven = merkle.document_manifest(table(spark, sf_dir, "documents"), tampered)
+    root = merkle.folded(F.col("changed"), F.col("path"))
+    out = proven.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), root.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.planted(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    runs = F.col("periodic.runs")
+    lines = F.transform(runs, lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("less"))))
+    out = periodic_runs.with_runs(docs).withColumn("longest", longest)
+    length, period = F.col("longest.length"), -F.col("longest.less")
+    return out.select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), (-F.col("longest.back")).alias("start"), length.alias("length"),
+        period.alias("period"), F.expr("1000 * longest.length div -longest.less").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("periodic.collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_search.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -96,6 +131,7 @@ QUERIES = {
     "op8_rules": op8_rules,
     "op9_context_tree": op9_context_tree,
     "op10_packing": op10_packing,
+    "op11_merkle": op11_merkle,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_exact_search": op13_exact_search,
 }
-
-SQL: dict[str, str] = {}
