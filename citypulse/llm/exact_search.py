@@ -16,6 +16,7 @@ their rounding error, so no pair is lost.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ from citypulse.llm import common
 from citypulse.session import scratch_path
 
 _LONG = 2 ** 63 - 1
+_WIDE = 10 ** 38 - 1
 _MOST = np.finfo(np.float64).max
 _SLACK = 1e-9
 
@@ -148,8 +150,8 @@ class Search:
 
     def rows(self) -> pa.RecordBatch:
         q, r = np.nonzero(self.best > -np.inf)
-        score = [max(-_LONG - 1, min(_LONG, int(x))) for x in self.best[q, r]]
-        return pa.RecordBatch.from_arrays([pa.array(self.ids[q]), pa.array(self.who[q, r]), pa.array(score, pa.int64())],
+        score = [Decimal(max(-_WIDE, min(_WIDE, int(x)))) for x in self.best[q, r]]
+        return pa.RecordBatch.from_arrays([pa.array(self.ids[q]), pa.array(self.who[q, r]), pa.array(score, pa.decimal128(38, 0))],
                                           ["query_id", "vec_id", "score"])
 
 
@@ -163,7 +165,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: st
     part. Vectors of different lengths count as filled up with zeros; empty ones score
     0. Scaled components beyond a double's range are cut to it. Repeated rows are candidates of their own (a row of a query's id is never its
     candidate), and a repeated query is answered once, by the first of its vectors in
-    order. Scores beyond a long's range are cut to it after ranking. An empty
+    order. Scores beyond a long's range are cut to it after ranking, those beyond 38 digits
+    to these before. An empty
     table, or one without queries, gives no rows. Other columns are not read.
 
     Queries are sent to tasks in groups of about ``group_bytes`` (by a hash of the id; a
@@ -204,10 +207,11 @@ def _one_group(rows: DataFrame, asked: DataFrame, k: int, scale: int) -> str:
             search.add(batch.column("id").to_numpy()[part], found)
         yield search.rows()
 
-    near = common.map_arrow(rows.select("id", "v"), run, "query_id long, vec_id long, score long")
+    near = common.map_arrow(rows.select("id", "v"), run, "query_id long, vec_id long, score decimal(38,0)")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     path = scratch_path(spark, "search-ranked")
-    ranked.select("query_id", "rank", "vec_id", "score").write.parquet(path)
+    score = F.greatest(F.least("score", F.lit(_LONG)), F.lit(-_LONG - 1)).cast("long").alias("score")
+    ranked.select("query_id", "rank", "vec_id", score).write.parquet(path)
     sent.destroy()
     return path
