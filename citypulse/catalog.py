@@ -15,9 +15,10 @@ from pyspark.sql import types as TY
 from .functions import lenient as L
 from .functions.geodesy import with_geodesic_km
 from .functions.labels import decode
-from .operators.joins import NO_AUTO_BROADCAST, scoped_conf
+from .operators.joins import NO_AUTO_BROADCAST
 from .operators.nearest import nearest
 from .operators.rows import dedup_rows, ordered_limit, project, q, rename
+from .operators.scoped import built_with, planned_with
 from .plans import day_parts as W2
 from .plans import income_extremes as W3
 from .plans import station_distance as W4
@@ -133,9 +134,17 @@ for _s, _key in (("broadcast", "broadcast"), ("merge", "merge"), ("merge_small",
 
 @register("join_scoped_threshold")
 def _join_scoped_threshold(spark, sf_dir):
-    """Unhinted plan built while size-based broadcast is off."""
-    with scoped_conf(spark, NO_AUTO_BROADCAST):
-        return _w3(spark, sf_dir, "auto")
+    """The unhinted report, run without size-based broadcast wherever it is collected."""
+    return planned_with(_w3(spark, sf_dir, "auto"), NO_AUTO_BROADCAST)
+
+
+@register("join_scoped_threshold_sql")
+def _join_scoped_threshold_sql(spark, sf_dir):
+    """The SQL text, registered and run in a session of its own without size-based broadcast."""
+    def build(session, parts, geocode, income):
+        return W3.income_extremes_sql(session, parts, geocode, income, community_like=T.COMMUNITY_PATTERN)
+
+    return built_with(spark, NO_AUTO_BROADCAST, build, _parts(spark, sf_dir), _geo(spark, sf_dir), _income(spark, sf_dir))
 
 
 # ------------------------------------------------------ W4 station distance

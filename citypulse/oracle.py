@@ -203,7 +203,7 @@ def _register_w3():
                  "income_extremes_merge", "income_extremes_merge_small",
                  "income_extremes_shuffle_hash", "income_extremes_replicate_nl",
                  "join_hint_broadcast", "join_hint_merge", "join_hint_merge_small",
-                 "join_hint_shuffle_hash", "join_hint_replicate_nl", "join_scoped_threshold",
+                 "join_hint_shuffle_hash", "join_hint_replicate_nl", "join_scoped_threshold", "join_scoped_threshold_sql",
                  "income_extremes_sql_broadcast", "income_extremes_sql_merge",
                  "income_extremes_sql_merge_small", "income_extremes_sql_shuffle_hash",
                  "income_extremes_sql_replicate_nl"):

@@ -76,7 +76,8 @@ def descent_counts(parts: Sequence[DataFrame], geocode: DataFrame,
                    L.zip_prefix(q("ZIPcode")).alias("zip_code")))
     if zips is not None:
         chosen = zips.select(F.col("zip_code").alias("__z")).distinct()
-        geo = strategy_join(geo, chosen, F.col("zip_code") == F.col("__z"), "left_semi", "broadcast")
+        # 2k rows by the LIMITs: broadcast by their size, unless the session turns that off
+        geo = geo.join(chosen, F.col("zip_code") == F.col("__z"), "left_semi")
     # geocode rows repeating a (position, ZIP5) multiply the join; count them
     # instead, so a crowded position is one row on each side
     geo = geo.groupBy("g_lat", "g_lon", "zip_code").agg(F.count(F.lit(1)).alias("g"))
