@@ -5,9 +5,11 @@ iterations, written as a sequence of named steps.  Each step is one SQL
 expression over earlier steps; Spark applies them as chained projections
 (``withColumns``), which keeps the expression tree linear instead of
 nesting it (a nested form grows exponentially), and every step stays in
-whole-stage codegen.  Coincident points give 0.  Where the iteration has not
-settled (near-antipodal pairs) or a position is not valid
-(``valid_position``), the distance is NULL.
+whole-stage codegen.  Coincident points give 0.  Pairs on nearly opposite sides
+of the earth, where the iteration does not settle, are solved by bisection
+of the azimuth (``far_side_km``), evaluated for those rows only.  A position
+that is not valid (``is_valid``) gives NULL; the steps hold that rule themselves,
+so the DataFrame and the SQL forms share it.
 
 ``ecef_km`` gives earth-centred coordinates used by the nearest-station
 grid: the straight chord between two points never exceeds their geodesic
@@ -29,6 +31,7 @@ WGS84_E2 = WGS84_F * (2 - WGS84_F)       # first eccentricity squared
 
 DEFAULT_ITERATIONS = 6
 SETTLED = 1e-10                          # radians: under 1 mm on the ground
+BISECTIONS = 56                          # halvings of a half turn: down to the last bit
 PREFIX = "__vin_"
 
 
@@ -43,15 +46,15 @@ def vincenty_steps(lat1: str, lon1: str, lat2: str, lon2: str,
                    prefix: str = PREFIX) -> list[tuple[str, str]]:
     """(column, SQL expression) pairs computing ``out`` in km.
 
-    Input names are SQL identifiers (quote them if needed).  Expressions use
-    only functions common to Spark SQL and DuckDB.
+    Input names are SQL identifiers (quote them if needed).
     """
     p = prefix
     f, a, b = _lit(WGS84_F), _lit(WGS84_A), _lit(WGS84_B)
     one_f = _lit(1 - WGS84_F)
     ab2 = _lit((WGS84_A ** 2 - WGS84_B ** 2) / WGS84_B ** 2)
     steps = [
-        (f"{p}l", f"radians({lon2}) - radians({lon1})"),
+        (f"{p}d", f"radians({lon2}) - radians({lon1})"),
+        (f"{p}l", f"{p}d - 2e0 * pi() * floor(({p}d + pi()) / (2e0 * pi()))"),
         (f"{p}u1", f"atan({one_f} * tan(radians({lat1})))"),
         (f"{p}u2", f"atan({one_f} * tan(radians({lat2})))"),
         (f"{p}su1", f"sin({p}u1)"),
@@ -82,18 +85,69 @@ def vincenty_steps(lat1: str, lon1: str, lat2: str, lon2: str,
         ]
     s = f"_{iterations}"
     ss, cs, sig, c2a, c2m = f"{p}ss{s}", f"{p}cs{s}", f"{p}sig{s}", f"{p}c2a{s}", f"{p}c2m{s}"
+    valid = f"coalesce({is_valid(lat1, lon1)} AND {is_valid(lat2, lon2)}, false)"
     steps += [
         (f"{p}usq", f"{c2a} * {ab2}"),
         (f"{p}ka", f"1e0 + {p}usq / 16384e0 * (4096e0 + {p}usq * (-768e0 + {p}usq * (320e0 - 175e0 * {p}usq)))"),
         (f"{p}kb", f"{p}usq / 1024e0 * (256e0 + {p}usq * (-128e0 + {p}usq * (74e0 - 47e0 * {p}usq)))"),
         (f"{p}ds", f"{p}kb * {ss} * ({c2m} + {p}kb / 4e0 * ({cs} * (-1e0 + 2e0 * {c2m} * {c2m}) - "
                    f"{p}kb / 6e0 * {c2m} * (-3e0 + 4e0 * {ss} * {ss}) * (-3e0 + 4e0 * {c2m} * {c2m})))"),
-        (out, f"CASE WHEN abs({p}lam{iterations} - {p}lam{iterations - 1}) > {_lit(SETTLED)} THEN NULL "
+        (out, f"CASE WHEN NOT {valid} THEN NULL "
+              f"WHEN abs({p}lam{iterations} - {p}lam{iterations - 1}) > {_lit(SETTLED)} OR abs({p}lam{iterations}) > pi() "
+              f"THEN {far_side_km(f'{p}su1', f'{p}cu1', f'{p}su2', f'{p}cu2', f'{p}l')} "
               f"WHEN {ss} = 0 THEN 0e0 ELSE {b} * {p}ka * ({sig} - {p}ds) / 1000e0 END"),
     ]
     return steps
 
 
+def is_valid(lat: str, lon: str) -> str:
+    """SQL condition: degrees with |lat| <= 90 and |lon| <= 360 (NaN compares above all)."""
+    return f"({lat} BETWEEN -90e0 AND 90e0 AND {lon} BETWEEN -360e0 AND 360e0)"
+
+
+def _let(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is evaluated once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def far_side_km(su1: str, cu1: str, su2: str, cu2: str, lon: str) -> str:
+    """SQL expression: km between two points with the given sines and cosines of
+    reduced latitude and difference of longitude in radians, within half a turn, at any distance.
+
+    With the point farther from the equator first, and south, the difference of longitude
+    that a geodesic reaches at the other point's latitude grows with its azimuth
+    from 0 to half a turn, so bisecting the azimuth finds the one geodesic. Nothing divides
+    by a small number, so opposite points are as good as others."""
+    f, b = _lit(WGS84_F), _lit(WGS84_B)
+    ab2 = _lit((WGS84_A ** 2 - WGS84_B ** 2) / WGS84_B ** 2)
+    swap = f"abs({su1}) < abs({su2})"
+    south = f"CASE WHEN CASE WHEN {swap} THEN {su2} ELSE {su1} END > 0e0 THEN -1e0 ELSE 1e0 END"
+    # x: the pair in that order; lam in [0, pi]; a start on the equator is kept a little south of it
+    pair = (f"struct(least({south} * CASE WHEN {swap} THEN {su2} ELSE {su1} END, -1e-200) AS s1, "
+            f"{south} * CASE WHEN {swap} THEN {su1} ELSE {su2} END AS s2, "
+            f"CASE WHEN {swap} THEN {cu2} ELSE {cu1} END AS c1, "
+            f"abs({lon}) AS lam)")
+    # g: arc positions of both ends on a geodesic with azimuth m, and its longitudes on the sphere
+    start = ("struct(m AS m, sin(m) * x.c1 AS sa, cos(m) * x.c1 AS x1, "
+             "sqrt(greatest(0e0, cos(m) * cos(m) * x.c1 * x.c1 + (x.s1 - x.s2) * (x.s1 + x.s2))) AS x2)")
+    arcs = ("struct(a.m AS m, a.sa AS sa, 1e0 - a.sa * a.sa AS c2a, "
+            "atan2(x.s2, a.x2) - atan2(x.s1, a.x1) AS sig, cos(atan2(x.s2, a.x2) + atan2(x.s1, a.x1)) AS c2m, "
+            "atan2(a.sa * x.s2, a.x2) - atan2(a.sa * x.s1, a.x1) AS om)")
+    cc = f"({f} / 16e0 * g.c2a * (4e0 + {f} * (4e0 - 3e0 * g.c2a)))"
+    reached = _let(cc, "k", f"g.om - (1e0 - k) * {f} * g.sa * (g.sig + k * sin(g.sig) * "
+                            "(g.c2m + k * cos(g.sig) * (-1e0 + 2e0 * g.c2m * g.c2m)))")
+    geodesic = lambda azimuth, body: _let(azimuth, "m", _let(start, "a", _let(arcs, "g", body)))
+    halved = geodesic("(t.lo + t.hi) / 2e0", f"CASE WHEN {reached} < x.lam THEN named_struct('lo', g.m, 'hi', t.hi) "
+                                             "ELSE named_struct('lo', t.lo, 'hi', g.m) END")
+    found = f"aggregate(sequence(1, {BISECTIONS}), named_struct('lo', 0e0, 'hi', pi()), (t, i) -> {halved}, t -> (t.lo + t.hi) / 2e0)"
+    ka = "(1e0 + u / 16384e0 * (4096e0 + u * (-768e0 + u * (320e0 - 175e0 * u))))"
+    kb = "(u / 1024e0 * (256e0 + u * (-128e0 + u * (74e0 - 47e0 * u))))"
+    less = ("kb * sin(g.sig) * (g.c2m + kb / 4e0 * (cos(g.sig) * (-1e0 + 2e0 * g.c2m * g.c2m) - kb / 6e0 * g.c2m * "
+            "(-3e0 + 4e0 * sin(g.sig) * sin(g.sig)) * (-3e0 + 4e0 * g.c2m * g.c2m)))")
+    length = _let(f"g.c2a * {ab2}", "u", _let(kb, "kb", f"{b} * {ka} * (g.sig - {less}) / 1000e0"))
+    return _let(pair, "x", geodesic(found, length))
+
+
 def with_geodesic_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str,
                      out: str = "distance_km",
                      iterations: int = DEFAULT_ITERATIONS) -> DataFrame:
@@ -105,16 +159,12 @@ def with_geodesic_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str,
     steps = vincenty_steps(q(lat1), q(lon1), q(lat2), q(lon2), q(out), iterations)
     for batch in _batches(steps):
         df = df.withColumns({name.strip("`"): F.expr(expr) for name, expr in batch})
-    temps = [n for n, _ in steps if n.startswith(PREFIX)]
-    valid = valid_position(q(lat1), q(lon1)) & valid_position(q(lat2), q(lon2))
-    return df.withColumn(out, F.when(valid, F.col(q(out)))).drop(*temps)
+    return df.drop(*[n for n, _ in steps if n.startswith(PREFIX)])
 
 
 def valid_position(lat: str, lon: str) -> Column:
-    """Finite degrees with |lat| <= 90 and |lon| <= 360; never NULL."""
-    la, lo = F.col(lat), F.col(lon)
-    ok = la.between(-90.0, 90.0) & lo.between(-360.0, 360.0) & ~F.isnan(la) & ~F.isnan(lo)
-    return F.coalesce(ok, F.lit(False))
+    """``is_valid`` of two columns; never NULL."""
+    return F.coalesce(F.expr(is_valid(f"`{lat}`", f"`{lon}`")), F.lit(False))
 
 
 def _batches(steps):

@@ -11,7 +11,6 @@ a unique key, and averages are rounded to 4 decimals.
 
 from __future__ import annotations
 
-from .functions import geodesy
 from .sources import tables as T
 
 _POS = """CASE WHEN {k} % {z} = 0 THEN '0' ELSE printf('%.6f', {base}e0 + (({k} * {mul}) % {mod}) / {div}e0) END"""
@@ -100,17 +99,42 @@ def with_prelude(body_ctes: str, select: str) -> OracleSQL:
     return out
 
 
-def vincenty_ctes(source: str, lat1: str, lon1: str, lat2: str, lon2: str,
-                  out: str, name: str, iterations: int = geodesy.DEFAULT_ITERATIONS) -> tuple[str, str]:
-    """A chain of CTEs appending ``out`` (km) to ``source``; returns (ctes, last name)."""
-    steps = geodesy.vincenty_steps(lat1, lon1, lat2, lon2, out, iterations)
-    ctes, prev = [], source
-    for i, batch in enumerate(geodesy._batches(steps)):
-        cur = f"{name}_{i}"
-        cols = ", ".join(f"{expr} AS {col}" for col, expr in batch)
-        ctes.append(f"{cur} AS MATERIALIZED (SELECT *, {cols} FROM {prev})")
-        prev = cur
-    return ",\n".join(ctes), prev
+def geodesic_ctes(source: str, lat1: str, lon1: str, lat2: str, lon2: str,
+                  out: str, name: str, rounds: int = 12) -> tuple[str, str]:
+    """A chain of CTEs appending ``out`` (km) to ``source``; returns (ctes, last name).
+
+    Written apart from the Spark steps: unit vectors of the auxiliary sphere, the longitude
+    iterated more often, and the length by Helmert's expansion parameter."""
+    f, a = "(1e0 / 298.257223563e0)", "6378137e0"
+    b = f"({a} * (1e0 - {f}))"
+    ok = " AND ".join(f"abs({x}) <= {most}" for x, most in ((lat1, 90), (lat2, 90), (lon1, 360), (lon2, 360)))
+    good = f"CASE WHEN {ok} THEN {{}} END"  # NaN compares above all
+    reduced = lambda lat: good.format(f"atan((1e0 - {f}) * tan(radians({lat})))")
+    ctes = [f"""{name}_0 AS MATERIALIZED (SELECT *, {reduced(lat1)} AS gu1, {reduced(lat2)} AS gu2,
+  {good.format(f"radians({lon2} - {lon1})")} AS gl FROM {source})""",
+            f"{name}_s0 AS MATERIALIZED (SELECT *, gl AS glam FROM {name}_0)"]
+    for i in range(rounds):
+        last = i == rounds - 1
+        ctes.append(f"""{name}_v{i} AS MATERIALIZED (SELECT *,
+  cos(gu2) * sin(glam) AS gy, cos(gu1) * sin(gu2) - sin(gu1) * cos(gu2) * cos(glam) AS gz,
+  sin(gu1) * sin(gu2) + cos(gu1) * cos(gu2) * cos(glam) AS gx FROM {name}_s{i})""")
+        ctes.append(f"""{name}_a{i} AS MATERIALIZED (SELECT *, atan2(hypot(gy, gz), gx) AS gsig,
+  CASE WHEN hypot(gy, gz) = 0 THEN 0e0 ELSE cos(gu1) * gy / hypot(gy, gz) END AS gsa FROM (
+  SELECT *, sqrt(gy * gy + gz * gz) AS gss FROM {name}_v{i}))""".replace("hypot(gy, gz)", "gss"))
+        ctes.append(f"""{name}_m{i} AS MATERIALIZED (SELECT *, CASE WHEN 1e0 - gsa * gsa < 1e-18 THEN 0e0
+  ELSE cos(gsig) - 2e0 * sin(gu1) * sin(gu2) / (1e0 - gsa * gsa) END AS gm, {f} / 16e0 * (1e0 - gsa * gsa)
+  * (4e0 + {f} * (1e0 + 3e0 * gsa * gsa)) AS gc FROM {name}_a{i})""")
+        if not last:
+            drop = "glam, gy, gz, gx, gss, gsig, gsa, gm, gc"
+            ctes.append(f"""{name}_s{i + 1} AS MATERIALIZED (SELECT * EXCLUDE ({drop}), gl + (1e0 - gc) * {f} * gsa
+  * (gsig + gc * sin(gsig) * (gm + gc * cos(gsig) * (2e0 * gm * gm - 1e0))) AS glam FROM {name}_m{i})""")
+    root = f"sqrt(1e0 + (1e0 - gsa * gsa) * ({a} * {a} / ({b} * {b}) - 1e0))"
+    ctes.append(f"{name}_k AS MATERIALIZED (SELECT *, ({root} - 1e0) / ({root} + 1e0) AS gk FROM {name}_m{rounds - 1})")
+    kb = "(gk * (1e0 - 0.375e0 * gk * gk))"
+    ctes.append(f"""{name}_d AS MATERIALIZED (SELECT *, CASE WHEN gss = 0 AND gx > 0 THEN 0e0 ELSE {b} / 1000e0 * (1e0 + gk * gk / 4e0)
+  / (1e0 - gk) * (gsig - {kb} * sin(gsig) * (gm + {kb} / 4e0 * (cos(gsig) * (2e0 * gm * gm - 1e0)
+  - {kb} / 6e0 * gm * (4e0 * sin(gsig) * sin(gsig) - 3e0) * (4e0 * gm * gm - 3e0)))) END AS {out} FROM {name}_k)""")
+    return ",\n".join(ctes), f"{name}_d"
 
 
 _TS = "try_strptime({c}, '%m/%d/%Y %I:%M:%S %p')"
@@ -230,7 +254,7 @@ def _report(source: str, by: str) -> str:
 
 
 def _own_station(by: str) -> str:
-    chain, last = vincenty_ctes("w4_j", "lat1", "lon1", "lat2", "lon2", "distance", "w4_v")
+    chain, last = geodesic_ctes("w4_j", "lat1", "lon1", "lat2", "lon2", "distance", "w4_v")
     return with_prelude(_W4_INC + f""",
 w4_j AS (
   SELECT {_year('c."DATE OCC"')} AS year, s."DIVISION",
@@ -241,7 +265,7 @@ w4_j AS (
 
 
 def _nearest_station(by: str) -> str:
-    chain, last = vincenty_ctes("w4_pairs", "lat1", "lon1", "lat2", "lon2", "d", "w4_v")
+    chain, last = geodesic_ctes("w4_pairs", "lat1", "lon1", "lat2", "lon2", "d", "w4_v")
     return with_prelude(_W4_INC + f""",
 w4_pts AS (
   SELECT DISTINCT "LAT", "LON", TRY_CAST("LAT" AS DOUBLE) AS lat1, TRY_CAST("LON" AS DOUBLE) AS lon1
@@ -332,7 +356,7 @@ def _register_single():
     cases = " ".join(f"WHEN \"Vict Descent\" = '{c}' THEN '{lab}'" for c, lab in DESCENT_LABELS)
     SQL["decode_labels"] = p("", f'SELECT "DR_NO", "Vict Descent", CASE {cases} ELSE "Vict Descent" END '
                                  'AS victim_category FROM cp_inc')
-    chain, last = vincenty_ctes("w4_j", "lat1", "lon1", "lat2", "lon2", "distance", "w4_v")
+    chain, last = geodesic_ctes("w4_j", "lat1", "lon1", "lat2", "lon2", "distance", "w4_v")
     SQL["geodesic_distance"] = p(_W4_INC + f""",
 w4_j AS (
   SELECT c."DR_NO", TRY_CAST(c."LAT" AS DOUBLE) AS lat1, TRY_CAST(c."LON" AS DOUBLE) AS lon1,

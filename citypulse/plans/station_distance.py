@@ -20,11 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lenient as L
-from ..functions.geodesy import with_geodesic_km
+from ..functions.geodesy import _batches, vincenty_steps, with_geodesic_km
 from ..operators.joins import granted, strategy_join
 from ..operators.nearest import nearest
 from ..operators.rows import q
 from ..sources.csv import trim_names
+from ..sources.order import reading_order
 from .incidents import distinct_incidents
 
 # The firearm code range [100, 200) and the "no position" text.
@@ -78,8 +79,8 @@ def nearest_station_rows(parts: Sequence[DataFrame], stations: DataFrame,
                          dedup_keys: Sequence[str] | None = None) -> DataFrame:
     """(year, DIVISION, distance_km, n) by the nearest station.
 
-    ``station_order`` decides ties (first wins); by default the reading
-    order of the station table.
+    ``station_order`` decides ties (first wins); by default the order in which the
+    stations stand in their files (``sources.order``).
     """
     inc = firearm_incidents(parts, dedup_keys=dedup_keys)
     agg = (inc.groupBy(_year(), q("LAT"), q("LON")).agg(F.count(F.lit(1)).alias("n"))
@@ -88,7 +89,7 @@ def nearest_station_rows(parts: Sequence[DataFrame], stations: DataFrame,
         q("LAT"), q("LON"),
         L.to_double(q("LAT")).alias("__plat"), L.to_double(q("LON")).alias("__plon"))
     st = trim_names(stations)
-    order = station_order if station_order is not None else F.monotonically_increasing_id()
+    order = station_order if station_order is not None else reading_order(st)
     st = st.select(L.to_double(q("Y")).alias("__slat"), L.to_double(q("X")).alias("__slon"),
                    order.alias("__seq"), q("DIVISION"))
     near = nearest(points, st, ["LAT", "LON"], "__plat", "__plon", "__slat", "__slon",
@@ -146,7 +147,6 @@ def own_station_rows_sql(spark: SparkSession, parts: Sequence[DataFrame], statio
                          strategy: str = "auto", codes=FIREARM_CODES) -> DataFrame:
     """W4a distance rows as one SQL text over temp views, with the
     reference's SQL join hint (granted as in the DataFrame form)."""
-    from ..functions.geodesy import vincenty_steps, _batches
     from .top_months import register_parts
 
     views = register_parts([trim_names(p) for p in parts], "cp_w4")
@@ -155,12 +155,7 @@ def own_station_rows_sql(spark: SparkSession, parts: Sequence[DataFrame], statio
     w = "try_cast(`Weapon Used Cd` AS INT)"
     cond = f"{w} >= {codes[0]} AND {w} < {codes[1]} AND LAT != '{ZERO_TEXT}' AND LON != '{ZERO_TEXT}'"
     union = "\n        UNION\n        ".join(f"SELECT * FROM {v} WHERE {cond}" for v in views)
-    chain, prev = [], "pairs"
-    for i, batch in enumerate(_batches(vincenty_steps("lat1", "lon1", "lat2", "lon2", "distance"))):
-        cols = ", ".join(f"{e} AS {c}" for c, e in batch)
-        chain.append(f"v{i} AS (SELECT *, {cols} FROM {prev})")
-        prev = f"v{i}"
-    return spark.sql(f"""
+    pairs = spark.sql(f"""
     WITH combined_crime_data AS (
         {union}
     ), crimes AS (
@@ -168,11 +163,24 @@ def own_station_rows_sql(spark: SparkSession, parts: Sequence[DataFrame], statio
                LAT, LON, count(*) AS n
         FROM combined_crime_data
         GROUP BY AREA, year, LAT, LON
-    ), pairs AS (
-        SELECT {hint} crimes.year, stations.DIVISION, crimes.n,
-               try_cast(crimes.LAT AS DOUBLE) AS lat1, try_cast(crimes.LON AS DOUBLE) AS lon1,
-               try_cast(stations.Y AS DOUBLE) AS lat2, try_cast(stations.X AS DOUBLE) AS lon2
-        FROM crimes JOIN cp_w4_stations AS stations ON stations.FID = crimes.AREA
-    ), {", ".join(chain)}
-    SELECT year, DIVISION, distance, n FROM {prev}
+    )
+    SELECT {hint} crimes.year, stations.DIVISION, crimes.n,
+           try_cast(crimes.LAT AS DOUBLE) AS lat1, try_cast(crimes.LON AS DOUBLE) AS lon1,
+           try_cast(stations.Y AS DOUBLE) AS lat2, try_cast(stations.X AS DOUBLE) AS lon2
+    FROM crimes JOIN cp_w4_stations AS stations ON stations.FID = crimes.AREA
     """)
+    return spark.sql("SELECT year, DIVISION, distance, n FROM {rows}", rows=_with_distance_sql(spark, pairs))
+
+
+def _with_distance_sql(spark: SparkSession, pairs: DataFrame, at_once: int = 20) -> DataFrame:
+    """``pairs`` with ``distance`` by SQL texts, the steps as chains of WITH; a few
+    texts, as the analyzer takes a round per step of a chain."""
+    steps = list(_batches(vincenty_steps("lat1", "lon1", "lat2", "lon2", "distance")))
+    for at in range(0, len(steps), at_once):
+        chain, prev = [], "{rows}"
+        for i, batch in enumerate(steps[at:at + at_once]):
+            cols = ", ".join(f"{e} AS {c}" for c, e in batch)
+            chain.append(f"v{i} AS (SELECT *, {cols} FROM {prev})")
+            prev = f"v{i}"
+        pairs = spark.sql(f"WITH {', '.join(chain)} SELECT * FROM {prev}", rows=pairs)
+    return pairs

@@ -1,10 +1,12 @@
 """Edge inputs of the distance, the nearest search and the SQL texts."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from citypulse.functions import geodesy
 from citypulse.functions.geodesy import with_geodesic_km
 from citypulse.operators.nearest import nearest
 from citypulse.plans import day_parts
@@ -25,7 +27,28 @@ def test_published_distances(spark):
 
 
 def test_no_distance_where_there_is_none(spark):
-    assert _km(spark, [(0, 0, 0.5, 179.5), (math.nan, 0, 1, 1), (340.1, 0, 1, 1), (0, math.inf, 1, 1)]) == [None] * 4
+    assert _km(spark, [(0, 361, 0.5, 179.5), (math.nan, 0, 1, 1), (340.1, 0, 1, 1), (0, math.inf, 1, 1)]) == [None] * 4
+
+
+def test_far_side_distances(spark):
+    # published solutions of pairs on which the plain iteration fails, metres / 1000
+    want = [((0, 0, 0, 180), 20003.931459), ((0, 0, 0.5, 179.5), 19936.288579), ((0, 0, 0.5, 179.7), 19944.127421),
+            ((90, 10, -90, -77), 20003.931459), ((0, 0, 0, 179.2), 6378.137 * math.radians(179.2)), ((0, -10, 0, 350), 0.0)]
+    for got, (_, km) in zip(_km(spark, [p for p, _ in want]), want):
+        assert got == pytest.approx(km, abs=1e-6)
+
+
+def test_far_side_solver_equals_the_iteration_elsewhere(spark):
+    rnd = random.Random(3)
+    pairs = [(rnd.uniform(-90, 90), rnd.uniform(-180, 180), rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for _ in range(300)]
+    df = spark.createDataFrame(pairs, "a double, b double, c double, d double")
+    steps = dict(geodesy.vincenty_steps("a", "b", "c", "d", "km"))
+    names = [geodesy.PREFIX + n for n in ("d", "l", "u1", "u2", "su1", "cu1", "su2", "cu2")]
+    df = with_geodesic_km(df, "a", "b", "c", "d", "km")
+    for n in names:
+        df = df.withColumn(n, F.expr(steps[n]))
+    far = F.expr(geodesy.far_side_km(*names[4:], names[1]))
+    assert df.select(F.max(F.abs(far - F.col("km")))).first()[0] < 1e-6
 
 
 def _near(spark, points, stations, **more):
@@ -37,7 +60,7 @@ def _near(spark, points, stations, **more):
 def test_nearest_keeps_every_point(spark):
     points = [("a", 34.0, -118.0), ("b", 35.0, -117.0), (None, 34.0, -118.1), ("n", math.nan, 0.0), ("z", 95.0, 0.0)]
     stations = [(1, 34.0, -118.2, 10), (2, 35.1, -117.0, 20), (3, math.nan, 0.0, 30), (4, 95.0, 0.0, 40)]
-    got = _near(spark, points, stations, base_cell_km=0.001).collect()
+    got = _near(spark, points, stations, max_per_cell=1).collect()
     assert sorted(((r["k"], r["s"], r["v"]) for r in got), key=str) == sorted(
         [("a", 1, 10), ("b", 2, 20), (None, 1, 10), ("n", None, None), ("z", None, None)], key=str)
 
