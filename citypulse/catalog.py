@@ -24,34 +24,16 @@ from .plans import income_extremes as W3
 from .plans import station_distance as W4
 from .plans import top_months as W1
 from .plans.incidents import combined, row_count, typed_ingest
-from .session import scratch_path
+from .operators.skew import hot_key_join
 from .sources import csv as CSV
 from .sources import tables as T
+from .sources.derived import DerivedTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-_DERIVED: dict = {}
 
 
-def _memo(kind: str, build):
-    """Reuse the lazy definition of a derived table within one application.
-
-    Only the plan object is shared; every query still reads and computes
-    the whole tables.
-    """
-    def get(spark: SparkSession, sf_dir: str):
-        key = (id(spark), spark.sparkContext.applicationId, kind, sf_dir)
-        hit = _DERIVED.get(key)
-        if hit is None or hit[0] is not spark:     # one entry per live session object
-            hit = _DERIVED[key] = (spark, build(spark, sf_dir))
-        return hit[1]
-    return get
-
-
-_parts = _memo("parts", lambda spark, d: T.incident_parts(spark, d))
-_geo = _memo("geocode", lambda spark, d: T.geocode(spark, d))
-_income = _memo("income", lambda spark, d: T.income(spark, d))
-_stations = _memo("stations", lambda spark, d: T.stations(spark, d))
+_parts, _geo, _income, _stations = T.incident_parts, T.geocode, T.income, T.stations
 
 
 def register(name: str):
@@ -209,6 +191,7 @@ def _nearest_by_division(spark, sf_dir):
 # tables; the end-to-end reports above combine them.
 
 TEXT_COLUMNS = [c.strip() for c in T.INCIDENT_COLUMNS]
+HOT_ROWS = 100_000   # rows of one position that a task of the two-key join may get
 
 
 def _incidents(spark, sf_dir):
@@ -216,10 +199,15 @@ def _incidents(spark, sf_dir):
 
 
 def _parts_as_csv(spark, sf_dir) -> list[str]:
-    """All four parts written as header CSV folders in the shared scratch
-    folder (the reference's input format); returns their paths."""
-    return [CSV.write_header_csv(p, scratch_path(spark, f"incidents-part{i}-csv"))
-            for i, p in enumerate(_parts(spark, sf_dir), 1)]
+    """The four parts as header CSV folders (the reference's input format), written once
+    per application; returns their paths."""
+    def write(path):
+        for i, part in enumerate(_parts(spark, sf_dir), 1):
+            CSV.write_header_csv(part, f"{path}/part{i}")
+
+    names = [f"{sf_dir}/{t}.parquet" for t in ("orders", "events", "supplier")]
+    folder = DerivedTables.of(spark).path("incidents-csv", names, write)
+    return [f"{folder}/part{i}" for i in range(1, T.N_PARTS + 1)]
 
 
 @register("scan_csv_header")
@@ -333,10 +321,11 @@ def _join_single_key(spark, sf_dir):
 @register("join_composite_key")
 def _join_composite_key(spark, sf_dir):
     inc = _incidents(spark, sf_dir)
-    geo = _geo(spark, sf_dir).withColumnsRenamed({"LAT": "g_lat", "LON": "g_lon"})
-    j = inc.join(geo, (inc["LAT"] == geo["g_lat"]) & (inc["LON"] == geo["g_lon"]))
-    return (j.filter(q("Vict Descent").isNotNull() & q("ZIPcode").isNotNull())
-            .select("DR_NO", q("Vict Descent"), "ZIPcode"))
+    inc = inc.filter(q("Vict Descent").isNotNull()).select("DR_NO", "LAT", "LON", q("Vict Descent"))
+    geo = (_geo(spark, sf_dir).withColumnsRenamed({"LAT": "g_lat", "LON": "g_lon"})
+           .filter(q("ZIPcode").isNotNull()))
+    j = hot_key_join(inc, geo, [("LAT", "g_lat"), ("LON", "g_lon")], rows_per_task=HOT_ROWS)
+    return j.select("DR_NO", q("Vict Descent"), "ZIPcode")
 
 
 @register("group_count")

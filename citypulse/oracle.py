@@ -13,11 +13,15 @@ from __future__ import annotations
 
 from .sources import tables as T
 
-_POS = """CASE WHEN {k} % {z} = 0 THEN '0' ELSE printf('%.6f', {base}e0 + (({k} * {mul}) % {mod}) / {div}e0) END"""
+_POS = """CASE WHEN {zero} THEN '0' ELSE printf('%.9f', {base}e0 + ((({k} * {mul}) % 1000) * 1000 + ({k} // {thousands}) % 1000) / {div}e0) END"""
 
 
-def _pos(k: str, base: str, mul: int, mod: int, div: int) -> str:
-    return _POS.format(k=k, z=T.ZERO_COORD_MOD, base=base, mul=mul, mod=mod, div=div)
+def _pos(k: str, axis: str, zero: str = "") -> str:
+    base, mul, thousands, div = {"lat": ("33.7", 7919, 1_000_000, 1500000), "lon": ("-118.6", 104729, 1000, 1600000)}[axis]
+    return _POS.format(k=k, zero=f"{k} % {T.ZERO_COORD_MOD} = 0{zero}", base=base, mul=mul, thousands=thousands, div=div)
+
+
+_FEW = f" AND c_custkey <= {T.ZERO_COORD_MOD * T.ZERO_GEOCODES}"
 
 
 def _station_pos(k: str, base: str, mul: int, mod: int, div: int) -> str:
@@ -39,8 +43,8 @@ cp_rows AS (
     CASE WHEN o.o_orderkey % {T.NULL_DESCENT_MOD} = 0 THEN NULL
          ELSE substring('{T.DESCENT_CODES}', CAST(o.o_orderkey % 20 + 1 AS INTEGER), 1) END AS "Vict Descent",
     CAST({T.WEAPON_BASE} + o.o_orderkey % {T.WEAPON_MOD} AS VARCHAR) AS "Weapon Used Cd",
-    {_pos('o.o_custkey', '33.7', 7919, 1000, 1500)} AS "LAT",
-    {_pos('o.o_custkey', '-118.6', 104729, 1000, 1600)} AS "LON"
+    {_pos('o.o_custkey', 'lat')} AS "LAT",
+    {_pos('o.o_custkey', 'lon')} AS "LON"
   FROM orders o LEFT JOIN events e ON e.event_id = o.o_orderkey
 ),
 cp_parts AS (
@@ -54,8 +58,8 @@ cp_all AS (
 ),
 cp_inc AS (SELECT DISTINCT * FROM cp_all),
 cp_geo AS (
-  SELECT {_pos('c_custkey', '33.7', 7919, 1000, 1500)} AS "LAT",
-         {_pos('c_custkey', '-118.6', 104729, 1000, 1600)} AS "LON",
+  SELECT {_pos('c_custkey', 'lat', _FEW)} AS "LAT",
+         {_pos('c_custkey', 'lon', _FEW)} AS "LON",
          CASE WHEN c_custkey % {T.NULL_ZIP_MOD} = 0 THEN NULL
               ELSE '9' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0') || '-' || CAST(c_custkey AS VARCHAR) END AS "ZIPcode"
   FROM customer

@@ -20,7 +20,9 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.labels import DESCENT_LABELS
 from ..functions.lenient import INCIDENT_TS_FORMAT
+from .derived import DerivedTables
 
 # Fixed values of the derivation (shared with citypulse.oracle).
 N_PARTS = 4
@@ -32,7 +34,8 @@ ZERO_COORD_MOD = 97          # customers divisible by this sit at '0', '0'
 NULL_ZIP_MOD = 89            # customers divisible by this have no ZIP
 TIED_STATION_MOD = 50        # stations with key % 50 == 49 share the previous position
 WEAPON_BASE, WEAPON_MOD = 90, 120
-DESCENT_CODES = "ABCDFGHIJKLOPSUVWXZQ"   # 19 listed codes + one unlisted
+ZERO_GEOCODES = 4            # of those, so many have '0', '0' in the geocode table too
+DESCENT_CODES = "".join(code for code, _ in DESCENT_LABELS) + "Q"   # the listed codes and one unlisted
 STREET_EVENT = "view"        # event type that becomes premise 'STREET'
 COMMUNITY_PATTERN = "%A (%"  # regions ending in A: AFRICA, AMERICA, ASIA
 INCIDENT_COLUMNS = ("DR_NO", "Date Rptd", "DATE OCC", "TIME OCC", "AREA ",
@@ -50,18 +53,23 @@ def _fixed(x: Column, decimals: int = 6) -> Column:
     return F.format_string(f"%.{decimals}f", x)
 
 
+def _shuffled(key: Column, factor: int, thousands: int) -> Column:
+    """0 to 999,999: the last three digits of the key, mixed, and three higher ones."""
+    return (key * factor % 1000) * 1000 + F.floor(key / thousands) % 1000
+
+
 def customer_lat(key: Column) -> Column:
-    return F.lit(33.7) + (key * 7919 % 1000) / 1500.0
+    return F.lit(33.7) + _shuffled(key, 7919, 1_000_000) / 1500000.0
 
 
 def customer_lon(key: Column) -> Column:
-    return F.lit(-118.6) + (key * 104729 % 1000) / 1600.0
+    """With the latitude, one position per customer up to a thousand million of them."""
+    return F.lit(-118.6) + _shuffled(key, 104729, 1000) / 1600000.0
 
 
-def _position_text(key: Column) -> tuple[Column, Column]:
-    zero = (key % ZERO_COORD_MOD) == 0
-    lat = F.when(zero, F.lit("0")).otherwise(_fixed(customer_lat(key)))
-    lon = F.when(zero, F.lit("0")).otherwise(_fixed(customer_lon(key)))
+def _position_text(key: Column, zero: Column) -> tuple[Column, Column]:
+    lat = F.when(zero, F.lit("0")).otherwise(_fixed(customer_lat(key), 9))
+    lon = F.when(zero, F.lit("0")).otherwise(_fixed(customer_lon(key), 9))
     return lat, lon
 
 
@@ -72,7 +80,7 @@ def incident_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_areas = table(spark, sf_dir, "supplier").select(F.count(F.lit(1))).scalar()
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     date_text = F.date_format("o_orderdate", INCIDENT_TS_FORMAT)
-    lat, lon = _position_text(c)
+    lat, lon = _position_text(c, c % ZERO_COORD_MOD == 0)
     joined = orders.join(events, orders.o_orderkey == events.event_id, "left")
     return joined.select(
         k.alias("__k"),
@@ -93,26 +101,31 @@ def incident_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def incident_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Four header-CSV-shaped parts; the last one repeats some rows of the first."""
+def incident_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows with the number of their part; some are in the last part too."""
     rows = incident_rows(spark, sf_dir)
     k = F.col("__k")
-    parts = []
-    for i in range(N_PARTS):
-        cond = F.coalesce(F.pmod(k, F.lit(N_PARTS)), F.lit(0)) == i  # every row is in a part
-        if i == N_PARTS - 1:
-            cond = cond | ((k % EXTRA_DUP_MOD) == 0)
-        names = LAST_PART_COLUMNS if i == N_PARTS - 1 else INCIDENT_COLUMNS
-        part = rows.filter(cond).select(*[F.col(f"`{c}`") for c in INCIDENT_COLUMNS])
-        parts.append(part.toDF(*names))
-    return parts
+    own = F.coalesce(F.pmod(k, F.lit(N_PARTS)), F.lit(0)).cast("int")  # every row is in a part
+    last = F.lit(N_PARTS - 1)
+    parts = F.when((k % EXTRA_DUP_MOD == 0) & (own != last), F.array(own, last)).otherwise(F.array(own))
+    return rows.select(*[F.col(f"`{c}`") for c in INCIDENT_COLUMNS], F.explode(parts).alias("part"))
+
+
+def incident_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Four header-CSV-shaped parts; the last one repeats some rows of the first.
+
+    Derived by one scan of ``orders`` and ``events`` per application (``sources.derived``)."""
+    names = [os.path.join(sf_dir, f"{t}.parquet") for t in ("orders", "events", "supplier")]
+    rows = DerivedTables.of(spark).table(spark, "incidents", names, lambda: incident_table(spark, sf_dir), ["part"])
+    return [rows.where(F.col("part") == i).drop("part").toDF(*(LAST_PART_COLUMNS if i == N_PARTS - 1 else INCIDENT_COLUMNS))
+            for i in range(N_PARTS)]
 
 
 def geocode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reverse geocode: position text -> ZIP+suffix text (one row per customer)."""
     cust = table(spark, sf_dir, "customer")
     c = F.col("c_custkey")
-    lat, lon = _position_text(c)
+    lat, lon = _position_text(c, (c % ZERO_COORD_MOD == 0) & (c <= ZERO_COORD_MOD * ZERO_GEOCODES))
     zipc = F.concat(F.lit("9"), F.lpad(F.col("c_nationkey").cast("string"), 4, "0"),
                     F.lit("-"), c.cast("string"))
     return cust.select(
