@@ -80,8 +80,8 @@ def vincenty_steps(lat1: str, lon1: str, lat2: str, lon2: str,
             (c2a, f"1e0 - {sa} * {sa}"),
             (c2m, f"CASE WHEN {c2a} = 0 THEN 0e0 ELSE {cs} - 2e0 * {p}su1 * {p}su2 / {c2a} END"),
             (cc, f"{f} / 16e0 * {c2a} * (4e0 + {f} * (4e0 - 3e0 * {c2a}))"),
-            (f"{p}lam{i}", f"{p}l + (1e0 - {cc}) * {f} * {sa} * ({sig} + {cc} * {ss} * "
-                           f"({c2m} + {cc} * {cs} * (-1e0 + 2e0 * {c2m} * {c2m})))"),
+            (f"{p}lam{i}", _cut(f"{p}l + (1e0 - {cc}) * {f} * {sa} * ({sig} + {cc} * {ss} * "
+                                f"({c2m} + {cc} * {cs} * (-1e0 + 2e0 * {c2m} * {c2m})))")),
         ]
     s = f"_{iterations}"
     ss, cs, sig, c2a, c2m = f"{p}ss{s}", f"{p}cs{s}", f"{p}sig{s}", f"{p}c2a{s}", f"{p}c2m{s}"
@@ -105,6 +105,13 @@ def is_valid(lat: str, lon: str) -> str:
     return f"({lat} BETWEEN -90e0 AND 90e0 AND {lon} BETWEEN -360e0 AND 360e0)"
 
 
+def _cut(value: str) -> str:
+    """``value``, in a projection of its own. All steps in one generated method would be longer
+    than what the JVM compiles (8,000 bytecodes) and be interpreted, at several times
+    the cost; a higher-order function ends a generated stage."""
+    return _let(value, "same", "same")
+
+
 def _let(value: str, name: str, body: str) -> str:
     """``body`` with ``name`` standing for ``value``, which is evaluated once."""
     return f"transform(array({value}), {name} -> {body})[0]"
