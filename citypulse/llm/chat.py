@@ -2,12 +2,12 @@
 
 A template is any function from a list of (role, text) turns to a string.
 Successive prefixes of a conversation are rendered; where the output for k
-turns starts with that for k - 1, the added part is turn k's span. Rendering
-the same prefix with turn k's text replaced by nothing shows, by the common
-start and end of both outputs, where the text itself stands in the span. A
-template whose output for a prefix is not continued by the next output
-rewrites history; such conversations are reported with ``rewrites`` set and
-only the spans of the last rendering's unchanged start.
+turns starts with that for k - 1, the added part is turn k's span. Rendering the
+same prefix with two one-letter texts in place of turn k's shows where the text
+itself stands: what both outputs share at the start comes before it, what they share at
+the end comes after it. A template whose output for a prefix is not continued by the
+next output rewrites history; such conversations are reported with ``rewrites`` set, and
+turns whose output was rewritten have no span.
 """
 
 from __future__ import annotations
@@ -26,10 +26,11 @@ Turns = list[tuple[str, str]]
 
 # Control strings of the bracket template; a text never shows one unescaped.
 CONTROL = ["<s>", "</s>", "[INST]", "[/INST]"]
+SPLIT = "\x1f"  # between role and text
 _FIRST = re.compile(r"\\|\[(?=/?INST\])|<(?=/?s>)")
-_CODES = {"\\": "\\\\", "[": "\\(", "<": "\\{"}
+_CODES = {"\\": "\\\\", "[": "\\(", "<": "\\{", "\x1f": "\\|"}
 _BACK = {v: k for k, v in _CODES.items()}
-_ESCAPED = re.compile(r"\\[\\({]")
+_ESCAPED = re.compile(r"\\[\\({|]")
 
 
 def escape(text: str) -> str:
@@ -45,7 +46,7 @@ def unescape(text: str) -> str:
 def bracket_turn(role: str, text: str) -> str:
     if role == "assistant":
         return f"<s>{escape(text)}</s>"
-    return f"[INST] {escape(role)}\x1f{escape(text)} [/INST]"
+    return f"[INST] {escape(role).replace(SPLIT, _CODES[SPLIT])}{SPLIT}{escape(text)} [/INST]"
 
 
 def bracket_template(turns: Turns) -> str:
@@ -58,8 +59,7 @@ _TURN = re.compile(r"\[INST\] ([^\x1f]*)\x1f(.*?) \[/INST\]|<s>(.*?)</s>", re.S)
 
 
 def parse_brackets(formatted: str) -> Turns:
-    """The turns of a bracket-formatted string: the inverse of the template
-    (roles must not contain \\x1f, which ``format_chats`` removes)."""
+    """The turns of a bracket-formatted string: the inverse of the template."""
     return [("assistant", unescape(m[3])) if m[3] is not None else (unescape(m[1]), unescape(m[2]))
             for m in _TURN.finditer(formatted)]
 
@@ -68,31 +68,29 @@ def _common_start(a: str, b: str) -> int:
     return len(os.path.commonprefix([a, b]))
 
 
-def spans(turns: Turns, render: Callable[[Turns], str]) -> tuple[str, list[tuple[int, int, int, int]], bool]:
-    """(output, a (start, end, text start, text end) per turn, rewrites).
+#: two texts that differ in their first and in their last character
+PROBES = ("a", "b")
 
-    Each prefix is rendered twice; outputs are compared in pieces after the
-    part already known to be shared."""
+
+def spans(turns: Turns, render: Callable[[Turns], str]) -> tuple[str, list[tuple[int, int, int, int] | None], bool]:
+    """(output, a (start, end, text start, text end) for each turn, rewrites).
+
+    A turn's entry is None where a later output changed what it stands for, or where its own
+    output does not show the surroundings the probes have."""
     before, found, rewrites = render([]), [], False
-    for k in range(1, len(turns) + 1):
-        now = render(turns[:k])
+    for k, (role, _) in enumerate(turns):
+        now = render(turns[:k + 1])
         start = len(before)
         if not now.startswith(before):
             rewrites = True
             start = _common_start(before, now)
-            found = [s for s in found if s[1] <= start]
-        role, text = turns[k - 1]
-        bare = render(turns[:k - 1] + [(role, "")])
-        left = start
-        if text:
-            tail, bare_tail = now[start:], bare[start:]
-            left = start + _common_start(tail, bare_tail)
-            right = _common_start(tail[::-1], bare_tail[::-1])
-            right = len(now) - min(right, len(now) - left, len(bare) - left)
-        else:
-            probe = render(turns[:k - 1] + [(role, "\x00")])
-            left = right = start + _common_start(now[start:], probe[start:])
-        found.append((start, len(now), left, right))
+            found = [s if s and s[1] <= start else None for s in found]
+        one, two = (render([*turns[:k], (role, probe)]) for probe in PROBES)
+        left = _common_start(one, two)
+        after = _common_start(one[left:][::-1], two[left:][::-1])
+        right = len(now) - after
+        known = left <= right and now.startswith(one[:left]) and now.endswith(one[len(one) - after:])
+        found.append((min(start, left), len(now), left, right) if known else None)
         before = now
     return before, found, rewrites
 
@@ -108,19 +106,19 @@ OUT_DDL = ("conv_id long, formatted string, spans array<struct<role:string,start
 def format_chats(rows: DataFrame, render: Callable[[Turns], str] = bracket_template,
                  loss_roles: tuple[str, ...] = ("assistant",), conv_col: str = "conv_id",
                  turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """One row per conversation: conv_id, formatted, spans (per turn: role,
+    """One row per conversation: conv_id, formatted, spans (one per turn: role,
     span, place of the text, whether it is under the loss mask; code-point
-    offsets into formatted) and rewrites.
+    offsets into formatted, null where the template rewrote the turn) and rewrites.
 
     Turns are ordered by turn number (null first), then role and text, so
     ties have one order; repeated rows are turns of their own. Null texts and
-    roles are empty; \\x1f is removed from roles. Rows with a null
+    roles are empty. Rows with a null
     conversation id form one conversation with a null id. An empty table
     gives no rows; further columns are not read. A conversation is gathered
     in one row, as the template must see it whole.
     """
     turn = F.struct(F.col(turn_col).cast("long").alias("turn"),
-                    F.regexp_replace(common.text_of(role_col), "\x1f", "").alias("role"),
+                    common.text_of(role_col).alias("role"),
                     common.text_of(text_col).alias("text"))
     chats = (rows.select(F.col(conv_col).cast("long").alias("conv_id"), turn.alias("t"))
              .groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns")))
@@ -132,8 +130,8 @@ def format_chats(rows: DataFrame, render: Callable[[Turns], str] = bracket_templ
                 turns = [(t["role"], t["text"]) for t in chat]
                 formatted, found, rewrites = spans(turns, render)
                 out.append((conv, formatted, [
-                    {"role": r, "start": a, "end": b, "text_start": c, "text_end": d, "loss": r in loss_roles}
-                    for (r, _), (a, b, c, d) in zip(turns, found)], rewrites))
+                    {"role": r, **dict(zip(("start", "end", "text_start", "text_end"), span or (None,) * 4)),
+                     "loss": span is not None and r in loss_roles} for (r, _), span in zip(turns, found)], rewrites))
             yield common.batches(out, OUT)
 
     return common.map_arrow(chats, run, OUT_DDL)

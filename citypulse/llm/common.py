@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from citypulse.operators.joins import scoped_conf
 from citypulse.session import scratch_path
 
 U64 = np.uint64
@@ -54,11 +55,18 @@ def give_back() -> None:
         trim(0)
 
 
+#: Spark deletes the shuffle files of a statement when it ends, not when the driver's
+#: garbage collector comes by
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder: computed once, and
-    read again after the loss of any executor."""
+    read again after the loss of any executor. The shuffles it took are deleted with
+    the end of the write."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with scoped_conf(df.sparkSession, FREE_SHUFFLES):  # the write runs inside the block
+        df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._written_path = path
     return out
@@ -196,5 +204,6 @@ def run_hashes(words: np.ndarray, k: int) -> np.ndarray:
 
 
 def text_of(name: str):
-    """The text column as UTF-8 text; null counts as empty."""
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+    """The text column as UTF-8 text; null counts as empty, and bytes that are not valid
+    UTF-8 (which Spark's strings may hold) as U+FFFD, as ``make_valid_utf8`` puts it."""
+    return F.make_valid_utf8(F.coalesce(F.col(name).cast("string"), F.lit("")))

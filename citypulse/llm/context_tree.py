@@ -283,7 +283,7 @@ def scored(docs: DataFrame, train, depth: int = 4, id_col: str = "doc_id", text_
 
     answers = (asked.select("part", "block", "keys").groupBy("part").cogroup(built.select("part", "keys", "values").groupBy("part"))
                .applyInArrow(answer, "block long, keys binary, values binary, words boolean"))
-    unit = math.log10(tokens + 0.5 * (distinct + 1)) if tokens else 0.0
+    unit = math.log10(tokens + 0.5 * (distinct + 1))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         found = []

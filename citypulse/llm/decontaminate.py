@@ -160,7 +160,7 @@ class Automaton:
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list]:
     """Items in blocks of at most ``block_bytes`` of text (one item at
     least), streamed through the driver block by block."""
-    rows = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
+    rows = benchmark.select(F.col(id_col).cast("string").alias("i"), F.make_valid_utf8(F.col(text_col).cast("string")).alias("t"))
     block, held = [], 0
     for row in rows.toLocalIterator():
         size = len(row["t"] or "")
@@ -184,7 +184,8 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: s
     text; a larger benchmark is met block by block, each document passing one
     automaton after another. Null and empty texts have no words; a null item id
     is called "null"; repeated items and documents count for themselves; an
-    empty benchmark hits nothing. The new column gets a free name if the
+    empty benchmark hits nothing. Bytes of a text that are not valid UTF-8 become
+    U+FFFD first, in the text column too. The new column gets a free name if the
     input has a ``match``.
     """
     out = common.own_column(docs, "match")
@@ -194,7 +195,7 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: s
                         ("longest", pa.int64()), ("hit", pa.binary()), ("clean_text", pa.string())])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{out}` {kind}"
     blocks = [[]] if not benchmark.take(1) else item_blocks(benchmark, item_col, item_text_col, block_bytes)
-    df = docs
+    df = docs.withColumn(text_col, F.make_valid_utf8(F.col(text_col).cast("string")).cast(text.dataType))
     for block in blocks:
         automaton = docs.sparkSession.sparkContext.broadcast(Automaton(block, window))
 

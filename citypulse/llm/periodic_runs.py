@@ -319,7 +319,7 @@ def with_runs(docs: DataFrame, least: int = 12, text_col: str = "text", slice_by
     in memory of about 100 bytes a byte of text; shorter ones in
     slices of ``slice_bytes``. Words are told apart by 64-bit hashes."""
     names, mark, body = docs.columns, common.own_column(docs, "periodic"), common.own_column(docs, "text_")
-    whole = docs.select("*", F.make_valid_utf8(common.text_of(text_col)).alias(body))
+    whole = docs.select("*", common.text_of(text_col).alias(body))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{mark}` {DDL}"])
 
     def run(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

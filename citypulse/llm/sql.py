@@ -100,4 +100,22 @@ pair AS (
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pair)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
-SQL: dict[str, str] = {"op11_merkle": OP11, "op12_periodic_runs": OP12, "op13_exact_search": OP13}
+def _escaped(x: str) -> str:
+    """Length of an escaped text: each backslash and control string takes one more."""
+    more = [f"(length({x}) - length(replace({x}, '{c}', ''))) // {len(c)}" for c in ("\\", "<s>", "</s>", "[INST]", "[/INST]")]
+    return f"(length({x}) + {' + '.join(more)})"
+
+
+OP7 = f"""WITH
+said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+summed AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS lines,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+    CAST(sum(CASE WHEN role = 'assistant' THEN 7 + {_escaped('text')}
+      ELSE 16 + {_escaped('role')} + length(role) - length(replace(role, chr(31), '')) + {_escaped('text')} END) AS BIGINT) AS formatted_chars
+  FROM said GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(lines) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM summed"""
+
+SQL: dict[str, str] = {"op7_chat": OP7, "op11_merkle": OP11, "op12_periodic_runs": OP12, "op13_exact_search": OP13}

@@ -20,14 +20,20 @@ by part, by value:
 4. blocks mark and remove what a smaller document has.
 
 A value, however common, reaches its part once per block, and a segment once per
-distinct content and block. Blocks and parts have bounded sizes; their number
-grows with the input.
+distinct content and block. The numbers of blocks and parts follow the bytes of the texts. A
+value with more than ``most_segments`` segments (a passage's edge, next to which every document
+has other text) does not go to one part whole: its strings are dealt one by one, by
+the hash of all their bytes, so that equal strings still meet, and no part holds the rest.
+
+Texts are shuffled by block three times; the shuffles of a step go when its table is
+written, and its tables when nothing reads them any more.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,10 +74,11 @@ def least_of_each(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, size: int):
-    """(value, start, number of strings, hash, text) of the segments of texts."""
+    """(value, start, number of strings, hash, text) of the segments of texts, and
+    the hashes of their substrings."""
     none = np.empty(0, np.int64)
     if len(data) < size:
-        return none.astype(U64), none, none, none.astype(U64), none
+        return none.astype(U64), none, none, none.astype(U64), none, None
     sums = _Sums(data)
     at = np.arange(len(data) - PIECE + 1)
     value = least_of_each(sums.of(at, at + PIECE), size - PIECE + 1)
@@ -82,7 +89,12 @@ def segments(data: np.ndarray, offsets: np.ndarray, size: int):
     stop = np.concatenate((~ok[1:] | fresh[1:], [True])) & ok
     start, last = np.flatnonzero(fresh), np.flatnonzero(stop)
     many = last - start + 1
-    return value[start], start, many, sums.of(start, last + size) + many.astype(U64), text[start]
+    return value[start], start, many, sums.of(start, last + size) + many.astype(U64), text[start], sums
+
+
+def _spread(start: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... (``many`` of them) of each entry."""
+    return np.arange(int(many.sum())) + np.repeat(start - (np.cumsum(many) - many), many)
 
 
 def suffix_order(text: np.ndarray, size: int) -> np.ndarray:
@@ -213,84 +225,125 @@ def _binary(rows: list, names: list[str]) -> pa.Table:
                      for i, (n, c) in enumerate(zip(names, columns))})
 
 
+def _without(data: np.ndarray, edges: list[int]) -> str:
+    """The text without the spans; a character that a span cuts goes whole."""
+    keep, inner = np.ones(len(data), bool), (data & 0xC0) == 0x80  # bytes inside a character
+    for a, b in zip(edges[::2], edges[1::2]):
+        while a and inner[a]:
+            a -= 1
+        while b < len(data) and inner[b]:
+            b += 1
+        keep[a:b] = False
+    return data[keep].tobytes().decode()
+
+
 def deduplicated(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text_col: str = "text",
-                 block_bytes: int = 8 << 20) -> DataFrame:
+                 block_bytes: int = 8 << 20, part_bytes: int = 4 << 20, most_segments: int = 50_000) -> DataFrame:
     """The columns of ``docs`` and one, ``dedup``: struct of n_bytes,
     n_removed, n_spans (maximal removed runs), spans (byte start and end of
-    each) and kept (the remaining bytes).
+    each), kept (the remaining bytes) and text (where something goes, the
+    remaining text: a character that is cut goes whole).
 
     A byte goes if a string of ``size`` bytes that covers it also starts in a
     document with a smaller id. Matches lie within documents; overlaps count. A
     null text has no bytes. A null id counts as larger than all others, and equal ids
     as neither larger nor smaller. Shorter texts stay whole. Strings and
     segments are told apart by their bytes within a part; which segments are
-    equal, by 64-bit hashes. An empty table gives no rows. The new column gets a
+    equal, and strings of a value with over ``most_segments`` segments, by 64-bit hashes. An empty table gives no rows. The new column gets a
     free name if the input has a ``dedup``.
     """
     spark = docs.sparkSession
     common.workers_see_package(spark)
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # smaller groups, same number of tasks
     total = docs.agg(F.sum(F.octet_length(common.text_of(text_col)))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
+    parts = max(4, -(-total // part_bytes))
     block = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(blocks)).alias("block")
     source = docs.select(block, F.col(id_col).cast("long").alias("doc"), common.text_of(text_col).alias("text"))
 
     def values(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        found = [(s[0], d) for _, _, _, s, d in _block(table, size)]
-        value, doc = (np.concatenate(x) for x in zip(*found))
-        order, first = _firsts(value)
-        doc = doc[order]
+        found = [(s[0], d, s[3]) for _, _, _, s, d in _block(table, size)]
+        value, doc, name = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((name, value))
+        value, doc, name = value[order], doc[order], name[order]
+        first = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1]))) if len(value) else order
         several = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first) if len(doc) else np.empty(0, bool)
-        value = value[order][first]
-        return _binary([(p, key[0].as_py(), value[own], several[own]) for p, own in
-                        _dealt((value % U64(parts)).astype(np.int64), parts)], ["part", "block", "values", "several"])
+        fresh = np.concatenate(([1], (name[1:] != name[:-1]) | (value[1:] != value[:-1])))[:len(value)]
+        # 0: one document has the value; else the number of its distinct segments, up to what two bytes hold
+        weight = np.minimum(np.add.reduceat(fresh.astype(np.int64), first), 65535) if len(value) else order
+        weight = np.where(several, weight, 0).astype(np.uint16)
+        value = value[first]
+        return _binary([(p, key[0].as_py(), value[own], weight[own]) for p, own in
+                        _dealt((value % U64(parts)).astype(np.int64), parts)], ["part", "block", "values", "weights"])
 
     def shared(table: pa.Table) -> pa.Table:
-        value, several = _all(table, "values", U64), _all(table, "several", bool)
-        order = np.argsort(value)
-        same = value[order][1:] == value[order][:-1]
-        hit = several.copy()
-        hit[order[1:]] |= same
-        hit[order[:-1]] |= same
+        value, weight = _all(table, "values", U64), _all(table, "weights", np.uint16).astype(np.int64)
+        order, first = _firsts(value)
+        many = np.diff(np.append(first, len(value)))
+        hit, heavy = np.empty(len(value), bool), np.empty(len(value), bool)
+        total = np.add.reduceat(np.maximum(weight, 1)[order], first) if len(value) else first
+        hit[order] = np.repeat((np.maximum.reduceat(weight[order], first) > 0) | (many > 1), many) if len(value) else hit
+        heavy[order] = np.repeat(total > most_segments, many)
         at, rows = 0, []
         for p, b, raw in zip(table["part"].to_pylist(), table["block"].to_pylist(), table["values"].to_pylist()):
-            end = at + len(raw) // 8
-            rows.append((p, b, value[at:end][hit[at:end]]))
-            at = end
-        return _binary([r for r in rows if len(r[2])], ["part", "block", "values"])
+            own = np.arange(at, at + len(raw) // 8)
+            at += len(own)
+            own = own[hit[own]]
+            rows.append((p, b, value[own], heavy[own]))
+        return _binary([r for r in rows if len(r[2])], ["part", "block", "values", "heavy"])
+
+    asked = source.groupBy("block").applyInArrow(values, "part long, block long, values binary, weights binary")
+    common_values = common.written(asked.groupBy("part").applyInArrow(
+        shared, "part long, block long, values binary, heavy binary"), "dedup-values")
 
-    asked = source.groupBy("block").applyInArrow(values, "part long, block long, values binary, several binary")
-    common_values = common.written(asked.groupBy("part").applyInArrow(shared, "part long, block long, values binary"), "dedup-values")
-    common.release(spark)
+    columns = ["part", "block", "values", "hashes", "docs", "lengths", "data", "cut"]
 
     def distinct(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return _binary([], ["part", "block", "values", "hashes", "docs", "lengths", "data"])
-        known = np.sort(_all(right, "values", U64))
-        found = []
-        for _, data, _, (value, start, many, name, _), doc in _block(left, size):
+            return _binary([], columns)
+        known, heavy = _all(right, "values", U64), _all(right, "heavy", bool)
+        order = np.argsort(known)
+        known, heavy = known[order], heavy[order]
+        found, cut = [], [np.empty(0, U64)]
+        for _, data, _, (value, start, many, name, _, sums), doc in _block(left, size):
             at = np.minimum(np.searchsorted(known, value), len(known) - 1)
             hit = np.flatnonzero(known[at] == value)
             own, doc = _one_each(name[hit], doc[hit])
             own = hit[own]
+            split = heavy[at[own]]
             length = many[own] + size - 1
-            found.append((value[own], name[own], doc, length, _gathered(data, start[own], length)))
+            found.append((value[own][~split], name[own][~split], doc[~split], length[~split],
+                          _gathered(data, start[own][~split], length[~split])))
+            if split.any():  # each string for itself, known by its hash
+                cut.append(name[own][split])
+                places = _spread(start[own][split], many[own][split])
+                names = sums.of(places, places + size) + U64(1)
+                found.append((names, names, np.repeat(doc[split], many[own][split]), np.zeros(len(names), np.int64), np.empty(0, np.uint8)))
         value, name, doc, length, data = (np.concatenate(x) for x in zip(*found))
         start = np.cumsum(length) - length
         own, doc = _one_each(name, doc)
         value, name, length, start = value[own], name[own], length[own], start[own]
         b = left["block"][0].as_py()
-        return _binary([(p, b, value[x], name[x], doc[x], length[x], _squeezed(_gathered(data, start[x], length[x]))) for p, x in
-                        _dealt((value % U64(parts)).astype(np.int64), parts)],
-                       ["part", "block", "values", "hashes", "docs", "lengths", "data"])
+        none = np.empty(0, U64)
+        rows = [(p, b, value[x], name[x], doc[x], length[x], _squeezed(_gathered(data, start[x], length[x])), none) for p, x in
+                _dealt((value % U64(parts)).astype(np.int64), parts)]
+        if len(cut) > 1:  # the block is told again which segments are split
+            rows.append((b % parts, b, none, none, none.astype(np.int64), none.astype(np.int64), _squeezed(np.empty(0, np.uint8)),
+                         np.unique(np.concatenate(cut))))
+        return _binary(rows, columns)
 
     sent = source.groupBy("block").cogroup(common_values.groupBy("block")).applyInArrow(
-        distinct, "part long, block long, values binary, hashes binary, docs binary, lengths binary, data binary")
+        distinct, "part long, block long, values binary, hashes binary, docs binary, lengths binary, data binary, cut binary")
 
     def least(table: pa.Table) -> pa.Table:
         value, name, doc, length = (_all(table, c, t) for c, t in (
             ("values", U64), ("hashes", U64), ("docs", np.int64), ("lengths", np.int64)))
         data = _restored(table["data"].to_pylist())
+        rows, at = [], 0
+        for b, raw in zip(table["block"].to_pylist(), table["cut"].to_pylist()):
+            if raw:
+                rows.append((b, 1, np.frombuffer(raw, U64), np.empty(0, np.int64), np.empty(0, np.int64)))
+        if not len(value):
+            return _binary(rows, ["block", "cut", "hashes", "counts", "lowest"])
         start = np.cumsum(length) - length
         order = np.lexsort((doc, name, value))
         fresh = np.concatenate(([True], name[order][1:] != name[order][:-1]))
@@ -299,7 +352,8 @@ def deduplicated(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text_c
         number[order] = np.cumsum(fresh) - 1
         alone = np.bincount(np.cumsum(np.concatenate(([True], value[one][1:] != value[one][:-1]))) - 1)
         varied = np.repeat(alone, alone) > 1  # a segment that alone has its value has nothing to be compared with
-        many = length[one] - size + 1
+        varied &= length[one] > 0
+        many = np.maximum(length[one] - size, 0) + 1
         begin = np.cumsum(many) - many
         lowest = np.repeat(doc[one], many)
         if varied.any():
@@ -307,53 +361,60 @@ def deduplicated(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text_c
             inside = np.repeat(varied, many)
             lowest[inside] = least_documents(length[chosen], _gathered(data, start[chosen], length[chosen]), doc[chosen], size)
         flat = np.minimum.reduceat(lowest, begin) == np.maximum.reduceat(lowest, begin)
-        rows, at = [], 0
         for b, raw in zip(table["block"].to_pylist(), table["hashes"].to_pylist()):
+            if not raw:
+                continue
             own = number[at:at + len(raw) // 8]
             at += len(raw) // 8
             size_of = np.where(flat[own], 1, many[own])
             rows.append((b, 0, name[at - len(own):at], size_of, _gathered(lowest, begin[own], size_of)))
-        return _binary(rows, ["block", "zero", "hashes", "counts", "lowest"])
+        return _binary(rows, ["block", "cut", "hashes", "counts", "lowest"])
 
-    answers = sent.groupBy("part").applyInArrow(least, "block long, zero long, hashes binary, counts binary, lowest binary")
+    answers = sent.groupBy("part").applyInArrow(least, "block long, cut long, hashes binary, counts binary, lowest binary")
     answers = common.written(answers, "dedup-answers")
     common.dropped(common_values)
-    del sent
-    common.release(spark)
 
     names, own_name = docs.columns, common.own_column(docs, "dedup")
     block_name, text_name, doc_name = (common.own_column(docs, x) for x in ("block_", "text_", "doc_"))
     whole = docs.select("*", block.alias(block_name), F.col(id_col).cast("long").alias(doc_name), common.text_of(text_col).alias(text_name))
     kind = pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-                      ("spans", pa.list_(pa.int64())), ("kept", pa.binary())])
+                      ("spans", pa.list_(pa.int64())), ("kept", pa.binary()), ("text", pa.string())])
 
     def removed(left: pa.Table, right: pa.Table) -> pa.Table:
+        cut = np.sort(_all(right.filter(pc.equal(right["cut"], 1)), "hashes", U64))
+        right = right.filter(pc.equal(right["cut"], 0))
         hashes, counts, lowest = (_all(right, c, t) for c, t in (("hashes", U64), ("counts", np.int64), ("lowest", np.int64)))
         order = np.argsort(hashes)
         hashes, begin, counts = hashes[order], (np.cumsum(counts) - counts)[order], counts[order]
         rows = []
         view = left.select([doc_name, text_name]).rename_columns(["doc", "text"])
-        for part, data, offsets, (value, start, many, name, text), doc in _block(view, size):
+        for part, data, offsets, (value, start, many, name, text, sums), doc in _block(view, size):
             gone = np.zeros(len(data) + 1, np.int64)
+            if len(cut) and len(name):  # split segments: their strings in their place
+                split = np.flatnonzero(cut[np.minimum(np.searchsorted(cut, name), len(cut) - 1)] == name)
+                places = _spread(start[split], many[split])
+                start, doc = np.append(start, places), np.append(doc, np.repeat(doc[split], many[split]))
+                name = np.append(name, sums.of(places, places + size) + U64(1))
+                many = np.append(many, np.ones(len(places), np.int64))
             if len(hashes) and len(name):
                 at = np.minimum(np.searchsorted(hashes, name), len(hashes) - 1)
                 hit = np.flatnonzero(hashes[at] == name)
                 at = at[hit]
-                place = np.arange(int(many[hit].sum())) - np.repeat(np.cumsum(many[hit]) - many[hit], many[hit])
+                place = _spread(np.zeros(len(hit), np.int64), many[hit])
                 low = lowest[np.repeat(begin[at], many[hit]) + np.where(np.repeat(counts[at], many[hit]) == 1, 0, place)]
                 bad = (np.repeat(start[hit], many[hit]) + place)[np.repeat(doc[hit], many[hit]) > low]
-                gone[bad] += 1
-                gone[bad + size] -= 1
+                np.add.at(gone, bad, 1)
+                np.add.at(gone, bad + size, -1)
             out = np.cumsum(gone[:-1]) > 0
             for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
                 edge = np.flatnonzero(np.diff(np.concatenate(([0], out[a:b].view(np.int8), [0]))))
                 rows.append({"n_bytes": b - a, "n_removed": int(out[a:b].sum()), "n_spans": len(edge) // 2, "spans": edge.tolist(),
-                             "kept": data[a:b][~out[a:b]].tobytes()})
+                             "kept": data[a:b][~out[a:b]].tobytes(), "text": _without(data[a:b], edge.tolist()) if len(edge) else None})
         return left.select(names).append_column(own_name, pa.array(rows, kind))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return whole.groupBy(block_name).cogroup(answers.groupBy("block")).applyInArrow(
-        removed, f"{schema}, `{own_name}` struct<n_bytes:long,n_removed:long,n_spans:long,spans:array<long>,kept:binary>")
+        removed, f"{schema}, `{own_name}` struct<n_bytes:long,n_removed:long,n_spans:long,spans:array<long>,kept:binary,text:string>")
 
 
 def without_repeats(docs: DataFrame, size: int = 50, text_col: str = "text", **more) -> DataFrame:
@@ -362,7 +423,6 @@ def without_repeats(docs: DataFrame, size: int = 50, text_col: str = "text", **m
     something was cut. Columns as before."""
     found = deduplicated(docs, size, text_col=text_col, **more)
     mark = F.col(found.columns[-1])
-    left = F.replace(F.make_valid_utf8(mark["kept"].cast("string")), F.lit("\ufffd"), F.lit(""))
-    text = F.when(mark["n_removed"] == 0, F.col(text_col)).otherwise(left)
-    keep = (mark["n_removed"] == 0) | F.regexp_like(left, F.lit(r"\S"))
-    return found.where(keep).select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    text = F.coalesce(mark["text"], F.col(text_col))
+    keep = (mark["n_removed"] == 0) | F.regexp_like(mark["text"], F.lit(r"\S"))
+    return found.where(keep).select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])

@@ -9,6 +9,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -19,6 +20,7 @@ import corpus_pipeline
 from citypulse.llm import (chat, context_tree, cotraining, decontaminate, ngram_join, packing, queries, rules, suffix_dedup,
                            token_files, tokens, warc)
 from citypulse.session import scratch_path
+from conftest import SF_SMALL
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -102,9 +104,9 @@ def brute_removed(rows, size=50):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("block_bytes", [8 << 20, 4000])
-def test_suffix_dedup(docs, block_bytes):
-    got = suffix_dedup.deduplicated(docs, block_bytes=block_bytes)
+@pytest.mark.parametrize("block_bytes, part_bytes, most", [(8 << 20, 4 << 20, 50_000), (4000, 2000, 50_000), (4000, 1000, 2), (8 << 20, 4 << 20, 1)])
+def test_suffix_dedup(docs, block_bytes, part_bytes, most):
+    got = suffix_dedup.deduplicated(docs, block_bytes=block_bytes, part_bytes=part_bytes, most_segments=most)
     rows = sorted(((r["doc_id"], *(r["dedup"][c] for c in ("n_bytes", "n_removed", "n_spans")), bytes(r["dedup"]["kept"]))
                    for r in got.collect()), key=str)
     assert rows == brute_removed(pairs(docs))
@@ -114,6 +116,30 @@ def test_suffix_dedup(docs, block_bytes):
     assert left.columns == docs.columns and left.count() < docs.count()
 
 
+def test_passage_with_other_text_next_to_it_everywhere(spark, monkeypatch):
+    """A third of the documents share a passage between words of their own."""
+    rnd = np.random.default_rng(2)
+    own = lambda: " ".join("".join(rnd.choice(list("abcdefgh"), 9)) for _ in range(6))
+    passage = "licensed to all who read this line, and to those who do not, for good. é漢"
+    rows = [(i, own() + (f" {passage} " if i % 3 == 0 else " ") + own()) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {}
+    for most in (1_000_000, 10):
+        found = suffix_dedup.deduplicated(docs, block_bytes=3000, part_bytes=1500, most_segments=most).collect()
+        got[most] = sorted((r["doc_id"], r["dedup"]["n_bytes"], r["dedup"]["n_removed"], r["dedup"]["n_spans"], bytes(r["dedup"]["kept"])) for r in found)
+        assert sum(r[2] > 0 for r in got[most]) == 49
+    assert got[10] == got[1_000_000] == sorted(brute_removed(rows))
+
+
+def test_cut_characters_go_whole_and_others_stay(spark):
+    passage = "漢字" * 20                          # 120 bytes
+    rows = [(1, "a" + passage), (2, "keep \ufffd this " + passage + " é"), (3, "b" + passage[:-1] + "語"), (4, passage + "\ufffd")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r["doc_id"]: r["text"] for r in suffix_dedup.without_repeats(docs).collect()}
+    assert left[1] == rows[0][1] and left[2] == "keep \ufffd this  é" and left[4] == "\ufffd"
+    assert left[3] in ("b語", "b")                 # 語 shares its first bytes with 字 or not: never half a character
+
+
 def test_interval_expansion_random():
     rnd = np.random.default_rng(1)
     for size in (2, 3, 7, 12):
@@ -327,11 +353,44 @@ def test_chat(spark, texts):
     assert chat.format_chats(chats).where("rewrites").count() == 0
 
 
-def test_templates_that_rewrite_history():
-    trims = lambda turns: "".join(f"<{r}>" + (t if i == len(turns) - 1 else t[:2]) for i, (r, t) in enumerate(turns))
-    assert chat.spans([("user", "hello"), ("assistant", "you")], trims)[2]
+def test_chat_texts_of_the_templates_own_characters(spark):
+    rnd = random.Random(9)
+    bits = ["<", ">", "<s>", "</s>", "[INST]", "[/INST]", "[", "]", "/", "s", " ", "\\", "(", "{", "|", "a", "b", "\x1f", "é", "\n"]
+    text = lambda: "".join(rnd.choice(bits) for _ in range(rnd.randrange(6)))
+    rows = [(c, t, rnd.choice(["user", "assistant", text()]), text()) for c in range(150) for t in range(4)]
+    rows += [(1000 + i, 0, "assistant", t) for i, t in enumerate([x + y for x in bits for y in ("", "<b>hi</b>", "x<")])]
+    chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    formatted = chat.format_chats(chats)
+    got = {r["conv_id"]: r for r in chat.read_back(formatted).collect()}
+    for conv in {r[0] for r in rows}:
+        turns = [(r, x) for c, _, r, x in rows if c == conv]
+        assert got[conv]["turn_lines"] == [x for t in turns for x in t]
+        assert got[conv]["loss_texts"] == [x for r, x in turns if r == "assistant"]
+    assert formatted.where("rewrites").count() == 0
+
+
+def test_templates_that_rewrite_history(spark):
+    cut = lambda turns: "".join(f"<{r}>" + (t if i == len(turns) - 1 else t[:2]) for i, (r, t) in enumerate(turns))
+    four = [("user", "hello"), ("assistant", "you"), ("user", "ok"), ("assistant", "then")]
+    out, found, rewrites = chat.spans(four, cut)
+    assert rewrites and [f is None for f in found] == [True, True, False, False]
+    assert [out[f[2]:f[3]] for f in found[2:]] == ["ok", "then"]
+    rows = spark.createDataFrame([(1, i, *t) for i, t in enumerate(four)], "conv_id long, turn long, role string, text string")
+    spans = chat.format_chats(rows, cut).first()["spans"]
+    assert [(x["role"], x["loss"]) for x in spans] == [("user", False), ("assistant", False), ("user", False), ("assistant", True)]
     out, found, rewrites = chat.spans([("user", "hello"), ("assistant", "")], chat.bracket_template)
     assert not rewrites and [out[c:d] for _, _, c, d in found] == ["hello", ""] and found[-1][1] == len(out)
+    trims = lambda turns: "".join(f"({r}: {t.strip()})" for r, t in turns)
+    out, found, _ = chat.spans([("u", "  a b "), ("v", " ")], trims)
+    assert [out[c:d] for _, _, c, d in found] == ["a b", ""]
+
+
+def test_chat_query_equals_its_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{SF_SMALL}/conversations.parquet')")
+    res = con.execute(queries.SQL["op7_chat"])
+    order = [d[0] for d in res.description]
+    assert sorted(map(tuple, queries.op7_chat(spark, SF_SMALL).select(*order).collect())) == sorted(res.fetchall())
 
 
 # ------------------------------------------------------------ 8
@@ -454,3 +513,19 @@ def test_context_tree(spark):
             assert abs(r["base_score"] - sum(math.log10((count[w] + .5) / (total + .5 * (len(count) + 1))) for w in ws)) < 1e-9
         assert not got[None]["train"]
     assert context_tree.scored(docs.limit(0), F.lit(True)).count() == 0
+
+
+def test_base_score_without_training_texts(spark):
+    rows = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in context_tree.scored(rows, F.lit(False)).collect()}
+    assert got[1]["base_score"] == 0.0 and got[1]["train_tokens"] == 0 and got[2]["n_tokens"] == 1
+
+
+def test_bytes_that_are_not_utf8_become_the_replacement_character(spark):
+    rows = spark.createDataFrame([(1, b"ab \xc3 cd \xff\xfe ef \xe6\xbc"), (2, b"plain")], "doc_id long, raw binary")
+    docs = rows.select("doc_id", F.col("raw").cast("string").alias("text"))
+    valid = docs.withColumn("text", F.make_valid_utf8("text"))
+    items = spark.createDataFrame([("i", "plain")], "item_id string, text string")
+    for use in (lambda d: decontaminate.matched(d, items).select("doc_id", "match.*"), lambda d: packing.pack(d),
+                lambda d: suffix_dedup.deduplicated(d).select("doc_id", "dedup.n_bytes"), lambda d: ngram_join.joined(d)):
+        assert sorted(map(repr, use(docs).collect())) == sorted(map(repr, use(valid).collect()))
