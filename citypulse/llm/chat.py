@@ -12,7 +12,7 @@ turns whose output was rewritten have no span.
 
 from __future__ import annotations
 
-import os
+import functools
 import re
 from collections.abc import Callable, Iterator
 
@@ -43,6 +43,7 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(lambda m: _BACK[m[0]], text)
 
 
+@functools.lru_cache(1 << 14)  # a turn is rendered again with each longer prefix
 def bracket_turn(role: str, text: str) -> str:
     if role == "assistant":
         return f"<s>{escape(text)}</s>"
@@ -65,7 +66,15 @@ def parse_brackets(formatted: str) -> Turns:
 
 
 def _common_start(a: str, b: str) -> int:
-    return len(os.path.commonprefix([a, b]))
+    """Length of the common start, by halving: slices compare fast."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        mid = (low + high + 1) // 2
+        if a[low:mid] == b[low:mid]:
+            low = mid
+        else:
+            high = mid - 1
+    return low
 
 
 #: two texts that differ in their first and in their last character
@@ -86,7 +95,8 @@ def spans(turns: Turns, render: Callable[[Turns], str]) -> tuple[str, list[tuple
             start = _common_start(before, now)
             found = [s if s and s[1] <= start else None for s in found]
         one, two = (render([*turns[:k], (role, probe)]) for probe in PROBES)
-        left = _common_start(one, two)
+        shared = start if one[:start] == two[:start] else 0
+        left = shared + _common_start(one[shared:], two[shared:])
         after = _common_start(one[left:][::-1], two[left:][::-1])
         right = len(now) - after
         known = left <= right and now.startswith(one[:left]) and now.endswith(one[len(one) - after:])
