@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept
 and returns a DataFrame: the first four the columns of ``documents``, the last the
 packed pieces. Between stages the rows are written as Parquet and read again.
+
+What odd rows give, in every stage: a null text counts as empty and stays null where nothing is
+cut; empty texts are kept by the near-duplicate and cutting stages (an empty set of
+shingles is nobody's copy, and nothing can be cut); rows with a null id are kept as rows of their
+own; repeated rows with one id are one document, whose rows stay together, to the
+near-duplicate stage, and copies of equal rank, neither before the other, to the suffix stage; further columns pass
+through the four filtering stages, whatever their names; an empty table gives an empty
+table with the same columns. Bytes that are not valid UTF-8 become U+FFFD.
 """
 
 from __future__ import annotations
