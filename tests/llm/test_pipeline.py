@@ -29,6 +29,25 @@ def test_stages(spark):
     assert sum(p["length"] for p in packed) == sum({p["doc_id"]: p["doc_tokens"] for p in packed}.values())
 
 
+def test_stages_on_odd_rows(spark, tmp_path):
+    rows = [(1, "one two three " * 30, "en", "a", 3, "x"), (1, "one two three " * 30, "en", "a", 3, "x"), (2, None, None, None, None, None),
+            (3, "", "en", "a", 0, "y"), (None, "free text " * 20, "en", "a", 1, "z"), (None, None, None, None, None, None),
+            (4, "some words here", "de", "b", 9, "w"), (5, " \n", "en", "a", 2, "q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, `match` string")
+    docs = docs.selectExpr("*", "1 AS dedup", "'k' AS kept", "2 AS component_id")
+    spark.createDataFrame([(1, 1, 0), (4, 0, 1), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([("i", "something else entirely"), (None, None)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = sorted(repr((r["doc_id"], r["text"])) for r in docs.collect())
+    for name, stage in corpus_pipeline.STAGES:
+        got, none = stage(spark, docs, str(tmp_path)), stage(spark, docs.limit(0), str(tmp_path))
+        assert none.collect() == [] and none.columns == got.columns
+        if name == "packing":
+            assert sorted(str(r["doc_id"]) for r in got.collect()) == sorted(str(r[0]) for r in rows)
+        else:
+            assert got.dtypes == docs.dtypes
+            assert sorted(repr((r["doc_id"], r["text"])) for r in got.collect()) == want
+
+
 def test_near_copies_from_four_fifths_go(spark):
     def changed(words, times):  # each change costs five of the 996 shingles on both sides
         return [f"other{i}" if i % 10 == 5 and i < 10 * times else w for i, w in enumerate(words)]
@@ -49,5 +68,5 @@ def test_near_copies_from_four_fifths_go(spark):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 14))
     assert set(queries.SQL) <= set(queries.QUERIES)
