@@ -4,9 +4,11 @@ Each partition keeps an array N of levels: N[h] is the number of open
 windows that hold h tokens. A document goes to the level h for which the sum
 of N[h]^2 after placing it is least (h = 0 opens a window); ties go to the
 fullest level. Documents longer than a window first fill whole windows; only
-the rest is placed. When the input of a partition ends, its open windows are
-emptied from the emptiest into the fullest, cutting documents, so that one
-partly filled window per partition remains. Nothing is shuffled.
+the rest is placed. When the ids held in open windows pass a byte bound, and
+when the input of a partition ends, the open windows are emptied from the
+emptiest into the fullest, cutting documents: all become full but one, which
+stays open or, at the end, is the partition's only partly filled window.
+Nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -36,8 +38,9 @@ class Packer:
     A piece is (doc_id, start, ids as bytes, tokens of the document); a
     finished window is a list of pieces."""
 
-    def __init__(self, size: int):
-        self.size = size
+    def __init__(self, size: int, most_open: int = 32 << 20):
+        self.size, self.most_open = size, most_open
+        self.held = 0  # bytes of ids in open windows
         self.count = np.zeros(size + 1, np.int64)  # N[h]; index 0 and size stay 0
         self.open: list[list[list[tuple]]] = [[] for _ in range(size + 1)]
 
@@ -67,15 +70,24 @@ class Packer:
                 self.count[level] -= 1
             window.append((doc_id, start, ids[4 * start:], total))
             if level + rest == self.size:
+                self.held -= 4 * level
                 yield window
             else:
-                self.open[level + rest].append(window)
-                self.count[level + rest] += 1
+                self.put(level + rest, window)
+                self.held += 4 * rest
+                if self.held > self.most_open:
+                    yield from self.close(last=False)
 
-    def close(self) -> Iterator[list[tuple]]:
+    def put(self, level: int, window: list[tuple]) -> None:
+        self.open[level].append(window)
+        self.count[level] += 1
+
+    def close(self, last: bool = True) -> Iterator[list[tuple]]:
         """Fill the fullest windows from the emptiest; at most one is left
-        partly filled."""
+        partly filled, which stays open unless this is the ``last`` call."""
         left = [(h, w) for h in range(self.size, 0, -1) for w in self.open[h]]
+        self.open, self.held = [[] for _ in range(self.size + 1)], 0
+        self.count[:] = 0
         i, j = 0, len(left) - 1
         while i <= j:
             level, window = left[i]
@@ -92,7 +104,11 @@ class Packer:
                 left[j] = (donor_level - have, donor)
                 if donor_level == have:
                     j -= 1
-            yield window
+            if level < self.size and not last:
+                self.put(level, window)
+                self.held = 4 * level
+            else:
+                yield window
             i += 1
 
 
@@ -109,7 +125,7 @@ def _rows(windows: Iterator[list[tuple]], size: int, base: int) -> Iterator[tupl
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 2048,
          end_id: int = 1, vocabulary: str | None = None, remembered: int = 900_000,
-         added: bool = False) -> DataFrame:
+         added: bool = False, most_open: int = 32 << 20) -> DataFrame:
     """Pieces of all documents, packed into windows of ``size`` tokens.
 
     Columns: doc_id, start (the document's ids before the piece), length,
@@ -124,13 +140,14 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
     keeps (about 250 bytes each, also between tasks). ``added``: strings of the
     vocabulary's added tokens in a text are those tokens (see ``Encoder``). Window ids are unique, not consecutive
     (partition number times 2^33, plus a count). Memory per task: the open
-    windows, whose number grows as the square root of the partition's rows.
+    windows, held to ``most_open`` bytes of ids (with what Python keeps around them
+    about twice that for documents of a few hundred tokens).
     """
     path = vocabulary or default_vocabulary()
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches_in):
-        packer, enc = Packer(size), encoder(path, remembered, added)
+        packer, enc = Packer(size, most_open), encoder(path, remembered, added)
 
         def windows():
             for batch in batches_in:
