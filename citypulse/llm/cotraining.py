@@ -4,18 +4,20 @@ The text view sees hashed words and the shape of the text; the metadata view
 sees the other columns (source, language, length). Each is a logistic
 regression. In each round every view scores all unlabelled documents, and
 documents on which it is confident become pseudo-labelled examples for the
-other view. At the end both views are calibrated (Platt) on labelled rows kept
-apart, their log odds are added, and all documents are scored.
+other view. Both views are calibrated (Platt) on all labelled rows outside the
+fit, counted by narrow bins of their odds; the log odds are added, the cutoff
+is taken from the same rows, and all documents are scored.
 
 The regressions are fitted on bounded samples of rows (``most_labelled``,
-``most_pseudo`` per view and round); everything else covers all documents.
+``most_pseudo`` per view and round, ``most_bytes`` of features); everything else
+covers all documents.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citypulse.llm import common
@@ -114,15 +116,20 @@ def fit(packed: list[bytes], good: np.ndarray, weight: np.ndarray, size: int, al
     return w
 
 
-def platt(x: np.ndarray, good: np.ndarray) -> tuple[float, float]:
-    """a, b such that a * x + b are calibrated log odds (Newton's method with
-    a little smoothing); without both classes the odds stay as they are."""
-    if not 0 < good.sum() < len(good):
+BINS = 64  #: bins per unit of log odds
+EDGE = 40  #: odds beyond are counted in the last bin on their side
+
+
+def platt(x: np.ndarray, good: np.ndarray, rows: np.ndarray) -> tuple[float, float]:
+    """a, b such that a * x + b are calibrated log odds, from bins at the odds
+    x with so many rows, good ones among them (Newton's method with a little
+    smoothing); without both classes the odds stay as they are."""
+    if not 0 < good.sum() < rows.sum():
         return 1.0, 0.0
     a, b = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        g, h = p - good, np.maximum(p * (1 - p), 1e-6)
+        g, h = rows * p - good, rows * np.maximum(p * (1 - p), 1e-6)
         slope = np.array([(g * x).sum() + 1e-3 * (a - 1), g.sum()])
         curve = np.array([[(h * x * x).sum() + 1e-3, (h * x).sum()], [(h * x).sum(), h.sum() + 1e-3]])
         step = np.clip(np.linalg.solve(curve, slope), -1, 1)
@@ -130,25 +137,65 @@ def platt(x: np.ndarray, good: np.ndarray) -> tuple[float, float]:
     return float(max(a, 0.0)), float(b)
 
 
+def binned(scored: DataFrame, **odds: Column) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each named odds: its bins in ascending order, as (middle, good rows,
+    all rows). One aggregate, at most 2 * EDGE * BINS + 2 rows a name; odds that are not
+    numbers count as 0."""
+    place = lambda x: F.floor(F.greatest(F.lit(-EDGE), F.least(F.lit(EDGE), F.when(F.isnan(x), 0.0).otherwise(x))) * BINS)
+    each = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), place(x).alias("bin")) for name, x in odds.items()]))
+    rows = (scored.select("good", each.alias("at")).groupBy("at.name", "at.bin")
+            .agg(F.sum("good").alias("good"), F.count("*").alias("rows")).collect())
+    out = {}
+    for name in odds:
+        mine = sorted((r["bin"], r["good"], r["rows"]) for r in rows if r["name"] == name)
+        place_, good, many = (np.array([m[i] for m in mine], float) for i in range(3))
+        out[name] = ((place_ + 0.5) / BINS, good, many)
+    return out
+
+
+def best_cutoff(odds: np.ndarray, good: np.ndarray, rows: np.ndarray, most_lost: float) -> float | None:
+    """The lower edge, in odds, of what is kept: the edge of a bin under which
+    most more bad than good rows lie, among those that lose at most
+    ``most_lost`` of the good ones; None if no edge gains."""
+    lost = np.concatenate(([0], np.cumsum(good)))
+    caught = np.concatenate(([0], np.cumsum(rows - good)))
+    gain = np.where(lost <= most_lost * good.sum(), caught - lost, -1)
+    best = int(np.argmax(gain))
+    return None if gain[best] <= 0 else float(odds[best - 1] + 0.5 / BINS)
+
+
 def _share(key: str, share: float):
     """A fixed pseudo-random share of the rows."""
     return F.pmod(F.xxhash64(F.col("doc_id"), F.lit(key)), F.lit(1_000_000)) < F.lit(int(1_000_000 * min(1.0, share)))
 
 
+def _bounded(rows: DataFrame, view: str | None, key: str, most: int, most_bytes: int) -> list:
+    """A sample of at most ``most`` rows and about ``most_bytes`` of features (of one view or
+    both), whatever the ids: rows that share one are picked by their features."""
+    views = [view] if view else ["text_f", "meta_f"]
+    many, size = rows.agg(F.count("*"), F.sum(sum(F.octet_length(v) for v in views))).first()
+    share = min(most, many * most_bytes / max(1, size or 0)) / max(1, many)
+    some = rows.where(_share(key, share)).select(*views, "good", F.xxhash64("doc_id", F.lit(key)).alias("by"), F.xxhash64(*views).alias("then"))
+    return some.orderBy("by", "then").limit(max(1, int(many * min(1.0, share)))).collect()
+
+
 def classify(docs: DataFrame, labels: DataFrame, rounds: int = 2, most_labelled: int = 12_000,
              most_pseudo: int = 2_000, confidence: float = 0.98, most_lost: float = 0.005,
              id_col: str = "doc_id", text_col: str = "text",
-             meta_cols: tuple[str, ...] = ("source", "lang", "n_chars")) -> DataFrame:
+             meta_cols: tuple[str, ...] = ("source", "lang", "n_chars"), most_bytes: int = 64 << 20) -> DataFrame:
     """(doc_id, p_text, p_meta, score, kept) of every row of ``docs``.
 
     Good means quality 1 and not toxic, by every label of the document. score
     is the calibrated probability of being good; a document is kept unless its
-    score is under the cutoff: the best one on the labelled rows kept apart
-    (a fifth of the sample) among those that lose at most ``most_lost`` of the
-    good ones there. Without usable labels all are kept with score 0.5. Null
+    score is under the cutoff: the best one on the labelled rows outside the fit
+    (a fifth of them or more, all of them counted, by bins of 1/64 of the log
+    odds) among those that lose at most ``most_lost`` of the good ones there.
+    Without usable labels all are kept with score 0.5. Null
     ids have no label, null texts are empty, null metadata is a value of its
     own; missing metadata columns are left out; rows are scored each for
-    itself.
+    itself. The fit's samples, the only rows that reach the driver, are bounded by
+    ``most_labelled``, ``most_pseudo`` and ``most_bytes`` (an eighth of it a view and
+    round for pseudo-labels).
     """
     metas = [c for c in meta_cols if c in docs.columns]
     known = (labels.groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -157,20 +204,21 @@ def classify(docs: DataFrame, labels: DataFrame, rounds: int = 2, most_labelled:
     table = common.written(views_only.join(known, "doc_id", "left"), "views")  # good: null if unlabelled
     common.dropped(views_only)
     common.release(docs.sparkSession)
-    found = table.where("good IS NOT NULL").count()
-    rows = (table.where(F.col("good").isNotNull() & _share("labelled", most_labelled / max(1, found)))
-            .select("text_f", "meta_f", "good", _share("apart", 0.2).alias("apart")).collect())
+    labelled = table.where("good IS NOT NULL")
+    found = labelled.count()
+    in_fit = _share("labelled", most_labelled / max(1, found)) & ~_share("apart", 0.2)
+    train = _bounded(labelled.where(in_fit), None, "labelled", most_labelled, most_bytes)
+    apart = labelled.where(~in_fit)
     views = {"text_f": TEXT_SIZE, "meta_f": META_SIZE}
-    train, apart = [r for r in rows if not r["apart"]], [r for r in rows if r["apart"]]
     given = {v: ([bytes(r[v]) for r in train], [r["good"] for r in train], [1.0] * len(train)) for v in views}
     learn = lambda v: fit(given[v][0], np.array(given[v][1], float), np.array(given[v][2]), views[v], 80 if v == "text_f" else 0)
-    truth = np.array([r["good"] for r in apart], float)
 
-    def calibrated(v: str, w: np.ndarray) -> tuple[float, float]:
-        return platt(log_odds(w, [bytes(r[v]) for r in apart]), truth) if apart else (1.0, 0.0)
+    def calibrated() -> dict[str, tuple[float, float]]:
+        raw = with_odds(apart, models, {v: (1.0, 0.0) for v in views}, "good int")
+        return {v: platt(*bins) for v, bins in binned(raw, **{v: F.col(f"{v}_odds") for v in views}).items()}
 
     models = {v: learn(v) for v in views}
-    scales = {v: calibrated(v, w) for v, w in models.items()}
+    scales = calibrated()
     unlabelled = table.where("good IS NULL")
     for turn in range(rounds if train else 0):
         scored = with_odds(unlabelled, models, scales)
@@ -178,35 +226,30 @@ def classify(docs: DataFrame, labels: DataFrame, rounds: int = 2, most_labelled:
         side = lambda v: F.when(F.col(f"{v}_odds") > sure, 1).when(F.col(f"{v}_odds") < -sure, 0)
         for v, other in (("text_f", "meta_f"), ("meta_f", "text_f")):
             confident = scored.select("doc_id", other, side(v).alias("good")).where("good IS NOT NULL")
-            many = confident.count()
-            for r in confident.where(_share(f"{v}{turn}", most_pseudo / max(1, many))).collect():
+            for r in _bounded(confident, other, f"{v}{turn}", most_pseudo, most_bytes // 8):
                 given[other][0].append(bytes(r[other]))
                 given[other][1].append(r["good"])
                 given[other][2].append(0.5)
         models = {v: learn(v) for v in views}
-        scales = {v: calibrated(v, w) for v, w in models.items()}
-
-    prior = float(np.log((truth.sum() + 1) / (len(truth) - truth.sum() + 1))) if apart else 0.0
-    cutoff = -1.0
-    if 0 < truth.sum() < len(truth):
-        odds = sum(scales[v][0] * log_odds(models[v], [bytes(r[v]) for r in apart]) + scales[v][1] for v in views) - prior
-        order = np.argsort(odds)
-        lost = np.concatenate(([0], np.cumsum(truth[order])))
-        caught = np.concatenate(([0], np.cumsum(1 - truth[order])))
-        best = int(np.argmax(np.where(lost <= most_lost * truth.sum(), caught - lost, -1)))
-        if best:
-            edge = (odds[order[best - 1]] + odds[order[min(best, len(order) - 1)]]) / 2
-            cutoff = float(1 / (1 + np.exp(-edge)))
+        scales = calibrated()
+
+    total = F.col("text_f_odds") + F.col("meta_f_odds")
+    odds, good, rows = binned(with_odds(apart, models, scales, "good int"), both=total)["both"]
+    prior = float(np.log((good.sum() + 1) / (rows.sum() - good.sum() + 1))) if len(rows) else 0.0
+    edge = best_cutoff(odds, good, rows, most_lost) if train and 0 < good.sum() < rows.sum() else None
     chance = lambda x: 1 / (1 + F.exp(-x))
     scored = with_odds(table, models, scales)
-    score = chance(F.col("text_f_odds") + F.col("meta_f_odds") - F.lit(prior)) if train else F.lit(0.5)
+    score = chance(total - F.lit(prior)) if train else F.lit(0.5)
+    kept = F.lit(True) if edge is None else total >= F.lit(edge)
     return scored.select("doc_id", chance(F.col("text_f_odds")).alias("p_text"), chance(F.col("meta_f_odds")).alias("p_meta"),
-                         score.alias("score")).withColumn("kept", F.col("score") > cutoff)
+                         score.alias("score"), kept.alias("kept"))
 
 
-def with_odds(table: DataFrame, models: dict[str, np.ndarray], scales: dict[str, tuple[float, float]]) -> DataFrame:
-    """Adds the calibrated log odds of both views. The weights (under 600 KB,
-    whatever the input) travel with the function."""
+def with_odds(table: DataFrame, models: dict[str, np.ndarray], scales: dict[str, tuple[float, float]],
+              more: str = "") -> DataFrame:
+    """Adds the calibrated log odds of both views to doc_id, the features and one column
+    ``more`` (name and type). The weights (under 600 KB, whatever the input) travel with the function."""
+    kept = ["doc_id", "text_f", "meta_f", *more.split(" ")[:1]] if more else ["doc_id", "text_f", "meta_f"]
     weights = {v: w.astype(np.float32) for v, w in models.items()}
 
     def run(batches_in):
@@ -216,8 +259,8 @@ def with_odds(table: DataFrame, models: dict[str, np.ndarray], scales: dict[str,
                         for v in ("text_f", "meta_f")]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *odds], names=[*batch.schema.names, "text_f_odds", "meta_f_odds"])
 
-    return common.map_arrow(table.select("doc_id", "text_f", "meta_f"), run,
-                            "doc_id long, text_f binary, meta_f binary, text_f_odds double, meta_f_odds double")
+    return common.map_arrow(table.select(*kept), run, "doc_id long, text_f binary, meta_f binary, " + (f"{more}, " if more else "")
+                            + "text_f_odds double, meta_f_odds double")
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **more) -> DataFrame:
