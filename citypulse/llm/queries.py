@@ -44,12 +44,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = scratch_path(spark, "token-shards")
     token_files.write_shards(docs, path, added=True)
-    shards = token_files.read_shards(spark, path)
-    records = written(shards.withColumn("ids_crc32", F.crc32("token_ids")).drop("token_ids"), "token-records")
-    index = written(token_files.build_index(records), "token-index")
-    found = token_files.keyed_records(records, index, docs, "doc_id")
-    return token_files.with_global_start(found).select(
-        F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+    heads = written(token_files.read_shards(spark, path, ids=False), "token-heads")
+    index = written(token_files.build_index(heads), "token-index")
+    found = token_files.keyed_records(spark, path, index, docs, "doc_id")
+    return token_files.with_global_start(found, heads).select(
+        F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
 
 
 def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,12 +13,12 @@ Spark's own writers and readers, so any store that Spark reaches will do.
 The index maps a key to (shard, offset of its payload, ids): keys are dealt by
 hash to small parts; each part has a minimal perfect hash (hash and displace:
 a seed per bucket of about four keys, searched so that all keys of the part
-fill the slots 0..n-1) and a stored 32-bit fingerprint per slot.
+fill the slots 0..n-1) and a stored 32-bit fingerprint per slot. Keyed reads
+open the payloads at the offsets that the index gives.
 """
 
 from __future__ import annotations
 
-import re
 import struct
 
 import numpy as np
@@ -43,24 +43,38 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     Texts are encoded where they are read; the records, half as large, are
     then dealt to shards of about ``shard_bytes`` of text by ranges of keys (one
-    shuffle). The range bounds come from a sketch of the keys, whose error makes
-    shards larger or smaller and nothing else. A null or empty text is its end
-    id alone; null keys come first; rows with equal keys follow one another
-    (ordered by a hash of the text) and stay in one shard. ``id_bytes`` is 2 for
-    vocabularies under 65,536 ids, else 4. ``added``: strings of the vocabulary's
-    added tokens in a text are those tokens (see ``Encoder``). An empty table gives empty files.
+    shuffle). The range bounds come from a sketch of the keys, each counted by the length of
+    its texts; its error makes shards larger or smaller and nothing else. A null or empty
+    text is its end id alone. Null keys come first, in shards of their own. Rows with equal
+    keys follow one another (in a shard, ordered by a hash of the text); a key that
+    fills several shards is dealt over them by text and by part of the input.
+    ``id_bytes`` is 2 for vocabularies under 65,536 ids, else 4. ``added``: strings of the
+    vocabulary's added tokens in a text are those tokens (see ``Encoder``). An empty table gives empty files.
     Further columns are not read.
     """
     vocab = vocabulary or default_vocabulary()
     kind = {2: "<u2", 4: "<u4"}[id_bytes]
     source = docs.select(F.col(id_col).cast("long").alias("key"), common.text_of(text_col).alias("text"))
-    total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
+    size = F.octet_length("text").cast("long")
+    total, of_null, many = source.agg(F.sum(size), F.sum(F.when(F.col("key").isNull(), size)), F.count("*")).first()
+    total, of_null = total or 0, of_null or 0
+    nulls = -(-of_null // shard_bytes)
+    shards = max(1, -(-(total - of_null) // shard_bytes))
     cuts = [i / shards for i in range(1, shards)]
-    last = (source.agg(F.percentile_approx("key", cuts, min(1_000_000, max(10_000, 100 * shards)))).first()[0]
+    each = max(1, total // max(1, many))  # a text counts once more for every so many bytes
+    weighed = source.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(size / each))))
+    last = (weighed.agg(F.percentile_approx("key", cuts, min(1_000_000, max(10_000, 100 * shards)))).first()[0]
             if cuts else None)
     bounds = docs.sparkSession.sparkContext.broadcast(np.array(last or [], np.int64))  # 8 bytes a shard
 
+    def shards_of(keys: pa.Array, tie: np.ndarray, part: np.ndarray) -> np.ndarray:
+        null = keys.is_null().to_numpy(zero_copy_only=False)
+        key = keys.fill_null(0).to_numpy(zero_copy_only=False)
+        low, high = (np.searchsorted(bounds.value, key, side) for side in ("left", "right"))
+        low, high = np.where(null, 0, low + nulls), np.where(null, max(0, nulls - 1), high + nulls)
+        dealt = common.mixed(tie.view(U64) ^ common.mixed(part.astype(U64)))
+        return low + (dealt % (high - low + 1).astype(U64)).astype(np.int64)
+
     def records(batches_in):
         enc = encoder(vocab, 300_000, added)  # a worker serves the sort of the records too, which takes memory
         for batch in batches_in:
@@ -69,33 +83,39 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                 for key, ids in zip(keys, enc.encode_each(part.column("text"))):
                     ids = np.append(ids, np.uint32(end_id))
                     out.append(struct.pack(HEAD, key or 0, key is None, len(ids)) + ids.astype(kind).tobytes())
-                shard = [0 if k is None else int(np.searchsorted(bounds.value, k)) for k in keys]
+                shard = shards_of(part.column("key"), *(part.column(c).to_numpy() for c in ("tie", "part")))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shard, pa.int32()), part.column("key"), part.column("tie"), pa.array(out, pa.binary())],
                     names=["shard", "key", "tie", "record"])
 
-    (common.map_arrow(source.withColumn("tie", F.xxhash64("text")), records,
+    # parts of the input, not its rows, spread equal rows: a task that runs again deals the same
+    (common.map_arrow(source.withColumns({"tie": F.xxhash64("text"), "part": F.spark_partition_id()}), records,
                       "shard int, key long, tie long, record binary")
-     .repartitionById(shards, F.col("shard"))
+     .repartitionById(shards + nulls, F.col("shard"))
      .sortWithinPartitions(F.col("key").asc_nulls_first(), "tie")
      .select(F.col("record").cast("string").alias("value"))
      .write.option("lineSep", "\n").text(path))
 
 
-def read_shards(spark: SparkSession, path: str, id_bytes: int = 2) -> DataFrame:
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, content) of the shard files."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+            .select(F.regexp_extract("path", r"part-(\d+)", 1).cast("long").alias("shard"), "content"))
+
+
+def read_shards(spark: SparkSession, path: str, id_bytes: int = 2, ids: bool = True) -> DataFrame:
     """One row per record of the shards: key, shard (file number), offset (of
     the payload, in bytes), run_offset (that of the first record with the
-    same key), local_start (ids before it in the shard), n_tokens, token_ids
-    (unsigned 32-bit little-endian)."""
+    same key in the shard), local_start (ids before it in the shard), n_tokens and, where
+    ``ids`` is set, token_ids (unsigned 32-bit little-endian). Without them only
+    the heads of the records are looked at."""
     kind = {2: "<u2", 4: "<u4"}[id_bytes]
-    out = pa.schema([("key", pa.int64()), ("shard", pa.int64()), ("offset", pa.int64()),
-                     ("run_offset", pa.int64()), ("local_start", pa.int64()), ("n_tokens", pa.int64()),
-                     ("token_ids", pa.binary())])
+    names = ["key", "shard", "offset", "run_offset", "local_start", "n_tokens"]
+    out = pa.schema([(n, pa.int64()) for n in names] + ([("token_ids", pa.binary())] if ids else []))
 
     def parse(batches_in):
         for batch in batches_in:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                shard = int(re.search(r"part-(\d+)", name)[1])
+            for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content")):
                 data = content.as_buffer()
                 view = memoryview(data) if data is not None else memoryview(b"")
                 at, before, last, run, rows, held = 0, 0, (), 0, [], 0
@@ -104,9 +124,9 @@ def read_shards(spark: SparkSession, path: str, id_bytes: int = 2) -> DataFrame:
                     at += HEAD_BYTES
                     if (key, null) != last:
                         last, run = (key, null), at
-                    ids = np.frombuffer(view, kind, n, at).astype("<u4").tobytes()
-                    rows.append((None if null else key, shard, at, run, before, n, ids))
-                    held += len(ids)
+                    row = (None if null else key, shard, at, run, before, n)
+                    rows.append((*row, np.frombuffer(view, kind, n, at).astype("<u4").tobytes()) if ids else row)
+                    held += 4 * n if ids else 50
                     at += n * id_bytes + 1
                     before += n
                     if held > 4 << 20:
@@ -115,24 +135,25 @@ def read_shards(spark: SparkSession, path: str, id_bytes: int = 2) -> DataFrame:
                 if rows:
                     yield common.batches(rows, out)
 
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-             .select("path", "content"))
-    return common.map_arrow(files, parse, "key long, shard long, offset long, run_offset long, "
-                                          "local_start long, n_tokens long, token_ids binary")
+    ddl = ", ".join(f"{n} long" for n in names) + (", token_ids binary" if ids else "")
+    return common.map_arrow(_files(spark, path), parse, ddl)
 
 
-def with_global_start(records: DataFrame) -> DataFrame:
-    """Adds ``start``: ids of all records before, over all shards. The totals
-    have one row per shard file."""
+def with_global_start(found: DataFrame, records: DataFrame) -> DataFrame:
+    """Adds ``start`` to found records: ids of all records before, over all shards. The
+    totals of ``records`` have one row per shard file."""
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     totals = (records.groupBy("shard").agg(F.sum("n_tokens").alias("ids"))
               .withColumn("base", F.coalesce(F.sum("ids").over(before), F.lit(0))).drop("ids"))
-    return records.join(totals, "shard").withColumn("start", F.col("base") + F.col("local_start")).drop("base")
+    return found.join(totals, "shard").withColumn("start", F.col("base") + F.col("local_start")).drop("base")
 
 
 # ---------------------------------------------------------------- index
 
-INDEX = "part long, n long, seeds binary, fingerprints binary, shards binary, offsets binary, counts binary"
+#: of each key: its first shard, the offset of its first payload there, the ids before it in that
+#: shard, and the last shard that has it
+ENTRY = ["shard", "offset", "local_start", "last_shard"]
+INDEX = "part long, n long, seeds binary, fingerprints binary, " + ", ".join(f"{e} binary" for e in ENTRY)
 
 
 def _key_hash(name: str):
@@ -192,29 +213,33 @@ def slots_of(h: np.ndarray, seeds: np.ndarray, n: int) -> np.ndarray:
 
 def build_index(records: DataFrame, part_keys: int = 50_000) -> DataFrame:
     """The index over all keys of the shards: a row per part with its seeds
-    and, by slot, fingerprint, shard, offset and number of ids of the key's
-    first record. Part sizes follow ``part_keys``, not the number of keys."""
-    firsts = records.where("offset = run_offset").select(
-        _key_hash("key").alias("h"), _fingerprint("key").alias("f"), "shard", "offset", "n_tokens")
-    parts = max(1, -(-firsts.count() // part_keys))
-    firsts = firsts.withColumn("part", F.pmod(F.xxhash64("h"), F.lit(parts)))
+    and, by slot, fingerprint and entry of the key. Part sizes follow ``part_keys``, not
+    the number of keys."""
+    first = F.min(F.struct("shard", "offset", "local_start"))  # one row per key and shard comes here
+    keys = (records.where("offset = run_offset").groupBy("key").agg(first.alias("at"), F.max("shard").alias("last_shard"))
+            .select(_key_hash("key").alias("h"), _fingerprint("key").alias("f"), "at.*", "last_shard"))
+    keys = common.written(keys, "token-keys")
+    parts = max(1, -(-keys.count() // part_keys))
 
     def build(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         h = table["h"].to_numpy()
         seeds = perfect_seeds(h)
         slot = slots_of(h, seeds, len(h))
-        put = lambda name, kind: (lambda a: (a.__setitem__(slot, table[name].to_numpy()), a.tobytes())[1])(
-            np.zeros(len(h), kind))
-        return pa.table({"part": [key[0].as_py()], "n": [len(h)], "seeds": [seeds.tobytes()],
-                         "fingerprints": [put("f", np.int64)], "shards": [put("shard", np.int64)],
-                         "offsets": [put("offset", np.int64)], "counts": [put("n_tokens", np.int64)]})
+
+        def put(name: str) -> list[bytes]:
+            by_slot = np.empty(len(h), np.int64)
+            by_slot[slot] = table[name].to_numpy()
+            return [by_slot.tobytes()]
+
+        return pa.table({"part": [key[0].as_py()], "n": [len(h)], "seeds": [seeds.tobytes()], "fingerprints": put("f"),
+                         **{e: put(e) for e in ENTRY}})
 
     common.workers_see_package(records.sparkSession)
-    return firsts.groupBy("part").applyInArrow(build, INDEX)
+    return keys.withColumn("part", F.pmod(F.xxhash64("h"), F.lit(parts))).groupBy("part").applyInArrow(build, INDEX)
 
 
 def lookup(index: DataFrame, keys: DataFrame, key_col: str = "key") -> DataFrame:
-    """key, shard, offset, n_tokens of each distinct key that the index
+    """key, shard, offset, local_start, last_shard of each distinct key that the index
     holds; a key whose slot has another fingerprint is not in it."""
     common.workers_see_package(keys.sparkSession)
     parts = index.count()
@@ -224,22 +249,48 @@ def lookup(index: DataFrame, keys: DataFrame, key_col: str = "key") -> DataFrame
 
     def find(left: pa.Table, right: pa.Table) -> pa.Table:
         if not right.num_rows or not left.num_rows:
-            return pa.table({"key": pa.array([], pa.int64()), "shard": pa.array([], pa.int64()),
-                             "offset": pa.array([], pa.int64()), "n_tokens": pa.array([], pa.int64())})
+            return pa.table({c: pa.array([], pa.int64()) for c in ("key", *ENTRY)})
         row = {k: right[k][0].as_py() for k in right.column_names}
         got = lambda name: np.frombuffer(row[name], np.int64)
         slot = slots_of(left["h"].to_numpy(), np.frombuffer(row["seeds"], np.int32), row["n"])
         hit = got("fingerprints")[slot] == left["f"].to_numpy()
-        slot = slot[hit]
-        return pa.table({"key": left["key"].filter(pa.array(hit)), "shard": got("shards")[slot],
-                         "offset": got("offsets")[slot], "n_tokens": got("counts")[slot]})
+        return pa.table({"key": left["key"].filter(pa.array(hit)), **{e: got(e)[slot[hit]] for e in ENTRY}})
 
     return (asked.groupBy("part").cogroup(index.groupBy("part"))
-            .applyInArrow(find, "key long, shard long, offset long, n_tokens long"))
+            .applyInArrow(find, "key long, " + ", ".join(f"{e} long" for e in ENTRY)))
 
 
-def keyed_records(records: DataFrame, index: DataFrame, keys: DataFrame, key_col: str = "key") -> DataFrame:
-    """The records that the index finds for the given keys (every record of a
-    repeated key)."""
-    found = lookup(index, keys, key_col).select("shard", F.col("offset").alias("run_offset"))
-    return records.join(found, ["shard", "run_offset"])
+def keyed_records(spark: SparkSession, path: str, index: DataFrame, keys: DataFrame, key_col: str = "key",
+                  id_bytes: int = 2) -> DataFrame:
+    """key, shard, local_start, n_tokens, token_ids of every record of the given keys, read at
+    the offsets that the index gives: places are grouped by shard and meet the
+    shard's bytes in one task. From the place of a key its records are read on while
+    they carry it, in further shards from their start. A place that holds no
+    record of its key (an index of other files) is an error."""
+    kind = {2: "<u2", 4: "<u4"}[id_bytes]
+    found = lookup(index, keys, key_col).withColumn("first_shard", F.col("shard")).withColumn(
+        "shard", F.explode(F.sequence("shard", "last_shard")))
+    here = F.col("shard") == F.col("first_shard")
+    places = found.select("key", "shard", here.alias("first"), F.when(here, F.col("offset")).otherwise(HEAD_BYTES).alias("offset"),
+                          F.when(here, F.col("local_start")).otherwise(0).alias("local_start"))
+    out = pa.schema([("key", pa.int64()), ("shard", pa.int64()), ("local_start", pa.int64()), ("n_tokens", pa.int64()),
+                     ("token_ids", pa.binary())])
+
+    def read(left: pa.Table, right: pa.Table) -> pa.Table:
+        view = memoryview(right["content"][0].as_buffer()) if right.num_rows else memoryview(b"")
+        rows = []
+        for key, shard, first, at, start in zip(*(left[c].to_pylist() for c in ("key", "shard", "first", "offset", "local_start"))):
+            mark, begun = (key or 0, key is None), False
+            while at <= len(view):
+                *other, n = struct.unpack_from(HEAD, view, at - HEAD_BYTES)
+                if tuple(other) != mark:
+                    break
+                rows.append((key, shard, start, n, np.frombuffer(view, kind, n, at).astype("<u4").tobytes()))
+                begun, start, at = True, start + n, at + n * id_bytes + 1 + HEAD_BYTES
+            if first and not begun:
+                raise ValueError(f"no record of key {key} at byte {at} of shard {shard}")
+        return pa.Table.from_batches([common.batches(rows, out)])
+
+    common.workers_see_package(spark)
+    return (places.groupBy("shard").cogroup(_files(spark, path).groupBy("shard"))
+            .applyInArrow(read, "key long, shard long, local_start long, n_tokens long, token_ids binary"))

@@ -234,17 +234,60 @@ def test_token_files_and_index(spark, docs):
     path = scratch_path(spark, "shards-test")
     token_files.write_shards(docs, path, shard_bytes=5000)
     records = token_files.read_shards(spark, path).cache()
-    rows = token_files.with_global_start(records).orderBy("start").collect()
+    rows = token_files.with_global_start(records, records).orderBy("start").collect()
     assert len({r["shard"] for r in rows}) > 2
     ids = [(r["key"], np.frombuffer(r["token_ids"], "<u4").tolist()) for r in rows]
     assert [k for k, _ in ids] == sorted((k for k, _ in ids), key=lambda k: (k is not None, k or 0))
     assert sorted(ids, key=str) == sorted(((i, whole.encode(t or "", add_special_tokens=False).ids + [2]) for i, t in pairs(docs)), key=str)
     assert [r["start"] for r in rows] == np.cumsum([0] + [r["n_tokens"] for r in rows])[:-1].tolist()
     index = token_files.build_index(records, part_keys=20)
-    found = token_files.keyed_records(records, index, docs, "doc_id")
-    assert found.count() == docs.count()
+    found = token_files.with_global_start(token_files.keyed_records(spark, path, index, docs, "doc_id"), records).collect()
+    columns = lambda rows: sorted(((r["key"], r["start"], r["n_tokens"], bytes(r["token_ids"])) for r in rows), key=str)
+    assert columns(found) == columns(rows)
+    some = docs.where("doc_id % 7 = 3")
+    assert {r["key"] for r in token_files.keyed_records(spark, path, index, some, "doc_id").collect()} == {
+        r["doc_id"] for r in some.collect()}
     absent = spark.range(1000, 1400).withColumnRenamed("id", "key")
     assert token_files.lookup(index, absent).count() == 0
+    heads = token_files.read_shards(spark, path, ids=False)
+    assert heads.exceptAll(records.drop("token_ids")).count() == records.drop("token_ids").exceptAll(heads).count() == 0
+
+
+def test_keyed_read_depends_on_the_offsets(spark):
+    """Records of one key are read where the index says: the second of two, if it says so;
+    a place without the key is an error."""
+    path = scratch_path(spark, "shards-offsets")
+    two = spark.createDataFrame([(1, "first text"), (1, "another one"), (2, "third")], "doc_id long, text string")
+    token_files.write_shards(two, path)
+    records = token_files.read_shards(spark, path).cache()
+    later = records.groupBy("key").agg(F.max("offset").alias("offset"))
+    moved = records.join(later, ["key", "offset"]).withColumn("run_offset", F.col("offset"))
+    ask = spark.createDataFrame([(1,)], "key long")
+    of = lambda index: token_files.keyed_records(spark, path, index, ask).collect()
+    assert len(of(token_files.build_index(records))) == 2
+    assert [bytes(r["token_ids"]) for r in of(token_files.build_index(moved))] == [
+        bytes(r["token_ids"]) for r in moved.where("key = 1").collect()]
+    wrong = records.withColumn("offset", F.col("offset") + 1).withColumn("run_offset", F.col("run_offset") + 1)
+    with pytest.raises(Exception, match="no record of key"):
+        of(token_files.build_index(wrong))
+
+
+def test_hot_and_null_keys_fill_several_shards(spark):
+    """Null keys and a key of many rows are dealt over shards, and read back whole."""
+    rows = [(None, f"null row {i} " + "a b " * 20) for i in range(120)] + [(7, f"hot row {i} " + "a b " * 20) for i in range(120)]
+    rows += [(i, f"row {i} " + "a b " * 20) for i in range(60)] + [(5, "x y " * 3000)]
+    for given in (rows, rows[:120]):
+        docs = spark.createDataFrame(given, "doc_id long, text string").repartition(4)
+        path = scratch_path(spark, "shards-hot")
+        token_files.write_shards(docs, path, shard_bytes=2000)
+        records = token_files.read_shards(spark, path).cache()
+        of = {k: {r["shard"] for r in records.collect() if r["key"] == k} for k in (None, 7)}
+        assert len(of[None]) > 3 and (len(given) == 120 or len(of[7]) > 2)
+        by_place = records.orderBy("shard", "offset").collect()
+        assert [r["key"] for r in by_place] == sorted((r["key"] for r in by_place), key=lambda k: (k is not None, k or 0))
+        found = token_files.keyed_records(spark, path, token_files.build_index(records), docs, "doc_id")
+        pick = ["key", "shard", "local_start", "token_ids"]
+        assert found.count() == len(given) and found.select(pick).exceptAll(records.select(pick)).count() == 0
 
 
 def test_added_tokens_as_in_the_library(spark, texts):
@@ -322,7 +365,60 @@ def test_sum_of_squares_choice():
         list(packer.add(0, bytes(4 * int(length))))
 
 
+def test_open_windows_stay_within_their_bound():
+    """Documents that never fit together would each keep a window open."""
+    packer, rnd, most, seen, full, part = packing.Packer(2048, 400_000), np.random.default_rng(1), 0, {}, 0, 0
+    windows, lengths = [], rnd.integers(1100, 1900, 2000)
+    for i, length in enumerate(lengths):
+        windows += packer.add(i, np.full(length, i, "<u4").tobytes())
+        held = sum(len(p[2]) for level in packer.open for w in level for p in w)
+        assert held == packer.held
+        most = max(most, held)
+    assert most <= 400_000
+    for w in windows + list(packer.close()):
+        filled = sum(len(p[2]) for p in w) // 4
+        full, part = full + (filled == 2048), part + (filled < 2048)
+        for doc_id, start, ids, total in w:
+            assert total == lengths[doc_id] and set(np.frombuffer(ids, "<u4")) == {doc_id}
+            seen.setdefault(doc_id, []).append((start, len(ids) // 4))
+    assert part <= 1 and full == lengths.sum() // 2048
+    for i, length in enumerate(lengths):
+        at = 0
+        for start, n in sorted(seen[i]):
+            assert start == at
+            at += n
+        assert at == length
+
+
 # ------------------------------------------------------------ 6
+def test_calibration_counts_every_labelled_row(spark):
+    """Bins hold all rows, whatever the fit's bound; scale and cutoff are those of the rows themselves."""
+    rnd = np.random.default_rng(2)
+    odds = np.concatenate((rnd.normal(1, 1.5, 4000), [np.nan, 1e9, -1e9]))
+    good = (rnd.random(len(odds)) < 1 / (1 + np.exp(-2 * np.nan_to_num(odds, nan=0, posinf=0, neginf=0).clip(-30, 30)))).astype(int)
+    frame = spark.createDataFrame(list(zip(odds.tolist(), good.tolist())), "x double, good int")
+    middle, of_good, rows = cotraining.binned(frame, x=F.col("x"))["x"]
+    assert rows.sum() == len(odds) and of_good.sum() == good.sum() and (np.diff(middle) > 0).all()
+    a, b = cotraining.platt(middle, of_good, rows)
+    assert abs(a - 2) < 0.2 and abs(b) < 0.2
+    clean = np.nan_to_num(odds, nan=0.0)
+    edge = cotraining.best_cutoff(middle, of_good, rows, 0.05)
+    under = clean < edge
+    assert good[under].sum() <= 0.05 * good.sum()
+    gain = lambda e: (1 - good[clean < e]).sum() - good[clean < e].sum()
+    allowed = [e for e in np.arange(-400, 400) / 64 if good[clean < e].sum() <= 0.05 * good.sum()]
+    assert gain(edge) == max(map(gain, allowed))
+    assert cotraining.best_cutoff(middle, rows, rows, 0.05) is None
+
+
+def test_samples_of_one_id_are_bounded(spark):
+    """A third of all rows may have one id, or none: the sample keeps its bound."""
+    same = spark.createDataFrame([(None, b"ab" * (i % 5 + 1), b"cd", 1) for i in range(3000)], "doc_id long, text_f binary, meta_f binary, good int")
+    for most, most_bytes in ((50, 1 << 20), (3000, 900)):
+        got = cotraining._bounded(same, None, "labelled", most, most_bytes)
+        assert len(got) <= most and sum(len(r["text_f"]) + len(r["meta_f"]) for r in got) <= 2 * most_bytes
+
+
 def test_cotraining(spark, labels):
     rows = [(i, ("fine words here " if i % 5 else "BAD!! BAD!! junk ") * 30 + ("idiot" if i % 11 == 0 else ""), "en", f"s{i % 4}", 100) for i in range(600)]
     docs = spark.createDataFrame(rows + [(None, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
