@@ -16,6 +16,7 @@ from .functions import lenient as L
 from .functions.geodesy import with_geodesic_km
 from .functions.labels import decode
 from .operators.joins import NO_AUTO_BROADCAST
+from .operators.dedupe import distinct_moving_copies
 from .operators.nearest import nearest
 from .operators.rows import dedup_rows, ordered_limit, project, q, rename
 from .operators.scoped import built_with, planned_with
@@ -181,6 +182,16 @@ def _nearest_by_year(spark, sf_dir):
     return _rounded(W4.by_year(_nearest_rows(spark, sf_dir)))
 
 
+@register("nearest_sql_by_year")
+def _nearest_sql_by_year(spark, sf_dir):
+    return _rounded(W4.report_sql(spark, _nearest_rows(spark, sf_dir), "year"))
+
+
+@register("nearest_sql_by_division")
+def _nearest_sql_by_division(spark, sf_dir):
+    return _rounded(W4.report_sql(spark, _nearest_rows(spark, sf_dir), "division"))
+
+
 @register("nearest_by_division")
 def _nearest_by_division(spark, sf_dir):
     return _rounded(W4.by_division(_nearest_rows(spark, sf_dir)))
@@ -250,6 +261,12 @@ def _dedup_rows(spark, sf_dir):
     return dedup_rows(CSV.union_parts(_parts(spark, sf_dir)))
 
 
+@register("dedup_few_copies")
+def _dedup_few_copies(spark, sf_dir):
+    """The same rows as ``dedup_rows``; only rows that may have a copy are shuffled."""
+    return distinct_moving_copies(CSV.union_parts(_parts(spark, sf_dir)))
+
+
 @register("union_filtered_parts")
 def _union_filtered_parts(spark, sf_dir):
     parts = [CSV.trim_names(p).filter(q("Premis Desc") == "STREET")

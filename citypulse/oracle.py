@@ -293,7 +293,7 @@ w4_rows AS (
 def _register_w4():
     for by in ("year", "division"):
         SQL[f"own_dist_by_{by}"] = _own_station(by)
-        SQL[f"nearest_by_{by}"] = _nearest_station(by)
+        SQL[f"nearest_by_{by}"] = SQL[f"nearest_sql_by_{by}"] = _nearest_station(by)
     for s in ("broadcast", "merge", "shuffle_hash", "replicate_nl"):
         SQL[f"own_dist_{s}"] = SQL["own_dist_by_division"]
         SQL[f"own_dist_sql_{s}"] = SQL["own_dist_by_division"]
@@ -323,7 +323,7 @@ def _register_single():
                                         'TRY_CAST("Weapon Used Cd" AS INTEGER) AS "Weapon Used Cd", TRY_CAST("LAT"')
     SQL["union_parts"] = p("", "SELECT * FROM cp_all")
     SQL["union_distinct"] = p("", "SELECT * FROM cp_inc")
-    SQL["dedup_rows"] = p("", "SELECT * FROM cp_inc")
+    SQL["dedup_rows"] = SQL["dedup_few_copies"] = p("", "SELECT * FROM cp_inc")
     SQL["select_star"] = p("", "SELECT * FROM cp_inc")
     SQL["union_filtered_parts"] = p("", "SELECT * FROM cp_inc WHERE \"Premis Desc\" = 'STREET'")
     SQL["filter_equality"] = SQL["union_filtered_parts"]

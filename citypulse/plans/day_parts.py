@@ -24,7 +24,7 @@ from ..functions import dayparts as D
 from ..operators.rows import q
 from ..sources.csv import union_parts
 from .incidents import distinct_incidents
-from .top_months import register_parts
+from .top_months import distinct_sql, register_parts
 
 STREET = "STREET"
 
@@ -39,10 +39,9 @@ def day_parts_df(parts: Sequence[DataFrame], premise: str = STREET,
 
 
 def day_parts_sql(spark: SparkSession, parts: Sequence[DataFrame], premise: str = STREET,
-                  labels=D.GREEK) -> DataFrame:
-    views = register_parts(parts, "cp_w2")
-    union = "\n        UNION\n        ".join(
-        f"SELECT * FROM {v} WHERE `Premis Desc` = :premise" for v in views)
+                  labels=D.GREEK, dedup_keys: Sequence[str] | None = None) -> DataFrame:
+    """``dedup_keys``: as in the DataFrame form."""
+    union = distinct_sql(register_parts(parts, "cp_w2"), ["TIME OCC"], "`Premis Desc` = :premise", dedup_keys)
     texts = dict(zip(("morning", "afternoon", "evening", "night", "unknown"), labels), premise=premise)
     hour = "try_cast(substring(`TIME OCC`, 1, 2) AS INT)"
     return spark.sql(f"""

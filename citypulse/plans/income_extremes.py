@@ -30,7 +30,7 @@ from ..operators.joins import granted, strategy_join
 from ..operators.rows import q, top_bottom_k
 from ..sources.csv import trim_names
 from .incidents import distinct_incidents
-from .top_months import register_parts
+from .top_months import distinct_sql, number_key_sql, register_parts
 
 # Fixed value: the reference's community filter.
 COMMUNITY_LIKE = "%Los Angeles (%"
@@ -121,13 +121,16 @@ SQL_HINTS = {
 
 def income_extremes_sql(spark: SparkSession, parts: Sequence[DataFrame], geocode: DataFrame,
                         income: DataFrame, community_like: str = COMMUNITY_LIKE,
-                        k: int = K, labels=DESCENT_LABELS, strategy: str = "auto") -> DataFrame:
+                        k: int = K, labels=DESCENT_LABELS, strategy: str = "auto",
+                        dedup_keys: Sequence[str] | None = None, normalize_keys: bool = False) -> DataFrame:
     """W3 as one SQL text over temp views; ``strategy`` adds the reference's
-    SQL join hints (granted as in the DataFrame form)."""
+    SQL join hints (granted as in the DataFrame form); ``dedup_keys`` and
+    ``normalize_keys`` as there."""
     views = register_parts(parts, "cp_w3")
+    lat, lon = (number_key_sql(c) if normalize_keys else c for c in ("LAT", "LON"))
     trim_names(geocode).createOrReplaceTempView("cp_w3_geocode")
     trim_names(income).createOrReplaceTempView("cp_w3_income")
-    union = "\n        UNION\n        ".join(f"SELECT * FROM {v}" for v in views)
+    union = distinct_sql(views, ["LAT", "LON", "Vict Descent"], "`Vict Descent` IS NOT NULL", dedup_keys)
     cases = "\n            ".join(f"WHEN cz.`Vict Descent` = :code{i} THEN :label{i}" for i in range(len(labels)))
     texts = {f"code{i}": c for i, (c, _) in enumerate(labels)} | {f"label{i}": t for i, (_, t) in enumerate(labels)}
     texts["community"] = community_like
@@ -143,12 +146,12 @@ def income_extremes_sql(spark: SparkSession, parts: Sequence[DataFrame], geocode
         SELECT * FROM (SELECT * FROM la_income
                        ORDER BY estimated_median_income_float ASC NULLS FIRST,
                                 `Zip Code`, Community, `Estimated Median Income` LIMIT {int(k)})"""
-    geo = """
-        SELECT LAT, LON, substring(ZIPcode, 1, 5) AS zip_code, count(*) AS g
+    geo = f"""
+        SELECT {lat} AS LAT, {lon} AS LON, substring(ZIPcode, 1, 5) AS zip_code, count(*) AS g
         FROM cp_w3_geocode
         WHERE ZIPcode IS NOT NULL
           AND substring(ZIPcode, 1, 5) IN (SELECT `Zip Code` FROM top_and_last)
-        GROUP BY LAT, LON, substring(ZIPcode, 1, 5)"""
+        GROUP BY {lat}, {lon}, substring(ZIPcode, 1, 5)"""
     picks = f"WITH la_income AS ({la_income}), top_and_last AS ({top_and_last})"
     strat = "merge" if strategy == "merge_small" else strategy
     allowed = [granted(spark.sql(f"{picks} {text}", args={"community": community_like}), strat) == strat
@@ -158,9 +161,9 @@ def income_extremes_sql(spark: SparkSession, parts: Sequence[DataFrame], geocode
     WITH combined_crime_data AS (
         {union}
     ), by_position AS (
-        SELECT LAT, LON, `Vict Descent`, count(*) AS n
-        FROM combined_crime_data WHERE `Vict Descent` IS NOT NULL
-        GROUP BY LAT, LON, `Vict Descent`
+        SELECT {lat} AS LAT, {lon} AS LON, `Vict Descent`, count(*) AS n
+        FROM combined_crime_data
+        GROUP BY {lat}, {lon}, `Vict Descent`
     ), la_income AS ({la_income}
     ), top_and_last AS ({top_and_last}
     ), geo AS ({geo}

@@ -27,6 +27,7 @@ from ..operators.rows import q
 from ..sources.csv import trim_names
 from ..sources.order import reading_order
 from .incidents import distinct_incidents
+from .top_months import distinct_sql, number_key_sql, register_parts
 
 # The firearm code range [100, 200) and the "no position" text.
 FIREARM_CODES = (100, 200)
@@ -144,30 +145,31 @@ SQL_HINTS = {
 
 
 def own_station_rows_sql(spark: SparkSession, parts: Sequence[DataFrame], stations: DataFrame,
-                         strategy: str = "auto", codes=FIREARM_CODES) -> DataFrame:
+                         strategy: str = "auto", codes=FIREARM_CODES,
+                         dedup_keys: Sequence[str] | None = None, normalize_keys: bool = False) -> DataFrame:
     """W4a distance rows as one SQL text over temp views, with the
-    reference's SQL join hint (granted as in the DataFrame form)."""
-    from .top_months import register_parts
-
+    reference's SQL join hint (granted as in the DataFrame form); ``dedup_keys``
+    and ``normalize_keys`` as there."""
     views = register_parts([trim_names(p) for p in parts], "cp_w4")
     trim_names(stations).createOrReplaceTempView("cp_w4_stations")
     hint = SQL_HINTS[granted(spark.table("cp_w4_stations"), strategy)]
     w = "try_cast(`Weapon Used Cd` AS INT)"
     cond = f"{w} >= {codes[0]} AND {w} < {codes[1]} AND LAT != '{ZERO_TEXT}' AND LON != '{ZERO_TEXT}'"
-    union = "\n        UNION\n        ".join(f"SELECT * FROM {v} WHERE {cond}" for v in views)
+    union = distinct_sql(views, ["AREA", "DATE OCC", "LAT", "LON"], cond, dedup_keys)
+    area, fid = (number_key_sql(c, "BIGINT") if normalize_keys else c for c in ("AREA", "stations.FID"))
     pairs = spark.sql(f"""
     WITH combined_crime_data AS (
         {union}
     ), crimes AS (
-        SELECT AREA, year(try_to_timestamp(`DATE OCC`, '{L.INCIDENT_TS_FORMAT}')) AS year,
+        SELECT {area} AS AREA, year(try_to_timestamp(`DATE OCC`, '{L.INCIDENT_TS_FORMAT}')) AS year,
                LAT, LON, count(*) AS n
         FROM combined_crime_data
-        GROUP BY AREA, year, LAT, LON
+        GROUP BY {area}, year, LAT, LON
     )
     SELECT {hint} crimes.year, stations.DIVISION, crimes.n,
            try_cast(crimes.LAT AS DOUBLE) AS lat1, try_cast(crimes.LON AS DOUBLE) AS lon1,
            try_cast(stations.Y AS DOUBLE) AS lat2, try_cast(stations.X AS DOUBLE) AS lon2
-    FROM crimes JOIN cp_w4_stations AS stations ON stations.FID = crimes.AREA
+    FROM crimes JOIN cp_w4_stations AS stations ON {fid} = crimes.AREA
     """)
     return spark.sql("SELECT year, DIVISION, distance, n FROM {rows}", rows=_with_distance_sql(spark, pairs))
 

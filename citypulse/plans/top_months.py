@@ -41,12 +41,31 @@ def register_parts(parts: Sequence[DataFrame], prefix: str) -> list[str]:
     return names
 
 
-def top_months_sql(spark: SparkSession, parts: Sequence[DataFrame], n: int = 3) -> DataFrame:
+def distinct_sql(views: Sequence[str], used: Sequence[str], where: str = "",
+                 dedup_keys: Sequence[str] | None = None) -> str:
+    """The distinct incidents of a report as SQL text over its views: the SQL form of
+    ``incidents.distinct_incidents``, with ``where`` in every branch."""
+    every = "DISTINCT *" if len(views) == 1 else "*"
+    branches = [f"SELECT {every} FROM {v}" + (f" WHERE {where}" if where else "") for v in views]
+    if not dedup_keys:
+        return "\n        UNION DISTINCT\n        ".join(branches)
+    columns = ", ".join("`" + c.replace("`", "``") + "`" for c in dict.fromkeys([*dedup_keys, *used]))
+    union = "\n            UNION ALL\n            ".join(branches)
+    return f"SELECT DISTINCT {columns} FROM (\n            {union})"
+
+
+def number_key_sql(column: str, kind: str = "DOUBLE") -> str:
+    """The SQL form of ``lenient.number_key``."""
+    return f"coalesce(CAST(try_cast({column} AS {kind}) AS STRING), {column})"
+
+
+def top_months_sql(spark: SparkSession, parts: Sequence[DataFrame], n: int = 3,
+                   dedup_keys: Sequence[str] | None = None) -> DataFrame:
+    """``dedup_keys``: as in the DataFrame form."""
     views = register_parts(parts, "cp_w1")
-    union = "\n        UNION\n        ".join(f"SELECT * FROM {v}" for v in views)
     return spark.sql(f"""
     WITH combined AS (
-        {union}
+        {distinct_sql(views, ["DATE OCC"], "", dedup_keys)}
     ), dated AS (
         SELECT try_to_timestamp(`DATE OCC`, '{L.INCIDENT_TS_FORMAT}') AS occ FROM combined
     ), ym AS (
