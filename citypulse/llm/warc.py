@@ -12,6 +12,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
+import re
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,14 +23,16 @@ from pyspark.sql import functions as F
 from citypulse.llm import common
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+#: fixed value of the standard: the profile of revisits by payload digest
+SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CHUNKS = pa.schema([
     ("record", pa.string()), ("chunk", pa.int64()), ("row_id", pa.int64()), ("record_type", pa.string()),
     ("target_uri", pa.string()), ("refers_to", pa.int64()), ("declared_digest", pa.string()),
     ("declared_bytes", pa.int64()), ("data", pa.binary()), ("bytes_so_far", pa.int64()),
-    ("digest_so_far", pa.string()), ("last", pa.bool_())])
+    ("digest_so_far", pa.string()), ("last", pa.bool_()), ("cut", pa.bool_())])
 CHUNKS_DDL = ("record string, chunk long, row_id long, record_type string, target_uri string, refers_to long, "
               "declared_digest string, declared_bytes long, data binary, bytes_so_far long, "
-              "digest_so_far string, last boolean")
+              "digest_so_far string, last boolean, cut boolean")
 
 
 def base32_sha1(payload):
@@ -42,27 +47,29 @@ def with_first_of_payload(pages: DataFrame, least_bytes: int) -> DataFrame:
     """Adds ``refers_to``: for a payload of at least ``least_bytes`` that a
     row with a smaller id has too, the smallest such id, else null.
 
-    Only (id, digest) pairs meet by digest, pre-aggregated; payloads move
+    Only (id, digest, length) rows meet by digest and length, pre-aggregated; payloads move
     once, by id, which spreads a hot payload over all tasks."""
-    ids = pages.where(F.col("n_bytes") >= least_bytes).select("row_id", "digest")
-    firsts = (ids.groupBy("digest").agg(F.min("row_id").alias("first"), F.max("row_id").alias("last_id"))
+    ids = pages.where(F.col("n_bytes") >= least_bytes).select("row_id", "digest", "n_bytes")
+    firsts = (ids.groupBy("digest", "n_bytes").agg(F.min("row_id").alias("first"), F.max("row_id").alias("last_id"))
               .where("first < last_id").drop("last_id"))
-    later = (ids.distinct().join(firsts, "digest").where("row_id > first")
-             .select("row_id", "digest", F.col("first").alias("refers_to")))
-    return pages.join(later, ["row_id", "digest"], "left")
+    later = (ids.distinct().join(firsts, ["digest", "n_bytes"]).where("row_id > first")
+             .select("row_id", "digest", "n_bytes", F.col("first").alias("refers_to")))
+    return pages.join(later, ["row_id", "digest", "n_bytes"], "left")
 
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", payload_col: str = "html",
-          uri_col: str = "url", least_bytes: int = 0, segment_bytes: int = 1 << 16) -> None:
+          uri_col: str = "url", least_bytes: int = 0, segment_bytes: int = 1 << 16, date: str | None = None) -> None:
     """Write a record per row; see ``read`` for what comes back.
 
     Of the rows with equal payloads (by SHA-1 and length) of at least
     ``least_bytes``, those with the smallest id become ``response`` records and
     the others ``revisit`` records without payload that name that id. Payload:
     the column as UTF-8 bytes, null as no bytes. A row with a null id is a
-    response. Repeated rows are written each. Null URIs have no target line;
+    response. Repeated rows are written each, under one record id. ``date``: the ``WARC-Date`` of all records
+    (``2025-01-31T12:00:00Z``), by default the time of the call. Null URIs have no target line;
     line breaks in a URI are percent-encoded. An empty table gives no records.
     """
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     payload = F.encode(common.text_of(payload_col), "UTF-8")
     rows = pages.select(F.col(id_col).cast("long").alias("row_id"), F.col(uri_col).cast("string").alias("uri"),
                         payload.alias("payload"))
@@ -92,11 +99,14 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", payload_col: str
         line("WARC-Record-ID", F.when(first, name).otherwise(F.concat(
             F.lit("<urn:row:"), F.coalesce(F.col("row_id").cast("string"), F.lit("null")),
             F.lit(":"), F.col("segment").cast("string"), F.lit(">")))),
+        line("WARC-Date", F.lit(date)),
         line("WARC-Target-URI", uri),
         line("X-Row-ID", F.col("row_id").cast("string")),
         line("WARC-Refers-To", F.concat(F.lit("<urn:row:"), F.col("refers_to").cast("string"), F.lit(">"))),
+        line("WARC-Profile", F.lit(SAME_PAYLOAD), revisit),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest")), first),
         line("X-Payload-Length", F.col("n_bytes").cast("string"), first),
+        line("WARC-Segment-Origin-ID", name, ~first),
         line("WARC-Segment-Number", F.col("segment").cast("string"), ~single),
         line("WARC-Segment-Total-Length", F.col("n_bytes").cast("string"), last & ~single),
         line("Content-Length", F.octet_length("part").cast("string")),
@@ -107,6 +117,11 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", payload_col: str
      .write.option("lineSep", "\n").option("compression", "gzip").text(path))
 
 
+def _number(text: str | None) -> int | None:
+    """The integer that a header value is; None for other values."""
+    return int(text) if text is not None and re.fullmatch(r"-?[0-9]{1,18}", text) else None
+
+
 class _Stream:
     """Follows records through the lines of one archive."""
 
@@ -117,6 +132,7 @@ class _Stream:
         self.name, self.sha, self.total, self.chunk = None, hashlib.sha1(), 0, 0
         self.held = bytearray()
         self.first: dict[str, str] = {}
+        self.waiting = False  # a record has begun whose last segment is not complete
 
     def line(self, text: bytes):
         """Rows that a line (without its line feed) completes."""
@@ -128,18 +144,40 @@ class _Stream:
             key, colon, value = text.decode("utf-8", "replace").partition(":")
             if colon:
                 self.head[key.strip().lower()] = value.strip()
+            elif key.startswith("WARC/") and self.head:
+                yield from self.finish()  # a record begins in the head of another
+            return
+        if not self.head:  # blank lines between records
             return
-        if "content-length" not in self.head:  # blank lines between records
-            self.head = {}
+        if _number(self.head.get("content-length")) is None:
+            yield from self.finish()
             return
-        kind = self.head.get("warc-type", "")
-        if kind != "continuation":
-            self.first = self.head
-            self.name, self.sha, self.total, self.chunk = self.head.get("warc-record-id"), hashlib.sha1(), 0, 0
-        self.left = int(self.head["content-length"])
+        if self.head.get("warc-type") != "continuation":
+            if self.waiting:
+                head, self.head = self.head, {}
+                yield from self.finish()
+                self.head = head
+            self.begin()
+        self.left = _number(self.head["content-length"])
         if not self.left:
             yield from self.end()
 
+    def begin(self) -> None:
+        self.first = self.head
+        self.name, self.sha, self.total, self.chunk = self.head.get("warc-record-id"), hashlib.sha1(), 0, 0
+        self.waiting = True
+
+    def finish(self):
+        """The archive ends or goes on with another record: one that is not complete, in its head,
+        its bytes or its segments, is closed as cut."""
+        if self.waiting:
+            yield self.row(bytes(self.held), True, True)
+            self.held.clear()
+        if self.left < 0 and self.head and self.head.get("warc-type") != "continuation":
+            self.begin()
+            yield self.row(b"", True, True)
+        self.left, self.head, self.waiting = -1, {}, False
+
     def payload(self, data: bytes):
         take = data[:self.left]
         self.left -= len(take)
@@ -155,18 +193,18 @@ class _Stream:
         if "warc-segment-number" not in self.head or "warc-segment-total-length" in self.head:
             yield self.row(bytes(self.held), True)
             self.held.clear()
+            self.waiting = False
         self.left, self.head = -1, {}
 
-    def row(self, data: bytes, last: bool) -> tuple:
+    def row(self, data: bytes, last: bool, cut: bool = False) -> tuple:
         self.sha.update(data)
         self.total += len(data)
         h, refers = self.first, self.first.get("warc-refers-to")
-        number = lambda s: int(s) if s is not None else None
-        row = (self.name, self.chunk, number(h.get("x-row-id")), h.get("warc-type"), h.get("warc-target-uri"),
-               number(refers.removeprefix("<urn:row:").rstrip(">")) if refers else None,
+        row = (self.name, self.chunk, _number(h.get("x-row-id")), h.get("warc-type"), h.get("warc-target-uri"),
+               _number(refers.removeprefix("<urn:row:").rstrip(">")) if refers else None,
                (h.get("warc-payload-digest") or "").removeprefix("sha1:") or None,
-               number(h.get("x-payload-length")), data, self.total,
-               base64.b32encode(self.sha.copy().digest()).decode(), last)
+               _number(h.get("x-payload-length")), data, self.total,
+               base64.b32encode(self.sha.copy().digest()).decode(), last, cut)
         self.chunk += 1
         return row
 
@@ -176,22 +214,26 @@ def read(spark: SparkSession, path: str, chunk_bytes: int = 1 << 16) -> DataFram
 
     A row per (record, chunk): record (its id), chunk (from 0), row_id,
     record_type, target_uri, refers_to, declared_digest and declared_bytes
-    (from the header), data, bytes_so_far, digest_so_far (bare base32 SHA-1)
-    and last. A record without payload has one empty chunk. Memory per task:
+    (from the header), data, bytes_so_far, digest_so_far (bare base32 SHA-1),
+    last and cut. A record without payload has one empty chunk. A record that is not complete (its
+    archive ends, or a header without a valid length) ends with a chunk that is
+    ``last`` and ``cut``. Header values that should be numbers and are not are null. Memory per task:
     one line and one chunk."""
 
     def parse(batches_in):
-        stream, at, rows, held = None, None, [], 0
+        stream, at, rows, held = _Stream(chunk_bytes), None, [], 0
         for batch in batches_in:
             for name, text in zip(batch.column("name").to_pylist(), batch.column("value").to_pylist()):
+                done = list(stream.finish()) if name != at else []
                 if name != at:
                     stream, at = _Stream(chunk_bytes), name
-                for row in stream.line(text):
+                for row in itertools.chain(done, stream.line(text)):
                     rows.append(row)
                     held += len(row[8]) + 200
                     if held > 4 << 20:
                         yield common.batches(rows, CHUNKS)
                         rows, held = [], 0
+        rows += stream.finish()
         if rows:
             yield common.batches(rows, CHUNKS)
 
@@ -204,11 +246,12 @@ def records(chunks: DataFrame) -> DataFrame:
     """One row per record, from its last chunk: row_id, record_type,
     refers_to, target_uri, payload_bytes, payload_digest (both of the full
     payload; a revisit has them from its header) and intact (the computed
-    digest and length are the declared ones; null for a revisit)."""
+    digest and length are the declared ones; null for a revisit; false for a record
+    that was cut)."""
     revisit = F.col("record_type") == "revisit"
     return chunks.where("last").select(
         "row_id", "record_type", "refers_to", "target_uri",
         F.when(revisit, F.col("declared_bytes")).otherwise(F.col("bytes_so_far")).alias("payload_bytes"),
         F.when(revisit, F.col("declared_digest")).otherwise(F.col("digest_so_far")).alias("payload_digest"),
-        F.when(~revisit, (F.col("declared_digest") == F.col("digest_so_far"))
+        F.when(F.col("cut"), False).when(~revisit, (F.col("declared_digest") == F.col("digest_so_far"))
                & (F.col("declared_bytes") == F.col("bytes_so_far"))).alias("intact"))

@@ -1,9 +1,11 @@
 """Each operator against brute force on a small fixture with odd rows."""
 
 import base64
+import gzip
 import hashlib
 import itertools
 import math
+import os
 import random
 import re
 import tracemalloc
@@ -209,6 +211,40 @@ def test_warc_round_trip(spark, texts, least, segment, chunk):
     assert chunks.agg(F.max(F.length("data"))).first()[0] <= chunk
 
 
+def test_cut_and_malformed_archives(spark, tmp_dir):
+    """Records that do not end are reported; those around them come back whole."""
+    path = scratch_path(spark, "warc-cut")
+    pages = spark.createDataFrame([(1, "http://x/1", "one " * 40), (2, "http://x/2", "one " * 40), (3, "http://x/3", "three\n" * 30)],
+                                  "page_id long, url string, html string").coalesce(1)
+    warc.write(pages, path, segment_bytes=64, date="2025-01-31T12:00:00Z")
+    raw = gzip.decompress(b"".join(bytes(r["content"]) for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).collect()))
+    heads = [h.split(b"\r\n\r\n")[0] for h in raw.split(b"WARC/1.1\r\n")[1:]]
+    assert all(b"WARC-Date: 2025-01-31T12:00:00Z" in h for h in heads)
+    assert all((b"Segment-Origin-ID: <urn:row:" in h) == (b"continuation" in h) for h in heads)
+    assert [warc.SAME_PAYLOAD.encode() in h for h in heads if b": revisit" in h] == [True]
+    whole = {1: True, 2: None, 3: True}
+
+    def intact(name, data):
+        os.makedirs(f"{tmp_dir}/{name}")
+        with gzip.open(f"{tmp_dir}/{name}/a.gz", "wb") as f:
+            f.write(data)
+        chunks = warc.read(spark, f"{tmp_dir}/{name}", chunk_bytes=50)
+        assert chunks.where("last").count() == warc.records(chunks).count()
+        return sorted(((r["row_id"], r["intact"]) for r in warc.records(chunks).collect()), key=str)
+
+    assert intact("whole", raw) == sorted(whole.items())
+    last = raw.rindex(b"WARC/1.1")
+    order = [int(h.split(b"X-Row-ID: ")[1].split(b"\r\n")[0]) for h in heads]
+    others = sorted((k, v) for k, v in whole.items() if k != order[-1])
+    for at in (len(raw) - 8, last + 400, last, raw.rindex(b"Content-Length")):  # in bytes, between segments, in a head
+        got = dict(intact(f"at{at}", raw[:at]))
+        if order.count(order[-1]) > 1:
+            assert got[order[-1]] is False and sorted((k, v) for k, v in got.items() if k != order[-1]) == others
+    bad = raw.replace(b"Content-Length: 64", b"Content-Length: many", 1)
+    got = intact("bad", bad)
+    assert (order[[b"Length: 64" in h for h in heads].index(True)], False) in got and len(got) >= 3
+
+
 # ------------------------------------------------------------ 4
 def test_ngram_join(docs):
     rows = [(i, t) for i, t in pairs(docs) if i is not None]
