@@ -55,14 +55,16 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     vocab = vocabulary or default_vocabulary()
     kind = {2: "<u2", 4: "<u4"}[id_bytes]
     source = docs.select(F.col(id_col).cast("long").alias("key"), common.text_of(text_col).alias("text"))
-    size = F.octet_length("text").cast("long")
-    total, of_null, many = source.agg(F.sum(size), F.sum(F.when(F.col("key").isNull(), size)), F.count("*")).first()
+    sized = docs.select(F.col(id_col).cast("long").alias("key"), F.coalesce(
+        F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("bytes"))  # as they are: sizes only balance shards
+    size = F.col("bytes")
+    total, of_null, many = sized.agg(F.sum(size), F.sum(F.when(F.col("key").isNull(), size)), F.count("*")).first()
     total, of_null = total or 0, of_null or 0
     nulls = -(-of_null // shard_bytes)
     shards = max(1, -(-(total - of_null) // shard_bytes))
     cuts = [i / shards for i in range(1, shards)]
     each = max(1, total // max(1, many))  # a text counts once more for every so many bytes
-    weighed = source.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(size / each))))
+    weighed = sized.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(size / each))))
     last = (weighed.agg(F.percentile_approx("key", cuts, min(1_000_000, max(10_000, 100 * shards)))).first()[0]
             if cuts else None)
     bounds = docs.sparkSession.sparkContext.broadcast(np.array(last or [], np.int64))  # 8 bytes a shard
