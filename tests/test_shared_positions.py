@@ -12,6 +12,7 @@ from citypulse.catalog import QUERIES
 KEYS = (
     "income_extremes_sql",
     "income_extremes_auto",
+    "income_extremes_broadcast",
 )
 
 # the customers 1 and 1001 have one position, 97 * 1 and 97 * 9 stand at '0', '0'
