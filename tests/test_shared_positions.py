@@ -13,6 +13,7 @@ KEYS = (
     "income_extremes_sql",
     "income_extremes_auto",
     "income_extremes_broadcast",
+    "income_extremes_merge",
 )
 
 # the customers 1 and 1001 have one position, 97 * 1 and 97 * 9 stand at '0', '0'
