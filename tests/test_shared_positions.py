@@ -14,6 +14,7 @@ KEYS = (
     "income_extremes_auto",
     "income_extremes_broadcast",
     "income_extremes_merge",
+    "join_hint_merge",
 )
 
 # the customers 1 and 1001 have one position, 97 * 1 and 97 * 9 stand at '0', '0'
