@@ -17,6 +17,7 @@ KEYS = (
     "join_hint_merge",
     "income_extremes_merge_small",
     "income_extremes_shuffle_hash",
+    "join_hint_shuffle_hash",
 )
 
 # the customers 1 and 1001 have one position, 97 * 1 and 97 * 9 stand at '0', '0'
