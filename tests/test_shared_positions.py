@@ -19,6 +19,7 @@ KEYS = (
     "income_extremes_shuffle_hash",
     "join_hint_shuffle_hash",
     "income_extremes_replicate_nl",
+    "join_hint_replicate_nl",
 )
 
 # the customers 1 and 1001 have one position, 97 * 1 and 97 * 9 stand at '0', '0'
