@@ -21,6 +21,7 @@ KEYS = (
     "income_extremes_replicate_nl",
     "join_hint_replicate_nl",
     "income_extremes_sql_broadcast",
+    "income_extremes_sql_merge",
 )
 
 # the customers 1 and 1001 have one position, 97 * 1 and 97 * 9 stand at '0', '0'
