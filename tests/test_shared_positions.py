@@ -22,6 +22,7 @@ KEYS = (
     "join_hint_replicate_nl",
     "income_extremes_sql_broadcast",
     "income_extremes_sql_merge",
+    "income_extremes_sql_merge_small",
 )
 
 # the customers 1 and 1001 have one position, 97 * 1 and 97 * 9 stand at '0', '0'
