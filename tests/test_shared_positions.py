@@ -25,6 +25,7 @@ KEYS = (
     "income_extremes_sql_merge_small",
     "income_extremes_sql_shuffle_hash",
     "income_extremes_sql_replicate_nl",
+    "join_scoped_threshold",
 )
 
 # the customers 1 and 1001 have one position, 97 * 1 and 97 * 9 stand at '0', '0'
