@@ -5,9 +5,11 @@ import os
 import duckdb
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from citypulse import oracle
 from citypulse.catalog import QUERIES
+from citypulse.operators.skew import hot_key_join
 
 KEYS = (
     "income_extremes_sql",
@@ -26,6 +28,7 @@ KEYS = (
     "income_extremes_sql_shuffle_hash",
     "income_extremes_sql_replicate_nl",
     "join_scoped_threshold",
+    "join_composite_key",
 )
 
 # the customers 1 and 1001 have one position, 97 * 1 and 97 * 9 stand at '0', '0'
@@ -63,3 +66,16 @@ def test_every_pair_counts(spark, made, key):
     # 3 incidents of 1 and 1001 meet 2 geocode rows each, 2 at '0', '0' both of those, that of 2 meets 1
     pairs = len(got) if key == "join_composite_key" else sum(r["#"] for r in df.collect()) / 2   # richest and poorest
     assert pairs == 3 * 2 + 2 * 2 + 1
+
+
+def test_many_pairs_of_a_key_are_spread_over_tasks(spark):
+    from citypulse.operators.joins import NO_AUTO_BROADCAST
+    from citypulse.operators.scoped import session_with
+    child = session_with(spark, {**NO_AUTO_BROADCAST, "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"})
+    left = child.range(3000).select(F.when(F.col("id") < 900, "0").otherwise(F.col("id").cast("string")).alias("a"), F.col("id").alias("v"))
+    right = child.range(300).select(F.when(F.col("id") < 100, "0").otherwise((F.col("id") * 9).cast("string")).alias("b"), F.col("id").alias("w"))
+    plain = left.join(right, F.col("a") == F.col("b"))
+    got = hot_key_join(left, right, [("a", "b")], rows_per_task=1000, pairs_per_task=5000)
+    assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+    share = got.where("a = '0'").groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count("*")).first()
+    assert share[0] < 90_000 / 3 and share[1] >= 8
