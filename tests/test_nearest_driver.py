@@ -10,6 +10,7 @@ from citypulse.catalog import QUERIES
 KEYS = (
     "nearest_station",
     "nearest_by_division",
+    "nearest_by_year",
 )
 
 
