@@ -11,6 +11,7 @@ KEYS = (
     "nearest_station",
     "nearest_by_division",
     "nearest_by_year",
+    "nearest_sql_by_division",
 )
 
 
