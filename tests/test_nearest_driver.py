@@ -12,6 +12,7 @@ KEYS = (
     "nearest_by_division",
     "nearest_by_year",
     "nearest_sql_by_division",
+    "nearest_sql_by_year",
 )
 
 
