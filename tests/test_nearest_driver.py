@@ -58,3 +58,22 @@ def test_no_repeated_rows_are_broadcast(spark, made, key):
     assert any("SortMergeJoin" in p for p in plans) and any("Generate" in p for p in plans)
     bad = [part for p in plans for part in broadcast_parts(p) if any("Generate" in line for line in part)]
     assert not bad, bad[0]
+
+
+REPORTS = (
+    "nearest_by_division",
+)
+
+
+@pytest.mark.parametrize("key", REPORTS)
+def test_no_stations_or_positions_are_broadcast(spark, made, key):
+    """Neither the stations' columns nor the positions with their station, however few they are."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    before, _ = ran_plans(spark, 0)
+    assert QUERIES[key](spark, made).collect()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    _, plans = ran_plans(spark, before)
+    reports = [p for p in plans if "InsertIntoHadoopFs" not in p]   # writing the parts is no step of the report
+    assert any("LeftOuter" in p for p in reports)
+    bad = [p for p in reports if "BroadcastExchange" in p]
+    assert not bad, bad[0]
