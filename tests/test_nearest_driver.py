@@ -62,6 +62,7 @@ def test_no_repeated_rows_are_broadcast(spark, made, key):
 
 REPORTS = (
     "nearest_by_division",
+    "nearest_by_year",
 )
 
 
