@@ -156,3 +156,9 @@ def test_the_count_of_rows_leaves_no_shuffle_behind(spark):
             break
         time.sleep(0.1)
     assert files() <= before
+
+
+def test_only_rows_with_a_copy_are_moved_whole(spark, made):
+    """No row of these has a copy, so the dedupe before the join moves none by all its columns."""
+    folder, _ = made
+    assert "Aggregate" not in QUERIES["join_composite_key"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
